@@ -1,0 +1,34 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``limit(max_rows + 1)`` bounds the work: the count stops growing past the bound,
+    so the check never turns into a full count of a large table.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, mode: str | bool = "auto", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of ``df`` when it is proven small.
+
+    mode ``True``/"always": the caller vouches for the size (e.g. a fixed lookup).
+    mode ``"auto"``: counted first; above ``max_rows`` no hint is added and the
+    planner (AQE, with skew-join splitting) chooses a shuffled join instead.
+    mode ``False``/"never": never hinted.
+    """
+    if mode in (True, "always"):
+        return F.broadcast(df)
+    if mode in (False, "never"):
+        return df
+    if mode != "auto":
+        raise ValueError(f"unknown broadcast mode {mode!r}")
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
