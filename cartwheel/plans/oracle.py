@@ -1 +1,441 @@
-ORACLE_SQL = {}
+"""DuckDB SQL computing the same results as :mod:`cartwheel.plans.queries`.
+
+Used only as an independent check (the driver registers the test tables as views).
+The adapters of :mod:`cartwheel.sources.fixtures` are restated here as CTEs; a Silver
+run over one micro-batch equals "valid rows, one per id", and duplicates in the log
+are exact copies, so ``SELECT DISTINCT`` over the compared columns is the dedup.
+
+Numeric hygiene: Spark's ``round(double, 2)`` rounds the shortest decimal text of the
+double half-up, so the oracle rounds ``CAST(CAST(x AS VARCHAR) AS DECIMAL)``; sums of
+money are exact decimals in both engines; SUM over integers is cast to BIGINT.
+"""
+
+from __future__ import annotations
+
+
+def pct(num: str, den: str) -> str:
+    x = f"CAST({num} AS DOUBLE) / NULLIF({den}, 0) * 100"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
+
+
+def count_type(t: str) -> str:
+    return f"CAST(sum(CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+REVENUE = (
+    "CAST(round(sum(CASE WHEN event_type = 'purchase' "
+    "THEN CAST(unit_price AS DECIMAL(38,10)) * quantity ELSE 0 END), 2) AS DOUBLE)"
+)
+
+# ---- adapters (mirror of cartwheel.sources.fixtures) ---------------------------------
+_BROWSING = """
+events_twice AS (
+  SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 50 = 0
+),
+browsing AS (
+  SELECT
+    CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id_hash,
+    CASE WHEN event_type = 'error' THEN 'pageview' ELSE 'event_product' END AS event_type,
+    CASE event_type WHEN 'view' THEN 'detail' WHEN 'click' THEN 'add'
+         WHEN 'signup' THEN 'remove' WHEN 'purchase' THEN 'purchase' END AS product_action,
+    CASE WHEN event_type = 'error' OR event_id % 89 = 0 THEN NULL
+         ELSE json_extract_string(props, '$.k') END AS product_sku_hash,
+    epoch_us(ts) // 1000 AS server_timestamp_epoch_ms,
+    CASE WHEN event_id % 13 = 0 THEN NULL ELSE sha256(props) END AS hashed_url
+  FROM events_twice
+)"""
+
+_CATALOG = """
+catalog AS (
+  SELECT CAST(p_partkey % 100 AS VARCHAR) AS product_sku_hash,
+         CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS category_hash,
+         CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(ceil(p_size / 5.0) AS DOUBLE) END AS price_bucket
+  FROM part
+),
+catalog_dedup AS (
+  SELECT product_sku_hash, category_hash, price_bucket FROM (
+    SELECT product_sku_hash, category_hash, CAST(trunc(price_bucket) AS INTEGER) AS price_bucket,
+           row_number() OVER (PARTITION BY product_sku_hash
+                              ORDER BY category_hash ASC NULLS LAST, trunc(price_bucket) ASC NULLS LAST) AS rn
+    FROM catalog) t
+  WHERE rn = 1
+)"""
+
+_PREPARED = """
+prepared AS (
+  SELECT
+    'coveo_sigir_2021' AS source,
+    sha256(concat_ws('||', b.session_id_hash, b.event_type, b.product_action, b.product_sku_hash,
+                     CAST(b.server_timestamp_epoch_ms AS VARCHAR), b.hashed_url)) AS source_event_id,
+    b.session_id_hash AS session_id,
+    CASE b.product_action WHEN 'detail' THEN 'product_view' WHEN 'add' THEN 'add_to_cart'
+         WHEN 'remove' THEN 'remove_from_cart' WHEN 'purchase' THEN 'purchase' END AS event_type,
+    make_timestamp(b.server_timestamp_epoch_ms * 1000) AS event_timestamp,
+    b.product_sku_hash AS product_id,
+    c.category_hash,
+    c.price_bucket,
+    b.hashed_url,
+    b.product_action AS source_product_action,
+    CAST(make_timestamp(b.server_timestamp_epoch_ms * 1000) AS DATE) AS event_date
+  FROM browsing b LEFT JOIN catalog_dedup c ON b.product_sku_hash = c.product_sku_hash
+  WHERE b.product_action IN ('detail', 'add', 'remove', 'purchase')
+)"""
+
+_RETAIL = """
+retail_ids AS (
+  SELECT
+    e.event_id AS event_seq,
+    e.user_id AS user_num,
+    CAST(e.event_id AS VARCHAR) AS event_id,
+    CASE e.event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'add_to_cart'
+         WHEN 'signup' THEN 'remove_from_cart' WHEN 'purchase' THEN 'purchase' END AS event_type,
+    make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS event_timestamp,
+    CAST(e.user_id AS VARCHAR) AS customer_id,
+    CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y%m%d') AS session_id,
+    CAST(e.k AS VARCHAR) AS product_id,
+    p.p_name AS product_name,
+    p.p_type AS category,
+    CASE WHEN e.event_id % 83 = 0 THEN -e.value ELSE e.value END AS unit_price,
+    CAST(CASE WHEN e.event_id % 79 = 0 THEN 0 ELSE 1 + e.k % 3 END AS INTEGER) AS quantity,
+    CASE WHEN e.event_id % 73 = 0 THEN 'FRA'
+         ELSE (['FR', 'DE', 'IT', 'ES', 'GB', 'US', 'CH'])[e.user_id % 7 + 1] END AS country,
+    (['mobile', 'desktop', 'tablet'])[e.user_id % 3 + 1] AS device
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+        FROM events WHERE event_type <> 'error') e
+  JOIN part p ON p.p_partkey = e.k
+)"""
+
+_RETAIL_FIELDS = [
+    "event_id", "event_type", "event_timestamp", "customer_id", "session_id", "product_id",
+    "product_name", "category", "unit_price", "quantity", "country", "device",
+]
+_CLICK_FIELDS = [
+    "source", "source_event_id", "session_id", "event_type", "event_timestamp", "product_id",
+    "category_hash", "price_bucket", "hashed_url", "source_product_action",
+]
+
+
+def _nulled(fields: list[str]) -> str:
+    return ",\n    ".join(f"CASE WHEN malformed THEN NULL ELSE {f} END AS {f}" for f in fields)
+
+
+_RETAIL_LOG = f"""
+retail_copies AS (
+  SELECT *, 0 AS copy FROM retail_ids
+  UNION ALL
+  SELECT *, 1 AS copy FROM retail_ids WHERE event_seq % 50 = 0
+),
+retail_log AS (
+  SELECT *,
+    CASE WHEN event_seq % 97 = 0 THEN 'wrong' ELSE session_id END AS kafka_key,
+    (event_seq % 101 = 0) AS malformed,
+    CAST(user_num % 6 AS INTEGER) AS kafka_partition,
+    row_number() OVER (PARTITION BY user_num % 6 ORDER BY event_seq, copy) - 1 AS kafka_offset,
+    event_timestamp AS kafka_timestamp
+  FROM retail_copies
+),
+retail_parsed AS (
+  SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp,
+    {_nulled(_RETAIL_FIELDS)}
+  FROM retail_log
+)"""
+
+_CLICK_LOG = f"""
+click_log AS (
+  SELECT *,
+    CASE WHEN epoch_ms(event_timestamp) % 97 = 0 THEN 'wrong' ELSE session_id END AS kafka_key,
+    (epoch_ms(event_timestamp) % 101 = 0) AS malformed,
+    CAST(CAST(split_part(session_id, '-', 1) AS BIGINT) % 6 AS INTEGER) AS kafka_partition,
+    row_number() OVER (PARTITION BY CAST(split_part(session_id, '-', 1) AS BIGINT) % 6
+                       ORDER BY source_event_id) - 1 AS kafka_offset,
+    'coveo-retail-events' AS kafka_topic,
+    event_timestamp AS kafka_timestamp
+  FROM prepared
+),
+click_parsed AS (
+  SELECT kafka_key, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp,
+    {_nulled(_CLICK_FIELDS)}
+  FROM click_log
+)"""
+
+# Silver rules, in the order of cartwheel.operators.validation (name, condition).
+_RETAIL_RULES = [
+    ("missing_event_id", "event_id IS NOT NULL"),
+    ("bad_event_type", "event_type IN ('product_view', 'add_to_cart', 'remove_from_cart', 'purchase')"),
+    ("missing_event_timestamp", "event_timestamp IS NOT NULL"),
+    ("missing_session_id", "session_id IS NOT NULL"),
+    ("key_not_session", "kafka_key = session_id"),
+    ("missing_product_id", "product_id IS NOT NULL"),
+    ("bad_unit_price", "unit_price > 0"),
+    ("bad_quantity", "quantity > 0"),
+    ("bad_country", "length(country) = 2"),
+]
+_CLICK_RULES = [
+    ("bad_source", "source = 'coveo_sigir_2021'"),
+    ("missing_source_event_id", "source_event_id IS NOT NULL"),
+    ("missing_session_id", "session_id IS NOT NULL"),
+    ("key_not_session", "kafka_key = session_id"),
+    ("bad_event_type", "event_type IN ('product_view', 'add_to_cart', 'remove_from_cart', 'purchase')"),
+    ("missing_event_timestamp", "event_timestamp IS NOT NULL"),
+    ("missing_product_id", "product_id IS NOT NULL"),
+    ("bad_price_bucket", "(price_bucket IS NULL OR price_bucket BETWEEN 1 AND 10)"),
+]
+
+
+def _all(rules) -> str:
+    return " AND ".join(f"coalesce({c}, false)" for _, c in rules)
+
+
+def _reasons(rules) -> str:
+    parts = ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in rules)
+    return f"concat_ws(',', {parts})"
+
+
+_R_COMPARED = ["kafka_key", "kafka_partition", "kafka_timestamp", *_RETAIL_FIELDS]
+_C_COMPARED = ["kafka_key", "kafka_topic", "kafka_partition", "kafka_timestamp", *_CLICK_FIELDS]
+
+_SILVER_R = f"""
+silver_r AS (
+  SELECT DISTINCT {", ".join(_R_COMPARED)}, CAST(event_timestamp AS DATE) AS event_date
+  FROM retail_parsed
+  WHERE {_all(_RETAIL_RULES)}
+)"""
+
+_SILVER_C = f"""
+silver_c AS (
+  SELECT DISTINCT {", ".join(_C_COMPARED)}, CAST(event_timestamp AS DATE) AS event_date
+  FROM click_parsed
+  WHERE {_all(_CLICK_RULES)}
+)"""
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ",".join(ctes) + "\n"
+
+
+PREP = (_BROWSING, _CATALOG, _PREPARED)
+RLOG = (_RETAIL, _RETAIL_LOG)
+CLOG = (*PREP, _CLICK_LOG)
+SILVER_R = (*RLOG, _SILVER_R)
+SILVER_C = (*CLOG, _SILVER_C)
+
+
+def _funnel_sql(src: str) -> str:
+    return f"""
+funnel_counts AS (
+  SELECT
+    count(*) AS total_events,
+    count(DISTINCT session_id) AS total_sessions,
+    count(DISTINCT product_id) AS total_products,
+    count(DISTINCT CASE WHEN event_type = 'add_to_cart' THEN session_id END) AS cart_sessions,
+    count(DISTINCT CASE WHEN event_type = 'purchase' THEN session_id END) AS purchase_sessions,
+    {count_type('product_view')} AS product_views,
+    {count_type('add_to_cart')} AS cart_additions,
+    {count_type('remove_from_cart')} AS cart_removals,
+    {count_type('purchase')} AS purchases
+  FROM {src}
+),
+funnel AS (
+  SELECT *,
+    {pct('cart_sessions', 'total_sessions')} AS view_to_cart_rate,
+    {pct('purchase_sessions', 'total_sessions')} AS purchase_conversion_rate,
+    {pct('purchase_sessions', 'cart_sessions')} AS cart_to_purchase_rate
+  FROM funnel_counts
+)"""
+
+
+_CATEGORIES = f"""
+categories AS (
+  SELECT category, sessions, products, product_views, cart_additions, purchases,
+    {pct('purchases', 'product_views')} AS purchase_per_view_rate
+  FROM (
+    SELECT coalesce(category_hash, 'unknown') AS category,
+      count(DISTINCT session_id) AS sessions,
+      count(DISTINCT product_id) AS products,
+      {count_type('product_view')} AS product_views,
+      {count_type('add_to_cart')} AS cart_additions,
+      {count_type('purchase')} AS purchases
+    FROM silver_c GROUP BY 1) t
+)"""
+
+_PRICE_BUCKETS = f"""
+price_buckets AS (
+  SELECT coalesce(CAST(price_bucket AS VARCHAR), 'unknown') AS price_segment,
+    count(*) AS events,
+    count(DISTINCT session_id) AS sessions,
+    {count_type('product_view')} AS product_views,
+    {count_type('add_to_cart')} AS cart_additions,
+    {count_type('purchase')} AS purchases
+  FROM silver_c GROUP BY 1
+)"""
+
+_JSON_C = (
+    "'{\"source\":\"' || source || '\",\"source_event_id\":\"' || source_event_id"
+    " || '\",\"session_id\":\"' || session_id || '\",\"event_type\":\"' || event_type"
+    " || '\",\"event_timestamp\":\"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || 'Z\"'"
+    " || CASE WHEN product_id IS NULL THEN '' ELSE ',\"product_id\":\"' || product_id || '\"' END"
+    " || CASE WHEN category_hash IS NULL THEN '' ELSE ',\"category_hash\":\"' || category_hash || '\"' END"
+    " || CASE WHEN price_bucket IS NULL THEN '' ELSE ',\"price_bucket\":' || CAST(price_bucket AS VARCHAR) END"
+    " || CASE WHEN hashed_url IS NULL THEN '' ELSE ',\"hashed_url\":\"' || hashed_url || '\"' END"
+    " || ',\"source_product_action\":\"' || source_product_action || '\"}'"
+)
+
+_CONTRACT_RULES = [
+    ("bad_event_id", "event_id IS NOT NULL AND regexp_matches(event_id, '^[0-9]+$')"),
+    ("bad_event_type", "event_type IN ('product_view', 'add_to_cart', 'remove_from_cart', 'purchase')"),
+    ("missing_event_timestamp", "event_timestamp IS NOT NULL"),
+    ("empty_customer_id", "customer_id IS NOT NULL AND length(customer_id) >= 1"),
+    ("empty_session_id", "session_id IS NOT NULL AND length(session_id) >= 1"),
+    ("empty_product_id", "product_id IS NOT NULL AND length(product_id) >= 1"),
+    ("empty_product_name", "product_name IS NOT NULL AND length(product_name) >= 1"),
+    ("bad_category", "category IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')"),
+    ("bad_unit_price", "unit_price > 0"),
+    ("bad_quantity", "coalesce(quantity, 1) > 0"),
+    ("bad_country", "length(country) = 2"),
+    ("bad_device", "device IN ('mobile', 'desktop', 'tablet')"),
+]
+
+_POS = "{'t': event_timestamp, 'i': event_id}"
+
+
+def _value_counts(src: str, col: str) -> str:
+    return f"SELECT {col}, count(*) AS count FROM {src} GROUP BY {col}"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "gold_funnel": _with(*SILVER_C, _funnel_sql("silver_c")) + "SELECT * FROM funnel",
+    "gold_category": _with(*SILVER_C, _CATEGORIES) + "SELECT * FROM categories",
+    "gold_price_bucket": _with(*SILVER_C, _PRICE_BUCKETS) + "SELECT * FROM price_buckets",
+    "gold_on_prepared": _with(*PREP, _funnel_sql("prepared")) + "SELECT * FROM funnel",
+    "retail_funnel": _with(*SILVER_R)
+    + f"""SELECT total_sessions, cart_sessions, purchase_sessions,
+  {pct('cart_sessions', 'total_sessions')} AS view_to_cart_rate,
+  {pct('purchase_sessions', 'total_sessions')} AS purchase_conversion_rate,
+  total_revenue
+FROM (
+  SELECT count(DISTINCT session_id) AS total_sessions,
+    count(DISTINCT CASE WHEN event_type = 'add_to_cart' THEN session_id END) AS cart_sessions,
+    count(DISTINCT CASE WHEN event_type = 'purchase' THEN session_id END) AS purchase_sessions,
+    {REVENUE} AS total_revenue
+  FROM silver_r) t""",
+    "retail_product": _with(*SILVER_R)
+    + f"""SELECT product_id, product_name, category,
+  {count_type('product_view')} AS product_views,
+  {count_type('add_to_cart')} AS cart_additions,
+  {count_type('purchase')} AS purchases,
+  {REVENUE} AS revenue
+FROM silver_r GROUP BY product_id, product_name, category""",
+    "retail_country": _with(*SILVER_R)
+    + f"""SELECT country, count(DISTINCT session_id) AS sessions,
+  {count_type('purchase')} AS purchases, {REVENUE} AS revenue
+FROM silver_r GROUP BY country""",
+    "prepare_events": _with(*PREP) + "SELECT * FROM prepared",
+    "catalog_dedup": _with(_CATALOG) + "SELECT * FROM catalog_dedup",
+    "profile_raw": _with(_BROWSING)
+    + """SELECT count(*) AS total_events,
+  min(server_timestamp_epoch_ms) AS minimum_timestamp_ms,
+  max(server_timestamp_epoch_ms) AS maximum_timestamp_ms,
+  CAST(sum(CASE WHEN product_action IS NULL OR trim(product_action) = '' THEN 1 ELSE 0 END) AS BIGINT)
+    AS events_without_product_action,
+  CAST(sum(CASE WHEN product_sku_hash IS NULL OR trim(product_sku_hash) = '' THEN 1 ELSE 0 END) AS BIGINT)
+    AS events_without_product,
+  true AS sessions_estimate_ok,
+  true AS products_estimate_ok
+FROM browsing""",
+    "profile_event_types": _with(_BROWSING) + _value_counts("browsing", "event_type"),
+    "profile_actions": _with(_BROWSING) + _value_counts("browsing", "product_action"),
+    "inspect_prepared": _with(*PREP)
+    + """SELECT count(*) AS total_events, min(event_timestamp) AS first_event, max(event_timestamp) AS last_event,
+  CAST(sum(CASE WHEN category_hash IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS events_without_category,
+  CAST(sum(CASE WHEN price_bucket IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS events_without_price_bucket
+FROM prepared""",
+    "inspect_prepared_types": _with(*PREP) + _value_counts("prepared", "event_type"),
+    "inspect_prepared_sample": _with(*PREP)
+    + """SELECT source_event_id, session_id, event_type, event_timestamp, product_id, category_hash, price_bucket
+FROM prepared ORDER BY source_event_id, session_id, event_timestamp LIMIT 5""",
+    "bronze_metrics": _with(*RLOG)
+    + "SELECT count(*) AS total_events, count(DISTINCT kafka_key) AS unique_sessions FROM retail_log",
+    "bronze_offsets": _with(*RLOG)
+    + """SELECT kafka_partition, count(*) AS event_count, min(kafka_offset) AS first_offset,
+  max(kafka_offset) AS last_offset
+FROM retail_log GROUP BY kafka_partition""",
+    "offset_gaps": _with(*CLOG)
+    + """SELECT kafka_partition, count(*) AS event_count,
+  max(kafka_offset) - min(kafka_offset) + 1 - count(DISTINCT kafka_offset) AS missing_offsets,
+  count(*) - count(DISTINCT kafka_offset) AS duplicates
+FROM click_log GROUP BY kafka_partition""",
+    "bronze_projection": _with(*CLOG)
+    + f"""SELECT kafka_key,
+  CASE WHEN malformed THEN '{{bad' ELSE {_JSON_C} END AS raw_json,
+  kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
+FROM click_log""",
+    "stream_preview": _with(*RLOG)
+    + """SELECT kafka_partition AS partition, kafka_offset AS offset, kafka_key,
+  event_timestamp, event_type, session_id, product_id, category, unit_price, country
+FROM retail_parsed""",
+    "silver_retail": _with(*SILVER_R) + "SELECT * FROM silver_r",
+    "silver_retail_exact": _with(*SILVER_R) + "SELECT * FROM silver_r",
+    "silver_click": _with(*SILVER_C) + "SELECT * FROM silver_c",
+    "silver_metrics": _with(*SILVER_R)
+    + """SELECT count(*) AS total_events, count(DISTINCT event_id) AS unique_events,
+  count(DISTINCT session_id) AS unique_sessions FROM silver_r""",
+    "silver_types": _with(*SILVER_R) + _value_counts("silver_r", "event_type"),
+    "silver_country": _with(*SILVER_R) + _value_counts("silver_r", "country"),
+    "silver_click_metrics": _with(*SILVER_C)
+    + """SELECT count(*) AS total_events, count(DISTINCT source_event_id) AS unique_events,
+  count(DISTINCT session_id) AS unique_sessions,
+  CAST(sum(CASE WHEN category_hash IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_categories,
+  CAST(sum(CASE WHEN price_bucket IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_price_buckets
+FROM silver_c""",
+    "silver_click_types": _with(*SILVER_C) + _value_counts("silver_c", "event_type"),
+    "silver_click_partitions": _with(*SILVER_C)
+    + "SELECT kafka_partition, count(*) AS event_count FROM silver_c GROUP BY kafka_partition",
+    "quarantine_retail": _with(*RLOG)
+    + f"""SELECT kafka_partition, kafka_offset, kafka_key, event_id, {_reasons(_RETAIL_RULES)} AS reasons
+FROM retail_parsed WHERE NOT ({_all(_RETAIL_RULES)})""",
+    "quarantine_click": _with(*CLOG)
+    + f"""SELECT kafka_partition, kafka_offset, kafka_key, source_event_id, {_reasons(_CLICK_RULES)} AS reasons
+FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})""",
+    "replay_all": _with(*PREP) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM prepared",
+    "replay_all_summary": _with(*PREP)
+    + "SELECT count(*) AS events, count(DISTINCT session_id) AS sessions FROM prepared",
+    "contract_violations": _with(_RETAIL)
+    + f"""SELECT event_id, session_id, violations FROM (
+  SELECT event_id, session_id, {_reasons(_CONTRACT_RULES)} AS violations FROM retail_ids) t
+WHERE violations <> ''""",
+    "journey_consistency": _with(*SILVER_R)
+    + f"""SELECT session_id, violations FROM (
+  SELECT session_id, concat_ws(',',
+    CASE WHEN coalesce(first_type <> 'product_view', true) THEN 'first_event_not_view' END,
+    CASE WHEN c_lo <> c_hi THEN 'several_customers' END,
+    CASE WHEN k_lo <> k_hi THEN 'several_countries' END,
+    CASE WHEN d_lo <> d_hi THEN 'several_devices' END,
+    CASE WHEN first_purchase IS NOT NULL AND (first_cart IS NULL OR first_cart > first_purchase)
+         THEN 'purchase_without_prior_cart' END) AS violations
+  FROM (
+    SELECT session_id,
+      arg_min(event_type, {_POS}) AS first_type,
+      min(customer_id) AS c_lo, max(customer_id) AS c_hi,
+      min(country) AS k_lo, max(country) AS k_hi,
+      min(device) AS d_lo, max(device) AS d_hi,
+      min(CASE WHEN event_type = 'add_to_cart' THEN {_POS} END) AS first_cart,
+      min(CASE WHEN event_type = 'purchase' THEN {_POS} END) AS first_purchase
+    FROM silver_r GROUP BY session_id) a) b
+WHERE violations <> ''""",
+    "report_top_categories": _with(*SILVER_C, _CATEGORIES)
+    + """SELECT CASE WHEN category = 'unknown' THEN 'Unknown' ELSE substr(category, 1, 12) || '…' END
+    AS category_display, purchases, purchase_per_view_rate
+FROM categories ORDER BY purchases DESC, category ASC LIMIT 10""",
+    "report_funnel_stages": _with(*SILVER_C, _funnel_sql("silver_c"))
+    + """SELECT 'Sessions' AS "Stage", total_sessions AS "Count" FROM funnel
+UNION ALL SELECT 'Added to cart', cart_sessions FROM funnel
+UNION ALL SELECT 'Purchased', purchase_sessions FROM funnel""",
+    "report_kpis": _with(*SILVER_C, _funnel_sql("silver_c"))
+    + """SELECT format('{:,}', total_events) AS events, format('{:,}', total_sessions) AS sessions,
+  format('{:,}', total_products) AS products, format('{:,}', purchases) AS purchases,
+  printf('%.2f%%', view_to_cart_rate) AS view_to_cart,
+  printf('%.2f%%', purchase_conversion_rate) AS purchase_conversion,
+  printf('%.2f%%', cart_to_purchase_rate) AS cart_to_purchase
+FROM funnel""",
+    "report_price_segments": _with(*SILVER_C, _PRICE_BUCKETS) + "SELECT price_segment, purchases FROM price_buckets",
+}
