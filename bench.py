@@ -50,14 +50,16 @@ def main() -> None:
     events_rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
 
     def profile():
-        b = fixtures.browsing(spark, sf_dir)
-        profiling.profile_metrics(b).collect()
-        profiling.event_type_counts(b).collect()
-        profiling.product_action_counts(b).collect()
+        one_pass = profiling.profile_pass(fixtures.browsing(spark, sf_dir)).persist()
+        try:
+            for table in profiling.split_profile(one_pass):
+                table.collect()
+        finally:
+            one_pass.unpersist()
 
     def prepare():
         path = fresh("prepared")
-        write_prepared(fixtures.prepared(spark, sf_dir), path, partitions=int(cpus) * 2)
+        write_prepared(fixtures.prepared(spark, sf_dir), path)
         state["prepared"] = path
 
     def inspect_prepared():
@@ -69,7 +71,7 @@ def main() -> None:
     def click_log():
         p = spark.read.parquet(state["prepared"])
         ms = F.unix_millis("event_timestamp")
-        records = replay.replay_records(replay.sample_sessions(p, 1, 0)).select(
+        records = replay.replay_records(replay.sample_sessions(p, 1, 0), cluster=False).select(
             F.when(ms % 97 == 0, F.lit("wrong")).otherwise(F.col("key")).alias("key"),
             F.when(ms % 101 == 0, F.lit("{bad")).otherwise(F.col("value")).alias("value"),
             (F.substring_index("key", "-", 1).cast("bigint") % 6).alias("_p"),
@@ -120,7 +122,7 @@ def main() -> None:
         try:
             replay.replay_totals(sample).collect()
             replay.replay_type_counts(sample).collect()
-            to_log_records(replay.replay_records(sample), "coveo-retail-events",
+            to_log_records(replay.replay_records(sample, cluster=False), "coveo-retail-events",
                            F.pmod(F.xxhash64("key"), F.lit(6)), ["event_timestamp", "source_event_id"],
                            F.col("event_timestamp")).write.parquet(fresh("replay"))
         finally:

@@ -49,9 +49,13 @@ def cmd_profile(spark, a) -> None:
 
     browsing = read_browsing_csv(spark, a.browsing)
     browsing.printSchema()
-    profiling.profile_metrics(browsing).show(truncate=False)
-    profiling.event_type_counts(browsing).show(truncate=False)
-    profiling.product_action_counts(browsing).show(truncate=False)
+    # one scan for all three tables; the pass is tiny (one row per type / action)
+    one_pass = profiling.profile_pass(browsing).persist()
+    try:
+        for table in profiling.split_profile(one_pass):
+            table.show(truncate=False)
+    finally:
+        one_pass.unpersist()
 
 
 def cmd_prepare(spark, a) -> None:
@@ -74,9 +78,9 @@ def cmd_replay(spark, a) -> None:
             raise ValueError("The sampling configuration selected no events")
         print(f"Selected {totals['events']} events from {totals['sessions']} complete sessions")
         replay.replay_type_counts(sample).show()
-        records = replay.replay_records(sample, a.partitions)
+        records = replay.replay_records(sample, a.tasks, cluster=a.log_format == "kafka")
         publish(records, fmt=a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers,
-                topic=a.topic or CLICK_TOPIC, partitions=a.partitions,
+                topic=a.topic or CLICK_TOPIC, partitions=a.log_partitions,
                 order=["event_timestamp", "source_event_id"], timestamp=F.col("event_timestamp"))
     finally:
         sample.unpersist()
@@ -178,13 +182,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--browsing", required=True)
     p.add_argument("--catalog", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--partitions", type=int, default=32)
+    p.add_argument("--partitions", type=int, default=None, help="write tasks (default: shuffle width)")
 
     p = sub.add_parser("replay")
     p.add_argument("--prepared", required=True)
     p.add_argument("--modulus", type=int, default=200)
     p.add_argument("--remainder", type=int, default=0)
-    p.add_argument("--partitions", type=int, default=6)
+    p.add_argument("--tasks", type=int, default=None, help="sending tasks (default: shuffle width)")
+    p.add_argument("--log-partitions", type=int, default=6, help="partitions of a log table")
     _log_args(p)
 
     p = sub.add_parser("bronze")

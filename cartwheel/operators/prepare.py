@@ -77,24 +77,32 @@ def prepare_events(
     )
 
 
-def cluster_for_write(prepared: DataFrame, partitions: int) -> DataFrame:
+def cluster_for_write(prepared: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-partition on (event_date, session_id) and sort inside each task.
 
     Range partitioning on the pair splits a large day across many tasks (hashing on
     the date alone would put a whole day into one task), keeps each session in one
     contiguous run, and the partition column leads the sort so the writer's own
-    per-partition sort does not undo it.
+    per-partition sort does not undo it. Without ``partitions`` the width is the
+    session's shuffle width, which adaptive execution may coalesce.
     """
-    return prepared.repartitionByRange(partitions, "event_date", "session_id").sortWithinPartitions(
-        "event_date", "session_id", "event_timestamp"
-    )
-
-
-def write_prepared(prepared: DataFrame, path: str, partitions: int = 32, mode: str = "overwrite") -> None:
-    """Clustered, date-partitioned Parquet."""
+    keys = ("event_date", "session_id")
+    ranged = prepared.repartitionByRange(partitions, *keys) if partitions else prepared.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions("event_date", "session_id", "event_timestamp")
+
+
+def write_prepared(
+    prepared: DataFrame,
+    path: str,
+    partitions: int | None = None,
+    mode: str = "overwrite",
+    max_records_per_file: int = 5_000_000,
+) -> None:
+    """Clustered, date-partitioned Parquet (files capped at ``max_records_per_file``)."""
     (
         cluster_for_write(prepared.select(*PREPARED_COLUMNS), partitions)
         .write.mode(mode)
+        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("event_date")
         .parquet(path)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.metrics import null_or_blank_count
+from cartwheel.functions.metrics import null_or_blank, null_or_blank_count
 
 
 def profile_columns(rsd: float = 0.05) -> list:
@@ -29,6 +29,73 @@ def profile_metrics(browsing: DataFrame, rsd: float = 0.05) -> DataFrame:
     return browsing.agg(*profile_columns(rsd))
 
 
+_GLOBAL, _BY_TYPE, _BY_ACTION = 0, 1, 2
+
+
+def profile_pass(browsing: DataFrame, rsd: float = 0.05) -> DataFrame:
+    """P1, P2 and P3 from ONE scan of the raw log.
+
+    Each row is emitted three times inside the scan stage — for the global row
+    (dim 0), its event_type (dim 1) and its product_action (dim 2) — then one
+    partial aggregate keyed by (dim, value) runs before the only shuffle. The global
+    metrics (sketches, time range, missing counts) are fed only by dim-0 rows, so
+    the HyperLogLog work is not tripled. The result has one row per dimension value.
+    """
+    dims = F.explode(
+        F.array(
+            F.struct(F.lit(_GLOBAL).alias("dim"), F.lit(None).cast("string").alias("value")),
+            F.struct(F.lit(_BY_TYPE).alias("dim"), F.col("event_type").alias("value")),
+            F.struct(F.lit(_BY_ACTION).alias("dim"), F.col("product_action").alias("value")),
+        )
+    )
+    rows = browsing.select(
+        "session_id_hash", "product_sku_hash", "server_timestamp_epoch_ms", "product_action", dims.alias("d")
+    ).select("d.dim", "d.value", "session_id_hash", "product_sku_hash", "server_timestamp_epoch_ms", "product_action")
+
+    def on_global(c):
+        return F.when(F.col("dim") == _GLOBAL, c)
+
+    def blank_flag(c: str):
+        return on_global(F.when(null_or_blank(c), 1).otherwise(0))
+
+    return rows.groupBy("dim", "value").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.approx_count_distinct(on_global(F.col("session_id_hash")), rsd).alias("approximate_sessions"),
+        F.approx_count_distinct(on_global(F.col("product_sku_hash")), rsd).alias("approximate_products"),
+        F.min(on_global(F.col("server_timestamp_epoch_ms"))).alias("minimum_timestamp_ms"),
+        F.max(on_global(F.col("server_timestamp_epoch_ms"))).alias("maximum_timestamp_ms"),
+        F.sum(blank_flag("product_action")).alias("events_without_product_action"),
+        F.sum(blank_flag("product_sku_hash")).alias("events_without_product"),
+    )
+
+
+def profile_tables(browsing: DataFrame, rsd: float = 0.05) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(P1, P2, P3) over one shared pass. The caller may ``persist()`` the pass
+    (``profile_pass``) first when it shows all three, so the log is read once."""
+    return split_profile(profile_pass(browsing, rsd))
+
+
+def split_profile(pass_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    metrics = pass_df.filter(F.col("dim") == _GLOBAL).select(
+        F.col("count").alias("total_events"),
+        "approximate_sessions",
+        "approximate_products",
+        "minimum_timestamp_ms",
+        "maximum_timestamp_ms",
+        F.coalesce("events_without_product_action", F.lit(0)).alias("events_without_product_action"),
+        F.coalesce("events_without_product", F.lit(0)).alias("events_without_product"),
+    )
+
+    def counts(dim: int, name: str) -> DataFrame:
+        return (
+            pass_df.filter(F.col("dim") == dim)
+            .select(F.col("value").alias(name), "count")
+            .orderBy(F.desc("count"), F.asc_nulls_first(name))
+        )
+
+    return metrics, counts(_BY_TYPE, "event_type"), counts(_BY_ACTION, "product_action")
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """E12 + F1: rows per value (null is a value), count desc, value asc as tie-break."""
     return (

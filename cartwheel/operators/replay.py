@@ -46,18 +46,24 @@ def replay_type_counts(sample: DataFrame) -> DataFrame:
     )
 
 
-def replay_records(sample: DataFrame, partitions: int = 6) -> DataFrame:
+def replay_records(sample: DataFrame, partitions: int | None = None, cluster: bool = True) -> DataFrame:
     """(key = session_id, value = JSON of the 10 payload columns).
 
     Rows are clustered by session (a session lives in one task, so its order is
     kept) and sorted by event time inside each task, so a consumer's watermark
     advances with time rather than jumping to the newest event of the first session.
     ``to_json`` omits null fields and writes timestamps to the millisecond.
+
+    ``partitions`` is the number of sending tasks (not the topic's partition count;
+    the broker maps keys to its partitions). Without it the session's shuffle width
+    is used. ``cluster=False`` skips the clustering for sinks that order records
+    themselves (the log table assigns offsets with its own range partitioning).
     """
+    if cluster:
+        clustered = sample.repartition(partitions, "session_id") if partitions else sample.repartition("session_id")
+        sample = clustered.sortWithinPartitions("event_timestamp", "session_id", "source_event_id")
     return (
-        sample.repartition(partitions, "session_id")
-        .sortWithinPartitions("event_timestamp", "session_id", "source_event_id")
-        .select(
+        sample.select(
             F.col("session_id").cast("string").alias("key"),
             F.to_json(F.struct(*[F.col(c) for c in CLICK_PAYLOAD_COLUMNS])).alias("value"),
             "event_timestamp",

@@ -102,13 +102,16 @@ def profile_raw(spark, sf_dir):
     """P1; the two HyperLogLog estimates are reported as 'within 3 rsd' flags
     next to the exact columns (their exact value is an estimate, not a contract)."""
     browsing = fixtures.browsing(spark, sf_dir)
-    metrics = browsing.agg(
-        *profiling.profile_columns(),
+    metrics = profiling.profile_tables(browsing)[0]
+    exact = browsing.agg(
         F.count_distinct("session_id_hash").alias("_s"),
         F.count_distinct("product_sku_hash").alias("_p"),
     )
     within = lambda est, ex: (F.abs(F.col(est) - F.col(ex)) <= F.col(ex) * F.lit(0.15))
-    return metrics.select(
+    # two one-row aggregates side by side (the exact counts are only the check)
+    return metrics.unionByName(exact, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in metrics.columns + exact.columns]
+    ).select(
         "total_events",
         "minimum_timestamp_ms",
         "maximum_timestamp_ms",
@@ -120,13 +123,13 @@ def profile_raw(spark, sf_dir):
 
 
 def profile_event_types(spark, sf_dir):
-    """P2."""
-    return profiling.event_type_counts(fixtures.browsing(spark, sf_dir))
+    """P2 (from the one-pass profile)."""
+    return profiling.profile_tables(fixtures.browsing(spark, sf_dir))[1]
 
 
 def profile_actions(spark, sf_dir):
-    """P3."""
-    return profiling.product_action_counts(fixtures.browsing(spark, sf_dir))
+    """P3 (from the one-pass profile)."""
+    return profiling.profile_tables(fixtures.browsing(spark, sf_dir))[2]
 
 
 # ---- Inspect prepared ----------------------------------------------------------------

@@ -125,3 +125,16 @@ def test_catalog_csv_reader(spark, tmp_dir):
     assert df.schema.fieldNames() == CATALOG_SCHEMA.fieldNames()
     out = {r.product_sku_hash: (r.category_hash, r.price_bucket) for r in dedup_catalog(df).collect()}
     assert out == {"k1": ("c0", None), "k2": (None, None)}
+
+
+def test_one_pass_profile_equals_three_scans(spark):
+    from cartwheel.sources import fixtures
+
+    b = fixtures.browsing(spark, "/root/testdata/sf0.01")
+    m1, t1, a1 = profiling.profile_tables(b)
+    m0 = profiling.profile_metrics(b).first().asDict()
+    assert m1.first().asDict() == m0
+    assert [tuple(r) for r in t1.collect()] == [tuple(r) for r in profiling.event_type_counts(b).collect()]
+    assert [tuple(r) for r in a1.collect()] == [tuple(r) for r in profiling.product_action_counts(b).collect()]
+    plan = profiling.profile_pass(b)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
