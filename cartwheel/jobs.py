@@ -173,6 +173,8 @@ def cmd_preview(spark, a) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cartwheel")
+    parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
+    parser.add_argument("--shuffle-partitions", type=int, default=None)
     sub = parser.add_subparsers(dest="cmd", required=True)
 
     p = sub.add_parser("profile")
@@ -224,7 +226,7 @@ def main(argv: list[str] | None = None) -> None:
         from cartwheel.operators.replay import check_sample_args
 
         check_sample_args(a.modulus, a.remainder)
-    spark = build_session(f"cartwheel-{a.cmd}")
+    spark = build_session(f"cartwheel-{a.cmd}", master=a.master, shuffle_partitions=a.shuffle_partitions)
     spark.sparkContext.setLogLevel("WARN")
     try:
         globals()[f"cmd_{a.cmd}"](spark, a)
