@@ -110,17 +110,29 @@ def cmd_silver(spark, a) -> None:
             .option("maxFilesPerTrigger", str(a.max_files_per_trigger)).load(a.bronze)
         )
     silver = silver_click(bronze, dedup=a.dedup) if a.family == "click" else silver_retail(bronze, dedup=a.dedup)
+    if a.quarantine:
+        # a second, stateless stream over the same Bronze: rejected rows with reasons
+        from cartwheel.streaming.runner import run_to_completion, start_stream
+        from cartwheel.streaming.silver import quarantine_click, quarantine_retail
+
+        rejected = quarantine_click(bronze) if a.family == "click" else quarantine_retail(bronze)
+        q_ckpt = a.checkpoint.rstrip("/") + "-quarantine"
+        if a.available_now:
+            run_to_completion(rejected, a.quarantine, q_ckpt)
+        else:
+            start_stream(rejected, a.quarantine, q_ckpt)
     if a.available_now:
         run_silver(silver, a.out, a.checkpoint)
     else:
-        start_silver(silver, a.out, a.checkpoint).awaitTermination()
+        start_silver(silver, a.out, a.checkpoint)
+        spark.streams.awaitAnyTermination()
 
 
 def cmd_gold(spark, a) -> None:
     from cartwheel.operators import gold
     from cartwheel.operators.report import write_gold_tables
 
-    silver = spark.read.parquet(a.silver)
+    silver = gold.between_dates(spark.read.parquet(a.silver), a.date_from, a.date_to)
     if a.family == "click":
         write_gold_tables(gold.build_funnel(silver), gold.build_category_metrics(silver),
                           gold.build_price_bucket_metrics(silver), a.out)
@@ -206,9 +218,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--dedup", choices=["watermark", "exact"], default="watermark")
     p.add_argument("--state-partitions", type=int, default=None, help="fixed at first start")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--quarantine", default=None, help="also write rejected rows with reasons here")
     _stream_args(p)
 
     p = sub.add_parser("gold")
+    p.add_argument("--date-from", default=None, help="first event_date (inclusive), prunes partitions")
+    p.add_argument("--date-to", default=None, help="last event_date (inclusive)")
     p.add_argument("--family", choices=["retail", "click"], required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--out", required=True)

@@ -23,6 +23,17 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.metrics import event_count, is_type, line_value, pct, purchase_revenue
 
+
+def between_dates(events: DataFrame, date_from=None, date_to=None, column: str = "event_date") -> DataFrame:
+    """Optional inclusive date range on the partition column of Silver, so the scan
+    reads only the matching ``event_date=`` folders (partition pruning)."""
+    if date_from is not None:
+        events = events.filter(F.col(column) >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        events = events.filter(F.col(column) <= F.lit(date_to).cast("date"))
+    return events
+
+
 _SESSION_SET = 0
 _PRODUCT_SET = 1
 

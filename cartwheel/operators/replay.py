@@ -46,6 +46,18 @@ def replay_type_counts(sample: DataFrame) -> DataFrame:
     )
 
 
+def keyed_json(events: DataFrame, payload: list[str], key: str = "session_id") -> DataFrame:
+    """A10: (key, value = JSON of ``payload``) for any event DataFrame, extra columns kept.
+
+    The key is the session, so a broker keeps one session's events in one partition.
+    """
+    return events.select(
+        F.col(key).cast("string").alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in payload])).alias("value"),
+        *[c for c in events.columns if c not in ("key", "value")],
+    )
+
+
 def replay_records(sample: DataFrame, partitions: int | None = None, cluster: bool = True) -> DataFrame:
     """(key = session_id, value = JSON of the 10 payload columns).
 

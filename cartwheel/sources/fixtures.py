@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators.joins import maybe_broadcast
 from cartwheel.operators.prepare import prepare_events
+from cartwheel.operators.replay import keyed_json
 from cartwheel.schemas import CLICK_PAYLOAD_COLUMNS, CLICK_TOPIC, EVENT_SCHEMA, RETAIL_TOPIC
 from cartwheel.sources.log import to_log_records
 
@@ -146,11 +147,11 @@ def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records for the retail topic: duplicates, wrong keys, malformed values."""
-    rows = _retail_with_ids(spark, sf_dir).select("*", _copies_of("_event_seq", 50).alias("_copy"))
-    payload = F.to_json(F.struct(*[F.col(c) for c in EVENT_SCHEMA.fieldNames()]))
+    rows = keyed_json(_retail_with_ids(spark, sf_dir), EVENT_SCHEMA.fieldNames())
+    rows = rows.select("*", _copies_of("_event_seq", 50).alias("_copy"))
     records = rows.select(
-        F.when(F.col("_event_seq") % 97 == 0, F.lit("wrong")).otherwise(F.col("session_id")).alias("key"),
-        F.when(F.col("_event_seq") % 101 == 0, F.lit("{bad")).otherwise(payload).alias("value"),
+        F.when(F.col("_event_seq") % 97 == 0, F.lit("wrong")).otherwise(F.col("key")).alias("key"),
+        F.when(F.col("_event_seq") % 101 == 0, F.lit("{bad")).otherwise(F.col("value")).alias("value"),
         (F.col("_user") % LOG_PARTITIONS).alias("_partition"),
         "event_timestamp",
         "_event_seq",
@@ -173,12 +174,11 @@ def _copies_of(column: str, every: int) -> Column:
 
 def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records for the clickstream topic, from the prepared events."""
-    events = prepared(spark, sf_dir)
+    events = keyed_json(prepared(spark, sf_dir), list(CLICK_PAYLOAD_COLUMNS))
     ms = F.unix_millis("event_timestamp")
-    payload = F.to_json(F.struct(*[F.col(c) for c in CLICK_PAYLOAD_COLUMNS]))
     records = events.select(
-        F.when(ms % 97 == 0, F.lit("wrong")).otherwise(F.col("session_id")).alias("key"),
-        F.when(ms % 101 == 0, F.lit("{bad")).otherwise(payload).alias("value"),
+        F.when(ms % 97 == 0, F.lit("wrong")).otherwise(F.col("key")).alias("key"),
+        F.when(ms % 101 == 0, F.lit("{bad")).otherwise(F.col("value")).alias("value"),
         (F.substring_index("session_id", "-", 1).cast("bigint") % LOG_PARTITIONS).alias("_partition"),
         "event_timestamp",
         "source_event_id",

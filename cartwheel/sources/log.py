@@ -56,17 +56,32 @@ def default_partition(key: str | Column, partitions: int) -> Column:
     return F.pmod(F.xxhash64(key_col), F.lit(partitions)).cast("int")
 
 
+def next_offsets(spark: SparkSession, path: str) -> DataFrame | None:
+    """(partition, next offset) of an existing log table, or None when there is none.
+
+    A small aggregate (one row per log partition), used to continue the numbering.
+    """
+    try:
+        log = read_log(spark, path)
+        log.schema  # noqa: B018 - resolves the path
+    except Exception:  # AnalysisException: path does not exist / empty
+        return None
+    return log.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+
+
 def to_log_records(
     records: DataFrame,
     topic: str,
     partition: Column,
     order: list[str],
     timestamp: Column | None = None,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Give ``records`` (columns ``key``, ``value`` as string or binary) the log shape.
 
     Offsets are dense per partition, in ``order`` (columns of ``records``), as a
-    broker would assign them when the rows are sent in that order.
+    broker would assign them when the rows are sent in that order; ``start``
+    (partition, next_offset) continues an existing log.
     """
     staged = records.select(
         F.col("key").cast("binary").alias("key"),
@@ -77,7 +92,9 @@ def to_log_records(
         F.lit(0).alias("timestampType"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     )
-    ordered = assign_sequence(staged, "partition", [f"_o{i}" for i in range(len(order))], out="offset")
+    ordered = assign_sequence(
+        staged, "partition", [f"_o{i}" for i in range(len(order))], out="offset", start=start if start is not None else 0
+    )
     return ordered.select(*LOG_COLUMNS)
 
 
@@ -117,5 +134,6 @@ def publish(
         default_partition("key", partitions),
         order or ["key"],
         timestamp,
+        start=next_offsets(records.sparkSession, path),
     )
     log.write.mode("append").parquet(path)

@@ -35,7 +35,8 @@ def test_job_chain(spark, tmp_dir):
     out = job("inspect", "--layer", "bronze", "--path", f"{tmp_dir}/bronze")
     assert "missing_offsets" in out
     job("silver", "--family", "click", "--bronze", f"{tmp_dir}/bronze", "--out", f"{tmp_dir}/silver",
-        "--checkpoint", f"{tmp_dir}/ck/silver", "--available-now", "--state-partitions", "4")
+        "--checkpoint", f"{tmp_dir}/ck/silver", "--available-now", "--state-partitions", "4",
+        "--quarantine", f"{tmp_dir}/quarantine")
     out = job("gold", "--family", "click", "--silver", f"{tmp_dir}/silver", "--out", f"{tmp_dir}/gold")
     assert "view_to_cart_rate" in out
     funnel = spark.read.parquet(f"{tmp_dir}/gold/funnel").first()
@@ -47,5 +48,10 @@ def test_job_chain(spark, tmp_dir):
     assert funnel.total_events == prepared.select("source_event_id").distinct().count()
     assert funnel.total_sessions == prepared.select("session_id").distinct().count()
 
+    rejected = spark.read.parquet(f"{tmp_dir}/quarantine")
+    n_missing = spark.read.parquet(f"{tmp_dir}/prepared").filter(F.col("product_id").isNull()).count()
+    assert rejected.count() == n_missing > 0
+    assert {r.reasons[0] for r in rejected.select("reasons").collect()} == {"missing_product_id"}
+
     with pytest.raises(AssertionError):
         job("replay", "--prepared", f"{tmp_dir}/prepared", "--modulus", "0")

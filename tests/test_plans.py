@@ -41,3 +41,13 @@ def test_product_action_filter_reaches_the_scan(spark, tmp_dir):
 def test_sample_is_a_top_k(spark):
     plan = physical(inspection.prepared_sample(fixtures.prepared(spark, SF_SMALL)))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_gold_date_range_prunes_partitions(spark, tmp_dir):
+    from cartwheel.operators.gold import between_dates
+
+    fixtures.prepared(spark, SF_SMALL).write.partitionBy("event_date").parquet(f"{tmp_dir}/s")
+    df = between_dates(spark.read.parquet(f"{tmp_dir}/s"), "2024-01-05", "2024-01-06")
+    plan = physical(gold.build_funnel(df))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
+    assert df.select("event_date").distinct().count() == 2
