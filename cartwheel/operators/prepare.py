@@ -78,15 +78,17 @@ def prepare_events(
 
 
 def cluster_for_write(prepared: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (event_date, session_id) and sort inside each task.
-
-    Range partitioning on the pair splits a large day across many tasks (hashing on
-    the date alone would put a whole day into one task), keeps each session in one
-    contiguous run, and the partition column leads the sort so the writer's own
-    per-partition sort does not undo it. Without ``partitions`` the width is the
-    session's shuffle width, which adaptive execution may coalesce.
+    """Range-partition on (event_date, session_id, event_timestamp) and sort inside
+    each task.
+
+    Range partitioning splits a large day across many tasks (hashing on the date
+    alone would put a whole day into one task) and keeps each session in one
+    contiguous run; the time as last key lets a single huge session continue over
+    consecutive tasks instead of filling one. The partition column leads the sort so
+    the writer's own per-partition sort does not undo it. Without ``partitions`` the
+    width is the session's shuffle width, which adaptive execution may coalesce.
     """
-    keys = ("event_date", "session_id")
+    keys = ("event_date", "session_id", "event_timestamp")
     ranged = prepared.repartitionByRange(partitions, *keys) if partitions else prepared.repartitionByRange(*keys)
     return ranged.sortWithinPartitions("event_date", "session_id", "event_timestamp")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.events import session_bucket
+from cartwheel.operators.skew import time_chunks
 from cartwheel.schemas import CLICK_PAYLOAD_COLUMNS
 
 
@@ -58,12 +59,19 @@ def keyed_json(events: DataFrame, payload: list[str], key: str = "session_id") -
     )
 
 
-def replay_records(sample: DataFrame, partitions: int | None = None, cluster: bool = True) -> DataFrame:
+def replay_records(
+    sample: DataFrame,
+    partitions: int | None = None,
+    cluster: bool = True,
+    rows_per_chunk: int = 1_000_000,
+) -> DataFrame:
     """(key = session_id, value = JSON of the 10 payload columns).
 
-    Rows are clustered by session (a session lives in one task, so its order is
-    kept) and sorted by event time inside each task, so a consumer's watermark
-    advances with time rather than jumping to the newest event of the first session.
+    Rows are clustered by session: a session lives in one task, so its order is
+    kept — except a session of more than ``rows_per_chunk`` rows, which is cut into
+    contiguous time pieces (``operators/skew.py``) so it cannot fill one task. Inside
+    each task rows are sorted by event time, so a consumer's watermark advances with
+    time rather than jumping to the newest event of the first session.
     ``to_json`` omits null fields and writes timestamps to the millisecond.
 
     ``partitions`` is the number of sending tasks (not the topic's partition count;
@@ -72,7 +80,11 @@ def replay_records(sample: DataFrame, partitions: int | None = None, cluster: bo
     themselves (the log table assigns offsets with its own range partitioning).
     """
     if cluster:
-        clustered = sample.repartition(partitions, "session_id") if partitions else sample.repartition("session_id")
+        chunked = time_chunks(sample, "session_id", "event_timestamp", rows_per_chunk)
+        keys = ("session_id", "_chunk")
+        clustered = (
+            chunked.repartition(partitions, *keys) if partitions else chunked.repartition(*keys)
+        ).drop("_chunk")
         sample = clustered.sortWithinPartitions("event_timestamp", "session_id", "source_event_id")
     return (
         sample.select(

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.operators.joins import maybe_broadcast
+
 
 def assign_sequence(
     df: DataFrame,
@@ -54,13 +56,16 @@ def assign_sequence(
         "_slice", key, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base")
     )
     if isinstance(start, DataFrame):
-        stats = stats.join(F.broadcast(start.withColumnRenamed(start.columns[1], "_start")), key, "left")
+        # one row per key of an existing log: counted before it is broadcast
+        start = maybe_broadcast(start.withColumnRenamed(start.columns[1], "_start"))
+        stats = stats.join(start, key, "left")
         base = F.col("_base") + F.coalesce(F.col("_start"), F.lit(0))
     else:
         base = F.col("_base") + F.lit(int(start))
     stats = stats.select("_slice", key, "_first", base.alias("_base"))
-    # (slice, key) pairs are at most slices + distinct keys, whatever the data size.
-    joined = indexed.join(F.broadcast(stats), ["_slice", key])
+    # (slice, key) pairs are at most slices + distinct keys, whatever the data size;
+    # the count check still guards against a key of unexpectedly high cardinality.
+    joined = indexed.join(maybe_broadcast(stats), ["_slice", key])
     return joined.select(
         *[c for c in df.columns],
         (F.col("_base") + F.col("_pos") - F.col("_first")).cast("long").alias(out),

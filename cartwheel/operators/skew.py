@@ -1,0 +1,37 @@
+"""Splitting hot groups while keeping ordinary groups whole.
+
+A clustering on a key (a session for replay) puts a key that holds a third of all
+rows into one task. ``time_chunks`` gives every key a chunk number: 0 for ordinary
+keys, and for a key with more than ``rows_per_chunk`` rows a number that cuts its
+time span into roughly equal, contiguous pieces. Clustering on (key, chunk) then
+keeps ordinary keys in one task and spreads a hot key over several, each piece in
+time order.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cartwheel.operators.joins import maybe_broadcast
+
+
+def time_chunks(df: DataFrame, key: str, time_col: str, rows_per_chunk: int = 1_000_000, out: str = "_chunk") -> DataFrame:
+    """``df`` plus ``out``: 0 for keys with at most ``rows_per_chunk`` rows, else
+    ``floor((t - t_min) / (t_max - t_min + 1) * pieces)`` with
+    ``pieces = ceil(rows / rows_per_chunk)``.
+
+    Costs one partial aggregate per key; the hot-key table has at most
+    ``rows / rows_per_chunk`` rows and is counted before it is broadcast.
+    """
+    sizes = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min(F.unix_micros(F.col(time_col))).alias("_t0"),
+        F.max(F.unix_micros(F.col(time_col))).alias("_t1"),
+    )
+    hot = maybe_broadcast(sizes.filter(F.col("_rows") > rows_per_chunk))
+    joined = df.join(hot, key, "left")
+    pieces = F.ceil(F.col("_rows") / F.lit(rows_per_chunk))
+    offset = F.unix_micros(F.col(time_col)) - F.col("_t0")
+    chunk = F.floor(offset * pieces / (F.col("_t1") - F.col("_t0") + F.lit(1)))
+    return joined.select(*df.columns, F.coalesce(chunk, F.lit(0)).cast("long").alias(out))

@@ -112,3 +112,21 @@ def test_keyed_json_payload(spark):
     df = spark.createDataFrame([("s1", "a", None)], "session_id string, x string, y int")
     row = keyed_json(df, ["x", "y"]).first()
     assert row.key == "s1" and row.value == '{"x":"a"}'
+
+
+def test_hot_session_is_split_in_time_order_others_stay_whole(spark):
+    import datetime as dt
+
+    from cartwheel.operators.skew import time_chunks
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(seconds=i)) for i in range(1000)]
+    rows += [(f"s{i % 50}", base + dt.timedelta(seconds=i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "session_id string, event_timestamp timestamp")
+    out = time_chunks(df, "session_id", "event_timestamp", rows_per_chunk=100).collect()
+    normal = {r._chunk for r in out if r.session_id != "hot"}
+    assert normal == {0}
+    hot = sorted((r.event_timestamp, r._chunk) for r in out if r.session_id == "hot")
+    chunks = [c for _, c in hot]
+    assert chunks == sorted(chunks) and len(set(chunks)) == 10  # contiguous in time
+    assert max(chunks.count(c) for c in set(chunks)) <= 101
