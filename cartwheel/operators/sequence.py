@@ -27,11 +27,15 @@ def assign_sequence(
     out: str = "offset",
     slices: int | None = None,
     start: int | DataFrame = 0,
+    key_cardinality: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row among rows with the same ``key``
     ordered by ``order`` (ties broken arbitrarily), plus ``start``.
 
     ``start`` may be a DataFrame (key, next_offset) to continue an existing log.
+    ``key_cardinality`` declares how many keys exist (a log's partition count); the
+    per-(slice, key) table then has at most ``slices + key_cardinality`` rows and is
+    broadcast on that bound. Without it the table is counted first.
     """
     spark = df.sparkSession
     if slices is None:
@@ -55,17 +59,19 @@ def assign_sequence(
     stats = stats.select(
         "_slice", key, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base")
     )
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if key_cardinality is not None else maybe_broadcast(df)
+
     if isinstance(start, DataFrame):
-        # one row per key of an existing log: counted before it is broadcast
-        start = maybe_broadcast(start.withColumnRenamed(start.columns[1], "_start"))
+        # one row per key of an existing log
+        start = small(start.withColumnRenamed(start.columns[1], "_start"))
         stats = stats.join(start, key, "left")
         base = F.col("_base") + F.coalesce(F.col("_start"), F.lit(0))
     else:
         base = F.col("_base") + F.lit(int(start))
     stats = stats.select("_slice", key, "_first", base.alias("_base"))
-    # (slice, key) pairs are at most slices + distinct keys, whatever the data size;
-    # the count check still guards against a key of unexpectedly high cardinality.
-    joined = indexed.join(maybe_broadcast(stats), ["_slice", key])
+    # (slice, key) pairs are at most slices + distinct keys, whatever the data size
+    joined = indexed.join(small(stats), ["_slice", key])
     return joined.select(
         *[c for c in df.columns],
         (F.col("_base") + F.col("_pos") - F.col("_first")).cast("long").alias(out),

@@ -22,14 +22,18 @@ def time_chunks(df: DataFrame, key: str, time_col: str, rows_per_chunk: int = 1_
     ``pieces = ceil(rows / rows_per_chunk)``.
 
     Costs one partial aggregate per key; the hot-key table has at most
-    ``rows / rows_per_chunk`` rows and is counted before it is broadcast.
+    ``rows / rows_per_chunk`` rows. It is checkpointed once (tiny), so its size
+    check and the broadcast join read it instead of recomputing the aggregate.
     """
+    from cartwheel.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
     sizes = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.min(F.unix_micros(F.col(time_col))).alias("_t0"),
         F.max(F.unix_micros(F.col(time_col))).alias("_t1"),
     )
-    hot = maybe_broadcast(sizes.filter(F.col("_rows") > rows_per_chunk))
+    hot = maybe_broadcast(sizes.filter(F.col("_rows") > rows_per_chunk).checkpoint(eager=True))
     joined = df.join(hot, key, "left")
     pieces = F.ceil(F.col("_rows") / F.lit(rows_per_chunk))
     offset = F.unix_micros(F.col(time_col)) - F.col("_t0")

@@ -163,6 +163,7 @@ def retail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_partition"),
         ["_event_seq", "_copy"],
         timestamp=F.col("event_timestamp"),
+        partitions=LOG_PARTITIONS,
     )
 
 
@@ -189,4 +190,5 @@ def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_partition"),
         ["source_event_id"],
         timestamp=F.col("event_timestamp"),
+        partitions=LOG_PARTITIONS,
     )

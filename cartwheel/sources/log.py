@@ -76,12 +76,14 @@ def to_log_records(
     order: list[str],
     timestamp: Column | None = None,
     start: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Give ``records`` (columns ``key``, ``value`` as string or binary) the log shape.
 
     Offsets are dense per partition, in ``order`` (columns of ``records``), as a
     broker would assign them when the rows are sent in that order; ``start``
-    (partition, next_offset) continues an existing log.
+    (partition, next_offset) continues an existing log. ``partitions`` declares the
+    number of log partitions that ``partition`` can take.
     """
     staged = records.select(
         F.col("key").cast("binary").alias("key"),
@@ -93,7 +95,12 @@ def to_log_records(
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     )
     ordered = assign_sequence(
-        staged, "partition", [f"_o{i}" for i in range(len(order))], out="offset", start=start if start is not None else 0
+        staged,
+        "partition",
+        [f"_o{i}" for i in range(len(order))],
+        out="offset",
+        start=start if start is not None else 0,
+        key_cardinality=partitions,
     )
     return ordered.select(*LOG_COLUMNS)
 
@@ -135,5 +142,6 @@ def publish(
         order or ["key"],
         timestamp,
         start=next_offsets(records.sparkSession, path),
+        partitions=partitions,
     )
     log.write.mode("append").parquet(path)
