@@ -174,3 +174,25 @@ def test_replay_in_time_order_loses_nothing_across_micro_batches(spark, tmp_dir)
     by_session = kept(lambda r: (r[0], r[2]), "session")
     assert by_time == expected
     assert by_session < expected * 0.9
+
+
+def test_restart_from_checkpoint_is_exactly_once_and_keeps_state(spark, tmp_dir):
+    """Stop after the first run, add input, restart on the same checkpoint: nothing is
+    written twice, and an id seen before the restart is still a duplicate after it."""
+    folder, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/out-ckpt"
+    write_batches(folder, [[("s1", click_json("A", T(10))), ("s1", click_json("B", T(10)))]])
+
+    def run():
+        stream = spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(folder)
+        run_to_completion(silver_click(stream, dedup="exact"), out, ckpt)
+
+    run()
+    assert ids(spark.read.parquet(out)) == ["A", "B"]
+    # new input after the "crash": a repeat of A and a new id C
+    os.makedirs(folder, exist_ok=True)
+    extra = f"{tmp_dir}/extra"
+    write_batches(extra, [[("s1", click_json("A", T(10, 5))), ("s1", click_json("C", T(10, 5)))]])
+    os.rename(f"{extra}/batch-000.parquet", f"{folder}/batch-001.parquet")
+    run()
+    run()  # a restart with no new input writes nothing
+    assert ids(spark.read.parquet(out)) == ["A", "B", "C"]
