@@ -12,7 +12,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.session import scratch_path, use_utc
+from cartwheel.session import app_id, scratch_path, use_utc
 from cartwheel.sources import fixtures
 from cartwheel.sources.log import read_log, read_log_stream
 from cartwheel.streaming.bronze import run_bronze
@@ -23,7 +23,7 @@ _LOCK = threading.Lock()
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    return (app_id(spark), sf_dir.rstrip("/"), name)
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
@@ -43,7 +43,7 @@ def forget(spark: SparkSession | None = None) -> None:
         if spark is None:
             _BUILT.clear()
         else:
-            app = spark.sparkContext.applicationId
+            app = app_id(spark)
             for k in [k for k in _BUILT if k[0] == app]:
                 del _BUILT[k]
 

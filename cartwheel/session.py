@@ -58,20 +58,38 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions raise on sparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, stream checkpoints and derived tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a path every executor can reach).
     Only when the session has none (local tests) a private temporary folder is set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if sc is None:
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             current = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir()
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir()
     return current
 
 
