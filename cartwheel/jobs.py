@@ -4,6 +4,7 @@
     python -m cartwheel.jobs prepare  --browsing browsing.csv --catalog sku.csv --out prepared/
     python -m cartwheel.jobs replay   --prepared prepared/ --modulus 200 --remainder 0 \
                                       --log-format kafka --bootstrap-servers host:9092 --topic t
+    python -m cartwheel.jobs publish  --events retail/ --log-format kafka --bootstrap-servers host:9092
     python -m cartwheel.jobs bronze   --log-format kafka --bootstrap-servers host:9092 --topic t \
                                       --out bronze/ --checkpoint ck/bronze
     python -m cartwheel.jobs silver   --family click --bronze bronze/ --out silver/ --checkpoint ck/silver
@@ -86,6 +87,19 @@ def cmd_replay(spark, a) -> None:
         sample.unpersist()
 
 
+def cmd_publish(spark, a) -> None:
+    """A10: publish retail events (EVENT_SCHEMA columns) keyed by session as JSON."""
+    from cartwheel.operators.replay import keyed_json
+    from cartwheel.schemas import EVENT_SCHEMA
+    from cartwheel.sources.log import publish
+
+    events = spark.read.parquet(a.events)
+    records = keyed_json(events, EVENT_SCHEMA.fieldNames())
+    publish(records, fmt=a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers,
+            topic=a.topic or RETAIL_TOPIC, partitions=a.log_partitions,
+            order=["event_timestamp", "event_id"], timestamp=F.col("event_timestamp"))
+
+
 def cmd_bronze(spark, a) -> None:
     from cartwheel.sources.log import read_log_stream
     from cartwheel.streaming.bronze import run_bronze, start_bronze
@@ -206,6 +220,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--log-partitions", type=int, default=6, help="partitions of a log table")
     _log_args(p)
 
+    p = sub.add_parser("publish")
+    p.add_argument("--events", required=True, help="Parquet with the retail event columns")
+    p.add_argument("--log-partitions", type=int, default=6)
+    _log_args(p)
+
     p = sub.add_parser("bronze")
     _log_args(p)
     _stream_args(p)

@@ -26,10 +26,20 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
     return (app_id(spark), sf_dir.rstrip("/"), name)
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - lists the folder only
+        return True
+    except Exception:  # removed since it was built
+        return False
+
+
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     key = _key(spark, sf_dir, name)
     with _LOCK:
         path = _BUILT.get(key)
+    if path is not None and not _readable(spark, path):
+        path = None
     if path is None:
         path = build()
         with _LOCK:
