@@ -123,7 +123,11 @@ def cmd_silver(spark, a) -> None:
             spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
             .option("maxFilesPerTrigger", str(a.max_files_per_trigger)).load(a.bronze)
         )
-    silver = silver_click(bronze, dedup=a.dedup) if a.family == "click" else silver_retail(bronze, dedup=a.dedup)
+    delay = a.watermark or ("30 minutes" if a.family == "click" else "10 minutes")
+    if a.family == "click":
+        silver = silver_click(bronze, watermark=delay, dedup=a.dedup)
+    else:
+        silver = silver_retail(bronze, watermark=delay, dedup=a.dedup)
     if a.quarantine:
         # a second, stateless stream over the same Bronze: rejected rows with reasons
         from cartwheel.streaming.runner import run_to_completion, start_stream
@@ -235,6 +239,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bronze", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--dedup", choices=["watermark", "exact"], default="watermark")
+    p.add_argument("--watermark", default=None, help="event-time delay (default 30 minutes C, 10 minutes R)")
     p.add_argument("--state-partitions", type=int, default=None, help="fixed at first start")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     p.add_argument("--quarantine", default=None, help="also write rejected rows with reasons here")

@@ -2,7 +2,6 @@ import glob
 import os
 
 import pyarrow.parquet as pq
-from pyspark.sql import functions as F
 
 from cartwheel.functions.events import click_event_id, map_action
 from cartwheel.operators import profiling

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from cartwheel.operators.quality import contract_violations, journey_consistency, split_by_contract
 from pyspark.sql.types import StructField, StructType
