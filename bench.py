@@ -30,7 +30,7 @@ def main() -> None:
     from cartwheel.operators import gold, inspection, profiling, quality, replay
     from cartwheel.operators.prepare import prepare_events, write_prepared
     from cartwheel.plans.queries import FIXTURE_CATEGORIES, FIXTURE_ID_PATTERN
-    from cartwheel.schemas import BRONZE_SCHEMA
+    from cartwheel.schemas import BRONZE_SCHEMA, CLICK_TOPIC
     from cartwheel.session import build_session, scratch_path
     from cartwheel.sources import fixtures
     from cartwheel.sources.files import read_browsing_csv, read_catalog_csv
@@ -97,7 +97,7 @@ def main() -> None:
             "source_event_id",
         )
         path = fresh("log-click")
-        to_log_records(records, "coveo-retail-events", F.col("_p"), ["event_timestamp", "source_event_id"],
+        to_log_records(records, CLICK_TOPIC, F.col("_p"), ["event_timestamp", "source_event_id"],
                        F.col("event_timestamp"), partitions=6).write.parquet(path)
         state["log_click"] = path
 
@@ -135,7 +135,7 @@ def main() -> None:
         try:
             replay.replay_totals(sample).collect()
             replay.replay_type_counts(sample).collect()
-            to_log_records(replay.replay_records(sample, cluster=False), "coveo-retail-events",
+            to_log_records(replay.replay_records(sample, cluster=False), CLICK_TOPIC,
                            F.pmod(F.xxhash64("key"), F.lit(6)), ["event_timestamp", "source_event_id"],
                            F.col("event_timestamp"), partitions=6).write.parquet(fresh("replay"))
         finally:

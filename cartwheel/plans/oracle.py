@@ -148,7 +148,7 @@ click_log AS (
     CAST(CAST(split_part(session_id, '-', 1) AS BIGINT) % 6 AS INTEGER) AS kafka_partition,
     row_number() OVER (PARTITION BY CAST(split_part(session_id, '-', 1) AS BIGINT) % 6
                        ORDER BY source_event_id) - 1 AS kafka_offset,
-    'coveo-retail-events' AS kafka_topic,
+    'clickstream-events' AS kafka_topic,
     event_timestamp AS kafka_timestamp
   FROM prepared
 ),

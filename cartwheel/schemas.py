@@ -31,11 +31,13 @@ ACTION_TO_EVENT_TYPE = (
 )
 RETAIL_CATEGORIES = ("fragrance", "skincare", "handbag", "jewellery", "accessory")
 DEVICES = ("mobile", "desktop", "tablet")
-CLICK_SOURCE = "coveo_sigir_2021"
-RETAIL_TOPIC = "luxury-retail-events"
-CLICK_TOPIC = "coveo-retail-events"
+CLICK_SOURCE = "coveo_sigir_2021"  # source tag of the public clickstream dataset
 # ---------------------------------------------------------------------------------------
 
+# Default topic names (configuration; every job takes --topic).
+RETAIL_TOPIC = "retail-events"
+CLICK_TOPIC = "clickstream-events"
+
 # Retail (R) event as published by the producer.
 EVENT_SCHEMA = StructType(
     [
