@@ -22,8 +22,10 @@ from cartwheel.schemas import CLICK_SOURCE, DEVICES, EVENT_TYPES, RETAIL_CATEGOR
 
 Field = Callable[[str], Column]
 
-# Fixed value: the canonical textual UUID form (8-4-4-4-12 hex digits).
-UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+# Fixed value: the accepted textual UUID forms — 32 hex digits, the hyphenated
+# 8-4-4-4-12 form, and that form in braces or after "urn:uuid:".
+_UUID_HYPHENATED = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+UUID_PATTERN = rf"^(?:[0-9a-fA-F]{{32}}|(?:urn:uuid:)?{_UUID_HYPHENATED}|\{{{_UUID_HYPHENATED}\}})$"
 
 
 def retail_rules(f: Field, key: Column) -> list[tuple[str, Column]]:
@@ -63,8 +65,9 @@ def contract_rules(
 ) -> list[tuple[str, Column]]:
     """C11: the full retail event contract (stricter than Silver R).
 
-    A missing quantity takes the default 1 before the check; ids and names must be
-    non-empty; the category and device enums are parameters.
+    A missing quantity takes the default 1 before the check (a null and a missing
+    JSON field cannot be told apart in a column); ids and names must be non-empty;
+    a NaN price is rejected; the category and device enums are parameters.
     """
     def non_empty(name: str) -> Column:
         return f(name).isNotNull() & (F.length(f(name)) >= 1)
@@ -77,7 +80,8 @@ def contract_rules(
         ("empty_product_id", non_empty("product_id")),
         ("empty_product_name", non_empty("product_name")),
         ("bad_category", f("category").isin(*categories)),
-        ("bad_unit_price", f("unit_price") > 0),
+        # NaN sorts above every number in Spark, so "> 0" alone would accept it
+        ("bad_unit_price", (f("unit_price") > 0) & ~F.isnan(f("unit_price"))),
         ("bad_quantity", F.coalesce(f("quantity"), F.lit(1)) > 0),
         ("bad_country", F.length(f("country")) == 2),
         ("bad_device", f("device").isin(*devices)),

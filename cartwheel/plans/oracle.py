@@ -289,7 +289,7 @@ _CONTRACT_RULES = [
     ("empty_product_id", "product_id IS NOT NULL AND length(product_id) >= 1"),
     ("empty_product_name", "product_name IS NOT NULL AND length(product_name) >= 1"),
     ("bad_category", "category IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')"),
-    ("bad_unit_price", "unit_price > 0"),
+    ("bad_unit_price", "unit_price > 0 AND NOT isnan(unit_price)"),
     ("bad_quantity", "coalesce(quantity, 1) > 0"),
     ("bad_country", "length(country) = 2"),
     ("bad_device", "device IN ('mobile', 'desktop', 'tablet')"),

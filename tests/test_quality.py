@@ -66,3 +66,12 @@ def test_journey_rules(spark):
         "late_cart": "purchase_without_prior_cart",
         "mixed": "first_event_not_view,several_customers,several_countries,several_devices",
     }
+
+
+def test_uuid_forms_and_nan_price(spark):
+    forms = ["0B9D6C1E1D2F4F659A0B2F1C0D3E4A5B", "{0b9d6c1e-1d2f-4f65-9a0b-2f1c0d3e4a5b}",
+             "urn:uuid:0b9d6c1e-1d2f-4f65-9a0b-2f1c0d3e4a5b"]
+    df = events(spark, *[{"event_id": f} for f in forms], {"event_id": "0b9d6c1e-1d2f"},
+                {"unit_price": float("nan")})
+    out = {r.event_id: r.violations for r in contract_violations(df).collect()}
+    assert out == {"0b9d6c1e-1d2f": "bad_event_id", BASE["event_id"]: "bad_unit_price"}
