@@ -298,10 +298,98 @@ _CONTRACT_RULES = [
 _POS = "{'t': event_timestamp, 'i': event_id}"
 
 
+# ---- XXH64 (seed 42), for the session sample of the replay --------------------------
+# DuckDB has no xxhash64, so the standard XXH64 is spelled out for short inputs (the
+# adapter's session ids are under 32 bytes; longer input raises instead of mismatching).
+# 64-bit wrap-around arithmetic goes through 128-bit UHUGEINT modulo 2^64.
+# The five XXH64 primes.
+M = "CAST(18446744073709551616 AS UHUGEINT)"
+P1, P2, P3, P4, P5 = (11400714785074694791, 14029467366897019727, 1609587929392839161,
+                      9650029242287828579, 2870177450012600261)
+
+
+def u(x):
+    return f"CAST({x} AS UHUGEINT)"
+
+
+def mul(a, b):
+    return f"CAST(({u(a)} * {u(b)}) % {M} AS UBIGINT)"
+
+
+def add(a, b):
+    return f"CAST(({u(a)} + {u(b)}) % {M} AS UBIGINT)"
+
+
+def rotl(x, r):
+    return f"({mul(x, 2 ** r)} | (CAST({x} AS UBIGINT) >> {64 - r}))"
+
+
+def xor(a, b):
+    return f"xor(CAST({a} AS UBIGINT), CAST({b} AS UBIGINT))"
+
+
+def byte(s, pos_expr, j):
+    return f"CAST(ord(substr({s}, {pos_expr} + {j + 1}, 1)) AS UBIGINT)"
+
+
+def word(s, pos, nbytes):
+    return " + ".join(f"{byte(s, pos, j)} * {2 ** (8 * j)}" for j in range(nbytes))
+
+
+def xxh64_cte(source_sql: str, seed: int = 42) -> str:
+    """CTEs xx_in(s) -> xx_hash(s, h): XXH64 of short ASCII strings (< 32 bytes)."""
+    eight = add(mul(rotl(xor("h", mul(rotl(mul(f"({word('s', 'pos', 8)})", P2), 31), P1)), 27), P1), P4)
+    four = add(mul(rotl(xor("h", mul(f"({word('s', 'pos', 4)})", P1)), 23), P2), P3)
+    one = mul(rotl(xor("h", mul(byte("s", "pos", 0), P5)), 11), P1)
+    h1 = xor("h", "h >> 33")
+    h2 = mul(h1, P2)
+    h3 = xor(h2, f"{h2} >> 29")
+    h4 = mul(h3, P3)
+    h5 = xor(h4, f"{h4} >> 32")
+    return f"""
+xx_in AS ({source_sql}),
+xx_steps AS (
+  SELECT s, 0 AS pos,
+    CASE WHEN length(s) >= 32 THEN error('xxh64 oracle handles inputs under 32 bytes only')
+         ELSE {add(seed + P5, 'length(s)')} END AS h
+  FROM xx_in
+  UNION ALL
+  SELECT s,
+    pos + CASE WHEN length(s) - pos >= 8 THEN 8 WHEN length(s) - pos >= 4 THEN 4 ELSE 1 END,
+    CASE WHEN length(s) - pos >= 8 THEN {eight}
+         WHEN length(s) - pos >= 4 THEN {four}
+         ELSE {one} END
+  FROM xx_steps WHERE pos < length(s)
+),
+xx_hash AS (
+  SELECT s, CAST(CASE WHEN hu >= CAST(9223372036854775808 AS UBIGINT)
+                      THEN CAST(hu AS HUGEINT) - CAST(18446744073709551616 AS HUGEINT)
+                      ELSE CAST(hu AS HUGEINT) END AS BIGINT) AS h
+  FROM (SELECT s, {h5} AS hu FROM xx_steps WHERE pos = length(s)) t
+)"""
+
+
 def _value_counts(src: str, col: str) -> str:
     return f"SELECT {col}, count(*) AS count FROM {src} GROUP BY {col}"
 
 
+def _sampled(modulus: int, remainder: int) -> str:
+    """CTEs up to ``sample``: prepared events whose session bucket
+    pmod(xxhash64(session_id), modulus) equals ``remainder``."""
+    return (
+        "WITH RECURSIVE "
+        + ",".join(PREP)
+        + ","
+        + xxh64_cte("SELECT DISTINCT session_id AS s FROM prepared")
+        + f""",
+sample AS (
+  SELECT p.* FROM prepared p JOIN xx_hash x ON p.session_id = x.s
+  WHERE ((x.h % {modulus}) + {modulus}) % {modulus} = {remainder}
+)
+"""
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "gold_funnel": _with(*SILVER_C, _funnel_sql("silver_c")) + "SELECT * FROM funnel",
     "gold_category": _with(*SILVER_C, _CATEGORIES) + "SELECT * FROM categories",
@@ -397,6 +485,8 @@ FROM retail_parsed WHERE NOT ({_all(_RETAIL_RULES)})""",
     + f"""SELECT kafka_partition, kafka_offset, kafka_key, source_event_id, {_reasons(_CLICK_RULES)} AS reasons
 FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})""",
     "replay_all": _with(*PREP) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM prepared",
+    "replay_sample": _sampled(200, 0) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM sample",
+    "replay_summary": _sampled(200, 0) + _value_counts("sample", "event_type"),
     "replay_all_summary": _with(*PREP)
     + "SELECT count(*) AS events, count(DISTINCT session_id) AS sessions FROM prepared",
     "contract_violations": _with(_RETAIL)
