@@ -76,14 +76,16 @@ def profile_tables(browsing: DataFrame, rsd: float = 0.05) -> tuple[DataFrame, D
 
 
 def split_profile(pass_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    metrics = pass_df.filter(F.col("dim") == _GLOBAL).select(
-        F.col("count").alias("total_events"),
-        "approximate_sessions",
-        "approximate_products",
-        "minimum_timestamp_ms",
-        "maximum_timestamp_ms",
-        F.coalesce("events_without_product_action", F.lit(0)).alias("events_without_product_action"),
-        F.coalesce("events_without_product", F.lit(0)).alias("events_without_product"),
+    # A global aggregate over the (at most one) dim-0 row: always one row, like P1
+    # over the raw log — on an empty log 0 events and 0 estimates, null sums.
+    metrics = pass_df.filter(F.col("dim") == _GLOBAL).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total_events"),
+        F.coalesce(F.max("approximate_sessions"), F.lit(0)).alias("approximate_sessions"),
+        F.coalesce(F.max("approximate_products"), F.lit(0)).alias("approximate_products"),
+        F.max("minimum_timestamp_ms").alias("minimum_timestamp_ms"),
+        F.max("maximum_timestamp_ms").alias("maximum_timestamp_ms"),
+        F.max("events_without_product_action").alias("events_without_product_action"),
+        F.max("events_without_product").alias("events_without_product"),
     )
 
     def counts(dim: int, name: str) -> DataFrame:

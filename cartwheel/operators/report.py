@@ -60,7 +60,8 @@ def funnel_stages(funnel: DataFrame) -> DataFrame:
 def kpi_strip(funnel: DataFrame) -> DataFrame:
     """V3 + B28: four counts with thousands separators, three rates as 'x.xx%'."""
     def rate(c: str) -> F.Column:
-        return F.format_string("%.2f%%", F.col(c))
+        # an undefined rate stays null (format_string would print "null%")
+        return F.when(F.col(c).isNotNull(), F.format_string("%.2f%%", F.col(c)))
 
     return funnel.select(
         F.format_number(F.col("total_events"), 0).alias("events"),
