@@ -196,3 +196,17 @@ def test_restart_from_checkpoint_is_exactly_once_and_keeps_state(spark, tmp_dir)
     run()
     run()  # a restart with no new input writes nothing
     assert ids(spark.read.parquet(out)) == ["A", "B", "C"]
+
+
+def test_watermark_needs_timestamp_not_ntz(spark, tmp_dir):
+    """§2.8 point 5: the test tables carry timestamp_ntz, which a watermark refuses;
+    the adapters therefore produce ``timestamp`` event times."""
+    from pyspark.sql import functions as F
+
+    from cartwheel.sources import fixtures
+
+    src = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    with pytest.raises(Exception):
+        src.select(F.col("timestamp").cast("timestamp_ntz").alias("t")).withWatermark("t", "1 minute").dropDuplicates(["t"])
+    assert dict(fixtures.prepared(spark, "/root/testdata/sf0.001").dtypes)["event_timestamp"] == "timestamp"
+    assert dict(fixtures.retail(spark, "/root/testdata/sf0.001").dtypes)["event_timestamp"] == "timestamp"
