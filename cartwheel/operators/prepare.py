@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.events import click_event_id, epoch_ms_to_ts, map_action, utc_date
 from cartwheel.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, maybe_broadcast
 from cartwheel.schemas import CLICK_SOURCE, PREPARED_COLUMNS, PRODUCT_ACTIONS
+from cartwheel.session import checkpoint_root
 
 
 def dedup_catalog(catalog: DataFrame) -> DataFrame:
@@ -59,6 +60,11 @@ def prepare_events(
     ``max_broadcast_rows``; otherwise the planner picks a shuffled join.
     """
     products = dedup_catalog(catalog)
+    if broadcast_catalog == "auto":
+        # deduplicate once: the size check and the join both read the materialised
+        # catalogue (a reliable checkpoint in the shared folder), not the aggregate
+        checkpoint_root(catalog.sparkSession)
+        products = products.checkpoint(eager=True)
     products = maybe_broadcast(products, broadcast_catalog, max_broadcast_rows)
     enriched = product_events(browsing).join(products, on="product_sku_hash", how="left")
     event_ts = epoch_ms_to_ts("server_timestamp_epoch_ms")
