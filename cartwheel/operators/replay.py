@@ -86,11 +86,6 @@ def replay_records(
             chunked.repartition(partitions, *keys) if partitions else chunked.repartition(*keys)
         ).drop("_chunk")
         sample = clustered.sortWithinPartitions("event_timestamp", "session_id", "source_event_id")
-    return (
-        sample.select(
-            F.col("session_id").cast("string").alias("key"),
-            F.to_json(F.struct(*[F.col(c) for c in CLICK_PAYLOAD_COLUMNS])).alias("value"),
-            "event_timestamp",
-            "source_event_id",
-        )
+    return keyed_json(sample, list(CLICK_PAYLOAD_COLUMNS)).select(
+        "key", "value", "event_timestamp", "source_event_id"
     )
