@@ -76,7 +76,8 @@ def test_rounding_ties_match_the_oracle(spark):
     grid = spark.range(1, 121).select(F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(120))).alias("a"))
     ours = {(r.a, r.b): r.r for r in grid.select("a", "b", pct("a", "b").alias("r")).collect()}
     con = duckdb.connect()
-    sql = (f"SELECT a, b, {sql_pct('a', 'b')} AS r FROM range(0, 121) t(a), range(1, 121) u(b)")
+    pairs = "SELECT b, unnest(range(0, 121)) AS a FROM range(1, 121) u(b)"
+    sql = f"SELECT a, b, {sql_pct('a', 'b')} AS r FROM ({pairs}) g"
     theirs = {(a, b): r for a, b, r in con.execute(sql).fetchall()}
     assert ours == theirs
     # a half-way case rounds up, as Spark rounds the decimal text half-up
