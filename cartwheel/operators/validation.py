@@ -16,11 +16,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cartwheel.schemas import CLICK_SOURCE, DEVICES, EVENT_TYPES, RETAIL_CATEGORIES
 
 Field = Callable[[str], Column]
+CORRUPT = "_corrupt_record"
 
 # Fixed value: the accepted textual UUID forms — 32 hex digits, the hyphenated
 # 8-4-4-4-12 form, and that form in braces or after "urn:uuid:".
@@ -131,11 +132,27 @@ def parse_with_reasons(
     lineage: Sequence[str],
     rules_for: Callable[[Field, Column], list[tuple[str, Column]]],
 ) -> DataFrame:
-    """Every parsed row with ``reasons`` (empty = valid); a null struct is 'unparsable'.
+    """Every parsed row with ``reasons`` (empty = valid).
 
+    Null or empty text gives 'unparsable'. Text that did not parse cleanly (not an
+    object, broken JSON, or a field of the wrong type) is captured by the parser's
+    corrupt-record column and gets 'malformed_json' before the failed rules; a
+    partially parsed record that still passes every rule stays valid, as in Silver.
     Rejected rows keep their ``raw_json`` so a quarantine can be replayed later.
     """
-    parsed = bronze.select(*lineage, "raw_json", F.from_json("raw_json", schema).alias("event"))
+    with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
+    parsed = bronze.select(
+        *lineage,
+        "raw_json",
+        F.from_json("raw_json", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("event"),
+    )
     rules = rules_for(lambda n: F.col("event").getField(n), F.col("kafka_key"))
-    why = F.when(F.col("event").isNull(), F.array(F.lit("unparsable"))).otherwise(reasons(rules))
-    return parsed.select(*lineage, "raw_json", "event.*", why.alias("reasons"))
+    failed = reasons(rules)
+    malformed = F.col("event").getField(CORRUPT).isNotNull()
+    why = (
+        F.when(F.col("event").isNull(), F.array(F.lit("unparsable")))
+        .when(malformed & (F.size(failed) > 0), F.concat(F.array(F.lit("malformed_json")), failed))
+        .otherwise(failed)
+    )
+    fields = [F.col(f"event.{f.name}").alias(f.name) for f in schema.fields]
+    return parsed.select(*lineage, "raw_json", *fields, why.alias("reasons"))

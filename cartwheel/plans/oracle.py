@@ -135,7 +135,7 @@ retail_log AS (
   FROM retail_copies
 ),
 retail_parsed AS (
-  SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp,
+  SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp, malformed,
     {_nulled(_RETAIL_FIELDS)}
   FROM retail_log
 )"""
@@ -153,7 +153,7 @@ click_log AS (
   FROM prepared
 ),
 click_parsed AS (
-  SELECT kafka_key, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp,
+  SELECT kafka_key, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, malformed,
     {_nulled(_CLICK_FIELDS)}
   FROM click_log
 )"""
@@ -186,8 +186,10 @@ def _all(rules) -> str:
     return " AND ".join(f"coalesce({c}, false)" for _, c in rules)
 
 
-def _reasons(rules) -> str:
+def _reasons(rules, malformed: str | None = None) -> str:
     parts = ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in rules)
+    if malformed:
+        parts = f"CASE WHEN {malformed} THEN 'malformed_json' END, " + parts
     return f"concat_ws(',', {parts})"
 
 
@@ -479,10 +481,12 @@ FROM silver_c""",
     "silver_click_partitions": _with(*SILVER_C)
     + "SELECT kafka_partition, count(*) AS event_count FROM silver_c GROUP BY kafka_partition",
     "quarantine_retail": _with(*RLOG)
-    + f"""SELECT kafka_partition, kafka_offset, kafka_key, event_id, {_reasons(_RETAIL_RULES)} AS reasons
+    + f"""SELECT kafka_partition, kafka_offset, kafka_key, event_id,
+  {_reasons(_RETAIL_RULES, 'malformed')} AS reasons
 FROM retail_parsed WHERE NOT ({_all(_RETAIL_RULES)})""",
     "quarantine_click": _with(*CLOG)
-    + f"""SELECT kafka_partition, kafka_offset, kafka_key, source_event_id, {_reasons(_CLICK_RULES)} AS reasons
+    + f"""SELECT kafka_partition, kafka_offset, kafka_key, source_event_id,
+  {_reasons(_CLICK_RULES, 'malformed')} AS reasons
 FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})""",
     "replay_all": _with(*PREP) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM prepared",
     "replay_sample": _sampled(200, 0) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM sample",

@@ -38,7 +38,10 @@ def test_json_edge_rows(spark):
     assert out["offset"].event_date == dt.date(2023, 12, 31)
     why = {r.raw_json[:5]: r.reasons for r in quarantine_click(bronze(spark, rows)).collect()}
     assert why[""] == ["unparsable"]
-    assert "bad_source" in why["[1]"] and "bad_source" in why["{bad"]
+    for text in ("[1]", "null", "{bad"):
+        assert why[text][0] == "malformed_json" and "bad_source" in why[text]
+    assert why['{"sou'] == ["missing_product_id"]  # explicit null is well-formed JSON
+
 
 
 def empty(spark, schema):
