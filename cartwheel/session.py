@@ -42,6 +42,8 @@ def build_session(
         ),
         # commit only the changes of each micro-batch instead of a full snapshot
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # remove reliable-checkpoint files once their DataFrames are garbage-collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
