@@ -78,15 +78,17 @@ def app_id(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, stream checkpoints and derived tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a path every executor can reach).
-    Only when the session has none (local tests) a private temporary folder is set.
+    On a cluster this is ``spark.checkpoint.dir`` (a path every executor can reach);
+    without it a cluster session fails loudly. Only a ``local[...]`` session without
+    one (tests) gets a private temporary folder.
     """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            if sc is None:
+            if sc is None or not sc.master.startswith("local"):
+                # never a machine-local folder on a cluster: executors could not see it
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             current = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
         if sc is not None:
