@@ -189,6 +189,25 @@ def main() -> None:
             profile_csv(small_csv)
             small_t.append(time.perf_counter() - t0)
         smaller_profile = {"sf": smaller, "rows": small_rows, "sec": round(statistics.median(small_t), 3)}
+    # rows read by each step (counted after the timing, not timed)
+    def rows(path: str) -> int:
+        return spark.read.parquet(path).count()
+
+    prepared_rows = rows(state["prepared"])
+    rows_in = {
+        "profile": raw_rows,
+        "prepare": raw_rows,
+        "inspect_prepared": prepared_rows,
+        "log_click": prepared_rows,
+        "bronze_click": rows(state["log_click"]),
+        "silver_click": rows(state["bronze_click"]),
+        "gold_click": rows(state["silver_click"]),
+        "bronze_retail": rows(state["log_retail"]),
+        "silver_retail": rows(state["bronze_retail"]),
+        "gold_retail": rows(state["silver_retail"]),
+        "replay_sample": prepared_rows,
+        "quality": rows(state["retail"]) + rows(state["silver_retail"]),
+    }
     total = round(sum(queries.values()), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
@@ -196,6 +215,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": queries,
+        "rows_in": rows_in,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "events_rows": events_rows,
         "raw_browsing_rows": raw_rows,
