@@ -240,3 +240,30 @@ def test_kafka_branch_needs_the_connector(spark):
         assert "kafka" in str(exc).lower()
     else:  # connector present: the record shape is Kafka's
         assert {"key", "value", "topic", "partition", "offset", "timestamp"} <= set(df.columns)
+
+
+def test_processing_time_triggers_bronze_then_silver(spark, tmp_dir):
+    """H6/H8/H9: the production writers (processing-time triggers) chained through
+    the Bronze folder, drained with processAllAvailable and stopped."""
+    from cartwheel.plans import tables
+    from cartwheel.sources.log import read_log_stream
+    from cartwheel.streaming.bronze import start_bronze
+    from cartwheel.streaming.silver import start_silver
+
+    log = tables.log_path(spark, "/root/testdata/sf0.001", "click")
+    bronze_q = start_bronze(read_log_stream(spark, "parquet", log), f"{tmp_dir}/bronze", f"{tmp_dir}/ck-b",
+                            processing_time="1 second")
+    try:
+        bronze_q.processAllAvailable()
+        assert spark.read.parquet(f"{tmp_dir}/bronze").count() == spark.read.parquet(log).count()
+        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{tmp_dir}/bronze")
+        silver_q = start_silver(silver_click(stream), f"{tmp_dir}/silver", f"{tmp_dir}/ck-s",
+                                processing_time="1 second")
+        try:
+            silver_q.processAllAvailable()
+            expected = tables.silver_table(spark, "/root/testdata/sf0.001", "click").count()
+            assert spark.read.parquet(f"{tmp_dir}/silver").count() == expected
+        finally:
+            silver_q.stop()
+    finally:
+        bronze_q.stop()
