@@ -79,7 +79,9 @@ def cmd_replay(spark, a) -> None:
             raise ValueError("The sampling configuration selected no events")
         print(f"Selected {totals['events']} events from {totals['sessions']} complete sessions")
         replay.replay_type_counts(sample).show()
-        records = replay.replay_records(sample, a.tasks, cluster=a.log_format == "kafka")
+        records = replay.replay_records(
+            sample, a.tasks, cluster=a.log_format == "kafka", rows_per_chunk=a.rows_per_chunk
+        )
         publish(records, fmt=a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers,
                 topic=a.topic or CLICK_TOPIC, partitions=a.log_partitions,
                 order=["event_timestamp", "source_event_id"], timestamp=F.col("event_timestamp"))
@@ -222,6 +224,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--remainder", type=int, default=0)
     p.add_argument("--tasks", type=int, default=None, help="sending tasks (default: shuffle width)")
     p.add_argument("--log-partitions", type=int, default=6, help="partitions of a log table")
+    p.add_argument("--rows-per-chunk", type=int, default=1_000_000,
+                   help="sessions above this many rows are sent in time pieces by several tasks")
     _log_args(p)
 
     p = sub.add_parser("publish")
