@@ -36,6 +36,9 @@ def time_chunks(df: DataFrame, key: str, time_col: str, rows_per_chunk: int = 1_
     hot = maybe_broadcast(sizes.filter(F.col("_rows") > rows_per_chunk).checkpoint(eager=True))
     joined = df.join(hot, key, "left")
     pieces = F.ceil(F.col("_rows") / F.lit(rows_per_chunk))
-    offset = F.unix_micros(F.col(time_col)) - F.col("_t0")
-    chunk = F.floor(offset * pieces / (F.col("_t1") - F.col("_t0") + F.lit(1)))
+    offset = (F.unix_micros(F.col(time_col)) - F.col("_t0")).cast("double")
+    span = (F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double")
+    # floating point: microseconds x pieces could pass 2^63; the fraction is monotonic
+    # in time, so each piece stays a contiguous time range
+    chunk = F.least(F.floor(offset / span * pieces), pieces - F.lit(1))
     return joined.select(*df.columns, F.coalesce(chunk, F.lit(0)).cast("long").alias(out))
