@@ -122,10 +122,9 @@ def main() -> None:
         return run
 
     def gold_click():
-        s = spark.read.parquet(state["silver_click"])
-        gold.build_funnel(s).collect()
-        gold.build_category_metrics(s).collect()
-        gold.build_price_bucket_metrics(s).collect()
+        # the Gold job's path: the three tables from one scan of Silver
+        for table in gold.build_gold_tables(spark.read.parquet(state["silver_click"])):
+            table.collect()
 
     def gold_retail():
         s = spark.read.parquet(state["silver_retail"])

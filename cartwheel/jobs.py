@@ -154,8 +154,7 @@ def cmd_gold(spark, a) -> None:
 
     silver = gold.between_dates(spark.read.parquet(a.silver), a.date_from, a.date_to)
     if a.family == "click":
-        write_gold_tables(gold.build_funnel(silver), gold.build_category_metrics(silver),
-                          gold.build_price_bucket_metrics(silver), a.out)
+        write_gold_tables(*gold.build_gold_tables(silver), a.out)  # one scan of Silver
         for name in ("funnel", "categories", "price_buckets"):
             spark.read.parquet(f"{a.out}/{name}").show(10 if name == "categories" else 20, truncate=False)
     else:

@@ -63,8 +63,48 @@ def _session_and_product_level(events: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _on_level(level: int, value: Column) -> Column:
-    return F.when(F.col("level") == level, value)
+def _finish_funnel(levels: DataFrame, session_rows: Column, product_rows: Column) -> DataFrame:
+    """The one-row funnel from session-level and product-level rows."""
+    real = session_rows & F.col("session_id").isNotNull()
+
+    def on_sessions(c: str) -> Column:
+        return F.when(session_rows, F.col(c))
+
+    funnel = levels.agg(
+        F.coalesce(F.sum(on_sessions("n_events")), F.lit(0)).alias("total_events"),
+        F.count(F.when(real, F.lit(1))).alias("total_sessions"),
+        F.count(F.when(product_rows & F.col("product_id").isNotNull(), F.lit(1))).alias("total_products"),
+        F.count(F.when(real & (F.col("n_adds") > 0), F.lit(1))).alias("cart_sessions"),
+        F.count(F.when(real & (F.col("n_purchases") > 0), F.lit(1))).alias("purchase_sessions"),
+        F.sum(on_sessions("n_views")).alias("product_views"),
+        F.sum(on_sessions("n_adds")).alias("cart_additions"),
+        F.sum(on_sessions("n_removes")).alias("cart_removals"),
+        F.sum(on_sessions("n_purchases")).alias("purchases"),
+    )
+    return funnel.select(
+        "*",
+        pct("cart_sessions", "total_sessions").alias("view_to_cart_rate"),
+        pct("purchase_sessions", "total_sessions").alias("purchase_conversion_rate"),
+        pct("purchase_sessions", "cart_sessions").alias("cart_to_purchase_rate"),
+    )
+
+
+def _finish_categories(levels: DataFrame, session_rows: Column, product_rows: Column) -> DataFrame:
+    """Per category from (category, session) and (category, product) rows."""
+
+    def on_sessions(c: str) -> Column:
+        return F.when(session_rows, F.col(c))
+
+    per_category = levels.groupBy("category").agg(
+        F.count(F.when(session_rows & F.col("session_id").isNotNull(), F.lit(1))).alias("sessions"),
+        F.count(F.when(product_rows & F.col("product_id").isNotNull(), F.lit(1))).alias("products"),
+        F.sum(on_sessions("n_views")).alias("product_views"),
+        F.sum(on_sessions("n_adds")).alias("cart_additions"),
+        F.sum(on_sessions("n_purchases")).alias("purchases"),
+    )
+    return per_category.select(
+        "*", pct("purchases", "product_views").alias("purchase_per_view_rate")
+    ).orderBy(F.desc("purchases"), F.asc("category"))
 
 
 def build_funnel(events: DataFrame) -> DataFrame:
@@ -80,26 +120,7 @@ def build_funnel(events: DataFrame) -> DataFrame:
     empty input, like a SUM; the rates are null when their denominator is 0.
     """
     levels = _session_and_product_level(events.select("session_id", "product_id", "event_type"), [])
-    session_row = (F.col("level") == _SESSION_SET) & F.col("session_id").isNotNull()
-    funnel = levels.agg(
-        F.coalesce(F.sum(_on_level(_SESSION_SET, F.col("n_events"))), F.lit(0)).alias("total_events"),
-        F.count(F.when(session_row, F.lit(1))).alias("total_sessions"),
-        F.count(
-            F.when((F.col("level") == _PRODUCT_SET) & F.col("product_id").isNotNull(), F.lit(1))
-        ).alias("total_products"),
-        F.count(F.when(session_row & (F.col("n_adds") > 0), F.lit(1))).alias("cart_sessions"),
-        F.count(F.when(session_row & (F.col("n_purchases") > 0), F.lit(1))).alias("purchase_sessions"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_views"))).alias("product_views"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_adds"))).alias("cart_additions"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_removes"))).alias("cart_removals"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_purchases"))).alias("purchases"),
-    )
-    return funnel.select(
-        "*",
-        pct("cart_sessions", "total_sessions").alias("view_to_cart_rate"),
-        pct("purchase_sessions", "total_sessions").alias("purchase_conversion_rate"),
-        pct("purchase_sessions", "cart_sessions").alias("cart_to_purchase_rate"),
-    )
+    return _finish_funnel(levels, F.col("level") == _SESSION_SET, F.col("level") == _PRODUCT_SET)
 
 
 def build_category_metrics(events: DataFrame) -> DataFrame:
@@ -111,19 +132,7 @@ def build_category_metrics(events: DataFrame) -> DataFrame:
         "event_type",
     )
     levels = _session_and_product_level(keyed, ["category"])
-    session_level = F.col("level") == _SESSION_SET
-    per_category = levels.groupBy("category").agg(
-        F.count(F.when(session_level & F.col("session_id").isNotNull(), F.lit(1))).alias("sessions"),
-        F.count(
-            F.when((F.col("level") == _PRODUCT_SET) & F.col("product_id").isNotNull(), F.lit(1))
-        ).alias("products"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_views"))).alias("product_views"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_adds"))).alias("cart_additions"),
-        F.sum(_on_level(_SESSION_SET, F.col("n_purchases"))).alias("purchases"),
-    )
-    return per_category.select(
-        "*", pct("purchases", "product_views").alias("purchase_per_view_rate")
-    ).orderBy(F.desc("purchases"), F.asc("category"))
+    return _finish_categories(levels, F.col("level") == _SESSION_SET, F.col("level") == _PRODUCT_SET)
 
 
 def price_segment_order() -> Column:
@@ -152,6 +161,67 @@ def build_price_bucket_metrics(events: DataFrame) -> DataFrame:
     return per_segment.orderBy(price_segment_order(), F.asc("price_segment"))
 
 
+def build_gold_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G4, G5 and G6 from ONE scan of Silver: (funnel, categories, price_buckets).
+
+    One ``GROUPING SETS`` aggregate produces every first-level row the three tables
+    need — per session, per product, per (category, session), per (category,
+    product) and per (segment, session) — with partial aggregation before its single
+    shuffle. That result is materialised once (a reliable checkpoint in the shared
+    folder), and the three tables are small aggregates over it. Same rows as the
+    three builders; two fewer scans of Silver.
+    """
+    keyed = events.select(
+        F.coalesce(F.col("category_hash"), F.lit("unknown")).alias("category"),
+        F.coalesce(F.col("price_bucket").cast("string"), F.lit("unknown")).alias("price_segment"),
+        "session_id",
+        "product_id",
+        "event_type",
+    )
+    dims = ("category", "price_segment", "session_id", "product_id")
+
+    def set_id(*grouped: str) -> int:
+        # grouping_id: one bit per dimension, most significant first, 1 = not grouped
+        return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
+
+    sets = [
+        ("session_id",),
+        ("product_id",),
+        ("category", "session_id"),
+        ("category", "product_id"),
+        ("price_segment", "session_id"),
+    ]
+    levels = keyed.groupingSets([list(g) for g in sets], *dims).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum(_flag("product_view")).alias("n_views"),
+        F.sum(_flag("add_to_cart")).alias("n_adds"),
+        F.sum(_flag("remove_from_cart")).alias("n_removes"),
+        F.sum(_flag("purchase")).alias("n_purchases"),
+        F.grouping_id().alias("set_id"),
+    )
+    from cartwheel.session import checkpoint_root
+
+    checkpoint_root(events.sparkSession)
+    levels = levels.checkpoint(eager=True)
+    sid = F.col("set_id")
+    funnel = _finish_funnel(levels, sid == set_id(*sets[0]), sid == set_id(*sets[1]))
+    category_rows = levels.filter(sid.isin(set_id(*sets[2]), set_id(*sets[3])))
+    categories = _finish_categories(category_rows, sid == set_id(*sets[2]), sid == set_id(*sets[3]))
+    segment_rows = levels.filter(sid == set_id(*sets[4]))
+    price_buckets = (
+        segment_rows.groupBy("price_segment")
+        .agg(
+            F.sum("n_events").alias("events"),
+            F.count("session_id").alias("sessions"),
+            F.sum("n_views").alias("product_views"),
+            F.sum("n_adds").alias("cart_additions"),
+            F.sum("n_purchases").alias("purchases"),
+        )
+        .orderBy(price_segment_order(), F.asc("price_segment"))
+    )
+    return funnel, categories, price_buckets
+
+
 def build_funnel_metrics(events: DataFrame) -> DataFrame:
     """G1: one-row retail funnel with revenue.
 

@@ -111,12 +111,12 @@ def silver_table(spark: SparkSession, sf_dir: str, family: str, dedup: str = "wa
 def gold_path(spark: SparkSession, sf_dir: str) -> str:
     """Clickstream Gold tables written from Silver (A7), for the report queries."""
     def build() -> str:
-        from cartwheel.operators.gold import build_category_metrics, build_funnel, build_price_bucket_metrics
+        from cartwheel.operators.gold import build_gold_tables
         from cartwheel.operators.report import write_gold_tables
 
         silver = silver_table(spark, sf_dir, "click")
         out = scratch_path(spark, "gold", "click")
-        write_gold_tables(build_funnel(silver), build_category_metrics(silver), build_price_bucket_metrics(silver), out)
+        write_gold_tables(*build_gold_tables(silver), out)
         return out
 
     return _memo(spark, sf_dir, "gold/click", build)
