@@ -127,10 +127,8 @@ def main() -> None:
             table.collect()
 
     def gold_retail():
-        s = spark.read.parquet(state["silver_retail"])
-        gold.build_funnel_metrics(s).collect()
-        gold.build_product_metrics(s).collect()
-        gold.build_country_metrics(s).collect()
+        for table in gold.build_retail_gold_tables(spark.read.parquet(state["silver_retail"])):
+            table.collect()
 
     def replay_sample():
         p = spark.read.parquet(state["prepared"])

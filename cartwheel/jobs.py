@@ -158,11 +158,8 @@ def cmd_gold(spark, a) -> None:
         for name in ("funnel", "categories", "price_buckets"):
             spark.read.parquet(f"{a.out}/{name}").show(10 if name == "categories" else 20, truncate=False)
     else:
-        tables = {
-            "funnel_metrics": gold.build_funnel_metrics(silver),
-            "product_metrics": gold.build_product_metrics(silver),
-            "country_metrics": gold.build_country_metrics(silver),
-        }
+        funnel, products, countries = gold.build_retail_gold_tables(silver)  # one scan of Silver
+        tables = {"funnel_metrics": funnel, "product_metrics": products, "country_metrics": countries}
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(f"{a.out}/{name}")
             spark.read.parquet(f"{a.out}/{name}").show(truncate=False)

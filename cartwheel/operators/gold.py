@@ -281,3 +281,76 @@ def build_country_metrics(events: DataFrame) -> DataFrame:
         )
         .orderBy(F.desc("revenue"), F.asc("country"))
     )
+
+
+def build_retail_gold_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G1, G2 and G3 from ONE scan of Silver R: (funnel, products, countries).
+
+    First-level rows per session, per (product_id, product_name, category) and per
+    (country, session) from one ``GROUPING SETS`` aggregate, materialised once;
+    revenue is carried as an exact decimal and rounded only in the final tables.
+    """
+    dims = ("session_id", "product_id", "product_name", "category", "country")
+
+    def set_id(*grouped: str) -> int:
+        return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
+
+    sessions, products, countries = (
+        ("session_id",),
+        ("product_id", "product_name", "category"),
+        ("country", "session_id"),
+    )
+    purchase_value = F.when(is_type("purchase"), line_value()).otherwise(F.lit(0))
+    levels = events.select(*dims, "event_type", "unit_price", "quantity").groupingSets(
+        [list(sessions), list(products), list(countries)], *dims
+    ).agg(
+        F.sum(_flag("product_view")).alias("n_views"),
+        F.sum(_flag("add_to_cart")).alias("n_adds"),
+        F.sum(_flag("purchase")).alias("n_purchases"),
+        F.sum(purchase_value).alias("revenue_exact"),
+        F.grouping_id().alias("set_id"),
+    )
+    from cartwheel.session import checkpoint_root
+
+    checkpoint_root(events.sparkSession)
+    levels = levels.checkpoint(eager=True)
+    sid = F.col("set_id")
+
+    per_session = levels.filter(sid == set_id(*sessions))
+    real = F.col("session_id").isNotNull()
+    funnel = per_session.agg(
+        F.count(F.when(real, F.lit(1))).alias("total_sessions"),
+        F.count(F.when(real & (F.col("n_adds") > 0), F.lit(1))).alias("cart_sessions"),
+        F.count(F.when(real & (F.col("n_purchases") > 0), F.lit(1))).alias("purchase_sessions"),
+        F.round(F.sum("revenue_exact"), 2).cast("double").alias("total_revenue"),
+    ).select(
+        "total_sessions",
+        "cart_sessions",
+        "purchase_sessions",
+        pct("cart_sessions", "total_sessions").alias("view_to_cart_rate"),
+        pct("purchase_sessions", "total_sessions").alias("purchase_conversion_rate"),
+        "total_revenue",
+    )
+    product_keys = list(products)
+    product_table = (
+        levels.filter(sid == set_id(*products))
+        .select(
+            *product_keys,
+            F.col("n_views").alias("product_views"),
+            F.col("n_adds").alias("cart_additions"),
+            F.col("n_purchases").alias("purchases"),
+            F.round(F.col("revenue_exact"), 2).cast("double").alias("revenue"),
+        )
+        .orderBy(F.desc("revenue"), *[F.asc(k) for k in product_keys])
+    )
+    country_table = (
+        levels.filter(sid == set_id(*countries))
+        .groupBy("country")
+        .agg(
+            F.count("session_id").alias("sessions"),
+            F.sum("n_purchases").alias("purchases"),
+            F.round(F.sum("revenue_exact"), 2).cast("double").alias("revenue"),
+        )
+        .orderBy(F.desc("revenue"), F.asc("country"))
+    )
+    return funnel, product_table, country_table
