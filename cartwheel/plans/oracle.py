@@ -491,6 +491,7 @@ FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})""",
     "replay_all": _with(*PREP) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM prepared",
     "replay_sample": _sampled(200, 0) + f"SELECT session_id AS key, {', '.join(_CLICK_FIELDS)} FROM sample",
     "replay_summary": _sampled(200, 0) + _value_counts("sample", "event_type"),
+    "replay_payload": _with(*PREP) + f"SELECT session_id AS key, {_JSON_C} AS value FROM prepared",
     "replay_all_summary": _with(*PREP)
     + "SELECT count(*) AS events, count(DISTINCT session_id) AS sessions FROM prepared",
     "contract_violations": _with(_RETAIL)

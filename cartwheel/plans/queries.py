@@ -274,6 +274,12 @@ def replay_all(spark, sf_dir):
     return _payload_back(replay.replay_records(replay.sample_sessions(fixtures.prepared(spark, sf_dir), 1, 0)))
 
 
+def replay_payload(spark, sf_dir):
+    """B6 exactly: the (key, value) text of every replayed record, modulus 1."""
+    records = replay.replay_records(replay.sample_sessions(fixtures.prepared(spark, sf_dir), 1, 0))
+    return records.select("key", "value")
+
+
 def replay_all_summary(spark, sf_dir):
     """X3 totals with modulus 1."""
     return replay.replay_totals(fixtures.prepared(spark, sf_dir))
@@ -360,6 +366,7 @@ _ALL: dict[str, Query] = {
     "quarantine_retail": quarantine_retail,
     "quarantine_click": quarantine_click,
     "replay_all": replay_all,
+    "replay_payload": replay_payload,
     "replay_all_summary": replay_all_summary,
     "replay_sample": replay_sample,
     "replay_summary": replay_summary,
