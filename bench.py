@@ -67,11 +67,16 @@ def main() -> None:
     state["retail"] = fresh("retail-events")
     fixtures.retail(spark, sf_dir).repartition(int(cpus)).write.parquet(state["retail"])
 
+    def shown(df, n: int = 20):
+        # what the display jobs do: DataFrame.show(n) fetches n + 1 rows (a top-k)
+        return df.limit(n + 1).collect()
+
     def profile_csv(path: str) -> None:
+        # as the profile job: one persisted pass, three displayed tables
         one_pass = profiling.profile_pass(read_browsing_csv(spark, path)).persist()
         try:
             for table in profiling.split_profile(one_pass):
-                table.collect()
+                shown(table)
         finally:
             one_pass.unpersist()
 
@@ -85,10 +90,11 @@ def main() -> None:
         state["prepared"] = path
 
     def inspect_prepared():
+        # as the inspect job (prepared layer): three displayed tables
         p = spark.read.parquet(state["prepared"])
-        inspection.prepared_quality(p).collect()
-        inspection.prepared_type_counts(p).collect()
-        inspection.prepared_sample(p).collect()
+        shown(inspection.prepared_quality(p))
+        shown(inspection.prepared_type_counts(p))
+        shown(inspection.prepared_sample(p), 5)
 
     def click_log():
         p = spark.read.parquet(state["prepared"])
