@@ -124,3 +124,30 @@ def silver_click_metrics(silver: DataFrame) -> DataFrame:
 def silver_click_type_counts(silver: DataFrame) -> DataFrame:
     """I9."""
     return value_counts(silver, "event_type")
+
+
+def layer_reconciliation(log: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Records per layer in one row, and the duplicates Silver removed.
+
+    Every log record must reach Bronze; every Bronze record ends in Silver, in the
+    quarantine, or is a removed duplicate: duplicates_removed = bronze - silver -
+    quarantined. Each layer is one count (a partial aggregate); the counts are
+    combined by a conditional sum over four one-row results.
+    """
+    layers = (
+        log.agg(F.count(F.lit(1)).alias("n")).select(F.lit("log").alias("layer"), "n")
+        .unionByName(bronze.agg(F.count(F.lit(1)).alias("n")).select(F.lit("bronze").alias("layer"), "n"))
+        .unionByName(silver.agg(F.count(F.lit(1)).alias("n")).select(F.lit("silver").alias("layer"), "n"))
+        .unionByName(quarantine.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("layer"), "n"))
+    )
+
+    def of(name: str):
+        return F.sum(F.when(F.col("layer") == name, F.col("n")))
+
+    return layers.agg(
+        of("log").alias("log_records"),
+        of("bronze").alias("bronze_records"),
+        of("silver").alias("silver_records"),
+        of("quarantine").alias("quarantined_records"),
+        (of("bronze") - of("silver") - of("quarantine")).alias("duplicates_removed"),
+    )

@@ -480,6 +480,14 @@ FROM silver_c""",
     "silver_click_types": _with(*SILVER_C) + _value_counts("silver_c", "event_type"),
     "silver_click_partitions": _with(*SILVER_C)
     + "SELECT kafka_partition, count(*) AS event_count FROM silver_c GROUP BY kafka_partition",
+    "layer_counts": _with(*SILVER_C)
+    + f"""SELECT log_records, bronze_records, silver_records, quarantined_records,
+  bronze_records - silver_records - quarantined_records AS duplicates_removed
+FROM (SELECT
+  (SELECT count(*) FROM click_log) AS log_records,
+  (SELECT count(*) FROM click_log) AS bronze_records,
+  (SELECT count(*) FROM silver_c) AS silver_records,
+  (SELECT count(*) FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})) AS quarantined_records) t""",
     "quarantine_retail": _with(*RLOG)
     + f"""SELECT kafka_partition, kafka_offset, kafka_key, event_id,
   {_reasons(_RETAIL_RULES, 'malformed')} AS reasons

@@ -243,6 +243,16 @@ def silver_click_partitions(spark, sf_dir):
     return inspection.partition_offsets(s).select("kafka_partition", "event_count")
 
 
+def layer_counts(spark, sf_dir):
+    """I10 across layers (clickstream): log -> Bronze -> Silver + quarantine + duplicates."""
+    from cartwheel.streaming.silver import quarantine_click as q
+
+    bronze = tables.bronze_table(spark, sf_dir, "click")
+    return inspection.layer_reconciliation(
+        tables.log_table(spark, sf_dir, "click"), bronze, tables.silver_table(spark, sf_dir, "click"), q(bronze)
+    )
+
+
 def quarantine_retail(spark, sf_dir):
     """Rejected retail rows with reasons, by log position."""
     from cartwheel.streaming.silver import quarantine_retail as q
@@ -363,6 +373,7 @@ _ALL: dict[str, Query] = {
     "silver_click_metrics": silver_click_metrics,
     "silver_click_types": silver_click_types,
     "silver_click_partitions": silver_click_partitions,
+    "layer_counts": layer_counts,
     "quarantine_retail": quarantine_retail,
     "quarantine_click": quarantine_click,
     "replay_all": replay_all,
