@@ -488,6 +488,14 @@ FROM (SELECT
   (SELECT count(*) FROM click_log) AS bronze_records,
   (SELECT count(*) FROM silver_c) AS silver_records,
   (SELECT count(*) FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})) AS quarantined_records) t""",
+    "layer_counts_retail": _with(*SILVER_R)
+    + f"""SELECT log_records, bronze_records, silver_records, quarantined_records,
+  bronze_records - silver_records - quarantined_records AS duplicates_removed
+FROM (SELECT
+  (SELECT count(*) FROM retail_log) AS log_records,
+  (SELECT count(*) FROM retail_log) AS bronze_records,
+  (SELECT count(*) FROM silver_r) AS silver_records,
+  (SELECT count(*) FROM retail_parsed WHERE NOT ({_all(_RETAIL_RULES)})) AS quarantined_records) t""",
     "quarantine_retail": _with(*RLOG)
     + f"""SELECT kafka_partition, kafka_offset, kafka_key, event_id,
   {_reasons(_RETAIL_RULES, 'malformed')} AS reasons

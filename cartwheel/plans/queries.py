@@ -253,6 +253,16 @@ def layer_counts(spark, sf_dir):
     )
 
 
+def layer_counts_retail(spark, sf_dir):
+    """I10 across layers (retail): log -> Bronze -> Silver + quarantine + duplicates."""
+    from cartwheel.streaming.silver import quarantine_retail as q
+
+    bronze = tables.bronze_table(spark, sf_dir, "retail")
+    return inspection.layer_reconciliation(
+        tables.log_table(spark, sf_dir, "retail"), bronze, tables.silver_table(spark, sf_dir, "retail"), q(bronze)
+    )
+
+
 def quarantine_retail(spark, sf_dir):
     """Rejected retail rows with reasons, by log position."""
     from cartwheel.streaming.silver import quarantine_retail as q
@@ -374,6 +384,7 @@ _ALL: dict[str, Query] = {
     "silver_click_types": silver_click_types,
     "silver_click_partitions": silver_click_partitions,
     "layer_counts": layer_counts,
+    "layer_counts_retail": layer_counts_retail,
     "quarantine_retail": quarantine_retail,
     "quarantine_click": quarantine_click,
     "replay_all": replay_all,
