@@ -39,6 +39,10 @@ def test_job_chain(spark, tmp_dir):
         "--quarantine", f"{tmp_dir}/quarantine")
     out = job("gold", "--family", "click", "--silver", f"{tmp_dir}/silver", "--out", f"{tmp_dir}/gold")
     assert "view_to_cart_rate" in out
+    out = job("inspect", "--layer", "prepared", "--path", f"{tmp_dir}/prepared")
+    assert "approximate_unique_events" in out and "source_event_id" in out
+    out = job("inspect", "--layer", "silver-click", "--path", f"{tmp_dir}/silver")
+    assert "missing_price_buckets" in out and "first_offset" in out
     funnel = spark.read.parquet(f"{tmp_dir}/gold/funnel").first()
     # no wrong keys or malformed values in this replay: every prepared event with a
     # product is valid, and the exact duplicates collapse
