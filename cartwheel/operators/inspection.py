@@ -91,15 +91,32 @@ def offset_gaps(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_retail_metrics(silver: DataFrame) -> DataFrame:
-    """I6."""
-    return silver.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("event_id").alias("unique_events"),
-        F.count_distinct("session_id").alias("unique_sessions"),
+def _events_and_sessions(silver: DataFrame, id_col: str, flags: dict[str, F.Column]) -> DataFrame:
+    """Totals with distinct ids and sessions in two levels: one row per id and per
+    session from a single GROUPING SETS aggregate (each row expanded twice, partial
+    aggregation before the shuffle), then one global aggregate. Null ids / sessions
+    are counted as events but not as distinct values, as ``count(DISTINCT)`` does."""
+    levels = silver.select(id_col, "session_id", *[c.alias(n) for n, c in flags.items()]).groupingSets(
+        [[id_col], ["session_id"]], id_col, "session_id"
+    ).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(n).alias(n) for n in flags],
+        F.grouping("session_id").alias("_by_id"),
+    )
+    by_id = F.col("_by_id") == 1
+    return levels.agg(
+        F.coalesce(F.sum(F.when(by_id, F.col("_n"))), F.lit(0)).alias("total_events"),
+        F.count(F.when(by_id & F.col(id_col).isNotNull(), F.lit(1))).alias("unique_events"),
+        F.count(F.when(~by_id & F.col("session_id").isNotNull(), F.lit(1))).alias("unique_sessions"),
+        *[F.sum(F.when(by_id, F.col(n))).alias(n) for n in flags],
     )
 
 
+def silver_retail_metrics(silver: DataFrame) -> DataFrame:
+    """total_events, unique_events, unique_sessions."""
+    return _events_and_sessions(silver, "event_id", {})
+
+
 def silver_type_counts_by_type(silver: DataFrame) -> DataFrame:
     """I7 (first part): rows per event type, ordered by type."""
     return silver.groupBy("event_type").agg(F.count(F.lit(1)).alias("count")).orderBy("event_type")
@@ -111,13 +128,14 @@ def silver_country_counts(silver: DataFrame) -> DataFrame:
 
 
 def silver_click_metrics(silver: DataFrame) -> DataFrame:
-    """I8."""
-    return silver.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("source_event_id").alias("unique_events"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        null_count("category_hash").alias("missing_categories"),
-        null_count("price_bucket").alias("missing_price_buckets"),
+    """I8: totals, distinct ids and sessions, missing categories and buckets."""
+    return _events_and_sessions(
+        silver,
+        "source_event_id",
+        {
+            "missing_categories": F.when(F.col("category_hash").isNull(), 1).otherwise(0),
+            "missing_price_buckets": F.when(F.col("price_bucket").isNull(), 1).otherwise(0),
+        },
     )
 
 

@@ -85,3 +85,19 @@ def test_rounding_ties_match_the_oracle(spark):
     assert ours == theirs
     # a half-way case rounds up, as Spark rounds the decimal text half-up
     assert ours[(1, 32)] == 3.13
+
+
+def test_two_level_silver_metrics_equal_direct_form(spark):
+    from cartwheel.plans import tables
+
+    for fam, fn, idc in (("click", inspection.silver_click_metrics, "source_event_id"),
+                         ("retail", inspection.silver_retail_metrics, "event_id")):
+        s = tables.silver_table(spark, "/root/testdata/sf0.01", fam)
+        s = s.unionByName(s.limit(50).withColumn(idc, F.lit(None)).withColumn("session_id", F.lit(None)))
+        got = fn(s).first().asDict()
+        want = s.agg(F.count("*").alias("total_events"), F.count_distinct(idc).alias("unique_events"),
+                     F.count_distinct("session_id").alias("unique_sessions")).first().asDict()
+        assert {k: got[k] for k in want} == want
+    e = empty(spark, CLICK_EVENT_SCHEMA)
+    row = inspection.silver_click_metrics(e).first()
+    assert row.total_events == 0 and row.unique_events == 0 and row.missing_categories is None
