@@ -92,8 +92,12 @@ def main() -> None:
     def inspect_prepared():
         # as the inspect job (prepared layer): three displayed tables
         p = spark.read.parquet(state["prepared"])
-        shown(inspection.prepared_quality(p))
-        shown(inspection.prepared_type_counts(p))
+        one_pass = inspection.prepared_pass(p).persist()
+        try:
+            for table in inspection.split_prepared(one_pass):
+                shown(table)
+        finally:
+            one_pass.unpersist()
         shown(inspection.prepared_sample(p), 5)
 
     def click_log():

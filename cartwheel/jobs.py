@@ -171,8 +171,13 @@ def cmd_inspect(spark, a) -> None:
     df = spark.read.parquet(a.path)
     df.printSchema()
     if a.layer == "prepared":
-        inspection.prepared_quality(df).show(truncate=False)
-        inspection.prepared_type_counts(df).show(truncate=False)
+        one_pass = inspection.prepared_pass(df).persist()  # I1 and I2 from one scan
+        try:
+            quality, types = inspection.split_prepared(one_pass)
+            quality.show(truncate=False)
+            types.show(truncate=False)
+        finally:
+            one_pass.unpersist()
         inspection.prepared_sample(df).show(5, truncate=20)
     elif a.layer == "bronze":
         inspection.bronze_metrics(df).show()

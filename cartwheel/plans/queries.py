@@ -132,8 +132,8 @@ def profile_actions(spark, sf_dir):
 
 # ---- Inspect prepared ----------------------------------------------------------------
 def inspect_prepared(spark, sf_dir):
-    """I1 (exact columns; estimates checked in profile_raw)."""
-    q = inspection.prepared_quality(fixtures.prepared(spark, sf_dir))
+    """I1 (exact columns; estimates checked in profile_raw), from the one-scan pass."""
+    q = inspection.split_prepared(inspection.prepared_pass(fixtures.prepared(spark, sf_dir)))[0]
     return _ntz(
         q.select("total_events", "first_event", "last_event", "events_without_category", "events_without_price_bucket"),
         "first_event",
@@ -142,8 +142,8 @@ def inspect_prepared(spark, sf_dir):
 
 
 def inspect_prepared_types(spark, sf_dir):
-    """I2."""
-    return inspection.prepared_type_counts(fixtures.prepared(spark, sf_dir))
+    """I2, from the one-scan pass."""
+    return inspection.split_prepared(inspection.prepared_pass(fixtures.prepared(spark, sf_dir)))[1]
 
 
 def inspect_prepared_sample(spark, sf_dir):
