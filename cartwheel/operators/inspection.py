@@ -32,52 +32,6 @@ def prepared_quality(events: DataFrame, rsd: float = 0.05) -> DataFrame:
     )
 
 
-def prepared_pass(events: DataFrame, rsd: float = 0.05) -> DataFrame:
-    """I1 and I2 from ONE scan: each row is emitted for the global dimension (0) and
-    its event type (1) inside the scan stage; the global metrics are fed only by
-    dimension-0 rows; one partial aggregate keyed by (dim, value) before the shuffle."""
-    dims = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("dim"), F.lit(None).cast("string").alias("value")),
-            F.struct(F.lit(1).alias("dim"), F.col("event_type").alias("value")),
-        )
-    )
-    cols = ["source_event_id", "session_id", "event_timestamp", "category_hash", "price_bucket"]
-    rows = events.select(*cols, dims.alias("d")).select("d.dim", "d.value", *cols)
-
-    def on_global(c):
-        return F.when(F.col("dim") == 0, c)
-
-    return rows.groupBy("dim", "value").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.approx_count_distinct(on_global(F.col("source_event_id")), rsd).alias("approximate_unique_events"),
-        F.approx_count_distinct(on_global(F.col("session_id")), rsd).alias("approximate_sessions"),
-        F.min(on_global(F.col("event_timestamp"))).alias("first_event"),
-        F.max(on_global(F.col("event_timestamp"))).alias("last_event"),
-        F.sum(on_global(F.when(F.col("category_hash").isNull(), 1).otherwise(0))).alias("events_without_category"),
-        F.sum(on_global(F.when(F.col("price_bucket").isNull(), 1).otherwise(0))).alias("events_without_price_bucket"),
-    )
-
-
-def split_prepared(pass_df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(I1, I2) from ``prepared_pass``; I1 is always one row (0 events when empty)."""
-    quality = pass_df.filter(F.col("dim") == 0).agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("total_events"),
-        F.coalesce(F.max("approximate_unique_events"), F.lit(0)).alias("approximate_unique_events"),
-        F.coalesce(F.max("approximate_sessions"), F.lit(0)).alias("approximate_sessions"),
-        F.max("first_event").alias("first_event"),
-        F.max("last_event").alias("last_event"),
-        F.max("events_without_category").alias("events_without_category"),
-        F.max("events_without_price_bucket").alias("events_without_price_bucket"),
-    )
-    types = (
-        pass_df.filter(F.col("dim") == 1)
-        .select(F.col("value").alias("event_type"), "count")
-        .orderBy(F.desc("count"), F.asc_nulls_first("event_type"))
-    )
-    return quality, types
-
-
 def prepared_type_counts(events: DataFrame) -> DataFrame:
     """I2."""
     return value_counts(events, "event_type")

@@ -101,15 +101,3 @@ def test_two_level_silver_metrics_equal_direct_form(spark):
     e = empty(spark, CLICK_EVENT_SCHEMA)
     row = inspection.silver_click_metrics(e).first()
     assert row.total_events == 0 and row.unique_events == 0 and row.missing_categories is None
-
-
-def test_prepared_pass_equals_direct_form(spark):
-    from cartwheel.sources import fixtures
-
-    p = fixtures.prepared(spark, "/root/testdata/sf0.01")
-    q1, t1 = inspection.split_prepared(inspection.prepared_pass(p))
-    assert q1.first().asDict() == inspection.prepared_quality(p).first().asDict()
-    assert [tuple(r) for r in t1.collect()] == [tuple(r) for r in inspection.prepared_type_counts(p).collect()]
-    e = empty(spark, CLICK_EVENT_SCHEMA).withColumn("event_date", F.lit(None).cast("date"))
-    assert (inspection.split_prepared(inspection.prepared_pass(e))[0].first().asDict()
-            == inspection.prepared_quality(e).first().asDict())
