@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +44,23 @@ def word_count(text: Column) -> Column:
     """Number of words, null counted as 0, without building the words."""
     # a word starts at each non-blank that follows a blank or the start of the text
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with this package on the path of local Python workers.
+
+    On a cluster the package is installed or sent with ``--py-files``; a local session
+    started from another folder would not find it.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sc = spark.sparkContext
+        if sc.master.startswith("local"):
+            paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+            if root not in paths:
+                sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
+        return query(spark, sf_dir)
+
+    return run

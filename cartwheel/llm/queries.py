@@ -6,12 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.llm.common import with_package
+from cartwheel.llm.encoding import op6_sentencepiece
+from cartwheel.llm.language import op8_language_id
+from cartwheel.llm.mixing import op3_mix_sources
 from cartwheel.llm.quality import op5_quality_rules
 from cartwheel.llm.sharding import op9_sharding
+from cartwheel.llm.token_counts import op4_token_counts
+from cartwheel.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_quality_rules": op5_quality_rules,
-    "op9_sharding": op9_sharding,
+    query.__name__: with_package(query) for query in (
+        op1_toxicity,
+        op3_mix_sources,
+        op4_token_counts,
+        op5_quality_rules,
+        op6_sentencepiece,
+        op8_language_id,
+        op9_sharding,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
