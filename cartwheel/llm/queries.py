@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.llm.binary import op2_binary_output
 from cartwheel.llm.common import with_package
 from cartwheel.llm.encoding import op6_sentencepiece
 from cartwheel.llm.language import op8_language_id
@@ -18,6 +19,7 @@ from cartwheel.llm.toxicity import op1_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: with_package(query) for query in (
         op1_toxicity,
+        op2_binary_output,
         op3_mix_sources,
         op4_token_counts,
         op5_quality_rules,
