@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartwheel.llm.binary import op2_binary_output
 from cartwheel.llm.common import with_package
 from cartwheel.llm.encoding import op6_sentencepiece
+from cartwheel.llm.imatch import op7_fingerprints
 from cartwheel.llm.language import op8_language_id
 from cartwheel.llm.mixing import op3_mix_sources
 from cartwheel.llm.quality import op5_quality_rules
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_token_counts,
         op5_quality_rules,
         op6_sentencepiece,
+        op7_fingerprints,
         op8_language_id,
         op9_sharding,
     )
