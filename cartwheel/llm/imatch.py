@@ -25,6 +25,7 @@ import bisect
 import hashlib
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,20 +49,20 @@ RUN_BYTES, MIN_RUNS = 16 << 20, 64
 TERMS = re.compile(r"[^\W\d_]+")
 
 
-def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> list[str]:
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[str, ...]:
     """Terms within the band, sorted. Counts combine before the shuffle."""
     n = docs.count()
     terms = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
     counts = (docs.where("text is not null").select(F.explode(terms).alias("term"))
               .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     band = counts.where((F.col("df") >= max(1.0, low * n)) & (F.col("df") <= max(1.0, high * n)) & (F.col("term") != ""))
-    return sorted(r["term"] for r in band.select("term").collect())  # bounded, see above
+    return tuple(sorted(r["term"] for r in band.select("term").collect()))  # bounded, see above
 
 
 class Fingerprinter:
     """Fingerprints against one lexicon."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: tuple[str, ...]):
         self.number = {t: i for i, t in enumerate(terms)}
         rates = np.repeat(np.array(RATES, dtype=np.uint64), EACH)
         self.member = np.zeros((len(terms), SUBSETS), dtype=np.uint64)
@@ -85,6 +86,12 @@ class Fingerprinter:
         return found.astype(">u2").tobytes().hex() if found.any() else "t" + xxhash.xxh3_128_hexdigest(text.encode())
 
 
+@lru_cache(maxsize=2)
+def fingerprinter(terms: tuple[str, ...]) -> Fingerprinter:
+    """One per Python worker and lexicon, whatever the number of tasks."""
+    return Fingerprinter(terms)
+
+
 def likeness(a: str, b: str) -> float:
     """Share of equal hashes, about the share that the texts' terms have in common.
 
@@ -102,14 +109,14 @@ def likeness(a: str, b: str) -> float:
     return float(((x == y) & either)[:used].sum() / either[:used].sum())
 
 
-def fingerprints(docs: DataFrame, terms: list[str], into: str = "fingerprint") -> DataFrame:
+def fingerprints(docs: DataFrame, terms: tuple[str, ...], into: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of the column ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
     at = docs.columns.index("text")
     schema = docs.select("*", F.lit("").alias(into)).schema
 
     def run(batches):
-        maker = Fingerprinter(shared.value)
+        maker = fingerprinter(shared.value)
         for b in batches:
             found = [maker.fingerprint(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.string())], names=[*b.schema.names, into])
@@ -221,7 +228,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(lexicon(docs))
 
     def each():
-        maker = Fingerprinter(shared.value)
+        maker = fingerprinter(shared.value)
 
         def make(doc_id, text):
             return doc_id, text, maker.fingerprint(text)

@@ -12,6 +12,7 @@ from cartwheel.llm.encoding import op6_sentencepiece
 from cartwheel.llm.imatch import op7_fingerprints
 from cartwheel.llm.language import op8_language_id
 from cartwheel.llm.mixing import op3_mix_sources
+from cartwheel.llm.near_dup import op10_near_dedup
 from cartwheel.llm.quality import op5_quality_rules
 from cartwheel.llm.sharding import op9_sharding
 from cartwheel.llm.token_counts import op4_token_counts
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_fingerprints,
         op8_language_id,
         op9_sharding,
+        op10_near_dedup,
     )
 }
 
