@@ -260,9 +260,14 @@ def mixed_documents(docs: DataFrame, seed: int = 20_240_601) -> DataFrame:
         F.col("doc_id").alias("__id"), F.col("mark").alias("__m"), "copy", "turn",
         F.when(F.col("taken") < F.col("size"), F.col("runs")).alias("__runs"))
     # the rows of one document travel once: its passes are gathered first (3 at most a copy)
-    gathered = passes.groupBy("__id", "__m").agg(F.collect_list(F.struct("copy", "turn", "__runs")).alias("__passes"))
-    marked = docs.withColumn("__mark", mark).dropDuplicates(["doc_id", "__mark"])
-    joined = marked.join(gathered, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__m")))
+    gathered = passes.groupBy("__id", "__m").agg(
+        F.collect_list(F.struct("copy", "turn", "__runs")).alias("__passes"),
+        F.max("copy").alias("__copies"))
+    joined = docs.withColumn("__mark", mark).join(
+        gathered, (F.col("__mark") == F.col("__m")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    # of rows that are equal in all columns one is taken, with the passes over all of them
+    alone, equal = joined.where("__copies = 0"), joined.where("__copies > 0")
+    joined = alone.unionByName(equal.dropDuplicates(["__mark", "doc_id"]))
     rows = joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("__passes").alias("__pass"))
     rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__pass.__runs").alias("__runs"))
     at = docs.columns.index("text")

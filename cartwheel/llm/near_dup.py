@@ -357,7 +357,7 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, limit: int = REGION) -> DataFrame:
-    """doc_id, n_shingles, class and component_id of every document."""
+    """doc_id, n_shingles, class, component (of classes) and component_id of every document."""
     rows = written(prints(docs), "prints")
     classes = written(
         rows.where("class is not null").groupBy("class").agg(
@@ -399,13 +399,46 @@ def near_duplicates(docs: DataFrame, limit: int = REGION) -> DataFrame:
     named = classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "doc_id", F.coalesce("component", "class").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    answer = named.join(least, "component").select(F.col("class").alias("__class"), "component_id")
+    answer = named.join(least, "component").select(F.col("class").alias("__class"), "component", "component_id")
     # a class may have a third of all rows: the join is left to AQE, which splits it
     return (rows.select("doc_id", "n_shingles", "class").join(answer, F.col("class") == F.col("__class"), "left")
-            .select("doc_id", "n_shingles", "class",
+            .select("doc_id", "n_shingles", "class", "component",
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, limit: int = REGION) -> DataFrame:
+    """The rows of ``docs``, one of each component (a row of its smallest id); rows with an
+    empty set all stay."""
+    found = written(near_duplicates(docs, limit), "near_duplicates")
+    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("__rows")).withColumnRenamed("doc_id", "__id")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.join(best, F.col("doc_id").eqNullSafe(F.col("__id")))
+    again = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
+    if again.isEmpty():
+        return kept.select(*columns)  # every id stands for one row
+    several = kept.join(again, F.col("doc_id").eqNullSafe(F.col("__again")), "left_semi")
+    once = kept.join(again, F.col("doc_id").eqNullSafe(F.col("__again")), "left_anti").select(*columns)
+    # rows that share an id are told apart by the class of their text
+    at = docs.columns.index("text")
+
+    def classed(batches):
+        shingler = Shingler()
+        for b in batches:
+            sets = [shingler.shingles(t) for t in b.column(at).to_pylist()]
+            c = pa.array([class_of(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, c], names=[*b.schema.names, "__class"])
+
+    schema = docs.select("*", F.lit(b"").cast("binary").alias("__class")).schema
+    several = several.select(*columns).mapInArrow(classed, schema)
+    node = found.where("class is not null").select(
+        F.col("class").alias("__c"), "component", "component_id").distinct()
+    chosen = (several.join(node, F.col("__class") == F.col("__c"))
+              .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).dropDuplicates(["component"]))
+    return (once.unionByName(several.where("__class is null").select(*columns))
+            .unionByName(chosen.select(*columns)))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document; the one with the smallest id is kept."""
     found = near_duplicates(documents(spark, sf_dir))
