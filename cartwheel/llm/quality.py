@@ -4,8 +4,8 @@ Every document gets a few counts and the rules it breaks. Failures are then summ
 host; a host's failure rate under each rule is shrunk towards the rate of all hosts
 with a beta prior fitted to the hosts themselves (empirical Bayes), so a host with few
 documents is judged by the corpus and one with many by its own record. A host whose
-shrunken rate exceeds a rule's limit loses all its documents; the verdicts, one row per
-host, are joined back to the documents.
+shrunken rate exceeds the limit, and is at least WORSE times the rate of all documents,
+loses all its documents; the verdicts, one row per host, are joined back to the documents.
 
 Defined results: a null or blank text has no words and breaks the length rule; a null
 host is a host of its own; repeated rows count and are judged each; extra columns are
@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import BLANKS, documents, written
 
 SYMBOLS = "#*$%&|<>"
+#: A bad host fails so many times as often as all documents, at least.
+WORSE = 2.0
+#: The prior weighs as much as so many documents of a host, at least and at most.
+STRENGTH = (20.0, 1e6)
 WINDOW = 8
 
 
@@ -121,8 +125,8 @@ def host_sums(judged: DataFrame, host: str, failed: dict[str, Column]) -> DataFr
 def beta_priors(sums: DataFrame, names: list[str]) -> dict[str, tuple[float, float]]:
     """Prior mean and strength of each rule, by the method of moments over all hosts.
 
-    Strength is between 1 and 1e6; the largest stands for hosts that differ no more
-    than chance would make them differ.
+    The largest STRENGTH stands for hosts that differ no more than chance would make
+    them differ.
     """
     n, docs = F.col("__docs").cast("double"), F.sum(F.col("__docs").cast("double"))
     cols = [docs.alias("n"), F.count(F.lit(1)).alias("hosts"), F.sum(n * n).alias("n2")]
@@ -134,15 +138,15 @@ def beta_priors(sums: DataFrame, names: list[str]) -> dict[str, tuple[float, flo
     for k in names:
         total = row["n"] or 0.0
         if not total:
-            out[k] = (0.0, 1.0)
+            out[k] = (0.0, STRENGTH[0])
             continue
         mean = row[f"f_{k}"] / total
         within = mean * (1 - mean)
         spread = max(row[f"s_{k}"] / total - mean * mean, 0.0)
         share = 1 - row["n2"] / (total * total)
         between = (spread - within * (row["hosts"] - 1) / total) / share if share > 1e-12 else 0.0
-        strength = within / between - 1 if between > within * 1e-6 else 1e6
-        out[k] = (mean, min(max(strength, 1.0), 1e6))
+        strength = within / between - 1 if between > within / STRENGTH[1] else STRENGTH[1]
+        out[k] = (mean, min(max(strength, STRENGTH[0]), STRENGTH[1]))
     return out
 
 
@@ -150,7 +154,8 @@ def bad_hosts(sums: DataFrame, priors: dict[str, tuple[float, float]], limits: L
     """``__host`` of every host whose shrunken failure rate is above the limit for some rule."""
     bad = F.lit(False)
     for k, (mean, strength) in priors.items():
-        bad = bad | ((F.col(f"__f_{k}") + mean * strength) / (F.col("__docs") + strength) > limits.host_rate)
+        shrunk = (F.col(f"__f_{k}") + mean * strength) / (F.col("__docs") + strength)
+        bad = bad | ((shrunk > limits.host_rate) & (shrunk >= WORSE * mean))
     return sums.where(bad).select("__host", F.lit(True).alias("__host_bad"))
 
 
