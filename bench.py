@@ -30,12 +30,14 @@ def main() -> None:
 
     from cartwheel.operators import gold, inspection, profiling, quality, replay
     from cartwheel.operators.prepare import prepare_events, write_prepared
+    from cartwheel.operators.report import write_gold_tables
     from cartwheel.plans.queries import FIXTURE_CATEGORIES, FIXTURE_ID_PATTERN
     from cartwheel.schemas import BRONZE_SCHEMA, CLICK_TOPIC
     from cartwheel.session import build_session, scratch_path
     from cartwheel.sources import fixtures
     from cartwheel.sources.files import read_browsing_csv, read_catalog_csv
-    from cartwheel.sources.log import read_log_stream, to_log_records
+    from cartwheel.sources.fixture_log import to_log_records
+    from cartwheel.sources.log import read_log_stream
     from cartwheel.streaming.bronze import run_bronze
     from cartwheel.streaming.silver import run_silver, silver_click, silver_retail
 
@@ -108,7 +110,7 @@ def main() -> None:
         )
         path = fresh("log-click")
         to_log_records(records, CLICK_TOPIC, F.col("_p"), ["event_timestamp", "source_event_id"],
-                       F.col("event_timestamp"), partitions=6).write.parquet(path)
+                       F.col("event_timestamp")).write.parquet(path)
         state["log_click"] = path
 
     def bronze(family):
@@ -128,25 +130,20 @@ def main() -> None:
         return run
 
     def gold_click():
-        # the Gold job's path: the three tables from one scan of Silver
-        for table in gold.build_gold_tables(spark.read.parquet(state["silver_click"])):
-            table.collect()
+        # the Gold job's path: the three tables from one scan of Silver, written
+        write_gold_tables(*gold.build_gold_tables(spark.read.parquet(state["silver_click"])), fresh("gold"))
 
     def gold_retail():
-        for table in gold.build_retail_gold_tables(spark.read.parquet(state["silver_retail"])):
-            table.collect()
+        out = fresh("gold")
+        for i, table in enumerate(gold.build_retail_gold_tables(spark.read.parquet(state["silver_retail"]))):
+            table.write.parquet(f"{out}/{i}")
 
     def replay_sample():
         p = spark.read.parquet(state["prepared"])
-        sample = replay.sample_sessions(p, 200, 0).persist()
-        try:
-            replay.replay_totals(sample).collect()
-            replay.replay_type_counts(sample).collect()
-            to_log_records(replay.replay_records(sample, cluster=False), CLICK_TOPIC,
-                           F.pmod(F.xxhash64("key"), F.lit(6)), ["event_timestamp", "source_event_id"],
-                           F.col("event_timestamp"), partitions=6).write.parquet(fresh("replay"))
-        finally:
-            sample.unpersist()
+        sample = replay.sample_sessions(p, 200, 0)
+        replay.replay_totals(sample).collect()
+        replay.replay_type_counts(sample).collect()
+        replay.replay_records(sample).write.parquet(fresh("replay"))
 
     def quality_checks():
         quality.contract_violations(spark.read.parquet(state["retail"]), categories=FIXTURE_CATEGORIES,

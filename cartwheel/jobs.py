@@ -3,8 +3,8 @@
     python -m cartwheel.jobs profile  --browsing browsing.csv
     python -m cartwheel.jobs prepare  --browsing browsing.csv --catalog sku.csv --out prepared/
     python -m cartwheel.jobs replay   --prepared prepared/ --modulus 200 --remainder 0 \
-                                      --log-format kafka --bootstrap-servers host:9092 --topic t
-    python -m cartwheel.jobs publish  --events retail/ --log-format kafka --bootstrap-servers host:9092
+                                      --bootstrap-servers host:9092 --topic t
+    python -m cartwheel.jobs publish  --events retail/ --bootstrap-servers host:9092
     python -m cartwheel.jobs bronze   --log-format kafka --bootstrap-servers host:9092 --topic t \
                                       --out bronze/ --checkpoint ck/bronze
     python -m cartwheel.jobs silver   --family click --bronze bronze/ --out silver/ --checkpoint ck/silver
@@ -21,17 +21,31 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
-
 from cartwheel.schemas import BRONZE_SCHEMA, CLICK_TOPIC, RETAIL_TOPIC
 from cartwheel.session import build_session
 
 
+def _topic_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--bootstrap-servers", default="localhost:9092")
+    p.add_argument("--topic", default=None, help="default: the family's topic")
+
+
 def _log_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--log-format", choices=["kafka", "parquet"], default="kafka")
     p.add_argument("--log-path", help="log table directory (parquet format)")
-    p.add_argument("--bootstrap-servers", default="localhost:9092")
-    p.add_argument("--topic", default=None, help="default: the family's topic")
+    p.add_argument("--starting-offsets", default="earliest", help="kafka: earliest, latest or a JSON text")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None, help="kafka: most records of a micro-batch")
+    p.add_argument("--max-files-per-trigger", type=int, default=None, help="parquet: most files of a micro-batch")
+    _topic_args(p)
+
+
+def _read_log(spark, a):
+    from cartwheel.sources.log import read_log_stream
+
+    return read_log_stream(
+        spark, a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers, topic=a.topic or RETAIL_TOPIC,
+        starting_offsets=a.starting_offsets, max_files_per_trigger=a.max_files_per_trigger,
+        max_offsets_per_trigger=a.max_offsets_per_trigger)
 
 
 def _stream_args(p: argparse.ArgumentParser) -> None:
@@ -71,22 +85,13 @@ def cmd_replay(spark, a) -> None:
     from cartwheel.operators import replay
     from cartwheel.sources.log import publish
 
-    events = spark.read.parquet(a.prepared)
-    sample = replay.sample_sessions(events, a.modulus, a.remainder).persist()
-    try:
-        totals = replay.replay_totals(sample).first()
-        if not totals or totals["events"] == 0:
-            raise ValueError("The sampling configuration selected no events")
-        print(f"Selected {totals['events']} events from {totals['sessions']} complete sessions")
-        replay.replay_type_counts(sample).show()
-        records = replay.replay_records(
-            sample, a.tasks, cluster=a.log_format == "kafka", rows_per_chunk=a.rows_per_chunk
-        )
-        publish(records, fmt=a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers,
-                topic=a.topic or CLICK_TOPIC, partitions=a.log_partitions,
-                order=["event_timestamp", "source_event_id"], timestamp=F.col("event_timestamp"))
-    finally:
-        sample.unpersist()
+    sample = replay.sample_sessions(spark.read.parquet(a.prepared), a.modulus, a.remainder)
+    totals = replay.replay_totals(sample).first()
+    if totals["events"] == 0:
+        raise ValueError(f"no session is in bucket {a.remainder} of {a.modulus}: nothing to replay")
+    print(f"replaying {totals['sessions']} whole sessions, {totals['events']} events")
+    replay.replay_type_counts(sample).show()
+    publish(replay.replay_records(sample, a.tasks), a.bootstrap_servers, a.topic or CLICK_TOPIC)
 
 
 def cmd_publish(spark, a) -> None:
@@ -96,19 +101,13 @@ def cmd_publish(spark, a) -> None:
     from cartwheel.sources.log import publish
 
     events = spark.read.parquet(a.events)
-    records = keyed_json(events, EVENT_SCHEMA.fieldNames())
-    publish(records, fmt=a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers,
-            topic=a.topic or RETAIL_TOPIC, partitions=a.log_partitions,
-            order=["event_timestamp", "event_id"], timestamp=F.col("event_timestamp"))
+    publish(keyed_json(events, EVENT_SCHEMA.fieldNames()), a.bootstrap_servers, a.topic or RETAIL_TOPIC)
 
 
 def cmd_bronze(spark, a) -> None:
-    from cartwheel.sources.log import read_log_stream
     from cartwheel.streaming.bronze import run_bronze, start_bronze
 
-    records = read_log_stream(
-        spark, a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers, topic=a.topic or RETAIL_TOPIC
-    )
+    records = _read_log(spark, a)
     if a.available_now:
         run_bronze(records, a.out, a.checkpoint)
     else:
@@ -189,14 +188,10 @@ def cmd_inspect(spark, a) -> None:
 
 
 def cmd_preview(spark, a) -> None:
-    from cartwheel.sources.log import read_log_stream
     from cartwheel.streaming.preview import start_console_preview
 
     _shuffle(spark, 3)
-    records = read_log_stream(
-        spark, a.log_format, path=a.log_path, bootstrap_servers=a.bootstrap_servers, topic=a.topic or RETAIL_TOPIC
-    )
-    start_console_preview(records, a.checkpoint).awaitTermination()
+    start_console_preview(_read_log(spark, a), a.checkpoint).awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -219,15 +214,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--modulus", type=int, default=200)
     p.add_argument("--remainder", type=int, default=0)
     p.add_argument("--tasks", type=int, default=None, help="sending tasks (default: shuffle width)")
-    p.add_argument("--log-partitions", type=int, default=6, help="partitions of a log table")
-    p.add_argument("--rows-per-chunk", type=int, default=1_000_000,
-                   help="sessions above this many rows are sent in time pieces by several tasks")
-    _log_args(p)
+    _topic_args(p)
 
     p = sub.add_parser("publish")
     p.add_argument("--events", required=True, help="Parquet with the retail event columns")
-    p.add_argument("--log-partitions", type=int, default=6)
-    _log_args(p)
+    _topic_args(p)
 
     p = sub.add_parser("bronze")
     _log_args(p)

@@ -1,19 +1,20 @@
 """Gold tables: funnel, category, price segment (clickstream) and funnel, product,
 country (retail).
 
-Every builder is a pure ``DataFrame -> DataFrame`` function over Silver rows.
+Each family has one first level: a single ``GROUPING SETS`` aggregate with a row per
+group that any of its tables needs (per session, per product, per (category, session)
+and so on), combined before its only shuffle, and small finishing aggregates over it.
+A builder of one table asks for that table's sets only; the builder of all three writes
+the first level once, as Parquet partitioned by set, so that each table reads its own
+sets and columns.
 
 Scale notes
 -----------
-* Distinct session / product counts are computed in two levels: first one row per
-  (group, session) and per (group, product) through a single ``GROUPING SETS``
-  aggregate (one scan, partial aggregation before the shuffle, so a hot session or
-  product collapses map-side), then a small aggregate per group. Spark's default
-  rewrite of several ``count(DISTINCT ..)`` expands every input row once per distinct
-  expression; here each row is expanded twice at most.
+* Distinct session / product counts are counts of first-level rows: a hot session or
+  product collapses map-side. Spark's own rewrite of several ``count(DISTINCT ..)``
+  would expand every input row once per distinct expression.
 * Rates are derived from the final counts, never inside the aggregate.
 * Sorts add the group key as a tie-break, so the order is total and repeatable.
-* Revenue is summed as an exact decimal and only then rounded and cast to double.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.metrics import event_count, is_type, line_value, pct, purchase_revenue
+from cartwheel.functions.metrics import is_type, merged_revenue_parts, pct, revenue, revenue_parts
+from cartwheel.session import scratch_path
 
 
 def between_dates(events: DataFrame, date_from=None, date_to=None, column: str = "event_date") -> DataFrame:
@@ -34,54 +36,86 @@ def between_dates(events: DataFrame, date_from=None, date_to=None, column: str =
     return events
 
 
-_SESSION_SET = 0
-_PRODUCT_SET = 1
+class _Levels:
+    """First-level rows of the named grouping sets of ``events``."""
+
+    def __init__(self, events: DataFrame, dims: tuple[str, ...], sets: dict[str, tuple[str, ...]], aggregates: list[Column]):
+        # grouping_id: one bit per dimension, most significant first, 1 = not grouped
+        self.ids = {name: sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
+                    for name, grouped in sets.items()}
+        self.rows = events.groupingSets([list(g) for g in sets.values()], *dims).agg(
+            *aggregates, F.grouping_id().cast("int").alias("set_id"))
+
+    def write(self) -> _Levels:
+        """Written once, a folder per set, and read back."""
+        spark, schema = self.rows.sparkSession, self.rows.schema
+        path = scratch_path(spark, "gold_levels")
+        self.rows.write.partitionBy("set_id").parquet(path)
+        self.rows = spark.read.schema(schema).parquet(path)
+        return self
+
+    def of(self, *names: str) -> DataFrame:
+        return self.rows.filter(F.col("set_id").isin(*[self.ids[n] for n in names]))
+
+    def is_set(self, name: str) -> Column:
+        return F.col("set_id") == self.ids[name]
 
 
 def _flag(event_type: str) -> Column:
     return F.when(is_type(event_type), 1).otherwise(0)
 
 
-def _session_and_product_level(events: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per (keys, session) and per (keys, product), tagged by ``level``.
-
-    Session rows carry per-type event counts; product rows only mark presence.
-    A null session (or product) forms its own row, so row counts stay exact while
-    distinct counts skip it, as ``count(DISTINCT ..)`` does.
-    """
-    # grouping_id bit for session_id is set when the row belongs to the product set.
-    grouped = events.groupingSets(
-        [[*keys, "session_id"], [*keys, "product_id"]], *keys, "session_id", "product_id"
-    )
-    return grouped.agg(
+def _counts() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n_events"),
         F.sum(_flag("product_view")).alias("n_views"),
         F.sum(_flag("add_to_cart")).alias("n_adds"),
         F.sum(_flag("remove_from_cart")).alias("n_removes"),
         F.sum(_flag("purchase")).alias("n_purchases"),
-        F.grouping("session_id").alias("level"),
-    )
-
-
-def _finish_funnel(levels: DataFrame, session_rows: Column, product_rows: Column) -> DataFrame:
-    """The one-row funnel from session-level and product-level rows."""
-    real = session_rows & F.col("session_id").isNotNull()
+    ]
 
-    def on_sessions(c: str) -> Column:
-        return F.when(session_rows, F.col(c))
 
-    funnel = levels.agg(
-        F.coalesce(F.sum(on_sessions("n_events")), F.lit(0)).alias("total_events"),
-        F.count(F.when(real, F.lit(1))).alias("total_sessions"),
-        F.count(F.when(product_rows & F.col("product_id").isNotNull(), F.lit(1))).alias("total_products"),
-        F.count(F.when(real & (F.col("n_adds") > 0), F.lit(1))).alias("cart_sessions"),
-        F.count(F.when(real & (F.col("n_purchases") > 0), F.lit(1))).alias("purchase_sessions"),
-        F.sum(on_sessions("n_views")).alias("product_views"),
-        F.sum(on_sessions("n_adds")).alias("cart_additions"),
-        F.sum(on_sessions("n_removes")).alias("cart_removals"),
-        F.sum(on_sessions("n_purchases")).alias("purchases"),
-    )
-    return funnel.select(
+# ---- clickstream ---------------------------------------------------------------------
+_CLICK_SETS = {
+    "session": ("session_id",),
+    "product": ("product_id",),
+    "category_session": ("category", "session_id"),
+    "category_product": ("category", "product_id"),
+    "bucket_session": ("price_bucket", "session_id"),
+}
+
+
+def _click_levels(events: DataFrame, *names: str) -> _Levels:
+    sets = {n: _CLICK_SETS[n] for n in names}
+    dims = tuple(d for d in ("category", "price_bucket", "session_id", "product_id") if any(d in g for g in sets.values()))
+    columns = {
+        "category": F.coalesce(F.col("category_hash"), F.lit("unknown")).alias("category"),
+        "price_bucket": F.col("price_bucket"), "session_id": F.col("session_id"), "product_id": F.col("product_id"),
+    }
+    return _Levels(events.select(*[columns[d] for d in dims], "event_type"), dims, sets, _counts())
+
+
+def _funnel(levels: _Levels) -> DataFrame:
+    """G4 from the session and product sets. A null session (or product) is a row of its
+    own: it counts as events, not as a distinct value."""
+    session = levels.is_set("session")
+    real = session & F.col("session_id").isNotNull()
+    product = levels.is_set("product") & F.col("product_id").isNotNull()
+
+    def of_sessions(c: str) -> Column:
+        return F.sum(F.when(session, F.col(c)))
+
+    return levels.of("session", "product").agg(
+        F.coalesce(of_sessions("n_events"), F.lit(0)).alias("total_events"),
+        F.count_if(real).alias("total_sessions"),
+        F.count_if(product).alias("total_products"),
+        F.count_if(real & (F.col("n_adds") > 0)).alias("cart_sessions"),
+        F.count_if(real & (F.col("n_purchases") > 0)).alias("purchase_sessions"),
+        of_sessions("n_views").alias("product_views"),
+        of_sessions("n_adds").alias("cart_additions"),
+        of_sessions("n_removes").alias("cart_removals"),
+        of_sessions("n_purchases").alias("purchases"),
+    ).select(
         "*",
         pct("cart_sessions", "total_sessions").alias("view_to_cart_rate"),
         pct("purchase_sessions", "total_sessions").alias("purchase_conversion_rate"),
@@ -89,24 +123,43 @@ def _finish_funnel(levels: DataFrame, session_rows: Column, product_rows: Column
     )
 
 
-def _finish_categories(levels: DataFrame, session_rows: Column, product_rows: Column) -> DataFrame:
-    """Per category from (category, session) and (category, product) rows."""
+def _categories(levels: _Levels) -> DataFrame:
+    """G5 from the (category, session) and (category, product) sets."""
+    session, product = levels.is_set("category_session"), levels.is_set("category_product")
 
-    def on_sessions(c: str) -> Column:
-        return F.when(session_rows, F.col(c))
+    def of_sessions(c: str) -> Column:
+        return F.sum(F.when(session, F.col(c)))
 
-    per_category = levels.groupBy("category").agg(
-        F.count(F.when(session_rows & F.col("session_id").isNotNull(), F.lit(1))).alias("sessions"),
-        F.count(F.when(product_rows & F.col("product_id").isNotNull(), F.lit(1))).alias("products"),
-        F.sum(on_sessions("n_views")).alias("product_views"),
-        F.sum(on_sessions("n_adds")).alias("cart_additions"),
-        F.sum(on_sessions("n_purchases")).alias("purchases"),
-    )
-    return per_category.select(
+    return levels.of("category_session", "category_product").groupBy("category").agg(
+        F.count_if(session & F.col("session_id").isNotNull()).alias("sessions"),
+        F.count_if(product & F.col("product_id").isNotNull()).alias("products"),
+        of_sessions("n_views").alias("product_views"),
+        of_sessions("n_adds").alias("cart_additions"),
+        of_sessions("n_purchases").alias("purchases"),
+    ).select(
         "*", pct("purchases", "product_views").alias("purchase_per_view_rate")
     ).orderBy(F.desc("purchases"), F.asc("category"))
 
 
+def _price_segments(levels: _Levels) -> DataFrame:
+    """G6 from the (bucket, session) set; ordered as numbers before they become text."""
+    return levels.of("bucket_session").groupBy("price_bucket").agg(
+        F.sum("n_events").alias("events"),
+        F.count("session_id").alias("sessions"),
+        F.sum("n_views").alias("product_views"),
+        F.sum("n_adds").alias("cart_additions"),
+        F.sum("n_purchases").alias("purchases"),
+    ).orderBy(F.asc_nulls_last("price_bucket")).select(
+        F.coalesce(F.col("price_bucket").cast("string"), F.lit("unknown")).alias("price_segment"),
+        "events", "sessions", "product_views", "cart_additions", "purchases")
+
+
+def price_segment_order() -> list[Column]:
+    """Order of segment texts: unknown last, the others by their number."""
+    number = F.col("price_segment").try_cast("int")
+    return [F.asc(F.col("price_segment") == "unknown"), F.asc(number), F.asc("price_segment")]
+
+
 def build_funnel(events: DataFrame) -> DataFrame:
     """One-row clickstream funnel.
 
@@ -119,238 +172,97 @@ def build_funnel(events: DataFrame) -> DataFrame:
     purchase had no cart (so it can exceed 100). The four event counts are null on an
     empty input, like a SUM; the rates are null when their denominator is 0.
     """
-    levels = _session_and_product_level(events.select("session_id", "product_id", "event_type"), [])
-    return _finish_funnel(levels, F.col("level") == _SESSION_SET, F.col("level") == _PRODUCT_SET)
+    return _funnel(_click_levels(events, "session", "product"))
 
 
 def build_category_metrics(events: DataFrame) -> DataFrame:
     """Per category (null -> "unknown"), ordered by purchases desc, category asc."""
-    keyed = events.select(
-        F.coalesce(F.col("category_hash"), F.lit("unknown")).alias("category"),
-        "session_id",
-        "product_id",
-        "event_type",
-    )
-    levels = _session_and_product_level(keyed, ["category"])
-    return _finish_categories(levels, F.col("level") == _SESSION_SET, F.col("level") == _PRODUCT_SET)
-
-
-def price_segment_order() -> Column:
-    """Numeric order of the segment text, "unknown" last."""
-    return F.when(F.col("price_segment") == "unknown", F.lit(999)).otherwise(
-        F.col("price_segment").cast("int")
-    )
+    return _categories(_click_levels(events, "category_session", "category_product"))
 
 
 def build_price_bucket_metrics(events: DataFrame) -> DataFrame:
     """Per price segment (bucket as text, null -> "unknown"), numeric order."""
-    keyed = events.select(
-        F.coalesce(F.col("price_bucket").cast("string"), F.lit("unknown")).alias("price_segment"),
-        "session_id",
-        "event_type",
-    )
-    # A single distinct aggregate: Spark plans it as (segment, session) partial
-    # aggregate -> shuffle -> per segment, with no row expansion.
-    per_segment = keyed.groupBy("price_segment").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_distinct("session_id").alias("sessions"),
-        event_count("product_view").alias("product_views"),
-        event_count("add_to_cart").alias("cart_additions"),
-        event_count("purchase").alias("purchases"),
-    )
-    return per_segment.orderBy(price_segment_order(), F.asc("price_segment"))
+    return _price_segments(_click_levels(events, "bucket_session"))
 
 
 def build_gold_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """G4, G5 and G6 from ONE scan of Silver: (funnel, categories, price_buckets).
-
-    One ``GROUPING SETS`` aggregate produces every first-level row the three tables
-    need — per session, per product, per (category, session), per (category,
-    product) and per (segment, session) — with partial aggregation before its single
-    shuffle. That result is materialised once (a reliable checkpoint in the shared
-    folder), and the three tables are small aggregates over it. Same rows as the
-    three builders; two fewer scans of Silver.
-    """
-    keyed = events.select(
-        F.coalesce(F.col("category_hash"), F.lit("unknown")).alias("category"),
-        F.coalesce(F.col("price_bucket").cast("string"), F.lit("unknown")).alias("price_segment"),
-        "session_id",
-        "product_id",
-        "event_type",
-    )
-    dims = ("category", "price_segment", "session_id", "product_id")
+    """G4, G5 and G6 from one scan of Silver: (funnel, categories, price_buckets)."""
+    levels = _click_levels(events, *_CLICK_SETS).write()
+    return _funnel(levels), _categories(levels), _price_segments(levels)
 
-    def set_id(*grouped: str) -> int:
-        # grouping_id: one bit per dimension, most significant first, 1 = not grouped
-        return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
-
-    sets = [
-        ("session_id",),
-        ("product_id",),
-        ("category", "session_id"),
-        ("category", "product_id"),
-        ("price_segment", "session_id"),
-    ]
-    levels = keyed.groupingSets([list(g) for g in sets], *dims).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.sum(_flag("product_view")).alias("n_views"),
-        F.sum(_flag("add_to_cart")).alias("n_adds"),
-        F.sum(_flag("remove_from_cart")).alias("n_removes"),
-        F.sum(_flag("purchase")).alias("n_purchases"),
-        F.grouping_id().alias("set_id"),
-    )
-    from cartwheel.session import checkpoint_root
-
-    checkpoint_root(events.sparkSession)
-    levels = levels.checkpoint(eager=True)
-    sid = F.col("set_id")
-    funnel = _finish_funnel(levels, sid == set_id(*sets[0]), sid == set_id(*sets[1]))
-    category_rows = levels.filter(sid.isin(set_id(*sets[2]), set_id(*sets[3])))
-    categories = _finish_categories(category_rows, sid == set_id(*sets[2]), sid == set_id(*sets[3]))
-    segment_rows = levels.filter(sid == set_id(*sets[4]))
-    price_buckets = (
-        segment_rows.groupBy("price_segment")
-        .agg(
-            F.sum("n_events").alias("events"),
-            F.count("session_id").alias("sessions"),
-            F.sum("n_views").alias("product_views"),
-            F.sum("n_adds").alias("cart_additions"),
-            F.sum("n_purchases").alias("purchases"),
-        )
-        .orderBy(price_segment_order(), F.asc("price_segment"))
-    )
-    return funnel, categories, price_buckets
 
+# ---- retail --------------------------------------------------------------------------
+_RETAIL_SETS = {
+    "session": ("session_id",),
+    "product": ("product_id", "product_name", "category"),
+    "country_session": ("country", "session_id"),
+}
 
-def build_funnel_metrics(events: DataFrame) -> DataFrame:
-    """G1: one-row retail funnel with revenue.
 
-    Columns: total_sessions, cart_sessions, purchase_sessions, view_to_cart_rate,
-    purchase_conversion_rate, total_revenue. Rates are null instead of failing when
-    there are no sessions.
-    """
-    per_session = (
-        events.select("session_id", "event_type", "unit_price", "quantity")
-        .groupBy("session_id")
-        .agg(
-            F.max(_flag("add_to_cart")).alias("has_cart"),
-            F.max(_flag("purchase")).alias("has_purchase"),
-            F.sum(F.when(is_type("purchase"), line_value()).otherwise(F.lit(0))).alias("revenue"),
-        )
-    )
+def _retail_levels(events: DataFrame, *names: str) -> _Levels:
+    sets = {n: _RETAIL_SETS[n] for n in names}
+    dims = tuple(d for d in ("session_id", "product_id", "product_name", "category", "country")
+                 if any(d in g for g in sets.values()))
+    return _Levels(events.select(*dims, "event_type", "unit_price", "quantity"), dims, sets, [*_counts(), *revenue_parts()])
+
+
+def _retail_funnel(levels: _Levels) -> DataFrame:
     real = F.col("session_id").isNotNull()
-    funnel = per_session.agg(
-        F.count(F.when(real, F.lit(1))).alias("total_sessions"),
-        F.count(F.when(real & (F.col("has_cart") == 1), F.lit(1))).alias("cart_sessions"),
-        F.count(F.when(real & (F.col("has_purchase") == 1), F.lit(1))).alias("purchase_sessions"),
-        F.round(F.sum("revenue"), 2).cast("double").alias("total_revenue"),
-    )
-    return funnel.select(
+    return levels.of("session").agg(
+        F.count_if(real).alias("total_sessions"),
+        F.count_if(real & (F.col("n_adds") > 0)).alias("cart_sessions"),
+        F.count_if(real & (F.col("n_purchases") > 0)).alias("purchase_sessions"),
+        *merged_revenue_parts(),
+    ).select(
         "total_sessions",
         "cart_sessions",
         "purchase_sessions",
         pct("cart_sessions", "total_sessions").alias("view_to_cart_rate"),
         pct("purchase_sessions", "total_sessions").alias("purchase_conversion_rate"),
-        "total_revenue",
+        revenue().alias("total_revenue"),
     )
 
 
-def build_product_metrics(events: DataFrame) -> DataFrame:
-    """Per (product_id, product_name, category), ordered by revenue desc."""
-    keys = ["product_id", "product_name", "category"]
-    return (
-        events.groupBy(*keys)
-        .agg(
-            event_count("product_view").alias("product_views"),
-            event_count("add_to_cart").alias("cart_additions"),
-            event_count("purchase").alias("purchases"),
-            purchase_revenue().alias("revenue"),
-        )
-        .orderBy(F.desc("revenue"), *[F.asc(k) for k in keys])
-    )
+def _products(levels: _Levels) -> DataFrame:
+    keys = list(_RETAIL_SETS["product"])
+    return levels.of("product").select(
+        *keys,
+        F.col("n_views").alias("product_views"),
+        F.col("n_adds").alias("cart_additions"),
+        F.col("n_purchases").alias("purchases"),
+        revenue().alias("revenue"),
+    ).orderBy(F.desc("revenue"), *[F.asc(k) for k in keys])
 
 
-def build_country_metrics(events: DataFrame) -> DataFrame:
-    """Per country, ordered by revenue desc."""
-    return (
-        events.groupBy("country")
-        .agg(
-            F.count_distinct("session_id").alias("sessions"),
-            event_count("purchase").alias("purchases"),
-            purchase_revenue().alias("revenue"),
-        )
-        .orderBy(F.desc("revenue"), F.asc("country"))
-    )
+def _countries(levels: _Levels) -> DataFrame:
+    return levels.of("country_session").groupBy("country").agg(
+        F.count("session_id").alias("sessions"),
+        F.sum("n_purchases").alias("purchases"),
+        *merged_revenue_parts(),
+    ).select("country", "sessions", "purchases", revenue().alias("revenue")).orderBy(F.desc("revenue"), F.asc("country"))
 
 
-def build_retail_gold_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """G1, G2 and G3 from ONE scan of Silver R: (funnel, products, countries).
+def build_funnel_metrics(events: DataFrame) -> DataFrame:
+    """G1: one-row retail funnel with revenue.
 
-    First-level rows per session, per (product_id, product_name, category) and per
-    (country, session) from one ``GROUPING SETS`` aggregate, materialised once;
-    revenue is carried as an exact decimal and rounded only in the final tables.
+    Columns: total_sessions, cart_sessions, purchase_sessions, view_to_cart_rate,
+    purchase_conversion_rate, total_revenue. Rates are null instead of failing when
+    there are no sessions.
     """
-    dims = ("session_id", "product_id", "product_name", "category", "country")
+    return _retail_funnel(_retail_levels(events, "session"))
 
-    def set_id(*grouped: str) -> int:
-        return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
 
-    sessions, products, countries = (
-        ("session_id",),
-        ("product_id", "product_name", "category"),
-        ("country", "session_id"),
-    )
-    purchase_value = F.when(is_type("purchase"), line_value()).otherwise(F.lit(0))
-    levels = events.select(*dims, "event_type", "unit_price", "quantity").groupingSets(
-        [list(sessions), list(products), list(countries)], *dims
-    ).agg(
-        F.sum(_flag("product_view")).alias("n_views"),
-        F.sum(_flag("add_to_cart")).alias("n_adds"),
-        F.sum(_flag("purchase")).alias("n_purchases"),
-        F.sum(purchase_value).alias("revenue_exact"),
-        F.grouping_id().alias("set_id"),
-    )
-    from cartwheel.session import checkpoint_root
+def build_product_metrics(events: DataFrame) -> DataFrame:
+    """Per (product_id, product_name, category), ordered by revenue desc."""
+    return _products(_retail_levels(events, "product"))
 
-    checkpoint_root(events.sparkSession)
-    levels = levels.checkpoint(eager=True)
-    sid = F.col("set_id")
 
-    per_session = levels.filter(sid == set_id(*sessions))
-    real = F.col("session_id").isNotNull()
-    funnel = per_session.agg(
-        F.count(F.when(real, F.lit(1))).alias("total_sessions"),
-        F.count(F.when(real & (F.col("n_adds") > 0), F.lit(1))).alias("cart_sessions"),
-        F.count(F.when(real & (F.col("n_purchases") > 0), F.lit(1))).alias("purchase_sessions"),
-        F.round(F.sum("revenue_exact"), 2).cast("double").alias("total_revenue"),
-    ).select(
-        "total_sessions",
-        "cart_sessions",
-        "purchase_sessions",
-        pct("cart_sessions", "total_sessions").alias("view_to_cart_rate"),
-        pct("purchase_sessions", "total_sessions").alias("purchase_conversion_rate"),
-        "total_revenue",
-    )
-    product_keys = list(products)
-    product_table = (
-        levels.filter(sid == set_id(*products))
-        .select(
-            *product_keys,
-            F.col("n_views").alias("product_views"),
-            F.col("n_adds").alias("cart_additions"),
-            F.col("n_purchases").alias("purchases"),
-            F.round(F.col("revenue_exact"), 2).cast("double").alias("revenue"),
-        )
-        .orderBy(F.desc("revenue"), *[F.asc(k) for k in product_keys])
-    )
-    country_table = (
-        levels.filter(sid == set_id(*countries))
-        .groupBy("country")
-        .agg(
-            F.count("session_id").alias("sessions"),
-            F.sum("n_purchases").alias("purchases"),
-            F.round(F.sum("revenue_exact"), 2).cast("double").alias("revenue"),
-        )
-        .orderBy(F.desc("revenue"), F.asc("country"))
-    )
-    return funnel, product_table, country_table
+def build_country_metrics(events: DataFrame) -> DataFrame:
+    """Per country, ordered by revenue desc."""
+    return _countries(_retail_levels(events, "country_session"))
+
+
+def build_retail_gold_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G1, G2 and G3 from one scan of Silver R: (funnel, products, countries)."""
+    levels = _retail_levels(events, *_RETAIL_SETS).write()
+    return _retail_funnel(levels), _products(levels), _countries(levels)

@@ -72,14 +72,23 @@ def offset_gaps(df: DataFrame) -> DataFrame:
 
     Zero everywhere means the offsets are continuous (no record lost between the log
     and the table); repeated offsets (a record written twice) show in ``duplicates``.
+    Distinct offsets are counted in bitmaps of neighbouring offsets, which fill up before
+    the shuffle: a few rows per partition and task travel, not one per record.
     """
+    offset = F.col("kafka_offset")
+    per_bucket = df.groupBy("kafka_partition", F.bitmap_bucket_number(offset).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(offset))).alias("distinct_offsets"),
+        F.min(offset).alias("first_offset"),
+        F.max(offset).alias("last_offset"),
+    )
     return (
-        df.groupBy("kafka_partition")
+        per_bucket.groupBy("kafka_partition")
         .agg(
-            F.count(F.lit(1)).alias("event_count"),
-            F.count_distinct("kafka_offset").alias("distinct_offsets"),
-            F.min("kafka_offset").alias("first_offset"),
-            F.max("kafka_offset").alias("last_offset"),
+            F.sum("event_count").alias("event_count"),
+            F.sum("distinct_offsets").alias("distinct_offsets"),
+            F.min("first_offset").alias("first_offset"),
+            F.max("last_offset").alias("last_offset"),
         )
         .select(
             "kafka_partition",
@@ -144,12 +153,14 @@ def silver_click_type_counts(silver: DataFrame) -> DataFrame:
     return value_counts(silver, "event_type")
 
 
-def layer_reconciliation(log: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """Records per layer in one row, and the duplicates Silver removed.
+def layer_reconciliation(log: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
+                         late: int = 0) -> DataFrame:
+    """Records per layer in one row, the late ones and the duplicates Silver removed.
 
     Every log record must reach Bronze; every Bronze record ends in Silver, in the
-    quarantine, or is a removed duplicate: duplicates_removed = bronze - silver -
-    quarantined. Each layer is one count (a partial aggregate); the counts are
+    quarantine, is dropped as late (behind the watermark; ``late`` as the Silver run
+    counted them) or is a removed duplicate: duplicates_removed = bronze - silver -
+    quarantined - late. Each layer is one count (a partial aggregate); the counts are
     combined by a conditional sum over four one-row results.
     """
     layers = (
@@ -167,5 +178,6 @@ def layer_reconciliation(log: DataFrame, bronze: DataFrame, silver: DataFrame, q
         of("bronze").alias("bronze_records"),
         of("silver").alias("silver_records"),
         of("quarantine").alias("quarantined_records"),
-        (of("bronze") - of("silver") - of("quarantine")).alias("duplicates_removed"),
+        F.lit(late).cast("long").alias("late_records"),
+        (of("bronze") - of("silver") - of("quarantine") - F.lit(late)).alias("duplicates_removed"),
     )

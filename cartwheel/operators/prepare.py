@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.events import click_event_id, epoch_ms_to_ts, map_action, utc_date
-from cartwheel.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, maybe_broadcast
 from cartwheel.schemas import CLICK_SOURCE, PREPARED_COLUMNS, PRODUCT_ACTIONS
-from cartwheel.session import checkpoint_root
 
 
 def dedup_catalog(catalog: DataFrame) -> DataFrame:
@@ -46,27 +44,19 @@ def product_events(browsing: DataFrame) -> DataFrame:
     return browsing.filter(F.col("product_action").isin(*PRODUCT_ACTIONS))
 
 
-def prepare_events(
-    browsing: DataFrame,
-    catalog: DataFrame,
-    source: str = CLICK_SOURCE,
-    broadcast_catalog: str | bool = "auto",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def prepare_events(browsing: DataFrame, catalog: DataFrame, source: str = CLICK_SOURCE) -> DataFrame:
     """Prepared clickstream events (11 columns, see ``PREPARED_COLUMNS``).
 
     Events with a null or unknown sku are kept with null category and bucket (left
-    join). The catalogue side is broadcast only when its deduplicated size is below
-    ``max_broadcast_rows``; otherwise the planner picks a shuffled join.
+    join). Adaptive execution broadcasts the deduplicated catalogue if its measured
+    bytes are few and splits a hot sku otherwise. Events without a sku match nothing;
+    they join under a text of their session that no sku equals, so that they do not all
+    meet in one task.
     """
-    products = dedup_catalog(catalog)
-    if broadcast_catalog == "auto":
-        # deduplicate once: the size check and the join both read the materialised
-        # catalogue (a reliable checkpoint in the shared folder), not the aggregate
-        checkpoint_root(catalog.sparkSession)
-        products = products.checkpoint(eager=True)
-    products = maybe_broadcast(products, broadcast_catalog, max_broadcast_rows)
-    enriched = product_events(browsing).join(products, on="product_sku_hash", how="left")
+    products = dedup_catalog(catalog).withColumnRenamed("product_sku_hash", "_sku").where("_sku is not null")
+    events = product_events(browsing).withColumn("_key", F.coalesce(
+        F.col("product_sku_hash"), F.concat(F.lit("\u0000"), F.coalesce("session_id_hash", F.lit("")))))
+    enriched = events.join(products, F.col("_key") == F.col("_sku"), "left")
     event_ts = epoch_ms_to_ts("server_timestamp_epoch_ms")
     return enriched.select(
         F.lit(source).alias("source"),
@@ -84,19 +74,17 @@ def prepare_events(
 
 
 def cluster_for_write(prepared: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (event_date, session_id, event_timestamp) and sort inside
-    each task.
-
-    Range partitioning splits a large day across many tasks (hashing on the date
-    alone would put a whole day into one task) and keeps each session in one
-    contiguous run; the time as last key lets a single huge session continue over
-    consecutive tasks instead of filling one. The partition column leads the sort so
-    the writer's own per-partition sort does not undo it. Without ``partitions`` the
-    width is the session's shuffle width, which adaptive execution may coalesce.
+    """Rows of one (event_date, session_id) together, sorted inside each task.
+
+    A rebalance on (date, session) reads the input once (range partitioning would first
+    run the whole scan and join for its sample) and adaptive execution cuts partitions
+    above its target size, so neither a large day nor a huge session fills a task. The
+    partition column leads the sort so the writer's own sort does not undo it.
     """
-    keys = ("event_date", "session_id", "event_timestamp")
-    ranged = prepared.repartitionByRange(partitions, *keys) if partitions else prepared.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions("event_date", "session_id", "event_timestamp")
+    keys = ("event_date", "session_id")
+    width = [partitions] if partitions else []
+    clustered = prepared.hint("rebalance", *width, *[F.col(k) for k in keys])
+    return clustered.sortWithinPartitions("event_date", "session_id", "event_timestamp")
 
 
 def write_prepared(

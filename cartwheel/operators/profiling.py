@@ -1,71 +1,36 @@
-"""Raw browsing profile (P1-P3): one scan each, partial aggregation, no collect."""
+"""Raw browsing profile (P1-P3) from one scan."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.metrics import null_or_blank, null_or_blank_count
-
-
-def profile_columns(rsd: float = 0.05) -> list:
-    """P1 aggregate columns, for callers that add their own in the same pass."""
-    return [
-        F.count(F.lit(1)).alias("total_events"),
-        F.approx_count_distinct("session_id_hash", rsd).alias("approximate_sessions"),
-        F.approx_count_distinct("product_sku_hash", rsd).alias("approximate_products"),
-        F.min("server_timestamp_epoch_ms").alias("minimum_timestamp_ms"),
-        F.max("server_timestamp_epoch_ms").alias("maximum_timestamp_ms"),
-        null_or_blank_count("product_action").alias("events_without_product_action"),
-        null_or_blank_count("product_sku_hash").alias("events_without_product"),
-    ]
-
+from cartwheel.functions.metrics import null_or_blank_count
 
-def profile_metrics(browsing: DataFrame, rsd: float = 0.05) -> DataFrame:
-    """Totals, HyperLogLog++ distinct estimates, time range, missing values.
-
-    approximate_* are estimates with relative standard deviation ``rsd``.
-    """
-    return browsing.agg(*profile_columns(rsd))
 
-
-_GLOBAL, _BY_TYPE, _BY_ACTION = 0, 1, 2
+def sketch_size(rsd: float) -> int:
+    """log2 of the buckets of a HyperLogLog sketch with relative standard deviation ``rsd``."""
+    return min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))
 
 
 def profile_pass(browsing: DataFrame, rsd: float = 0.05) -> DataFrame:
-    """P1, P2 and P3 from ONE scan of the raw log.
+    """One row per (event_type, product_action): all that P1, P2 and P3 are made of.
 
-    Each row is emitted three times inside the scan stage — for the global row
-    (dim 0), its event_type (dim 1) and its product_action (dim 2) — then one
-    partial aggregate keyed by (dim, value) runs before the only shuffle. The global
-    metrics (sketches, time range, missing counts) are fed only by dim-0 rows, so
-    the HyperLogLog work is not tripled. The result has one row per dimension value.
+    One scan and one partial aggregate before the only shuffle; rows are not expanded.
+    Distinct ids are kept as HyperLogLog sketches, which merge without loss, so the
+    handful of rows gives the totals over any of its groups.
     """
-    dims = F.explode(
-        F.array(
-            F.struct(F.lit(_GLOBAL).alias("dim"), F.lit(None).cast("string").alias("value")),
-            F.struct(F.lit(_BY_TYPE).alias("dim"), F.col("event_type").alias("value")),
-            F.struct(F.lit(_BY_ACTION).alias("dim"), F.col("product_action").alias("value")),
-        )
-    )
-    rows = browsing.select(
-        "session_id_hash", "product_sku_hash", "server_timestamp_epoch_ms", "product_action", dims.alias("d")
-    ).select("d.dim", "d.value", "session_id_hash", "product_sku_hash", "server_timestamp_epoch_ms", "product_action")
-
-    def on_global(c):
-        return F.when(F.col("dim") == _GLOBAL, c)
-
-    def blank_flag(c: str):
-        return on_global(F.when(null_or_blank(c), 1).otherwise(0))
-
-    return rows.groupBy("dim", "value").agg(
+    size = sketch_size(rsd)
+    return browsing.groupBy("event_type", "product_action").agg(
         F.count(F.lit(1)).alias("count"),
-        F.approx_count_distinct(on_global(F.col("session_id_hash")), rsd).alias("approximate_sessions"),
-        F.approx_count_distinct(on_global(F.col("product_sku_hash")), rsd).alias("approximate_products"),
-        F.min(on_global(F.col("server_timestamp_epoch_ms"))).alias("minimum_timestamp_ms"),
-        F.max(on_global(F.col("server_timestamp_epoch_ms"))).alias("maximum_timestamp_ms"),
-        F.sum(blank_flag("product_action")).alias("events_without_product_action"),
-        F.sum(blank_flag("product_sku_hash")).alias("events_without_product"),
+        F.hll_sketch_agg("session_id_hash", F.lit(size)).alias("sessions"),
+        F.hll_sketch_agg("product_sku_hash", F.lit(size)).alias("products"),
+        F.min("server_timestamp_epoch_ms").alias("first_ms"),
+        F.max("server_timestamp_epoch_ms").alias("last_ms"),
+        null_or_blank_count("product_action").alias("no_action"),
+        null_or_blank_count("product_sku_hash").alias("no_product"),
     )
 
 
@@ -76,26 +41,25 @@ def profile_tables(browsing: DataFrame, rsd: float = 0.05) -> tuple[DataFrame, D
 
 
 def split_profile(pass_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    # A global aggregate over the (at most one) dim-0 row: always one row, like P1
-    # over the raw log — on an empty log 0 events and 0 estimates, null sums.
-    metrics = pass_df.filter(F.col("dim") == _GLOBAL).agg(
+    """P1 (one row, also for an empty log: 0 events and estimates, null sums), P2 and P3."""
+    def estimate(column: str):
+        return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(column)), F.lit(0))
+
+    metrics = pass_df.agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("total_events"),
-        F.coalesce(F.max("approximate_sessions"), F.lit(0)).alias("approximate_sessions"),
-        F.coalesce(F.max("approximate_products"), F.lit(0)).alias("approximate_products"),
-        F.max("minimum_timestamp_ms").alias("minimum_timestamp_ms"),
-        F.max("maximum_timestamp_ms").alias("maximum_timestamp_ms"),
-        F.max("events_without_product_action").alias("events_without_product_action"),
-        F.max("events_without_product").alias("events_without_product"),
+        estimate("sessions").alias("approximate_sessions"),
+        estimate("products").alias("approximate_products"),
+        F.min("first_ms").alias("minimum_timestamp_ms"),
+        F.max("last_ms").alias("maximum_timestamp_ms"),
+        F.sum("no_action").alias("events_without_product_action"),
+        F.sum("no_product").alias("events_without_product"),
     )
 
-    def counts(dim: int, name: str) -> DataFrame:
-        return (
-            pass_df.filter(F.col("dim") == dim)
-            .select(F.col("value").alias(name), "count")
-            .orderBy(F.desc("count"), F.asc_nulls_first(name))
-        )
+    def counts(name: str) -> DataFrame:
+        return (pass_df.groupBy(name).agg(F.sum("count").alias("count"))
+                .orderBy(F.desc("count"), F.asc_nulls_first(name)))
 
-    return metrics, counts(_BY_TYPE, "event_type"), counts(_BY_ACTION, "product_action")
+    return metrics, counts("event_type"), counts("product_action")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -105,13 +69,3 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.desc("count"), F.asc_nulls_first(column))
     )
-
-
-def event_type_counts(browsing: DataFrame) -> DataFrame:
-    """P2."""
-    return value_counts(browsing, "event_type")
-
-
-def product_action_counts(browsing: DataFrame) -> DataFrame:
-    """P3."""
-    return value_counts(browsing, "product_action")

@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.events import session_bucket
-from cartwheel.operators.skew import time_chunks
 from cartwheel.schemas import CLICK_PAYLOAD_COLUMNS
 
 
 def check_sample_args(modulus: int, remainder: int) -> None:
     """Modulus > 0 and 0 <= remainder < modulus."""
     if modulus <= 0:
-        raise ValueError("sample modulus must be greater than zero")
+        raise ValueError(f"modulus {modulus}: a sample needs at least one bucket")
     if not 0 <= remainder < modulus:
-        raise ValueError("sample remainder must be between zero and modulus minus one")
+        raise ValueError(f"remainder {remainder}: buckets go from 0 to {modulus - 1}")
 
 
 def sample_sessions(events: DataFrame, modulus: int = 200, remainder: int = 0) -> DataFrame:
@@ -59,33 +58,25 @@ def keyed_json(events: DataFrame, payload: list[str], key: str = "session_id") -
     )
 
 
-def replay_records(
-    sample: DataFrame,
-    partitions: int | None = None,
-    cluster: bool = True,
-    rows_per_chunk: int = 1_000_000,
-) -> DataFrame:
+def replay_records(sample: DataFrame, partitions: int | None = None, cluster: bool = True) -> DataFrame:
     """(key = session_id, value = JSON of the 10 payload columns).
 
-    Rows are clustered by session: a session lives in one task, so its order is
-    kept — except a session of more than ``rows_per_chunk`` rows, which is cut into
-    contiguous time pieces (``operators/skew.py``) so it cannot fill one task. Inside
-    each task rows are sorted by event time, so a consumer's watermark advances with
-    time rather than jumping to the newest event of the first session.
+    Rows are range partitioned by (session, time), one rule for sessions of any size, and
+    sent in time order inside each task, so a consumer's watermark advances with time
+    rather than jumping to the newest event of the first session. A session is sent by
+    one task, in order, unless the seam between two tasks falls into it (there is one
+    seam less than tasks): then each task sends its part in order, and the parts, which
+    do not overlap in time, may interleave in the log. Consumers order by event time.
     ``to_json`` omits null fields and writes timestamps to the millisecond.
 
-    ``partitions`` is the number of sending tasks (not the topic's partition count;
-    the broker maps keys to its partitions). Without it the session's shuffle width
-    is used. ``cluster=False`` skips the clustering for sinks that order records
-    themselves (the log table assigns offsets with its own range partitioning).
+    ``partitions`` is the number of sending tasks (not the topic's partition count; the
+    broker maps keys to its partitions), the session's shuffle width by default.
+    ``cluster=False`` leaves the rows where they are.
     """
     if cluster:
-        chunked = time_chunks(sample, "session_id", "event_timestamp", rows_per_chunk)
-        keys = ("session_id", "_chunk")
-        clustered = (
-            chunked.repartition(partitions, *keys) if partitions else chunked.repartition(*keys)
-        ).drop("_chunk")
-        sample = clustered.sortWithinPartitions("event_timestamp", "session_id", "source_event_id")
+        keys = ("session_id", "event_timestamp", "source_event_id")
+        ranged = sample.repartitionByRange(partitions, *keys) if partitions else sample.repartitionByRange(*keys)
+        sample = ranged.sortWithinPartitions("event_timestamp", "session_id", "source_event_id")
     return keyed_json(sample, list(CLICK_PAYLOAD_COLUMNS)).select(
         "key", "value", "event_timestamp", "source_event_id"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,9 @@ def load_gold_tables(spark: SparkSession, gold_path: str) -> tuple[DataFrame, Da
         path = f"{gold_path.rstrip('/')}/{name}"
         try:
             out.append(spark.read.parquet(path))
-        except Exception as exc:  # AnalysisException: path does not exist
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise GoldMissingError(f"Gold table {name!r} not found at {path}; build the Gold tables first") from exc
     return tuple(out)
 
@@ -77,5 +80,5 @@ def kpi_strip(funnel: DataFrame) -> DataFrame:
 def purchases_by_segment(price_buckets: DataFrame) -> DataFrame:
     """V4: price_segment (text), purchases, numeric segment order with unknown last."""
     return price_buckets.select(F.col("price_segment").cast("string"), "purchases").orderBy(
-        price_segment_order(), F.asc("price_segment")
+        *price_segment_order()
     )

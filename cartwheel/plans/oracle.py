@@ -37,8 +37,10 @@ browsing AS (
     CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id_hash,
     CASE WHEN event_type = 'error' THEN 'pageview' ELSE 'event_product' END AS event_type,
     CASE event_type WHEN 'view' THEN 'detail' WHEN 'click' THEN 'add'
-         WHEN 'signup' THEN 'remove' WHEN 'purchase' THEN 'purchase' END AS product_action,
+         WHEN 'signup' THEN 'remove' WHEN 'purchase' THEN 'purchase'
+         ELSE CASE WHEN event_id % 17 = 0 THEN ' ' END END AS product_action,
     CASE WHEN event_type = 'error' OR event_id % 89 = 0 THEN NULL
+         WHEN event_id % 91 = 0 THEN '  '
          ELSE json_extract_string(props, '$.k') END AS product_sku_hash,
     epoch_us(ts) // 1000 AS server_timestamp_epoch_ms,
     CASE WHEN event_id % 13 = 0 THEN NULL ELSE sha256(props) END AS hashed_url
@@ -49,8 +51,9 @@ _CATALOG = """
 catalog AS (
   SELECT CAST(p_partkey % 100 AS VARCHAR) AS product_sku_hash,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS category_hash,
-         CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(ceil(p_size / 5.0) AS DOUBLE) END AS price_bucket
-  FROM part
+         CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 0.0 WHEN p_partkey % 8 = 0 THEN 11.0
+              ELSE CAST(ceil(p_size / 5.0) AS DOUBLE) END AS price_bucket
+  FROM part WHERE p_partkey % 100 < 90
 ),
 catalog_dedup AS (
   SELECT product_sku_hash, category_hash, price_bucket FROM (
@@ -86,22 +89,25 @@ retail_ids AS (
   SELECT
     e.event_id AS event_seq,
     e.user_id AS user_num,
-    CAST(e.event_id AS VARCHAR) AS event_id,
+    make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS log_time,
+    CASE WHEN e.event_id % 109 = 0 THEN NULL WHEN e.event_id % 53 = 0 THEN 'x' || e.event_id
+         ELSE CAST(e.event_id AS VARCHAR) END AS event_id,
     CASE e.event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'add_to_cart'
-         WHEN 'signup' THEN 'remove_from_cart' WHEN 'purchase' THEN 'purchase' END AS event_type,
-    make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS event_timestamp,
-    CAST(e.user_id AS VARCHAR) AS customer_id,
-    CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y%m%d') AS session_id,
-    CAST(e.k AS VARCHAR) AS product_id,
-    p.p_name AS product_name,
-    p.p_type AS category,
+         WHEN 'signup' THEN 'remove_from_cart' WHEN 'purchase' THEN 'purchase' WHEN 'error' THEN 'page_error' END AS event_type,
+    CASE WHEN e.event_id % 47 = 0 THEN NULL ELSE make_timestamp((epoch_us(e.ts) // 1000) * 1000) END AS event_timestamp,
+    CASE WHEN e.event_id % 67 = 0 THEN '' WHEN e.event_id % 31 = 0 THEN '0' ELSE CAST(e.user_id AS VARCHAR) END AS customer_id,
+    CASE WHEN e.event_id % 113 = 0 THEN NULL WHEN e.event_id % 43 = 0 THEN ''
+         ELSE CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y%m%d') END AS session_id,
+    CASE WHEN e.event_id % 127 = 0 THEN NULL WHEN e.event_id % 41 = 0 THEN '' ELSE CAST(e.k AS VARCHAR) END AS product_id,
+    CASE WHEN e.event_id % 71 = 0 THEN '' ELSE p.p_name END AS product_name,
+    CASE WHEN e.event_id % 59 = 0 THEN 'TOYS' ELSE p.p_type END AS category,
     CASE WHEN e.event_id % 83 = 0 THEN -e.value ELSE e.value END AS unit_price,
     CAST(CASE WHEN e.event_id % 79 = 0 THEN 0 ELSE 1 + e.k % 3 END AS INTEGER) AS quantity,
-    CASE WHEN e.event_id % 73 = 0 THEN 'FRA'
-         ELSE (['FR', 'DE', 'IT', 'ES', 'GB', 'US', 'CH'])[e.user_id % 7 + 1] END AS country,
-    (['mobile', 'desktop', 'tablet'])[e.user_id % 3 + 1] AS device
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
-        FROM events WHERE event_type <> 'error') e
+    CASE WHEN e.event_id % 73 = 0 THEN 'FRA' WHEN e.event_id % 29 = 0 THEN 'XX'
+         ELSE (['PT', 'NL', 'SE', 'PL', 'GR', 'FI', 'IE'])[e.user_id % 7 + 1] END AS country,
+    CASE WHEN e.event_id % 61 = 0 THEN 'tv' WHEN e.event_id % 23 = 0 THEN 'tablet'
+         ELSE (['mobile', 'desktop', 'tablet'])[e.user_id % 3 + 1] END AS device
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
   JOIN part p ON p.p_partkey = e.k
 )"""
 
@@ -131,7 +137,7 @@ retail_log AS (
     (event_seq % 101 = 0) AS malformed,
     CAST(user_num % 6 AS INTEGER) AS kafka_partition,
     row_number() OVER (PARTITION BY user_num % 6 ORDER BY event_seq, copy) - 1 AS kafka_offset,
-    event_timestamp AS kafka_timestamp
+    log_time AS kafka_timestamp
   FROM retail_copies
 ),
 retail_parsed AS (
@@ -141,8 +147,8 @@ retail_parsed AS (
 )"""
 
 _CLICK_LOG = f"""
-click_log AS (
-  SELECT *,
+click_sent AS (
+  SELECT * REPLACE (CASE WHEN epoch_ms(event_timestamp) % 103 = 0 THEN 'elsewhere' ELSE source END AS source),
     CASE WHEN epoch_ms(event_timestamp) % 97 = 0 THEN 'wrong' ELSE session_id END AS kafka_key,
     (epoch_ms(event_timestamp) % 101 = 0) AS malformed,
     CAST(CAST(split_part(session_id, '-', 1) AS BIGINT) % 6 AS INTEGER) AS kafka_partition,
@@ -152,6 +158,11 @@ click_log AS (
     event_timestamp AS kafka_timestamp
   FROM prepared
 ),
+click_log AS (
+  SELECT * FROM click_sent WHERE kafka_offset % 211 <> 7
+  UNION ALL
+  SELECT * FROM click_sent WHERE kafka_offset % 211 <> 7 AND kafka_offset % 199 = 3
+),
 click_parsed AS (
   SELECT kafka_key, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, malformed,
     {_nulled(_CLICK_FIELDS)}
@@ -437,7 +448,8 @@ FROM browsing""",
     "inspect_prepared": _with(*PREP)
     + """SELECT count(*) AS total_events, min(event_timestamp) AS first_event, max(event_timestamp) AS last_event,
   CAST(sum(CASE WHEN category_hash IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS events_without_category,
-  CAST(sum(CASE WHEN price_bucket IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS events_without_price_bucket
+  CAST(sum(CASE WHEN price_bucket IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS events_without_price_bucket,
+  true AS unique_events_estimate_ok, true AS sessions_estimate_ok
 FROM prepared""",
     "inspect_prepared_types": _with(*PREP) + _value_counts("prepared", "event_type"),
     "inspect_prepared_sample": _with(*PREP)
@@ -482,7 +494,7 @@ FROM silver_c""",
     + "SELECT kafka_partition, count(*) AS event_count FROM silver_c GROUP BY kafka_partition",
     "layer_counts": _with(*SILVER_C)
     + f"""SELECT log_records, bronze_records, silver_records, quarantined_records,
-  bronze_records - silver_records - quarantined_records AS duplicates_removed
+  CAST(0 AS BIGINT) AS late_records, bronze_records - silver_records - quarantined_records AS duplicates_removed
 FROM (SELECT
   (SELECT count(*) FROM click_log) AS log_records,
   (SELECT count(*) FROM click_log) AS bronze_records,
@@ -490,7 +502,7 @@ FROM (SELECT
   (SELECT count(*) FROM click_parsed WHERE NOT ({_all(_CLICK_RULES)})) AS quarantined_records) t""",
     "layer_counts_retail": _with(*SILVER_R)
     + f"""SELECT log_records, bronze_records, silver_records, quarantined_records,
-  bronze_records - silver_records - quarantined_records AS duplicates_removed
+  CAST(0 AS BIGINT) AS late_records, bronze_records - silver_records - quarantined_records AS duplicates_removed
 FROM (SELECT
   (SELECT count(*) FROM retail_log) AS log_records,
   (SELECT count(*) FROM retail_log) AS bronze_records,
@@ -550,3 +562,46 @@ UNION ALL SELECT 'Purchased', purchase_sessions FROM funnel""",
 FROM funnel""",
     "report_price_segments": _with(*SILVER_C, _PRICE_BUCKETS) + "SELECT price_segment, purchases FROM price_buckets",
 }
+
+
+# ---- written and CSV paths, order as data, micro-batches ------------------------------
+_BATCHES = """
+batches AS (
+  SELECT event_id, user_id, 1 + event_id % 4 AS batch,
+         CASE WHEN event_id % 4 = 3 AND event_id % 11 = 0 THEN 1 ELSE 1 + event_id % 4 END AS hour, 0 AS again FROM events
+  UNION ALL SELECT event_id, user_id, 2, 2, 1 FROM events WHERE event_id % 4 = 0 AND event_id % 7 = 0
+  UNION ALL SELECT event_id, user_id, 4, 4, 2 FROM events WHERE event_id % 4 = 0 AND event_id % 10 = 0
+)"""
+#: Rows are late against the watermark of the batch before: in batch 4, that of batch 2 less 30 minutes.
+_LATE_ROWS = "batch = 4 AND hour = 1"
+
+
+def _batch_rows(keep: str) -> str:
+    return _with(_BATCHES) + f"""SELECT CAST(event_id AS VARCHAR) AS source_event_id, CAST(user_id AS VARCHAR) AS session_id,
+  make_timestamp((1704067200 + hour * 7200 + event_id % 600) * 1000000) AS event_timestamp,
+  CAST(make_timestamp((1704067200 + hour * 7200 + event_id % 600) * 1000000) AS DATE) AS event_date
+FROM batches WHERE {keep}"""
+
+
+ORACLE_SQL |= {
+    "prepared_written": ORACLE_SQL["prepare_events"],
+    "prepare_csv": ORACLE_SQL["prepare_events"],
+    "profile_csv": ORACLE_SQL["profile_raw"],
+    "silver_batches_watermark": _batch_rows(f"again <> 1 AND NOT ({_LATE_ROWS})"),
+    "silver_batches_exact": _batch_rows(f"again = 0 AND NOT ({_LATE_ROWS})"),
+    "layer_counts_batches": _with(_BATCHES) + f"""SELECT count(*) AS log_records, count(*) AS bronze_records,
+  count(*) FILTER (again <> 1 AND NOT ({_LATE_ROWS})) AS silver_records, CAST(0 AS BIGINT) AS quarantined_records,
+  count(*) FILTER ({_LATE_ROWS}) AS late_records, count(*) FILTER (again = 1) AS duplicates_removed
+FROM batches""",
+    "ordered_categories": _with(*SILVER_C, _CATEGORIES)
+    + "SELECT category, row_number() OVER (ORDER BY purchases DESC, category) - 1 AS place FROM categories",
+    "ordered_price_segments": _with(*SILVER_C, _PRICE_BUCKETS)
+    + """SELECT price_segment, row_number() OVER (
+  ORDER BY price_segment = 'unknown', try_cast(price_segment AS INTEGER)) - 1 AS place FROM price_buckets""",
+    "ordered_actions": _with(_BROWSING)
+    + """SELECT product_action, row_number() OVER (ORDER BY count(*) DESC, product_action NULLS FIRST) - 1 AS place
+FROM browsing GROUP BY product_action""",
+    "ordered_offsets": _with(*RLOG)
+    + """SELECT kafka_partition, row_number() OVER (ORDER BY kafka_partition) - 1 AS place
+FROM retail_log GROUP BY kafka_partition""",
+}

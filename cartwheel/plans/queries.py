@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.events import as_ntz
 from cartwheel.operators import gold, inspection, profiling, quality, replay, report
-from cartwheel.operators.prepare import dedup_catalog
+from cartwheel.operators.prepare import dedup_catalog, write_prepared
+from cartwheel.operators.prepare import prepare_events as prepare
 from cartwheel.plans import tables
 from cartwheel.schemas import CLICK_EVENT_SCHEMA, EVENT_SCHEMA
 from cartwheel.session import scratch_path, use_utc
 from cartwheel.sources import fixtures
+from cartwheel.sources.files import read_browsing_csv, read_catalog_csv
 from cartwheel.sources.log import read_log_stream
 from cartwheel.streaming.preview import preview_records
 from cartwheel.streaming.runner import run_to_completion
@@ -70,13 +72,13 @@ def retail_funnel(spark, sf_dir):
 
 
 def retail_product(spark, sf_dir):
-    """G2 over Silver R."""
-    return gold.build_product_metrics(tables.silver_table(spark, sf_dir, "retail"))
+    """G2 over Silver R, from the first level that the three retail tables share."""
+    return gold.build_retail_gold_tables(tables.silver_table(spark, sf_dir, "retail"))[1]
 
 
 def retail_country(spark, sf_dir):
-    """G3 over Silver R."""
-    return gold.build_country_metrics(tables.silver_table(spark, sf_dir, "retail"))
+    """G3 over Silver R, from the first level that the three retail tables share."""
+    return gold.build_retail_gold_tables(tables.silver_table(spark, sf_dir, "retail"))[2]
 
 
 # ---- Prepare -------------------------------------------------------------------------
@@ -95,31 +97,65 @@ def gold_on_prepared(spark, sf_dir):
     return gold.build_funnel(fixtures.prepared(spark, sf_dir))
 
 
+def prepared_written(spark, sf_dir):
+    """X1 written clustered and partitioned by date (A8, F4, L1) and read back."""
+    path = scratch_path(spark, "prepared")
+    write_prepared(fixtures.prepared(spark, sf_dir), path)
+    return _ntz(spark.read.parquet(path), "event_timestamp")
+
+
 # ---- Profile -------------------------------------------------------------------------
-def profile_raw(spark, sf_dir):
-    """P1; the two HyperLogLog estimates are reported as 'within 3 rsd' flags
-    next to the exact columns (their exact value is an estimate, not a contract)."""
-    browsing = fixtures.browsing(spark, sf_dir)
-    metrics = profiling.profile_tables(browsing)[0]
+def _within(estimate: str, exact: str, rsd: float = 0.05):
+    """Whether an estimate is within 3 standard deviations (its value is no contract)."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * F.lit(3 * rsd)
+
+
+def _beside(metrics: DataFrame, exact: DataFrame) -> DataFrame:
+    """Two one-row aggregates side by side."""
+    return metrics.unionByName(exact, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in metrics.columns + exact.columns])
+
+
+def _profile(browsing: DataFrame) -> DataFrame:
     exact = browsing.agg(
         F.count_distinct("session_id_hash").alias("_s"),
         F.count_distinct("product_sku_hash").alias("_p"),
     )
-    within = lambda est, ex: (F.abs(F.col(est) - F.col(ex)) <= F.col(ex) * F.lit(0.15))
-    # two one-row aggregates side by side (the exact counts are only the check)
-    return metrics.unionByName(exact, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in metrics.columns + exact.columns]
-    ).select(
+    return _beside(profiling.profile_tables(browsing)[0], exact).select(
         "total_events",
         "minimum_timestamp_ms",
         "maximum_timestamp_ms",
         "events_without_product_action",
         "events_without_product",
-        within("approximate_sessions", "_s").alias("sessions_estimate_ok"),
-        within("approximate_products", "_p").alias("products_estimate_ok"),
+        _within("approximate_sessions", "_s").alias("sessions_estimate_ok"),
+        _within("approximate_products", "_p").alias("products_estimate_ok"),
     )
 
 
+def profile_raw(spark, sf_dir):
+    """P1; the estimates are compared with exact counts."""
+    return _profile(fixtures.browsing(spark, sf_dir))
+
+
+def _browsing_csv(spark, sf_dir) -> DataFrame:
+    path = scratch_path(spark, "browsing_csv")
+    fixtures.browsing(spark, sf_dir).write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_browsing_csv(spark, path)
+
+
+def profile_csv(spark, sf_dir):
+    """P1 over the raw log as header CSV (A3)."""
+    return _profile(_browsing_csv(spark, sf_dir))
+
+
+def prepare_csv(spark, sf_dir):
+    """X1 over the raw log and the catalogue as header CSV (A3)."""
+    path = scratch_path(spark, "catalog_csv")
+    fixtures.catalog(spark, sf_dir).write.option("header", True).csv(path)
+    return _ntz(prepare(_browsing_csv(spark, sf_dir), read_catalog_csv(spark, path)), "event_timestamp")
+
+
 def profile_event_types(spark, sf_dir):
     """P2 (from the one-pass profile)."""
     return profiling.profile_tables(fixtures.browsing(spark, sf_dir))[1]
@@ -132,10 +168,14 @@ def profile_actions(spark, sf_dir):
 
 # ---- Inspect prepared ----------------------------------------------------------------
 def inspect_prepared(spark, sf_dir):
-    """I1 (exact columns; estimates checked in profile_raw)."""
-    q = inspection.prepared_quality(fixtures.prepared(spark, sf_dir))
+    """I1; the estimates are compared with exact counts."""
+    prepared = fixtures.prepared(spark, sf_dir)
+    exact = prepared.agg(F.count_distinct("source_event_id").alias("_e"), F.count_distinct("session_id").alias("_s"))
     return _ntz(
-        q.select("total_events", "first_event", "last_event", "events_without_category", "events_without_price_bucket"),
+        _beside(inspection.prepared_quality(prepared), exact).select(
+            "total_events", "first_event", "last_event", "events_without_category", "events_without_price_bucket",
+            _within("approximate_unique_events", "_e").alias("unique_events_estimate_ok"),
+            _within("approximate_sessions", "_s").alias("sessions_estimate_ok")),
         "first_event",
         "last_event",
     )
@@ -249,7 +289,8 @@ def layer_counts(spark, sf_dir):
 
     bronze = tables.bronze_table(spark, sf_dir, "click")
     return inspection.layer_reconciliation(
-        tables.log_table(spark, sf_dir, "click"), bronze, tables.silver_table(spark, sf_dir, "click"), q(bronze)
+        tables.log_table(spark, sf_dir, "click"), bronze, tables.silver_table(spark, sf_dir, "click"), q(bronze),
+        tables.late_records(tables.silver_path(spark, sf_dir, "click"))
     )
 
 
@@ -259,7 +300,8 @@ def layer_counts_retail(spark, sf_dir):
 
     bronze = tables.bronze_table(spark, sf_dir, "retail")
     return inspection.layer_reconciliation(
-        tables.log_table(spark, sf_dir, "retail"), bronze, tables.silver_table(spark, sf_dir, "retail"), q(bronze)
+        tables.log_table(spark, sf_dir, "retail"), bronze, tables.silver_table(spark, sf_dir, "retail"), q(bronze),
+        tables.late_records(tables.silver_path(spark, sf_dir, "retail"))
     )
 
 
@@ -283,6 +325,55 @@ def quarantine_click(spark, sf_dir):
     )
 
 
+def silver_batches_watermark(spark, sf_dir):
+    """H1, H3, H4 over four micro-batches: late rows dropped, state expires."""
+    s = spark.read.parquet(tables.silver_batches_path(spark, sf_dir, "watermark"))
+    return _ntz(s.select("source_event_id", "session_id", "event_timestamp", "event_date"), "event_timestamp")
+
+
+def silver_batches_exact(spark, sf_dir):
+    """H1, H2, H4 over the same micro-batches: late rows dropped, state never expires."""
+    s = spark.read.parquet(tables.silver_batches_path(spark, sf_dir, "exact"))
+    return _ntz(s.select("source_event_id", "session_id", "event_timestamp", "event_date"), "event_timestamp")
+
+
+def layer_counts_batches(spark, sf_dir):
+    """I10 with late rows counted apart from duplicates (H4)."""
+    from cartwheel.streaming.silver import quarantine_click as q
+
+    path = tables.silver_batches_path(spark, sf_dir, "watermark")
+    bronze = spark.read.parquet(tables.batches_path(spark, sf_dir))
+    return inspection.layer_reconciliation(bronze, bronze, spark.read.parquet(path), q(bronze), tables.late_records(path))
+
+
+# ---- Order as data -------------------------------------------------------------------
+def _ranked(df: DataFrame) -> DataFrame:
+    """A small ordered table with the place that each row came out at."""
+    return df.coalesce(1).select("*", F.monotonically_increasing_id().alias("place"))
+
+
+def ordered_categories(spark, sf_dir):
+    """G5 in its order."""
+    return _ranked(gold.build_category_metrics(tables.silver_table(spark, sf_dir, "click"))).select("category", "place")
+
+
+def ordered_price_segments(spark, sf_dir):
+    """G6 in its order (numbers, unknown last)."""
+    return _ranked(gold.build_price_bucket_metrics(tables.silver_table(spark, sf_dir, "click"))).select(
+        "price_segment", "place")
+
+
+def ordered_actions(spark, sf_dir):
+    """P3 in its order (null and blank included)."""
+    return _ranked(profiling.profile_tables(fixtures.browsing(spark, sf_dir))[2]).select("product_action", "place")
+
+
+def ordered_offsets(spark, sf_dir):
+    """I5 in its order."""
+    return _ranked(inspection.partition_offsets(tables.bronze_table(spark, sf_dir, "retail"))).select(
+        "kafka_partition", "place")
+
+
 # ---- Replay --------------------------------------------------------------------------
 def _payload_back(records: DataFrame) -> DataFrame:
     parsed = records.select("key", F.from_json("value", CLICK_EVENT_SCHEMA).alias("e"))
@@ -361,6 +452,16 @@ _ALL: dict[str, Query] = {
     "retail_product": retail_product,
     "retail_country": retail_country,
     "prepare_events": prepare_events,
+    "prepared_written": prepared_written,
+    "prepare_csv": prepare_csv,
+    "profile_csv": profile_csv,
+    "silver_batches_watermark": silver_batches_watermark,
+    "silver_batches_exact": silver_batches_exact,
+    "layer_counts_batches": layer_counts_batches,
+    "ordered_categories": ordered_categories,
+    "ordered_price_segments": ordered_price_segments,
+    "ordered_actions": ordered_actions,
+    "ordered_offsets": ordered_offsets,
     "catalog_dedup": catalog_dedup,
     "gold_on_prepared": gold_on_prepared,
     "profile_raw": profile_raw,

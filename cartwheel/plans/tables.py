@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.session import app_id, scratch_path, use_utc
@@ -19,6 +20,7 @@ from cartwheel.streaming.bronze import run_bronze
 from cartwheel.streaming.silver import run_silver, silver_click, silver_retail
 
 _BUILT: dict[tuple, str] = {}
+_LATE: dict[str, int] = {}  # late rows of the run that built a Silver folder
 _LOCK = threading.Lock()
 
 
@@ -30,8 +32,10 @@ def _readable(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - lists the folder only
         return True
-    except Exception:  # removed since it was built
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False  # removed since it was built
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
@@ -90,12 +94,45 @@ def silver_path(spark: SparkSession, sf_dir: str, family: str, dedup: str = "wat
         stream = spark.readStream.schema(BRONZE_SCHEMA).format("parquet").load(src)
         silver = silver_retail(stream, dedup=dedup) if family == "retail" else silver_click(stream, dedup=dedup)
         out = scratch_path(spark, "silver", family, dedup)
-        run_silver(silver, out, scratch_path(spark, "ckpt", "silver", family, dedup))
+        _LATE[out] = run_silver(silver, out, scratch_path(spark, "ckpt", "silver", family, dedup))
         return out
 
     return _memo(spark, sf_dir, f"silver/{family}/{dedup}", build)
 
 
+def batches_path(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze in four micro-batches of FILES files each (fixtures.click_batches)."""
+    def build() -> str:
+        use_utc(spark)
+        path = scratch_path(spark, "bronze", "batches")
+        rows = fixtures.click_batches(spark, sf_dir)
+        for n in range(1, fixtures.BATCHES + 1):
+            # the stream takes files by age, so a batch's files are written before the next one's
+            rows.where(f"batch = {n}").drop("batch").repartition(fixtures.BATCH_FILES).write.mode("append").parquet(path)
+        return path
+
+    return _memo(spark, sf_dir, "bronze/batches", build)
+
+
+def silver_batches_path(spark: SparkSession, sf_dir: str, dedup: str) -> str:
+    def build() -> str:
+        from cartwheel.schemas import BRONZE_SCHEMA
+
+        use_utc(spark)
+        stream = (spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
+                  .option("maxFilesPerTrigger", str(fixtures.BATCH_FILES)).load(batches_path(spark, sf_dir)))
+        out = scratch_path(spark, "silver", "batches", dedup)
+        _LATE[out] = run_silver(silver_click(stream, dedup=dedup), out, scratch_path(spark, "ckpt", "batches", dedup))
+        return out
+
+    return _memo(spark, sf_dir, f"silver/batches/{dedup}", build)
+
+
+def late_records(path: str) -> int:
+    """Rows that the run which built the Silver folder ``path`` dropped as late."""
+    return _LATE[path]
+
+
 def log_table(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
     return read_log(spark, log_path(spark, sf_dir, family))
 

@@ -1,16 +1,14 @@
-"""Event log access: a Kafka topic in production, or a *log table* with Kafka's
-record shape (key, value, topic, partition, offset, timestamp, timestampType)
-stored as Parquet, which is what tests and the bench use (no broker here).
+"""Event log access: a Kafka topic, or (reading only) a *log table* with Kafka's record
+shape (key, value, topic, partition, offset, timestamp, timestampType) stored as Parquet.
 
 Both formats return the same columns, so Bronze code does not care which it reads.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.operators.sequence import assign_sequence
 from cartwheel.schemas import LOG_SCHEMA
 
 LOG_COLUMNS = [f.name for f in LOG_SCHEMA.fields]
@@ -24,9 +22,14 @@ def read_log_stream(
     topic: str | None = None,
     starting_offsets: str = "earliest",
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
     extra_options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A1 / A2: streaming read of the log."""
+    """A1 / A2: streaming read of the log.
+
+    ``max_offsets_per_trigger`` (Kafka) and ``max_files_per_trigger`` (log table) bound a
+    micro-batch; without them the first one takes all that there is.
+    """
     if fmt == "kafka":
         reader = (
             spark.readStream.format("kafka")
@@ -34,6 +37,8 @@ def read_log_stream(
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
         )
+        if max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     elif fmt == "parquet":
         reader = spark.readStream.schema(LOG_SCHEMA).format("parquet").option("path", path)
         if max_files_per_trigger:
@@ -50,98 +55,23 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
-def default_partition(key: str | Column, partitions: int) -> Column:
-    """Stable partition of a key, never negative (keyed records keep their order)."""
-    key_col = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(key_col), F.lit(partitions)).cast("int")
-
-
-def next_offsets(spark: SparkSession, path: str) -> DataFrame | None:
-    """(partition, next offset) of an existing log table, or None when there is none.
-
-    A small aggregate (one row per log partition), used to continue the numbering.
-    """
-    try:
-        log = read_log(spark, path)
-        log.schema  # noqa: B018 - resolves the path
-    except Exception:  # AnalysisException: path does not exist / empty
-        return None
-    return log.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
-
-
-def to_log_records(
-    records: DataFrame,
-    topic: str,
-    partition: Column,
-    order: list[str],
-    timestamp: Column | None = None,
-    start: DataFrame | None = None,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Give ``records`` (columns ``key``, ``value`` as string or binary) the log shape.
-
-    Offsets are dense per partition, in ``order`` (columns of ``records``), as a
-    broker would assign them when the rows are sent in that order; ``start``
-    (partition, next_offset) continues an existing log. ``partitions`` declares the
-    number of log partitions that ``partition`` can take.
-    """
-    staged = records.select(
-        F.col("key").cast("binary").alias("key"),
-        F.col("value").cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        partition.cast("int").alias("partition"),
-        (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-    )
-    ordered = assign_sequence(
-        staged,
-        "partition",
-        [f"_o{i}" for i in range(len(order))],
-        out="offset",
-        start=start if start is not None else 0,
-        key_cardinality=partitions,
-    )
-    return ordered.select(*LOG_COLUMNS)
-
-
 def publish(
     records: DataFrame,
-    fmt: str = "parquet",
-    path: str | None = None,
-    bootstrap_servers: str | None = None,
-    topic: str | None = None,
-    partitions: int = 6,
-    order: list[str] | None = None,
-    timestamp: Column | None = None,
+    bootstrap_servers: str,
+    topic: str,
     idempotent: bool = True,
 ) -> None:
-    """Write keyed records (``key``, ``value``) to the log.
+    """Write keyed records (``key``, ``value``) to a Kafka topic.
 
-    Kafka: the broker assigns partitions (by key) and offsets; ``acks=all`` and the
-    idempotent producer avoid duplicates on retries. Log table: partition by a stable
-    hash of the key, offsets dense in ``order``, appended as Parquet.
+    The broker assigns partitions (by key) and offsets; ``acks=all`` and the idempotent
+    producer avoid duplicates on retries.
     """
-    if fmt == "kafka":
-        writer = (
-            records.select(F.col("key").cast("string"), F.col("value").cast("string"))
-            .write.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("topic", topic)
-        )
-        if idempotent:
-            writer = writer.option("kafka.acks", "all").option("kafka.enable.idempotence", "true")
-        writer.save()
-        return
-    if fmt != "parquet":
-        raise ValueError(f"unknown log format {fmt!r}")
-    log = to_log_records(
-        records,
-        topic or "events",
-        default_partition("key", partitions),
-        order or ["key"],
-        timestamp,
-        start=next_offsets(records.sparkSession, path),
-        partitions=partitions,
+    writer = (
+        records.select(F.col("key").cast("string"), F.col("value").cast("string"))
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
     )
-    log.write.mode("append").parquet(path)
+    if idempotent:
+        writer = writer.option("kafka.acks", "all").option("kafka.enable.idempotence", "true")
+    writer.save()

@@ -49,23 +49,8 @@ def run_to_completion(
     fmt: str = "parquet",
     timeout_s: float | None = None,
 ) -> StreamingQuery:
-    """Run ``df`` with ``availableNow`` until the input is drained; raise on failure.
-
-    A bounded run skips the trailing no-data micro-batch: it would only advance the
-    watermark and evict state, and the run ends right after (the stream copies the
-    session's settings when it starts, so the caller's setting is restored at once).
-    """
-    spark = df.sparkSession
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        query = start_stream(df, path, checkpoint, fmt=fmt, partition_by=partition_by, available_now=True)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    """Run ``df`` with ``availableNow`` until the input is drained; raise on failure."""
+    query = start_stream(df, path, checkpoint, fmt=fmt, partition_by=partition_by, available_now=True)
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if finished is False:
         query.stop()
@@ -74,3 +59,8 @@ def run_to_completion(
     if error is not None:
         raise RuntimeError(f"stream into {path} failed: {error}")
     return query
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the finished ``query`` dropped because they were behind the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

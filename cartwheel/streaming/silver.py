@@ -9,8 +9,8 @@ Dedup modes
     it comes, but the state keeps every id for ever.
 Both drop rows that are already behind the watermark (of the previous micro-batch).
 
-A bounded historical backfill should run as one ``availableNow`` batch (or the
-batch form below): when the input is ordered by session rather than by time, later
+A bounded historical backfill should run as one ``availableNow`` batch, or on a batch
+frame with ``"exact"``: when the input is ordered by session rather than by time, later
 micro-batches would otherwise find most rows behind the watermark.
 """
 
@@ -27,15 +27,18 @@ from cartwheel.schemas import (
     CLICK_SOURCE,
     EVENT_SCHEMA,
 )
-from cartwheel.streaming.runner import run_to_completion, start_stream
+from cartwheel.streaming.runner import late_rows, run_to_completion, start_stream
 
 
 def _dedup(df: DataFrame, key: str, watermark: str, mode: str) -> DataFrame:
     if mode not in ("watermark", "exact"):
         raise ValueError(f"unknown dedup mode {mode!r}")
     if not df.isStreaming:
-        # Batch (backfill / tests): the watermark is a no-op and the id alone decides.
-        return df.dropDuplicates([key])
+        if mode != "exact":
+            raise ValueError("a batch has no watermark: use dedup='exact'")
+        # one survivor whatever the order of rows: the first in the log
+        first = F.min_by(F.struct("*"), F.struct("kafka_partition", "kafka_offset"))
+        return df.groupBy(F.col(key).alias("_key")).agg(first.alias("row")).select("row.*")
     marked = df.withWatermark("event_timestamp", watermark)
     if mode == "exact":
         return marked.dropDuplicates([key])
@@ -76,5 +79,6 @@ def start_silver(silver: DataFrame, path: str, checkpoint: str, processing_time:
     return start_stream(silver, path, checkpoint, partition_by=["event_date"], processing_time=processing_time)
 
 
-def run_silver(silver: DataFrame, path: str, checkpoint: str) -> None:
-    run_to_completion(silver, path, checkpoint, partition_by=["event_date"])
+def run_silver(silver: DataFrame, path: str, checkpoint: str) -> int:
+    """Bounded Silver run; returns the rows dropped as late (``layer_reconciliation``)."""
+    return late_rows(run_to_completion(silver, path, checkpoint, partition_by=["event_date"]))

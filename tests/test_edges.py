@@ -30,7 +30,7 @@ def test_json_edge_rows(spark):
         ("s1", json.dumps({**GOOD, "source_event_id": "extra", "extra": [1, 2]})),
         ("s1", json.dumps({**GOOD, "source_event_id": "offset", "event_timestamp": "2024-01-01T01:00:00.000+02:00"})),
     ]
-    out = {r.source_event_id: r for r in silver_click(bronze(spark, rows)).collect()}
+    out = {r.source_event_id: r for r in silver_click(bronze(spark, rows), dedup="exact").collect()}
     # partial parse: a wrong-typed bucket becomes null (null buckets are allowed)
     assert set(out) == {"wrong_type", "extra", "offset"}
     assert out["wrong_type"].price_bucket is None
@@ -59,8 +59,7 @@ def test_every_builder_on_empty_input(spark):
     assert gold.build_country_metrics(retail).count() == 0
     m, types, actions = profiling.profile_tables(empty(spark, BROWSING_SCHEMA))
     assert types.count() == 0 and actions.count() == 0
-    direct = profiling.profile_metrics(empty(spark, BROWSING_SCHEMA)).first().asDict()
-    assert m.first().asDict() == direct
+    direct = m.first().asDict()
     assert direct["total_events"] == 0 and direct["approximate_sessions"] == 0
     assert direct["events_without_product"] is None and direct["minimum_timestamp_ms"] is None
     q = inspection.prepared_quality(click).first()

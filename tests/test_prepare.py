@@ -57,20 +57,35 @@ def test_prepare_keeps_unknown_and_null_skus_and_drops_page_views(spark):
     assert str(rows["detail"].event_date) == "2024-01-01"
 
 
-def test_prepare_broadcasts_only_a_checked_small_catalogue(spark):
-    browsing = spark.createDataFrame([("s1", "event_product", "detail", "k", 1, None)], B)
+def test_prepare_reads_the_log_once_and_lets_the_planner_choose_the_join(spark, tmp_dir):
+    from cartwheel.operators.prepare import cluster_for_write
+
+    spark.createDataFrame([("s1", "event_product", "detail", "k", 1, None)] * 5, B).write.parquet(f"{tmp_dir}/b")
     catalog = spark.createDataFrame([("k", None, "c", None, 1.0)], C)
-    small = prepare_events(browsing, catalog, broadcast_catalog="auto")
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    plan = cluster_for_write(prepare_events(spark.read.parquet(f"{tmp_dir}/b"), catalog))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    # a rebalance, not a range partitioning: that would run the scan and the join for its sample
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and "rangepartitioning" not in text
+    assert text.count("FileScan parquet") == 1
+    assert "BroadcastHashJoin" not in prepare_events(spark.read.parquet(f"{tmp_dir}/b"), catalog)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count() == 5
+
+
+def test_events_without_sku_do_not_meet_in_one_task(spark):
+    rows = [(f"s{i}", "event_product", "detail", None, i, None) for i in range(2000)]
+    catalog = spark.createDataFrame([(None, None, "never", None, 1.0), ("k", None, "c", None, 1.0)], C)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        big = prepare_events(browsing, catalog, broadcast_catalog="auto", max_broadcast_rows=0)
-        assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
-        assert big.count() == 1
+        out = prepare_events(spark.createDataFrame(rows, B), catalog)
+        from pyspark.sql import functions as F
+
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2000 and max(sizes) < 800
+        assert out.where("category_hash is not null").count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_clustered_write_sorted_inside_files(spark, tmp_dir):
@@ -104,14 +119,15 @@ def test_csv_edge_rows_and_profile(spark, tmp_dir):
         fh.write(CSV_BROWSING)
     df = read_browsing_csv(spark, path)
     assert df.schema.fieldNames() == BROWSING_SCHEMA.fieldNames()
-    m = profiling.profile_metrics(df).first()
+    m0, _, actions = profiling.profile_tables(df)
+    m = m0.first()
     assert m.total_events == 6
     # null: row 2 (empty), row 3 (quoted empty); blank: row 4 (" ")
     assert m.events_without_product_action == 3
     # null: rows 2, 5; blank: row 3 ("  ")
     assert m.events_without_product == 3
     assert m.minimum_timestamp_ms == 1000 and m.maximum_timestamp_ms == 1003
-    types = {r.product_action: r["count"] for r in profiling.product_action_counts(df).collect()}
+    types = {r.product_action: r["count"] for r in actions.collect()}
     assert types[None] == 2
 
 
@@ -127,13 +143,21 @@ def test_catalog_csv_reader(spark, tmp_dir):
 
 
 def test_one_pass_profile_equals_three_scans(spark):
+    from pyspark.sql import functions as F
+
     from cartwheel.sources import fixtures
 
     b = fixtures.browsing(spark, "/root/testdata/sf0.01")
-    m1, t1, a1 = profiling.profile_tables(b)
-    m0 = profiling.profile_metrics(b).first().asDict()
-    assert m1.first().asDict() == m0
-    assert [tuple(r) for r in t1.collect()] == [tuple(r) for r in profiling.event_type_counts(b).collect()]
-    assert [tuple(r) for r in a1.collect()] == [tuple(r) for r in profiling.product_action_counts(b).collect()]
+    m, types, actions = profiling.profile_tables(b)
+    for table, name in ((types, "event_type"), (actions, "product_action")):
+        counts = {r[name]: r["count"] for r in b.groupBy(name).count().collect()}
+        assert [tuple(r) for r in table.collect()] == sorted(counts.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))
+    m = m.first()
+    exact = b.agg(F.count("*").alias("n"), F.count_distinct("session_id_hash").alias("s"),
+                  F.count_distinct("product_sku_hash").alias("p")).first()
+    assert m.total_events == exact.n
+    assert abs(m.approximate_sessions - exact.s) <= 0.15 * exact.s
+    assert abs(m.approximate_products - exact.p) <= 0.15 * exact.p
     plan = profiling.profile_pass(b)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    # the only generator is the adapter's own (repeated rows): the profile expands nothing
+    assert plan.count("Exchange") == 1 and plan.count("Generate") == 1
