@@ -3,15 +3,15 @@
 Texts are cut into chunks of CHUNK characters, wherever that falls. A state at a border
 is a piece that covers the character before it. For every chunk, on its own, a matrix
 says which state at its end can be reached from which state at its start, at what value
-(minus the tokens spent; minus infinity: not at all). Matrices of neighbouring chunks
+(minus the tokens spent at its two ends; minus infinity: not at all). Matrices of neighbouring chunks
 combine by max-plus products, which are associative; a scan over them fixes the states
 at all borders, and then every chunk is traced back by itself between its two states.
 
 A step from piece to piece is open only if the model allows the two side by side (see
 ``pieces.py``), so the one path through a text is exactly the library's encoding.
 
-Inside a chunk only its first and last segment depend on the borders; the others are
-worked out once and remembered.
+Inside a chunk only its first and last segment depend on the borders. What lies between
+costs every path the same, so it is left out of the matrix and worked out when tracing.
 
 Defined results: null and empty texts have no tokens and decode to the empty text; a
 literal U+2581 is encoded as, and decodes to, a blank, as in the library; special
@@ -22,7 +22,8 @@ other than the text are passed through.
 from __future__ import annotations
 
 import zlib
-from functools import reduce
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import documents, written
 from cartwheel.llm.pieces import BYTES, SPACE, PieceModel, piece_model
 
-CHUNK = 16_384
-GROUP = 512
+CHUNK = 32_768
+#: Texts, and chunks, that a task works on together.
+GROUP, CHUNK_GROUP = 512, 32
 #: A piece occurrence: first character and the one after the last, counted in the text.
 State = tuple[int, int]
 NOTHING = -np.inf
@@ -126,9 +128,8 @@ class Chunk:
             return self.to_end(self.first, self.low)
         heads = self.ending_at(self.head)
         to_head = self.values(self.first, self.head, heads).max(axis=1, initial=NOTHING)
-        inside = -float(len(self.encoder.ids_between(self, self.head, self.tail)))
         from_tail = self.to_end([(self.tail, self.tail)], self.tail)
-        return to_head[:, None] + inside + from_tail[0][None, :len(ends)]
+        return to_head[:, None] + from_tail[0][None, :len(ends)]
 
     def to_end(self, starts: list[State], low: int) -> np.ndarray:
         """Values from states to the states at the chunk's end."""
@@ -148,27 +149,27 @@ class Chunk:
             step = nodes[step][0][1]
         return path[::-1]
 
-    def trace(self, i: int, j: int) -> list[int]:
+    def trace(self, i: int, j: int) -> np.ndarray:
         """Ids of the pieces that begin in the chunk, between its states i and j."""
         goals = [self.last[j]] if self.high < self.length else self.ending_at(self.length)
         if self.head is None:
             return self.ids(self.back([self.first[i]], self.high, goals))
         head = self.back([self.first[i]], self.head, self.ending_at(self.head))
         tail = self.back([(self.tail, self.tail)], self.high, goals)
-        return self.ids(head) + self.encoder.ids_between(self, self.head, self.tail) + self.ids(tail)
+        return np.concatenate([self.ids(head), self.encoder.ids_between(self, self.head, self.tail), self.ids(tail)])
 
-    def ids(self, path: list[State]) -> list[int]:
+    def ids(self, path: list[State]) -> np.ndarray:
         out: list[int] = []
         for s, e in path:
             piece = self.piece(s, e)
             out += [self.model.byte_id[b] for b in self.cut(s, e).encode()] if piece == BYTES else [piece]
-        return out
+        return np.array(out, dtype=np.int32)
 
 
 class Encoder:
     """Encodes texts, remembering the segments of earlier ones."""
 
-    REMEMBER = 400_000
+    REMEMBER = 300_000
     SHORT = 48
 
     def __init__(self, model: PieceModel):
@@ -189,8 +190,8 @@ class Encoder:
         known = self.known
         return [b"".join([known.get(x) or found[x] for x in p]) for p in parts]
 
-    def ids_between(self, chunk: Chunk, start: int, end: int) -> list[int]:
-        return np.frombuffer(self.segments([chunk.cut(start, end)])[0], dtype=np.int32).tolist() if end > start else []
+    def ids_between(self, chunk: Chunk, start: int, end: int) -> np.ndarray:
+        return np.frombuffer(self.segments([chunk.cut(start, end)])[0] if end > start else b"", dtype=np.int32)
 
     def chunk(self, text: str, number: int, size: int = CHUNK) -> Chunk:
         """A chunk of a whole normal text (tests; tasks get windows instead)."""
@@ -199,6 +200,12 @@ class Encoder:
         return Chunk(self, window, origin, low, high, len(text))
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """One encoder, with its memory, per Python worker, whatever the number of tasks."""
+    return Encoder(piece_model(path))
+
+
 def cut_window(text: str, low: int, high: int, reach: int) -> tuple[str, int]:
     origin = max(0, low - reach)
     return text[origin:high + reach], origin
@@ -239,6 +246,12 @@ class Decoder:
         return text[1:]  # the blank that encoding put before the text
 
 
+def id_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    """One list of ids for each row."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
+
+
 def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids", chunk: int = CHUNK) -> DataFrame:
     """The columns of ``docs`` with the ids of the column ``text``.
 
@@ -250,13 +263,12 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
     length = F.coalesce(F.length("text"), F.lit(0))
 
     def whole(batches):
-        encoder = Encoder(piece_model(model_path))
+        encoder = shared_encoder(model_path)
         for b in batches:
             for start in range(0, b.num_rows, GROUP):
                 part = b.slice(start, GROUP)
                 found = encoder.segments([normal(t) for t in part.column(at).to_pylist()])
-                ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
+                ids = id_lists([np.frombuffer(x, dtype=np.int32) for x in found])
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, into])
 
     # SPACE comes before a text: it makes one character more
@@ -282,18 +294,23 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
     chunks = written(giants.select("__row", "text").mapInArrow(cut, columns)
                      .repartition(F.col("__row"), F.col("number")), "text_chunks")
 
-    def opened(encoder, b):
-        for r in b.to_pylist():
-            yield r, Chunk(encoder, r["window"], r["origin"], r["low"], r["high"], r["length"])
+    def opened(batches):
+        """Few chunks at a time, with the rows that they come from."""
+        encoder = shared_encoder(model_path)
+        for b in batches:
+            for start in range(0, b.num_rows, CHUNK_GROUP):
+                yield [(r, Chunk(encoder, r["window"], r["origin"], r["low"], r["high"], r["length"]))
+                       for r in b.slice(start, CHUNK_GROUP).to_pylist()]
+
+    def keys(group):
+        return [pa.array([r["__row"] for r, _ in group], pa.int64()), pa.array([r["number"] for r, _ in group], pa.int32())]
 
     def transfer(batches):
-        encoder = Encoder(piece_model(model_path))
-        for b in batches:
-            rows = [(r["__row"], r["number"], c.matrix()) for r, c in opened(encoder, b)]
+        for group in opened(batches):
+            found = [c.matrix() for _, c in group]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int32()),
-                 pa.array([x[2].shape[0] for x in rows], pa.int32()),
-                 pa.array([x[2].astype(np.float64).tobytes() for x in rows], pa.binary())],
+                [*keys(group), pa.array([m.shape[0] for m in found], pa.int32()),
+                 pa.array([m.astype(np.float64).tobytes() for m in found], pa.binary())],
                 ["__row", "number", "rows", "matrix"])
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -306,12 +323,9 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
               .groupBy("__row").applyInPandas(scan, "__row long, number int, enter int, leave int"))
 
     def trace(batches):
-        encoder = Encoder(piece_model(model_path))
-        for b in batches:
-            rows = [(r["__row"], r["number"], c.trace(r["enter"], r["leave"])) for r, c in opened(encoder, b)]
+        for group in opened(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int32()),
-                 pa.array([x[2] for x in rows], pa.list_(pa.int32()))], ["__row", "number", "ids"])
+                [*keys(group), id_lists([c.trace(r["enter"], r["leave"]) for r, c in group])], ["__row", "number", "ids"])
 
     ids = (chunks.join(states, ["__row", "number"]).mapInArrow(trace, "__row long, number int, ids array<int>")
            .groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("number", "ids"))).alias("parts"))
@@ -320,6 +334,15 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
     return short.unionByName(long)
 
 
+def id_rows(column: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of every row, one row at a time."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    end = 0
+    for size in column.value_lengths().to_numpy(zero_copy_only=False):
+        start, end = end, end + int(size)
+        yield flat[start:end]
+
+
 def decode_documents(encoded: DataFrame, model_path: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
     """Add the text that the ids stand for."""
     at = encoded.columns.index(ids)
@@ -328,37 +351,34 @@ def decode_documents(encoded: DataFrame, model_path: str, ids: str = "token_ids"
     def run(batches):
         decoder = Decoder(piece_model(model_path))
         for b in batches:
-            texts = [decoder.decode(x) for x in b.column(at).to_pylist()]
+            texts = [decoder.decode(x.tolist()) for x in id_rows(b.column(at))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, into])
 
     return encoded.mapInArrow(run, schema)
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, decoded_chars and whether the text came back."""
+def digest(encoded: DataFrame, model_path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32, decoded_chars and whether the text came back, from
+    rows of doc_id, text and token_ids. Decoded texts stay in the task."""
     def run(batches):
+        decoder = Decoder(piece_model(model_path))
         for b in batches:
-            lists = b["token_ids"]
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.cumsum(
-                [0] + lists.value_lengths().to_pylist())
-            crc = [zlib.crc32(flat[s:e].tobytes()) for s, e in zip(ends, ends[1:])]
+            out: list[list] = [[], [], [], []]
+            for text, ids in zip(b["text"], id_rows(b["token_ids"])):
+                decoded = decoder.decode(ids.tolist())
+                for c, v in zip(out, (len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(decoded),
+                                      (text.as_py() or "").replace(SPACE, " ") == decoded)):
+                    c.append(v)
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "n_tokens", "ids_crc32"])
-
-    same = F.translate(F.coalesce("text", F.lit("")), SPACE, " ") == F.col("decoded")
-    narrow = decoded.select("doc_id", "token_ids", F.length("decoded").cast("long").alias("decoded_chars"), same.alias("round_trip"))
-
-    def both(batches):
-        for b in batches:
-            (d,) = run([b])
-            yield pa.RecordBatch.from_arrays([*d.columns, b["decoded_chars"], b["round_trip"]],
-                                             names=[*d.schema.names, "decoded_chars", "round_trip"])
+                [b["doc_id"], *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.bool_())],
+                ["doc_id", "n_tokens", "ids_crc32", "decoded_chars", "round_trip"])
 
-    return narrow.mapInArrow(both, "doc_id long, n_tokens long, ids_crc32 long, decoded_chars long, round_trip boolean")
+    return encoded.select("doc_id", "text", "token_ids").mapInArrow(
+        run, "doc_id long, n_tokens long, ids_crc32 long, decoded_chars long, round_trip boolean")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, decoded again, and the digest of both."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return digest(decode_documents(encode_documents(docs, path), path))
+    return digest(encode_documents(docs, path), path)

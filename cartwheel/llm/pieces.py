@@ -28,7 +28,7 @@ class PieceModel:
     """Pieces, scores and pair decisions of one ``.model`` file of the BPE kind."""
 
     #: Remembered pairs; forgotten all at once when there are more.
-    REMEMBER = 2_000_000
+    REMEMBER = 1_000_000
 
     def __init__(self, path: str):
         p = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -43,7 +43,7 @@ class PieceModel:
         if not p.id_to_piece(probe[0]).startswith(SPACE) or p.encode("a  b") == p.encode("a b"):
             raise ValueError("a model that marks the start and keeps repeated blanks is needed")
         self.processor = p
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left * 2**32 + right
         # a line end before a text keeps the library's first blank away from it
         self.lead = len(p.encode("\n"))
         # pieces that merging never makes cannot occur
@@ -69,12 +69,12 @@ class PieceModel:
         """Whether piece ``right`` may stand after piece ``left``."""
         if left == BYTES or right == BYTES:
             return True
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is None:
             known = self.alone(self.text_of[left] + self.text_of[right]) == [left, right]
             if len(self.pairs) >= self.REMEMBER:
                 self.pairs.clear()
-            self.pairs[left, right] = known
+            self.pairs[left << 32 | right] = known
         return known
 
     def prefixes(self, segments: Iterable[str]) -> Iterator[tuple[str, list[int], list[int], list[int]]]:
@@ -103,7 +103,7 @@ class PieceModel:
                     left = last[j]
                     if left == BYTES:
                         break
-                    fits = pairs.get((left, piece))
+                    fits = pairs.get(left << 32 | piece)
                     if self.follows(left, piece) if fits is None else fits:
                         break
                 else:
