@@ -46,8 +46,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The query, with this package on the path of local Python workers.
+def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query or stage (its first argument is the session), with this package on the
+    path of local Python workers.
 
     On a cluster the package is installed or sent with ``--py-files``; a local session
     started from another folder would not find it.
@@ -55,12 +56,12 @@ def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[S
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
     @wraps(query)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run(spark: SparkSession, *args) -> DataFrame:
         sc = spark.sparkContext
         if sc.master.startswith("local"):
             paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
             if root not in paths:
                 sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
-        return query(spark, sf_dir)
+        return query(spark, *args)
 
     return run

@@ -50,8 +50,8 @@ HOMOGLYPHS = {
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 
-#: A digit or sign stands for a letter only between letters (or such signs) of one word.
-_DISGUISED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])")
+#: A digit or sign stands for a letter between letters of a word, and one before two of them.
+_DISGUISED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![\w@$!])[0134578@$](?=[^\W\d_][^\W_])")
 _DIGIT_MAP = str.maketrans(DIGITS)
 _GLYPH_MAP = str.maketrans(HOMOGLYPHS)
 _MARKS = re.compile("[̀-ͯ​-‏⁠﻿]")

@@ -61,11 +61,11 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
-    ("language", language_stage),
-    ("quality", quality_stage),
-    ("near_dedup", near_dedup_stage),
-    ("mix", mix_stage),
-    ("encode", encode_stage),
+    ("language", with_package(language_stage)),
+    ("quality", with_package(quality_stage)),
+    ("near_dedup", with_package(near_dedup_stage)),
+    ("mix", with_package(mix_stage)),
+    ("encode", with_package(encode_stage)),
 ]
 
 #: The model of the first stage, signatures and subword merges are beyond SQL.
