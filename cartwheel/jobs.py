@@ -194,7 +194,7 @@ def cmd_preview(spark, a) -> None:
     start_console_preview(_read_log(spark, a), a.checkpoint).awaitTermination()
 
 
-def main(argv: list[str] | None = None) -> None:
+def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="cartwheel")
     parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
     parser.add_argument("--shuffle-partitions", type=int, default=None)
@@ -256,10 +256,20 @@ def main(argv: list[str] | None = None) -> None:
         from cartwheel.operators.replay import check_sample_args
 
         check_sample_args(a.modulus, a.remainder)
+    return a
+
+
+def run(spark, a: argparse.Namespace) -> None:
+    """One job in a session that is there already."""
+    globals()[f"cmd_{a.cmd}"](spark, a)
+
+
+def main(argv: list[str] | None = None) -> None:
+    a = parse(argv)
     spark = build_session(f"cartwheel-{a.cmd}", master=a.master, shuffle_partitions=a.shuffle_partitions)
     spark.sparkContext.setLogLevel("WARN")
     try:
-        globals()[f"cmd_{a.cmd}"](spark, a)
+        run(spark, a)
     finally:
         if a.cmd not in ("bronze", "silver", "preview") or a.__dict__.get("available_now"):
             spark.stop()

@@ -1,5 +1,5 @@
-"""The command-line jobs, run as a user would: CSV -> prepared -> replay into a log
-table -> Bronze -> Silver -> Gold -> inspect, each in its own process."""
+"""The command-line jobs: one in a process of its own, as a user would run it, the others
+through the same argument parser in the tests' session."""
 
 import json
 import os
@@ -8,17 +8,35 @@ import sys
 
 import pytest
 
+from cartwheel import jobs
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def job(*args, timeout=300):
-    cmd = [sys.executable, "-m", "cartwheel.jobs", "--master", "local[2]", "--shuffle-partitions", "4", *args]
-    res = subprocess.run(cmd, cwd=ROOT, capture_output=True, text=True, timeout=timeout)
-    assert res.returncode == 0, res.stderr[-3000:]
-    return res.stdout
+@pytest.fixture()
+def job(spark, capsys):
+    def run(*args):
+        width = spark.conf.get("spark.sql.shuffle.partitions")
+        try:
+            jobs.run(spark, jobs.parse(list(args)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+        return capsys.readouterr().out
+
+    return run
+
+
+def test_a_job_as_a_process(spark, tmp_dir):
+    from cartwheel.sources import fixtures
+
+    fixtures.browsing(spark, "/root/testdata/sf0.001").write.option("header", True).csv(f"{tmp_dir}/b")
+    cmd = [sys.executable, "-m", "cartwheel.jobs", "--master", "local[2]", "--shuffle-partitions", "4"]
+    done = subprocess.run([*cmd, "profile", "--browsing", f"{tmp_dir}/b"], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "total_events" in done.stdout and "1020" in done.stdout
 
 
-def test_job_chain(spark, tmp_dir):
+def test_job_chain(spark, tmp_dir, job):
     from pyspark.sql import functions as F
 
     from cartwheel.operators import replay
@@ -60,7 +78,7 @@ def test_job_chain(spark, tmp_dir):
     assert rejected.count() == prepared.filter(~good).count() > 0
     assert {r.reasons[0] for r in rejected.select("reasons").collect()} == {"missing_product_id", "bad_price_bucket"}
 
-    with pytest.raises(AssertionError):
+    with pytest.raises(ValueError):
         job("replay", "--prepared", f"{tmp_dir}/prepared", "--modulus", "0")
 
 
@@ -68,7 +86,6 @@ def test_replay_and_publish_jobs_send_keyed_records(spark, tmp_dir, monkeypatch)
     """What the jobs hand to the Kafka sink (no broker here)."""
     from types import SimpleNamespace
 
-    from cartwheel import jobs
     from cartwheel.sources import fixtures, log
 
     sent = []
@@ -88,7 +105,7 @@ def test_replay_and_publish_jobs_send_keyed_records(spark, tmp_dir, monkeypatch)
         jobs.cmd_replay(spark, SimpleNamespace(prepared=f"{tmp_dir}/p", modulus=10**9, remainder=10**9 - 1, tasks=3, **args))
 
 
-def test_retail_log_to_gold_jobs(spark, tmp_dir):
+def test_retail_log_to_gold_jobs(spark, tmp_dir, job):
     from pyspark.sql import functions as F
 
     from cartwheel.sources import fixtures
