@@ -13,6 +13,7 @@ from cartwheel.llm.imatch import op7_fingerprints
 from cartwheel.llm.language import op8_language_id
 from cartwheel.llm.mixing import op3_mix_sources
 from cartwheel.llm.near_dup import op10_near_dedup
+from cartwheel.llm.oracle import OP5, OP10
 from cartwheel.llm.quality import op5_quality_rules
 from cartwheel.llm.sharding import op9_sharding
 from cartwheel.llm.token_counts import op4_token_counts
@@ -33,4 +34,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_near_dedup": OP10}
