@@ -14,11 +14,6 @@ def is_type(event_type: str, column: str = "event_type") -> Column:
     return F.col(column) == F.lit(event_type)
 
 
-def event_count(event_type: str, column: str = "event_type") -> Column:
-    """Rows of one event type; null, not 0, where there are no rows at all."""
-    return F.when(F.count(F.lit(1)) > 0, F.count_if(is_type(event_type, column)))
-
-
 def null_count(column: str) -> Column:
     return F.sum(F.when(F.col(column).isNull(), 1).otherwise(0))
 
