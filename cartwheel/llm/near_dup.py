@@ -7,15 +7,17 @@
    of more than REGION classes goes deeper, one hash at a time (adaptive depth), after
    its hub, the class most like the region's consensus, has become a candidate for all
    its members; what is still too large at full depth is dealt to equal parts by hash.
+   Afterwards those of a large region that are not in its main component are set against
+   all its members in blocks, so the limit costs no link.
 3. Inside a region, in the order of the tree, neighbours with the longest common prefix
    are candidates, and so are the members and the hub of their cluster (the class that
    most others of the region resemble, by signature), where signatures agree enough.
    So a region gives about as many pairs as it has members, not all pairs.
 4. Candidates are confirmed on their full sets: 100 * intersection >= 75 * union.
    Confirmed links are contracted to components.
-5. A second round takes the regions that still hold several components and confirms the
-   pairs of members of different components whose signatures agree enough. Members of
-   one component need no more links.
+5. A second round takes the regions that still hold several components, sends their
+   members' full sets there and confirms, inside the region, pairs of members of different
+   components whose signatures agree enough. Members of one component need no more links.
 
 A pair of similarity 0.75 shares a region in some tree with probability 0.9998
 (1 - (1 - 0.75 ** 3) ** 16), and its signatures agree enough with probability 0.998.
@@ -219,17 +221,47 @@ def first_round(table: pa.Table) -> pa.RecordBatch | None:
         [pa.array([key] * len(a), pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["key", "a", "b"])
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets (sorted) are similar enough."""
+    common = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+
+
 def second_round(table: pa.Table) -> pa.RecordBatch | None:
-    """Pairs of look-alikes in different components."""
-    near = alike(signatures_of(table["signature"]), table["size"].to_numpy())
+    """Links between different components of a region, confirmed on full sets here.
+
+    Look-alikes are tried from the likeliest on, and those whose components have been
+    linked meanwhile are passed over: a pair of components costs one link, or one
+    comparison for each of its look-alikes if there is none.
+    """
+    signatures, sizes = signatures_of(table["signature"]), table["size"].to_numpy()
     component = pd.factorize(np.array(table["component"].to_pylist(), dtype=object))[0]
-    near &= component[:, None] != component[None, :]
+    near = alike(signatures, sizes) & (component[:, None] != component[None, :])
     a, b = np.nonzero(np.triu(near))
     if not len(a):
         return None
+    equal = (signatures[a] == signatures[b]).sum(axis=1)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+    joined = list(range(component.max() + 1))
+
+    def root(i: int) -> int:
+        while joined[i] != i:
+            i = joined[i]
+        return i
+
+    links = []
+    for k in np.argsort(-equal, kind="stable"):
+        i, j = int(a[k]), int(b[k])
+        x, y = root(component[i]), root(component[j])
+        if x != y and similar(sets[i], sets[j]):
+            joined[x] = y
+            links.append((i, j))
+    if not links:
+        return None
     classes = table["class"].to_pylist()
     return pa.RecordBatch.from_arrays(
-        [pa.array([classes[i] for i in a], pa.binary()), pa.array([classes[i] for i in b], pa.binary())], ["a", "b"])
+        [pa.array([classes[i] for i, _ in links], pa.binary()), pa.array([classes[j] for _, j in links], pa.binary())],
+        ["a", "b"])
 
 
 def consensus_hubs(rows: DataFrame, sample: int = 512) -> DataFrame:
@@ -268,11 +300,13 @@ def consensus_hubs(rows: DataFrame, sample: int = 512) -> DataFrame:
             .select("class", "signature", "hub", "mode").mapInArrow(likely, "a binary, b binary"))
 
 
-def forest_regions(entries: DataFrame, signatures: DataFrame, limit: int = REGION) -> tuple[DataFrame, DataFrame | None]:
-    """Members of all regions of 2 to ``limit`` classes (key, label, class, size), and
-    candidates (a, b) through the hubs of larger ones (None if there were none)."""
+def forest_regions(entries: DataFrame, signatures: DataFrame,
+                   limit: int = REGION) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Members of all regions of 2 to ``limit`` classes (key, label, class, size); and, if
+    there are larger ones, candidates (a, b) through their hubs, and the members (key,
+    class) of the larger regions before they went deeper."""
     key = F.xxhash64("tree", F.substring("label", 1, 4 * MIN_DEPTH))
-    rows, regions, hubs = entries.withColumn("key", key), None, None
+    rows, regions, hubs, whole = entries.withColumn("key", key), None, None, None
     for depth in range(MIN_DEPTH, DEPTH + 2):
         counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members >= 2")
         rows = written(rows.join(counts, "key").select("key", "label", "class", "size", "members"), "forest")
@@ -281,13 +315,43 @@ def forest_regions(entries: DataFrame, signatures: DataFrame, limit: int = REGIO
         large = rows.where(F.col("members") > limit)
         if depth > DEPTH or large.isEmpty():
             break
+        whole = large.select("key", "class") if whole is None else whole
         pairs = consensus_hubs(large.join(signatures, "class"))
         hubs = pairs if hubs is None else hubs.unionByName(pairs)
         # one hash deeper; at full depth, equal parts by hash
         part = (F.substring("label", 4 * depth + 1, 4) if depth < DEPTH else
                 F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / (limit / 2))).cast("string").cast("binary"))
         rows = large.withColumn("key", F.xxhash64("key", part)).drop("members")
-    return regions, hubs
+    return regions, hubs, whole
+
+
+def blocks_of_rest(whole: DataFrame, found: DataFrame, limit: int = REGION) -> DataFrame:
+    """Large regions' members (key, class, component) in blocks for the second round.
+
+    Once the hub's links are confirmed, most members of a large region are in one main
+    component. The others are set against all members, in blocks of at most about
+    ``limit`` rows: every pair of which one is outside the main component meets in a block.
+    """
+    named = whole.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        "key", "class", F.coalesce("component", "class").alias("component"))
+    main = (named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main")))
+    tagged = named.join(main, "key").withColumn("rest", F.col("component") != F.col("main"))
+    half = limit / 2
+    sizes = tagged.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.count_if("rest").alias("others")).where(
+        "others > 0").select("key", F.ceil(F.col("all") / half).alias("parts"), F.ceil(F.col("others") / half).alias("rest_parts"))
+    tagged = tagged.join(sizes, "key")
+
+    def part(salt: str, parts: str):
+        return F.pmod(F.xxhash64("class", F.lit(salt)), F.col(parts))
+
+    def each(parts: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+
+    everyone = tagged.select("key", "class", "component", part("all", "parts").alias("part"), each("rest_parts").alias("rest_part"))
+    others = tagged.where("rest").select("key", "class", "component", each("parts").alias("part"), part("rest", "rest_parts").alias("rest_part"))
+    return everyone.unionByName(others).select(
+        F.xxhash64("key", "part", "rest_part").alias("key"), "class", "component").distinct()
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -315,11 +379,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b["set_a"], b["set_b"]):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
+            keep = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                    for x, y in zip(b["set_a"], b["set_b"])]
             yield pa.RecordBatch.from_arrays([b["a"], b["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
@@ -364,7 +425,7 @@ def near_duplicates(docs: DataFrame, limit: int = REGION) -> DataFrame:
             F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size")), "classes")
     signatures = written(rows.where("signature is not null").select("class", F.col("n_shingles").alias("size"), "signature")
                          .dropDuplicates(["class"]), "signatures")
-    regions, hubs = forest_regions(tree_entries(signatures), signatures.select("class", "signature"), limit)
+    regions, hubs, whole = forest_regions(tree_entries(signatures), signatures.select("class", "signature"), limit)
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -375,7 +436,8 @@ def near_duplicates(docs: DataFrame, limit: int = REGION) -> DataFrame:
         pairs = pairs.unionByName(hubs)
     pairs = written(pairs.distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("class")).unionByName(inside.select(F.col("a").alias("class"))).unionByName(
-        pairs.select(F.col("b").alias("class"))).distinct()
+        pairs.select(F.col("b").alias("class")))
+    nodes = (nodes if whole is None else nodes.unionByName(whole.select("class"))).distinct()
     sets = written(shingle_sets(docs, written(classes.select("class", "doc_id").join(nodes, "class"), "wanted")), "sets")
     links = written(confirmed(pairs, sets), "links")
     found = written(components(links), "components")
@@ -384,17 +446,14 @@ def near_duplicates(docs: DataFrame, limit: int = REGION) -> DataFrame:
     named = members.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         "key", "class", F.coalesce("component", "class").alias("component"))
     several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    mixed = (named.join(several.select("key"), "key").join(signatures, "class")
-             .withColumn("label", F.col("class")))
-    cross = by_region(mixed, second_round, "a binary, b binary", width)
-    more = written(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-                   .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-                         ["a", "b"], "left_anti"), "more_pairs")
-    if not more.isEmpty():
-        new = written(confirmed(more, sets), "more_links")
-        if not new.isEmpty():
-            found = written(components(found.where("node != component").select(
-                F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)), "components")
+    mixed = named.join(several.select("key"), "key")
+    if whole is not None:
+        mixed = mixed.unionByName(blocks_of_rest(whole, found, limit))
+    mixed = mixed.join(signatures, "class").join(sets, "class").withColumn("label", F.col("class"))
+    new = written(by_region(mixed, second_round, "a binary, b binary", width), "more_links")
+    if not new.isEmpty():
+        found = written(components(found.where("node != component").select(
+            F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)), "components")
 
     named = classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "doc_id", F.coalesce("component", "class").alias("component"))

@@ -252,14 +252,18 @@ def test_token_file_random_access(tmp_path):
     assert f.null_ids.tolist() == [i == 4 for i in range(len(docs))]
 
 
-def test_near_dup_regions_over_the_limit_go_deeper(spark, small_rows):
-    """A group of edited copies larger than a region's limit: same components."""
-    base = WORD.findall(small_rows[0][1])[:120]
-    rng = np.random.default_rng(5)
+@pytest.mark.parametrize("edits", [1, 4, 7])
+def test_near_dup_regions_over_the_limit_lose_no_link(spark, small_rows, edits):
+    """Groups of edited copies larger than a region's limit. With more edits the copies
+    are linked with their original but hardly with each other, or not at all."""
+    base = WORD.findall(small_rows[0][1])[:200]
+    rng = np.random.default_rng(edits)
     rows = [(i, r[1], None, None) for i, r in enumerate(small_rows[:30])]
-    for i in range(60):
+    rows.append((999, " ".join(base), None, None))
+    for i in range(80):
         words = list(base)
-        words[int(rng.integers(len(words)))] = f"edit{i}"
+        for k in rng.choice(len(words), edits, replace=False):
+            words[int(k)] = f"edit{i}x{k}"
         rows.append((1000 + i, " ".join(words), None, None))
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     got = near_dup.near_duplicates(docs, limit=16).select("doc_id", "n_shingles", "component_id").collect()
