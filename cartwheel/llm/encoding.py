@@ -37,7 +37,7 @@ from cartwheel.llm.pieces import BYTES, SPACE, PieceModel, piece_model
 
 CHUNK = 32_768
 #: Texts, and chunks, that a task works on together.
-GROUP, CHUNK_GROUP = 512, 32
+GROUP, CHUNK_GROUP = 256, 16
 #: A piece occurrence: first character and the one after the last, counted in the text.
 State = tuple[int, int]
 NOTHING = -np.inf
@@ -169,7 +169,7 @@ class Chunk:
 class Encoder:
     """Encodes texts, remembering the segments of earlier ones."""
 
-    REMEMBER = 300_000
+    REMEMBER = 150_000
     SHORT = 48
 
     def __init__(self, model: PieceModel):

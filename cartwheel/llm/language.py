@@ -37,6 +37,8 @@ SWITCH = 12.0
 #: A language uses a script if so much of its letters are of it.
 SCRIPT_SHARE = 0.02
 UNKNOWN = "und"
+#: Texts that a task labels together.
+GROUP = 256
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -125,8 +127,10 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
 class Labeller:
     """Labels texts in blocks; remembers the scores of words between blocks."""
 
-    REMEMBER = 400_000
-    BLOCK_WORDS = 400_000
+    REMEMBER = 200_000
+    BLOCK_WORDS = 150_000
+    #: Words whose n-grams are counted together.
+    SCORED = 10_000
 
     def __init__(self, model: Model, switch: float = SWITCH):
         self.model, self.switch = model, switch
@@ -140,7 +144,8 @@ class Labeller:
             self.scores = self.scores[:0]
         if fresh:
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            self.scores = np.concatenate([self.scores, self.model.word_scores(fresh)])
+            self.scores = np.concatenate([self.scores, *[
+                self.model.word_scores(fresh[i:i + self.SCORED]) for i in range(0, len(fresh), self.SCORED)]])
         return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
 
     def label(self, texts: list[list[str]]) -> Iterator[tuple[int, np.ndarray]]:
@@ -241,8 +246,8 @@ def identify(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str
     def run(batches):
         labeller = Labeller(shared.value)
         for b in batches:
-            for start in range(0, b.num_rows, 512):
-                part = b.slice(start, 512)
+            for start in range(0, b.num_rows, GROUP):
+                part = b.slice(start, GROUP)
                 found = labeller.summary(part.column(at).to_pylist())
                 cols = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
                         pa.array([f[2] for f in found], pa.int32())]

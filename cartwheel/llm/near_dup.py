@@ -59,7 +59,7 @@ _PLACES = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.
 class Shingler:
     """Shingle sets as sorted distinct 64-bit hashes, remembering the hashes of words."""
 
-    REMEMBER = 500_000
+    REMEMBER = 200_000
 
     def __init__(self):
         self.known: dict[str, int] = {}

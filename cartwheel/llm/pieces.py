@@ -28,7 +28,7 @@ class PieceModel:
     """Pieces, scores and pair decisions of one ``.model`` file of the BPE kind."""
 
     #: Remembered pairs; forgotten all at once when there are more.
-    REMEMBER = 1_000_000
+    REMEMBER = 500_000
 
     def __init__(self, path: str):
         p = sentencepiece.SentencePieceProcessor(model_file=path)
