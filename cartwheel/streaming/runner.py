@@ -7,12 +7,50 @@ or the next stream reads. Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
+#: Seconds between two looks at a bounded run's progress.
+LOOK_S = 0.5
+
+
+class Dropped:
+    """Running total of the rows behind the watermark, batch by batch.
+
+    Spark remembers the progress of the last batches only
+    (``spark.sql.streaming.numRecentProgressUpdates``), so it is read while the query runs.
+    Batch ids have no gaps: a forgotten batch is an error, never a lower number.
+    """
+
+    def __init__(self, remembered: int):
+        self.remembered = remembered
+        self.total = 0
+        self.last: int | None = None  # batch id
+        self.rows = 0  # of the last batch, which may be reported again
+
+    def take(self, progress: Iterable) -> None:
+        found: dict[int, int] = {}
+        updates = list(progress)
+        for p in updates:
+            rows = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+            found[p.batchId] = max(rows, found.get(p.batchId, 0))
+        if not found:
+            return
+        first = min(found)
+        # Spark drops the oldest update when the list has come to the number remembered
+        if first > self.last + 1 if self.last is not None else len(updates) >= self.remembered - 1 and first > 0:
+            raise RuntimeError(f"the progress of batches before {first} was forgotten before it was read")
+        for k in sorted(found):
+            if self.last is None or k > self.last:
+                self.total, self.last, self.rows = self.total + found[k], k, found[k]
+            elif k == self.last and found[k] > self.rows:
+                self.total, self.rows = self.total + found[k] - self.rows, found[k]
+
+
 def start_stream(
     df: DataFrame,
     path: str | None,
@@ -51,16 +89,24 @@ def run_to_completion(
 ) -> StreamingQuery:
     """Run ``df`` with ``availableNow`` until the input is drained; raise on failure."""
     query = start_stream(df, path, checkpoint, fmt=fmt, partition_by=partition_by, available_now=True)
-    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
-    if finished is False:
-        query.stop()
-        raise TimeoutError(f"stream into {path} did not finish in {timeout_s} s")
+    query.dropped = dropped = Dropped(_remembered(df))
+    end = time.monotonic() + timeout_s if timeout_s else float("inf")
+    while not query.awaitTermination(max(0.01, min(LOOK_S, end - time.monotonic()))):
+        dropped.take(query.recentProgress)
+        if time.monotonic() >= end:
+            query.stop()
+            raise TimeoutError(f"stream into {path} did not finish in {timeout_s} s")
     error = query.exception()
     if error is not None:
         raise RuntimeError(f"stream into {path} failed: {error}")
+    dropped.take(query.recentProgress)
     return query
 
 
+def _remembered(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the finished ``query`` dropped because they were behind the watermark."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    """Rows that ``query``, finished by ``run_to_completion``, dropped because they were behind the watermark."""
+    return query.dropped.total
