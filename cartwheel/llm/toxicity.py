@@ -202,11 +202,11 @@ def learn(rows: DataFrame, tasks: int = 6) -> Lexicon:
         # whole words that begin like a term, and are as usual in clean texts as in toxic ones
         stems = sorted({k for k in kept if not k.endswith(" ")})
         if stems:
-            starts = F.lit(False)
-            for s in stems[:200]:
-                starts = starts | F.col("feature").startswith(s)
-            usual = counts.where(F.col("feature").endswith(" ") & starts & (g >= 3) & (g * bad >= b * good))
-            lexicon.exceptions = [r["feature"].rstrip(" ") for r in usual.select("feature").collect()]
+            word = F.rtrim(F.col("feature"))
+            usual = counts.where(F.col("feature").endswith(" ") & (g >= 3) & (g * bad >= b * good)).select(
+                word.alias("word"), F.explode(F.array(*[F.when(F.length(word) >= k, F.substring(word, 1, k)) for k in PREFIXES])).alias("stem"))
+            known = chosen.sparkSession.createDataFrame([(s,) for s in stems], "stem string")
+            lexicon.exceptions = [r["word"] for r in usual.join(known, "stem", "left_semi").select("word").distinct().collect()]
 
         def weigh(batches):
             automaton = lexicon.automaton()
