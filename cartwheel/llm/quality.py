@@ -4,8 +4,9 @@ Every document gets a few counts and the rules it breaks. Failures are then summ
 host; a host's failure rate under each rule is shrunk towards the rate of all hosts
 with a beta prior fitted to the hosts themselves (empirical Bayes), so a host with few
 documents is judged by the corpus and one with many by its own record. A host whose
-shrunken rate exceeds the limit, and is at least WORSE times the rate of all documents,
-loses all its documents; the verdicts, one row per host, are joined back to the documents.
+shrunken rate exceeds the limit, and is at least WORSE times the rate of all other hosts'
+documents, loses all its documents; the verdicts, one row per host, are joined back to the
+documents. A lone host has no others to be worse than, and keeps its documents.
 
 Defined results: a null or blank text has no words and breaks the length rule; a null
 host is a host of its own; repeated rows count and are judged each; extra columns are
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import BLANKS, documents, written
 
 SYMBOLS = "#*$%&|<>"
-#: A bad host fails so many times as often as all documents, at least.
+#: A bad host fails so many times as often as the documents of all other hosts, at least.
 WORSE = 2.0
 #: The prior weighs as much as so many documents of a host, at least and at most.
 STRENGTH = (20.0, 1e6)
@@ -152,10 +153,13 @@ def beta_priors(sums: DataFrame, names: list[str]) -> dict[str, tuple[float, flo
 
 def bad_hosts(sums: DataFrame, priors: dict[str, tuple[float, float]], limits: Limits = Limits()) -> DataFrame:
     """``__host`` of every host whose shrunken failure rate is above the limit for some rule."""
-    bad = F.lit(False)
+    row = sums.agg(F.sum("__docs").alias("n"), *[F.sum(f"__f_{k}").alias(f"f_{k}") for k in priors]).first()  # one row of sums
+    others, bad = F.lit(row["n"] or 0) - F.col("__docs"), F.lit(False)
     for k, (mean, strength) in priors.items():
         shrunk = (F.col(f"__f_{k}") + mean * strength) / (F.col("__docs") + strength)
-        bad = bad | ((shrunk > limits.host_rate) & (shrunk >= WORSE * mean))
+        # multiplied out: a lone host has no others
+        worse = (others > 0) & (shrunk * others >= WORSE * (F.lit(row[f"f_{k}"] or 0) - F.col(f"__f_{k}")))
+        bad = bad | ((shrunk > limits.host_rate) & worse)
     return sums.where(bad).select("__host", F.lit(True).alias("__host_bad"))
 
 
