@@ -8,12 +8,18 @@ a quarter to a few hundredths of a percent, and each gives a hash of the text's
 it. Of two texts, the share of equal hashes, among those that either text has, tells how
 much their terms have in common.
 
+Document frequencies are counted over distinct texts: a text with copies is one. A group
+of near copies can still lift its own terms above the band. So a fingerprint also has the
+least hashes of all of the text's terms under SPARE orders, and where one of two texts has
+fewer than FEW lexicon terms, the share of equal ones among those is their likeness.
+
 The lexicon's size is bounded whatever the number of documents: a term must be in the
-share LOW of all documents, and a document has so many terms, so there can be no more
-than (mean distinct terms of a document) / LOW.
+share LOW of the distinct texts, and a text has so many terms, so there can be no more
+than (mean distinct terms of a text) / LOW. The terms that are counted exactly, before
+that, are at most as many times more as there are rows to a distinct text.
 
-Defined results: null is as the empty text. A text without lexicon terms has a hash of
-its whole text for a fingerprint. Equal texts have equal fingerprints, and likeness 1.
+Defined results: null is as the empty text. A text without any term has a hash of its
+whole text for a fingerprint. Equal texts have equal fingerprints, and likeness 1.
 The next document is the next in ascending order of (doc_id, hash of the text), null ids
 last; after the last comes the first; a lone document follows itself. Repeated rows are
 documents of their own. Only the named columns are read.
@@ -36,7 +42,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.common import documents
 
-#: Band of document frequencies, as shares of all documents.
+#: Band of document frequencies, as shares of the distinct texts.
 LOW, HIGH = 0.001, 0.1
 #: One lexicon in so many terms, for each of the thinned lexicons.
 RATES = [4, 8, 16, 32, 64, 128, 256, 512]
@@ -44,19 +50,54 @@ EACH = 12
 SUBSETS = len(RATES) * EACH
 #: Subsets with terms that a likeness is read from, at least (where there are so many).
 ENOUGH = 20
+#: A text with fewer lexicon terms is compared by the least hashes of all its terms, of so many orders.
+FEW, SPARE = 5, 64
 #: Text bytes of a run of neighbouring documents, about, and the least number of runs.
 RUN_BYTES, MIN_RUNS = 16 << 20, 64
 TERMS = re.compile(r"[^\W\d_]+")
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[str, ...]:
-    """Terms within the band, sorted. Counts combine before the shuffle."""
-    n = docs.count()
+    """Terms within the band, sorted. Copies of a text count once.
+
+    Counts over all rows are no lower than those over distinct texts. They choose the terms
+    that may be in the band, and only the numbers of these are sent, by the text's hash.
+    Counts and copies combine before the shuffles.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    hashes = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+    n = docs.select(*hashes).distinct().count()
     terms = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
     counts = (docs.where("text is not null").select(F.explode(terms).alias("term"))
               .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    band = counts.where((F.col("df") >= max(1.0, low * n)) & (F.col("df") <= max(1.0, high * n)) & (F.col("term") != ""))
-    return tuple(sorted(r["term"] for r in band.select("term").collect()))  # bounded, see above
+    least, most = max(1.0, low * n), max(1.0, high * n)
+    maybe = sorted(r["term"] for r in counts.where((F.col("df") >= least) & (F.col("term") != "")).select("term").collect())
+    shared = docs.sparkSession.sparkContext.broadcast(maybe)  # bounded, see above
+
+    def number(batches):
+        get = {t: i for i, t in enumerate(shared.value)}.get
+        packer = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            packed = []
+            for t in b["text"].to_pylist():  # gaps between ascending numbers pack well
+                ids = np.sort(np.array([i for i in map(get, set(TERMS.findall(t.lower()))) if i is not None], dtype="<u4"))
+                packed.append(packer.compress(np.diff(ids, prepend=ids.dtype.type(0)).tobytes()))
+            yield pa.RecordBatch.from_arrays([b["h1"], b["h2"], pa.array(packed, pa.binary())], ["h1", "h2", "packed"])
+
+    def count(batches):
+        df = np.zeros(len(shared.value), dtype=np.int64)
+        unpacker = zstandard.ZstdDecompressor()
+        for b in batches:
+            for packed in b["packed"].to_pylist():
+                df[np.cumsum(np.frombuffer(unpacker.decompress(packed), dtype="<u4"))] += 1  # each term once
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(df[found], pa.int64())], ["term", "df"])
+
+    once = (docs.select(*hashes, text.alias("text")).mapInArrow(number, "h1 long, h2 long, packed binary")
+            .groupBy("h1", "h2").agg(F.first("packed").alias("packed")))
+    exact = once.select("packed").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    band = exact.where((F.col("df") >= least) & (F.col("df") <= most))
+    return tuple(sorted(maybe[r["term"]] for r in band.select("term").collect()))
 
 
 class Fingerprinter:
@@ -72,18 +113,35 @@ class Fingerprinter:
             self.hash[i] = draws[:2].view("<u8")[0]
             self.member[i] = draws[2:].astype(np.uint64) % rates == 0
 
-    def hashes(self, text: str) -> np.ndarray:
-        """One 16-bit hash (1 to 65535) per subset, 0 where the text has no term of it."""
-        get = self.number.get
-        found = [i for i in map(get, set(TERMS.findall(text.lower()))) if i is not None]
+    def hashes(self, terms: set[str]) -> np.ndarray:
+        """One 16-bit hash (1 to 65535) per subset, 0 where the text has no term of it; none of fewer than FEW terms."""
+        found = [i for i in map(self.number.get, terms) if i is not None]
+        if len(found) < FEW:
+            return np.zeros(0, dtype=np.uint16)
         ids = np.sort(np.array(found, dtype=np.int64))
         # equal sets of distinct terms, equal sums of their hashes
         sums = (self.member[ids] * self.hash[ids][:, None]).sum(axis=0, dtype=np.uint64)
         return np.where(sums == 0, 0, 1 + (sums >> np.uint64(40)) % np.uint64(65535)).astype(np.uint16)
 
     def fingerprint(self, text: str) -> str:
-        found = self.hashes(text)
-        return found.astype(">u2").tobytes().hex() if found.any() else "t" + xxhash.xxh3_128_hexdigest(text.encode())
+        """SPARE least hashes, then those of the thinned lexicons if there are FEW terms for them."""
+        terms = set(TERMS.findall(text.lower()))
+        if not terms:
+            return "t" + xxhash.xxh3_128_hexdigest(text.encode())
+        return np.concatenate([least_hashes(terms), self.hashes(terms)]).astype(">u2").tobytes().hex()
+
+
+#: Orders of the terms: a hash is mixed with the one, then multiplied by the other, odd.
+_MIX, _TIMES = np.frombuffer(hashlib.shake_128(b"orders").digest(16 * SPARE), dtype="<u8").reshape(2, SPARE).astype(np.uint64)
+_TIMES = _TIMES | np.uint64(1)
+
+
+def least_hashes(terms: set[str]) -> np.ndarray:
+    """16 bits of the least hash of all terms under each order: equal for two texts as often
+    as the share of their terms that they have in common."""
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), dtype=np.uint64, count=len(terms))
+    least = ((own[:, None] ^ _MIX) * _TIMES).min(axis=0)
+    return (least & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 @lru_cache(maxsize=2)
@@ -103,10 +161,14 @@ def likeness(a: str, b: str) -> float:
         return 1.0
     if a[:1] == "t" or b[:1] == "t":
         return 0.0
-    x, y = (np.frombuffer(bytes.fromhex(f), dtype=">u2").reshape(len(RATES), EACH)[::-1] for f in (a, b))
+    x, y = (np.frombuffer(bytes.fromhex(f), dtype=">u2") for f in (a, b))
+    if min(len(x), len(y)) == SPARE:  # one of them has too few lexicon terms
+        return float((x[:SPARE] == y[:SPARE]).mean())
+    x, y = (f[SPARE:].reshape(len(RATES), EACH)[::-1] for f in (x, y))
     either = (x != 0) | (y != 0)
     used = int(np.searchsorted(np.cumsum(either.sum(axis=1)), ENOUGH)) + 1
-    return float(((x == y) & either)[:used].sum() / either[:used].sum())
+    some = either[:used].sum()
+    return float(((x == y) & either)[:used].sum() / some) if some else 0.0
 
 
 def fingerprints(docs: DataFrame, terms: tuple[str, ...], into: str = "fingerprint") -> DataFrame:
