@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (case, accents-free homoglyphs, digits for letters), then an
+Texts are folded (case, accents dropped, homoglyphs, digits for letters), then an
 Aho-Corasick automaton finds every term of the lexicon in one pass. A term counts where
 it begins a word, and a whole-word term where it is one; the longest term at a place
 counts, and none counts inside an exception phrase. The summed weights, divided by the
@@ -55,15 +55,19 @@ _DISGUISED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![\w@$!])[01
 _DIGIT_MAP = str.maketrans(DIGITS)
 _GLYPH_MAP = str.maketrans(HOMOGLYPHS)
 _MARKS = re.compile("[̀-ͯ​-‏⁠﻿]")
-_FOREIGN = re.compile("[ıłͰ-ԯ]")
+_FOREIGN = re.compile(f"[{''.join(HOMOGLYPHS)}]")  # every letter that the map has
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
-    """Lower case, compatibility forms, look-alikes and digits as the letters they stand for."""
+    """Lower case, compatibility forms, look-alikes and digits as the letters they stand for.
+
+    An accented letter folds to the letter without its accents.
+    """
     text = text.lower()
     if not text.isascii():
-        text = _MARKS.sub("", unicodedata.normalize("NFKC", text))
+        # apart, so that accents are marks of their own; what is left is composed again (Hangul)
+        text = unicodedata.normalize("NFKC", _MARKS.sub("", unicodedata.normalize("NFKD", text)))
         if _FOREIGN.search(text):
             text = text.translate(_GLYPH_MAP)
     return _DISGUISED.sub(lambda m: m.group().translate(_DIGIT_MAP), text)
