@@ -86,3 +86,39 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELS
   doc_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS kept
 FROM docs LEFT JOIN sizes USING (r) LEFT JOIN groups USING (r)
 """
+OP13 = """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT conv_id, list(t ORDER BY pos) AS own, CAST((4294967295 - list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, c: list_reduce(list_concat([xor(crc, c)], list_transform(range(8), lambda z: CAST(0 AS BIGINT))),
+      lambda x, z: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1))))) % 9 AS BIGINT) AS h
+  FROM turns GROUP BY conv_id
+),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), coalesce(c.own[c.h + 1:], [])) AS seq
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+prefixes AS (SELECT conv_id, d, len(seq) AS n, seq[1:d] AS p FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, p, min(conv_id) AS id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends
+  FROM prefixes GROUP BY d, p
+),
+linked AS (
+  SELECT c.*, q.id AS parent, CASE WHEN c.d > 0 THEN strlen(c.p[-1].text) ELSE 0 END AS bytes
+  FROM nodes c LEFT JOIN nodes q ON q.d = c.d - 1 AND q.p = c.p[1:c.d - 1]
+),
+children AS (SELECT d - 1 AS d, parent AS id, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL),
+above AS (SELECT l.*, coalesce(k.n, 0) AS n_children, unnest(range(l.d + 1)) AS up FROM linked l LEFT JOIN children k ON k.d = l.d AND k.id = l.id),
+sums AS (
+  SELECT up, p[1:up] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved FROM above GROUP BY ALL
+)
+SELECT l.id AS conv_id, CAST(l.d AS BIGINT) AS depth, l.parent AS parent_conv_id, l.n_convs, coalesce(k.n, 0) AS n_children,
+  s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, l.ends AS ends_sha256
+FROM linked l JOIN sums s ON s.up = l.d AND s.p = l.p LEFT JOIN children k ON k.d = l.d AND k.id = l.id
+"""

@@ -13,11 +13,12 @@ from cartwheel.llm.imatch import op7_fingerprints
 from cartwheel.llm.language import op8_language_id
 from cartwheel.llm.mixing import op3_mix_sources
 from cartwheel.llm.near_dup import op10_near_dedup
-from cartwheel.llm.oracle import OP5, OP10
+from cartwheel.llm.oracle import OP5, OP10, OP13
 from cartwheel.llm.quality import op5_quality_rules
 from cartwheel.llm.sharding import op9_sharding
 from cartwheel.llm.token_counts import op4_token_counts
 from cartwheel.llm.toxicity import op1_toxicity
+from cartwheel.llm.trie import op13_prefix_trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: with_package(query) for query in (
@@ -31,7 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_sharding,
         op10_near_dedup,
+        op13_prefix_trie,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_near_dedup": OP10}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_near_dedup": OP10, "op13_prefix_trie": OP13}
