@@ -40,6 +40,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_by_share(rows: DataFrame, table: DataFrame, keys: list[str], total: int, most: int = 4096) -> DataFrame:
+    """Inner join of ``rows`` with the one row of ``table`` for each key (null equals null).
+
+    ``table`` says in ``__n`` how many of the ``total`` rows have the key. Keys with more than
+    total / most rows, fewer than ``most`` of them by counting, are broadcast; no other key
+    is heavy, so those are joined as usual. Both inputs are read twice: write them first.
+    """
+    least = total // most + 1
+    columns = [c for c in table.columns if c not in (*keys, "__n")]
+    named = table.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *columns, "__n")
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+    heavy, light = named.where(F.col("__n") >= least), named.where(F.col("__n") < least)
+    kept = [*rows.columns, *columns]
+    first = rows.join(F.broadcast(heavy), same).select(*kept)
+    rest = rows.join(F.broadcast(heavy.select(*[f"__key_{k}" for k in keys])), same, "left_anti")
+    return first.unionByName(rest.join(light, same).select(*kept))
+
+
 def word_count(text: Column) -> Column:
     """Number of words, null counted as 0, without building the words."""
     # a word starts at each non-blank that follows a blank or the start of the text

@@ -61,20 +61,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, shor
 FROM judged
 """
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-OP10 = rf"""
+
+
+def _components(size: int, percent: int) -> str:
+    """Documents, the sizes of their sets of ``size`` words and their components."""
+    return rf"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents
 ),
 shingles AS (
-  SELECT DISTINCT r, md5_number(array_to_string(words[i:i + 4], ' ')) AS s
-  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM docs WHERE len(words) > 0)
+  SELECT DISTINCT r, md5_number(array_to_string(words[i:i + {size - 1}], ' ')) AS s
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - {size - 2}, 2))) AS i FROM docs WHERE len(words) > 0)
 ),
 sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
 common AS (
   SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY ALL
 ),
 links AS (
-  SELECT a, b FROM common c JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+  SELECT a, b FROM common c JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c.n >= {percent} * (x.n + y.n - c.n)
 ),
 both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
@@ -82,10 +86,13 @@ reached AS (
   UNION SELECT reached.a, both_ways.b FROM reached JOIN both_ways ON reached.b = both_ways.a
 ),
 groups AS (SELECT a AS r, min(doc_id) AS component_id FROM reached JOIN docs ON docs.r = reached.b GROUP BY a)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id,
-  doc_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS kept
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
 FROM docs LEFT JOIN sizes USING (r) LEFT JOIN groups USING (r)
 """
+
+
+OP10 = f"SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({_components(5, 75)})"
+OP11 = _components(4, 85)
 OP13 = """
 WITH turns AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
@@ -122,3 +129,47 @@ SELECT l.id AS conv_id, CAST(l.d AS BIGINT) AS depth, l.parent AS parent_conv_id
   s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, l.ends AS ends_sha256
 FROM linked l JOIN sums s ON s.up = l.d AND s.p = l.p LEFT JOIN children k ON k.d = l.d AND k.id = l.id
 """
+
+
+def _assigned(k: int) -> str:
+    return f"""a{k} AS (
+  SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT r, p, e, list_sum(list_transform(list_zip(t.s, b.s), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts t JOIN b{k} b USING (p)) GROUP BY r, p
+)"""
+
+
+def _replaced(k: int) -> str:
+    return f"""m{k} AS (
+  SELECT p, e, i, sum(x) AS x, count(*) AS n
+  FROM (SELECT p, e, unnest(s) AS x, unnest(range(len(s))) AS i FROM a{k} JOIN parts USING (r, p)) GROUP BY ALL
+),
+b{k + 1} AS (
+  SELECT p, e, coalesce(n.s, b.s) AS s FROM b{k} b LEFT JOIN (
+    SELECT p, e, list(CAST((x - ((x % n) + n) % n) // n AS BIGINT) ORDER BY i) AS s FROM m{k} GROUP BY p, e) n USING (p, e)
+)"""
+
+
+OP12 = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (
+  SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS s FROM (SELECT *, unnest(range(16)) AS p FROM kept)
+),
+first AS (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept ORDER BY vec_id, v LIMIT 64),
+b0 AS (SELECT p, e, s FROM parts JOIN first USING (r)),
+{_assigned(0)},
+{_replaced(0)},
+{_assigned(1)},
+{_replaced(1)},
+{_assigned(2)},
+coded AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r),
+digest AS (
+  SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS h
+  FROM (SELECT p, e, unnest(s) AS x, unnest(range(len(s))) AS i FROM b2)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""

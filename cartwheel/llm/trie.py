@@ -15,8 +15,8 @@
    paired with its ancestors.
 
 Hot prefixes (the root, a common first turn) are summed before the shuffle. Their totals go
-back to the sequences by a broadcast of the nodes that hold at least 1/HEAVY of all rows, at
-most HEAVY of them by counting; the other nodes are joined by key. The ids of a sequence's
+back to the sequences by a broadcast of the nodes that hold more than 1/4096 of all rows
+(fewer than 4096 by counting); the other nodes are joined by key. The ids of a sequence's
 ends are ordered by range over tasks, packed to pieces, and digested piece by piece.
 
 Defined results: turns are ordered by turn (null first), then role, then text, null role
@@ -34,13 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import written
+from cartwheel.llm.common import join_by_share, written
 
 HEAD_MODULUS = 9
 #: Conversations share the head of the one whose id is the multiple of FAMILY below theirs.
 FAMILY = 5
-#: Most nodes that are broadcast.
-HEAVY = 4096
 #: Bytes of a piece of a list of ends.
 PIECE = 1 << 20
 
@@ -148,20 +146,6 @@ def collapse(ends: DataFrame) -> DataFrame:
         digest, "length int, k1 long, k2 long, seq long, weight long, ends_sha256 string")
 
 
-def with_nodes(rows: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
-    """``rows`` with the columns of their node. Nodes of at least total / HEAVY rows, of
-    which there are at most HEAVY, are broadcast."""
-    key = ["d", "k1", "k2"]
-    least = max(total // HEAVY, 1) + 1
-    columns = ["node", "n_convs"]
-    heavy = nodes.where(F.col("n_seqs") >= least).select(*key, *[F.col(c).alias(f"h_{c}") for c in columns])
-    tagged = rows.join(F.broadcast(heavy), key, "left")
-    done = tagged.where("h_node is not null").select(*rows.columns, *[F.col(f"h_{c}").alias(c) for c in columns])
-    rest = tagged.where("h_node is null").select(*rows.columns)
-    light = nodes.where(F.col("n_seqs") < least).select(*key, *columns)
-    return done.unionByName(rest.join(light, key).select(*rows.columns, *columns))
-
-
 def prefix_trie(conversations: DataFrame) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
     saved_tokens, ends_sha256."""
@@ -181,9 +165,9 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     proper = rows.where("d < length").select(F.col("d").alias("length"), "k1", "k2").distinct()
     leaves = seqs.join(proper, ["length", "k1", "k2"], "left_anti").select("seq", F.lit(1).alias("leaf"))
     nodes = written(rows.groupBy("d", "k1", "k2").agg(
-        F.sum("weight").alias("n_convs"), F.min("seq").alias("node"), F.count(F.lit(1)).alias("n_seqs")), "nodes")
+        F.sum("weight").alias("n_convs"), F.min("seq").alias("node"), F.count(F.lit(1)).alias("__n")), "nodes")
 
-    named = with_nodes(rows, nodes, rows.count()).join(leaves, "seq", "left")
+    named = join_by_share(rows, nodes, ["d", "k1", "k2"], rows.count()).join(leaves, "seq", "left")
     owned = F.when(F.col("node") == F.col("seq"), (F.col("n_convs") - 1) * F.col("bytes")).otherwise(0)
     deepest_first = Window.partitionBy("seq").orderBy(F.col("d").desc())
     summed = named.withColumn("owned", owned).select(

@@ -1,5 +1,7 @@
 """Small tables for the operators: the given 200 documents, and a table of edge cases."""
 
+import random
+
 import pytest
 from pyspark.sql import types as T
 
@@ -35,6 +37,33 @@ EDGE_ROWS = [
 ]
 
 
+EMBEDDING_SCHEMA = "vec_id long, embedding array<float>, label int, code string, error string, values string, n string"
+CONVERSATION_SCHEMA = "conv_id long, turn long, role string, text string, d string, k1 string, seq string, pos string, length string"
+
+
+def edge_embeddings():
+    """Vectors of 32 components: ties, repeated rows, nulls, non-finite, huge and odd ones."""
+    rng = random.Random(5)
+    rows = [(i, [round(rng.gauss(0, 0.2), 4) for _ in range(32)], i % 5 or None) for i in range(300)]
+    rows += [(3, rows[3][1], 3), (3, rows[3][1], 3), (None, rows[9][1], 4), (500, rows[9][1], None), (501, None, 1)]
+    rows += [(502, [0.5] * 31 + [None], 1), (503, [0.5] * 31 + [float("nan")], 1), (504, [float("-inf")] + [0.5] * 31, 1)]
+    rows += [(505, [], 1), (506, [0.25] * 5, None), (507, [0.0] * 32, 2), (508, [-0.0] * 32, 2)]
+    rows += [(509, [1e7, -1e7] + [0.1] * 30, 9), (-9, [0.1] * 5, 9)]
+    return rows
+
+
+def edge_conversations():
+    rows = []
+    for c in range(60):
+        for t in range(c % 9):
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", f"turn {t if c % 3 else (t, c % 4)}"))
+    rows += [(100, None, "user", "first"), (100, 0, None, None), (100, 0, "user", None), (100, 0, None, "x"), (100, 0, None, "x")]
+    rows += [(102, 1, "a", "y" * 50_000), (103, 1, "a", "Grüße \U0001f600"), (None, 1, "user", "nobody's"), (None, None, None, None)]
+    rows += [(204, t, "user", "same") for t in range(300)] + [(205, t, "user", "same") for t in range(300)]
+    rows += [(c, 0, "user", "one greeting") for c in range(1000, 1040)]
+    return rows
+
+
 @pytest.fixture(scope="session")
 def edge_dir(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("edge"))
@@ -42,6 +71,10 @@ def edge_dir(spark, tmp_path_factory):
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (6, 1, 1), (9, 0, 0), (None, 1, 1), (8, None, None)],
                           "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(*r, "s", "s", "s", "s") for r in edge_embeddings()], EMBEDDING_SCHEMA).repartition(3).write.parquet(
+        f"{folder}/embeddings.parquet")
+    spark.createDataFrame([(*r, "s", "s", "s", "s", "s") for r in edge_conversations()], CONVERSATION_SCHEMA).repartition(
+        3).write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
@@ -50,6 +83,8 @@ def empty_dir(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], EMBEDDING_SCHEMA).write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([], CONVERSATION_SCHEMA).write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
