@@ -181,3 +181,24 @@ def layer_reconciliation(log: DataFrame, bronze: DataFrame, silver: DataFrame, q
         F.lit(late).cast("long").alias("late_records"),
         (of("bronze") - of("silver") - of("quarantine") - F.lit(late)).alias("duplicates_removed"),
     )
+
+
+def batch_reconciliation(log: DataFrame, bronze: DataFrame, batches: DataFrame) -> DataFrame:
+    """Records per layer in one row, from the numbers that the Silver writer kept of each
+    batch (``Ledger.batches``): Silver and its side layers are not counted again.
+
+    They outlive the query and hold for streams that never end. What a running Silver has
+    not read yet is ``unread_records``.
+    """
+    def total(name: str):
+        return F.coalesce(F.sum(name), F.lit(0))
+
+    parts = [
+        log.agg(F.count(F.lit(1)).alias("log_records")),
+        bronze.agg(F.count(F.lit(1)).alias("bronze_records")),
+        batches.agg(total("silver").alias("silver_records"), total("quarantine").alias("quarantined_records"),
+                    total("late").alias("late_records"), total("duplicates").alias("duplicates_removed"), total("rows_in").alias("_read")),
+    ]
+    rows = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    counts = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    return counts.select("*", (F.col("bronze_records") - F.col("_read")).alias("unread_records")).drop("_read")

@@ -605,3 +605,60 @@ FROM browsing GROUP BY product_action""",
     + """SELECT kafka_partition, row_number() OVER (ORDER BY kafka_partition) - 1 AS place
 FROM retail_log GROUP BY kafka_partition""",
 }
+
+# ---- Silver, quarantine and late rows from one pass -----------------------------------
+_BATCH_TIME = "make_timestamp((1704067200 + hour * 7200 + event_id % 600) * 1000000)"
+ORACLE_SQL |= {
+    "one_pass_silver_click": ORACLE_SQL["silver_click"],
+    "one_pass_silver_retail": ORACLE_SQL["silver_retail"],
+    "one_pass_quarantine_click": ORACLE_SQL["quarantine_click"],
+    "one_pass_quarantine_retail": ORACLE_SQL["quarantine_retail"],
+    "one_pass_batches_watermark": ORACLE_SQL["silver_batches_watermark"],
+    "one_pass_batches_exact": ORACLE_SQL["silver_batches_exact"],
+    "late_rows": _batch_rows(_LATE_ROWS),
+    "compacted_silver": ORACLE_SQL["silver_batches_watermark"],
+    "compacted_late_rows": _batch_rows(_LATE_ROWS),
+    "batch_progress": _with(_BATCHES) + f"""SELECT batch - 1 AS batch_id, count(*) AS rows_in,
+  count(*) FILTER (again <> 1 AND NOT ({_LATE_ROWS})) AS silver, CAST(0 AS BIGINT) AS quarantine,
+  count(*) FILTER ({_LATE_ROWS}) AS late, count(*) FILTER (again = 1) AS duplicates,
+  max(max({_BATCH_TIME})) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 30 MINUTE AS watermark,
+  max(max({_BATCH_TIME})) OVER (ORDER BY batch) AS last_event
+FROM batches GROUP BY batch""",
+}
+
+# ---- Gold by day, sketches by day, journeys by part -----------------------------------
+def _with_bounds(names) -> str:
+    # sets of this size are held exactly, so the bounds are the numbers themselves
+    return ", ".join(f"{n}, {n} AS {n}_low, {n} AS {n}_high" for n in names)
+
+
+ORACLE_SQL |= {
+    "daily_funnel": ORACLE_SQL["gold_funnel"],
+    "daily_category": ORACLE_SQL["gold_category"],
+    "daily_price_bucket": ORACLE_SQL["gold_price_bucket"],
+    "daily_retail_funnel": ORACLE_SQL["retail_funnel"],
+    "daily_retail_product": ORACLE_SQL["retail_product"],
+    "daily_retail_country": ORACLE_SQL["retail_country"],
+    "prepared_types_by_day": ORACLE_SQL["inspect_prepared_types"],
+    "journeys_by_part": ORACLE_SQL["journey_consistency"],
+    "session_estimates": _with(*PREP, """
+of_sessions AS (
+  SELECT session_id, bool_or(event_type = 'add_to_cart') AS cart, bool_or(event_type = 'purchase') AS bought
+  FROM prepared GROUP BY session_id
+),
+numbers AS (
+  SELECT count(*) AS sessions, count(*) FILTER (cart) AS cart_sessions, count(*) FILTER (bought) AS purchase_sessions,
+    count(*) FILTER (cart AND NOT bought) AS abandoned_sessions, count(*) FILTER (cart OR bought) AS cart_or_purchase_sessions
+  FROM of_sessions
+)""") + "SELECT " + _with_bounds(
+        ["sessions", "cart_sessions", "purchase_sessions", "abandoned_sessions", "cart_or_purchase_sessions"]) + " FROM numbers",
+    "prepared_estimates": _with(*PREP, """
+numbers AS (
+  SELECT count(*) AS total_events, count(DISTINCT source_event_id) AS unique_events, count(DISTINCT session_id) AS sessions,
+    min(event_timestamp) AS first_event, max(event_timestamp) AS last_event,
+    count(*) FILTER (category_hash IS NULL) AS events_without_category,
+    count(*) FILTER (price_bucket IS NULL) AS events_without_price_bucket
+  FROM prepared
+)""") + "SELECT total_events, first_event, last_event, events_without_category, events_without_price_bucket, "
+    + _with_bounds(["unique_events", "sessions"]) + " FROM numbers",
+}

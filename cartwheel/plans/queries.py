@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.events import as_ntz
-from cartwheel.operators import gold, inspection, profiling, quality, replay, report
+from cartwheel.operators import gold, inspection, profiling, quality, replay, report, sketches
 from cartwheel.operators.prepare import dedup_catalog, write_prepared
 from cartwheel.operators.prepare import prepare_events as prepare
 from cartwheel.plans import tables
@@ -283,26 +283,20 @@ def silver_click_partitions(spark, sf_dir):
     return inspection.partition_offsets(s).select("kafka_partition", "event_count")
 
 
-def layer_counts(spark, sf_dir):
-    """I10 across layers (clickstream): log -> Bronze -> Silver + quarantine + duplicates."""
-    from cartwheel.streaming.silver import quarantine_click as q
+def _reconciled(spark, sf_dir, family):
+    return inspection.batch_reconciliation(
+        tables.log_table(spark, sf_dir, family), tables.bronze_table(spark, sf_dir, family),
+        tables.one_pass(spark, sf_dir, family).batches()).drop("unread_records")
 
-    bronze = tables.bronze_table(spark, sf_dir, "click")
-    return inspection.layer_reconciliation(
-        tables.log_table(spark, sf_dir, "click"), bronze, tables.silver_table(spark, sf_dir, "click"), q(bronze),
-        tables.late_records(tables.silver_path(spark, sf_dir, "click"))
-    )
 
+def layer_counts(spark, sf_dir):
+    """I10 across layers (clickstream): log -> Bronze -> Silver + quarantine + late + duplicates."""
+    return _reconciled(spark, sf_dir, "click")
 
-def layer_counts_retail(spark, sf_dir):
-    """I10 across layers (retail): log -> Bronze -> Silver + quarantine + duplicates."""
-    from cartwheel.streaming.silver import quarantine_retail as q
 
-    bronze = tables.bronze_table(spark, sf_dir, "retail")
-    return inspection.layer_reconciliation(
-        tables.log_table(spark, sf_dir, "retail"), bronze, tables.silver_table(spark, sf_dir, "retail"), q(bronze),
-        tables.late_records(tables.silver_path(spark, sf_dir, "retail"))
-    )
+def layer_counts_retail(spark, sf_dir):
+    """I10 across layers (retail): log -> Bronze -> Silver + quarantine + late + duplicates."""
+    return _reconciled(spark, sf_dir, "retail")
 
 
 def quarantine_retail(spark, sf_dir):
@@ -338,12 +332,124 @@ def silver_batches_exact(spark, sf_dir):
 
 
 def layer_counts_batches(spark, sf_dir):
-    """I10 with late rows counted apart from duplicates (H4)."""
-    from cartwheel.streaming.silver import quarantine_click as q
-
-    path = tables.silver_batches_path(spark, sf_dir, "watermark")
+    """I10 with late rows counted apart from duplicates (H4), from the batches' markers."""
     bronze = spark.read.parquet(tables.batches_path(spark, sf_dir))
-    return inspection.layer_reconciliation(bronze, bronze, spark.read.parquet(path), q(bronze), tables.late_records(path))
+    return inspection.batch_reconciliation(
+        bronze, bronze, tables.one_pass_batches(spark, sf_dir, "watermark").batches()).drop("unread_records")
+
+
+# ---- Silver, quarantine and late rows from one pass ------------------------------------
+def _batch_columns(rows: DataFrame) -> DataFrame:
+    return _ntz(rows.select("source_event_id", "session_id", "event_timestamp", "event_date"), "event_timestamp")
+
+
+def one_pass_silver_click(spark, sf_dir):
+    """Silver C as the one-pass writer leaves it."""
+    return _ntz(tables.one_pass(spark, sf_dir, "click").silver().select(*_C_COMPARED), "kafka_timestamp", "event_timestamp")
+
+
+def one_pass_silver_retail(spark, sf_dir):
+    """C14, H1, H3: Silver R as the one-pass writer leaves it."""
+    return _ntz(tables.one_pass(spark, sf_dir, "retail").silver().select(*_R_COMPARED), "kafka_timestamp", "event_timestamp")
+
+
+def one_pass_quarantine_click(spark, sf_dir):
+    """C15 from the same pass: rejected rows with reasons."""
+    return tables.one_pass(spark, sf_dir, "click").quarantine().select(
+        "kafka_partition", "kafka_offset", "kafka_key", "source_event_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+def one_pass_quarantine_retail(spark, sf_dir):
+    """C14 from the same pass: rejected rows with reasons."""
+    return tables.one_pass(spark, sf_dir, "retail").quarantine().select(
+        "kafka_partition", "kafka_offset", "kafka_key", "event_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+def one_pass_batches_watermark(spark, sf_dir):
+    """H1, H3 over four micro-batches: ids looked up in Silver while they have not expired."""
+    return _batch_columns(tables.one_pass_batches(spark, sf_dir, "watermark").silver())
+
+
+def one_pass_batches_exact(spark, sf_dir):
+    """H1, H2 over four micro-batches: ids looked up in all of Silver, no state."""
+    return _batch_columns(tables.one_pass_batches(spark, sf_dir, "exact").silver())
+
+
+def late_rows(spark, sf_dir):
+    """H4: the rows behind the watermark, kept."""
+    return _batch_columns(tables.one_pass_batches(spark, sf_dir, "watermark").late())
+
+
+def batch_progress(spark, sf_dir):
+    """What each micro-batch read and what became of its rows, as a table."""
+    rows = tables.one_pass_batches(spark, sf_dir, "watermark").batches()
+    return _ntz(rows, "watermark", "last_event")
+
+
+def compacted_silver(spark, sf_dir):
+    """Silver after its batches were compacted and their own files removed."""
+    return _batch_columns(tables.one_pass_batches(spark, sf_dir, "watermark", compacted=True).silver())
+
+
+def compacted_late_rows(spark, sf_dir):
+    """The late rows after the compaction."""
+    return _batch_columns(tables.one_pass_batches(spark, sf_dir, "watermark", compacted=True).late())
+
+
+# ---- Gold by day, sketches by day, journeys by part -----------------------------------
+def _daily(spark, sf_dir, family):
+    return gold.daily_gold_tables(tables.gold_levels(spark, sf_dir, family), family)
+
+
+def daily_funnel(spark, sf_dir):
+    """G4, E4 from the first level kept by day."""
+    return _daily(spark, sf_dir, "click")[0]
+
+
+def daily_category(spark, sf_dir):
+    """G5, E4 from the first level kept by day."""
+    return _daily(spark, sf_dir, "click")[1]
+
+
+def daily_price_bucket(spark, sf_dir):
+    """G6, E4 from the first level kept by day."""
+    return _daily(spark, sf_dir, "click")[2]
+
+
+def daily_retail_funnel(spark, sf_dir):
+    """G1 from the first level kept by day."""
+    return _daily(spark, sf_dir, "retail")[0]
+
+
+def daily_retail_product(spark, sf_dir):
+    """G2 from the first level kept by day."""
+    return _daily(spark, sf_dir, "retail")[1]
+
+
+def daily_retail_country(spark, sf_dir):
+    """G3 from the first level kept by day."""
+    return _daily(spark, sf_dir, "retail")[2]
+
+
+def session_estimates(spark, sf_dir):
+    """Sessions, those with a cart or purchase, and their set operations, as numbers from
+    sketches by day (exact while a set has at most 32,768 members)."""
+    return sketches.session_estimates(tables.sketch_table(spark, sf_dir))
+
+
+def prepared_estimates(spark, sf_dir):
+    """I1 as numbers from sketches by day."""
+    return _ntz(sketches.prepared_estimates(tables.sketch_table(spark, sf_dir)), "first_event", "last_event")
+
+
+def prepared_types_by_day(spark, sf_dir):
+    """I2 from the same stored rows."""
+    return sketches.type_counts(tables.sketch_table(spark, sf_dir))
+
+
+def journeys_by_part(spark, sf_dir):
+    """I11 from per-session rows that were added part by part."""
+    return tables.journey_store(spark, sf_dir).violations()
 
 
 # ---- Order as data -------------------------------------------------------------------
@@ -458,6 +564,26 @@ _ALL: dict[str, Query] = {
     "silver_batches_watermark": silver_batches_watermark,
     "silver_batches_exact": silver_batches_exact,
     "layer_counts_batches": layer_counts_batches,
+    "one_pass_silver_click": one_pass_silver_click,
+    "one_pass_silver_retail": one_pass_silver_retail,
+    "one_pass_quarantine_click": one_pass_quarantine_click,
+    "one_pass_quarantine_retail": one_pass_quarantine_retail,
+    "one_pass_batches_watermark": one_pass_batches_watermark,
+    "one_pass_batches_exact": one_pass_batches_exact,
+    "late_rows": late_rows,
+    "batch_progress": batch_progress,
+    "compacted_silver": compacted_silver,
+    "compacted_late_rows": compacted_late_rows,
+    "daily_funnel": daily_funnel,
+    "daily_category": daily_category,
+    "daily_price_bucket": daily_price_bucket,
+    "daily_retail_funnel": daily_retail_funnel,
+    "daily_retail_product": daily_retail_product,
+    "daily_retail_country": daily_retail_country,
+    "session_estimates": session_estimates,
+    "prepared_estimates": prepared_estimates,
+    "prepared_types_by_day": prepared_types_by_day,
+    "journeys_by_part": journeys_by_part,
     "ordered_categories": ordered_categories,
     "ordered_price_segments": ordered_price_segments,
     "ordered_actions": ordered_actions,

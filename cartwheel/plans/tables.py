@@ -13,14 +13,15 @@ import threading
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.schemas import BRONZE_SCHEMA
 from cartwheel.session import app_id, scratch_path, use_utc
 from cartwheel.sources import fixtures
 from cartwheel.sources.log import read_log, read_log_stream
 from cartwheel.streaming.bronze import run_bronze
+from cartwheel.streaming.one_pass import Family, OnePassSilver, click_family, retail_family
 from cartwheel.streaming.silver import run_silver, silver_click, silver_retail
 
 _BUILT: dict[tuple, str] = {}
-_LATE: dict[str, int] = {}  # late rows of the run that built a Silver folder
 _LOCK = threading.Lock()
 
 
@@ -38,11 +39,12 @@ def _readable(spark: SparkSession, path: str) -> bool:
         return False  # removed since it was built
 
 
-def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+def _memo(spark: SparkSession, sf_dir: str, name: str, build, below: str = "") -> str:
+    """The path that ``build`` made in this session; its folder ``below`` is Parquet."""
     key = _key(spark, sf_dir, name)
     with _LOCK:
         path = _BUILT.get(key)
-    if path is not None and not _readable(spark, path):
+    if path is not None and not _readable(spark, f"{path}/{below}"):
         path = None
     if path is None:
         path = build()
@@ -88,13 +90,11 @@ def bronze_path(spark: SparkSession, sf_dir: str, family: str) -> str:
 def silver_path(spark: SparkSession, sf_dir: str, family: str, dedup: str = "watermark") -> str:
     def build() -> str:
         use_utc(spark)
-        from cartwheel.schemas import BRONZE_SCHEMA
-
         src = bronze_path(spark, sf_dir, family)
         stream = spark.readStream.schema(BRONZE_SCHEMA).format("parquet").load(src)
         silver = silver_retail(stream, dedup=dedup) if family == "retail" else silver_click(stream, dedup=dedup)
         out = scratch_path(spark, "silver", family, dedup)
-        _LATE[out] = run_silver(silver, out, scratch_path(spark, "ckpt", "silver", family, dedup))
+        run_silver(silver, out, scratch_path(spark, "ckpt", "silver", family, dedup))
         return out
 
     return _memo(spark, sf_dir, f"silver/{family}/{dedup}", build)
@@ -116,21 +116,48 @@ def batches_path(spark: SparkSession, sf_dir: str) -> str:
 
 def silver_batches_path(spark: SparkSession, sf_dir: str, dedup: str) -> str:
     def build() -> str:
-        from cartwheel.schemas import BRONZE_SCHEMA
-
         use_utc(spark)
         stream = (spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
                   .option("maxFilesPerTrigger", str(fixtures.BATCH_FILES)).load(batches_path(spark, sf_dir)))
         out = scratch_path(spark, "silver", "batches", dedup)
-        _LATE[out] = run_silver(silver_click(stream, dedup=dedup), out, scratch_path(spark, "ckpt", "batches", dedup))
+        run_silver(silver_click(stream, dedup=dedup), out, scratch_path(spark, "ckpt", "batches", dedup))
         return out
 
     return _memo(spark, sf_dir, f"silver/batches/{dedup}", build)
 
 
-def late_records(path: str) -> int:
-    """Rows that the run which built the Silver folder ``path`` dropped as late."""
-    return _LATE[path]
+def _ran_one_pass(spark: SparkSession, source: str, family: Family, name: str, dedup: str, files: int | None = None) -> str:
+    """A new folder of the one-pass writer that has drained the Bronze folder ``source``."""
+    use_utc(spark)
+    reader = spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
+    if files:
+        reader = reader.option("maxFilesPerTrigger", str(files))
+    out = scratch_path(spark, "one_pass", name)
+    OnePassSilver(spark, out, family, dedup).run(reader.load(source), scratch_path(spark, "ckpt", "one_pass", name))
+    return out
+
+
+def one_pass(spark: SparkSession, sf_dir: str, family: str) -> OnePassSilver:
+    """The one-pass writer's layers of a family's Bronze (one micro-batch)."""
+    which = retail_family() if family == "retail" else click_family()
+    path = _memo(spark, sf_dir, f"one_pass/{family}", lambda: _ran_one_pass(
+        spark, bronze_path(spark, sf_dir, family), which, family, "watermark"), below="staged")
+    return OnePassSilver(spark, path, which)
+
+
+def one_pass_batches(spark: SparkSession, sf_dir: str, dedup: str, compacted: bool = False) -> OnePassSilver:
+    """The one-pass writer's layers of the four micro-batches; ``compacted`` to few
+    files, with the batches' own files removed."""
+    def build() -> str:
+        path = _ran_one_pass(spark, batches_path(spark, sf_dir), click_family(), f"batches/{dedup}", dedup, fixtures.BATCH_FILES)
+        if compacted:
+            ledger = OnePassSilver(spark, path, click_family(), dedup).ledger
+            ledger.compact()
+            ledger.clean()
+        return path
+
+    path = _memo(spark, sf_dir, f"one_pass/batches/{dedup}/{compacted}", build, below="versions" if compacted else "staged")
+    return OnePassSilver(spark, path, click_family(), dedup)
 
 
 def log_table(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
@@ -156,4 +183,54 @@ def gold_path(spark: SparkSession, sf_dir: str) -> str:
         write_gold_tables(*build_gold_tables(silver), out)
         return out
 
-    return _memo(spark, sf_dir, "gold/click", build)
+    return _memo(spark, sf_dir, "gold/click", build, below="manifests")
+
+
+def gold_levels(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    """The first level of Gold by day, written in two refreshes of every other date."""
+    def build() -> str:
+        from cartwheel.operators.gold import refresh_days
+
+        silver = silver_table(spark, sf_dir, family)
+        dates = sorted(r[0] for r in silver.select("event_date").distinct().collect())
+        out = scratch_path(spark, "gold_days", family)
+        for some in (dates[::2], dates[1::2], dates[-1:]):  # the last date is refreshed again
+            refresh_days(silver, out, family, some)
+        return out
+
+    return spark.read.parquet(_memo(spark, sf_dir, f"gold_days/{family}", build))
+
+
+def sketch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches by day of the prepared events, written in two refreshes of every other date."""
+    def build() -> str:
+        from cartwheel.operators.sketches import refresh_sketches
+
+        prepared = fixtures.prepared(spark, sf_dir)
+        dates = sorted(r[0] for r in prepared.select("event_date").distinct().collect())
+        out = scratch_path(spark, "sketches")
+        for some in (dates[::2], dates[1::2]):
+            refresh_sketches(prepared, out, some)
+        return out
+
+    return spark.read.parquet(_memo(spark, sf_dir, "sketches", build))
+
+
+def journey_store(spark: SparkSession, sf_dir: str):
+    """Per-session rows of Silver R, added in four parts, the first two merged meanwhile and the
+    last added twice."""
+    from pyspark.sql import functions as F
+
+    from cartwheel.operators.quality import JourneyStore
+
+    def build() -> str:
+        silver = silver_table(spark, sf_dir, "retail")
+        store = JourneyStore(spark, scratch_path(spark, "journeys"))
+        for part, partitions in ((0, [0, 3]), (1, [1]), (3, [2, 5]), (4, [4]), (4, [4])):
+            store.add(part, silver.where(F.col("kafka_partition").isin(partitions)))
+            if part == 1:
+                store.merge(2)
+                store.drop_merged(2)
+        return store.path
+
+    return JourneyStore(spark, _memo(spark, sf_dir, "journeys", build))

@@ -103,6 +103,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "cartwheel", *parts, uuid.uuid4().hex])
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system its path names; whether it was there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it is not there)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()) if files.exists(target) else []
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme, for the few checks that look at local files in tests."""
     if path.startswith("file:"):
