@@ -8,6 +8,7 @@
     python -m cartwheel.jobs bronze   --log-format kafka --bootstrap-servers host:9092 --topic t \
                                       --out bronze/ --checkpoint ck/bronze
     python -m cartwheel.jobs silver   --family click --bronze bronze/ --out silver/ --checkpoint ck/silver
+    python -m cartwheel.jobs compact  --family click --silver silver/ --clean
     python -m cartwheel.jobs gold     --family click --silver silver/ --out gold/
     python -m cartwheel.jobs inspect  --layer bronze --path bronze/
     python -m cartwheel.jobs preview  --log-format kafka --bootstrap-servers host:9092 --topic t
@@ -22,7 +23,7 @@ import argparse
 import sys
 
 from cartwheel.schemas import BRONZE_SCHEMA, CLICK_TOPIC, RETAIL_TOPIC
-from cartwheel.session import build_session
+from cartwheel.session import build_session, scratch_path
 
 
 def _topic_args(p: argparse.ArgumentParser) -> None:
@@ -85,7 +86,10 @@ def cmd_replay(spark, a) -> None:
     from cartwheel.operators import replay
     from cartwheel.sources.log import publish
 
-    sample = replay.sample_sessions(spark.read.parquet(a.prepared), a.modulus, a.remainder)
+    # the prepared table is read once; what is sent is read again from the sample
+    path = scratch_path(spark, "replay_sample")
+    replay.sample_sessions(spark.read.parquet(a.prepared), a.modulus, a.remainder).write.parquet(path)
+    sample = spark.read.parquet(path)
     totals = replay.replay_totals(sample).first()
     if totals["events"] == 0:
         raise ValueError(f"no session is in bucket {a.remainder} of {a.modulus}: nothing to replay")
@@ -114,64 +118,92 @@ def cmd_bronze(spark, a) -> None:
         start_bronze(records, a.out, a.checkpoint).awaitTermination()
 
 
-def cmd_silver(spark, a) -> None:
-    from cartwheel.streaming.silver import run_silver, silver_click, silver_retail, start_silver
+def _family(a):
+    from cartwheel.streaming.one_pass import click_family, retail_family
+
+    make = click_family if a.family == "click" else retail_family
+    return make(delay=a.watermark) if getattr(a, "watermark", None) else make()
+
 
+def cmd_silver(spark, a) -> None:
+    """Silver, quarantine and late rows by the one-pass writer; ``--writer stream`` is Spark's
+    stateful operator, which keeps Silver only."""
     _shuffle(spark, a.state_partitions)
-    bronze = spark.readStream.schema(BRONZE_SCHEMA).format("parquet").load(a.bronze)
+    reader = spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
     if a.max_files_per_trigger:
-        bronze = (
-            spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
-            .option("maxFilesPerTrigger", str(a.max_files_per_trigger)).load(a.bronze)
-        )
-    delay = a.watermark or ("30 minutes" if a.family == "click" else "10 minutes")
-    if a.family == "click":
-        silver = silver_click(bronze, watermark=delay, dedup=a.dedup)
-    else:
-        silver = silver_retail(bronze, watermark=delay, dedup=a.dedup)
-    if a.quarantine:
-        # a second, stateless stream over the same Bronze: rejected rows with reasons
-        from cartwheel.streaming.runner import run_to_completion, start_stream
-        from cartwheel.streaming.silver import quarantine_click, quarantine_retail
-
-        rejected = quarantine_click(bronze) if a.family == "click" else quarantine_retail(bronze)
-        q_ckpt = a.checkpoint.rstrip("/") + "-quarantine"
+        reader = reader.option("maxFilesPerTrigger", str(a.max_files_per_trigger))
+    bronze, family = reader.load(a.bronze), _family(a)
+    if a.writer == "one-pass":
+        from cartwheel.streaming.one_pass import OnePassSilver
+
+        writer = OnePassSilver(spark, a.out, family, a.dedup, a.horizon_days)
         if a.available_now:
-            run_to_completion(rejected, a.quarantine, q_ckpt)
+            writer.run(bronze, a.checkpoint)
+            writer.batches().show(truncate=False)
         else:
-            start_stream(rejected, a.quarantine, q_ckpt)
+            writer.start(bronze, a.checkpoint).awaitTermination()
+        return
+    from cartwheel.streaming.silver import run_silver, silver_click, silver_retail, start_silver
+
+    build = silver_click if a.family == "click" else silver_retail
+    silver = build(bronze, watermark=family.delay, dedup=a.dedup)
     if a.available_now:
-        run_silver(silver, a.out, a.checkpoint)
+        late = run_silver(silver, a.out, a.checkpoint)
+        print(f"{late} rows came behind the watermark and were dropped")
     else:
-        start_silver(silver, a.out, a.checkpoint)
-        spark.streams.awaitAnyTermination()
+        start_silver(silver, a.out, a.checkpoint).awaitTermination()
+
+
+def cmd_compact(spark, a) -> None:
+    """Copy the one-pass writer's batches into few files, and remove older copies' sources."""
+    from cartwheel.streaming.one_pass import OnePassSilver
+
+    ledger = OnePassSilver(spark, a.silver, _family(a)).ledger
+    version = ledger.compact()
+    removed = ledger.clean(a.keep_batches) if a.clean else []
+    print(f"version {version}; {len(removed)} folders removed")
 
 
 def cmd_gold(spark, a) -> None:
+    """The family's Gold tables as a new version; with ``--levels`` from the first level kept
+    there by day, of which ``--refresh`` dates (or all) are read from Silver anew."""
     from cartwheel.operators import gold
-    from cartwheel.operators.report import write_gold_tables
-
-    silver = gold.between_dates(spark.read.parquet(a.silver), a.date_from, a.date_to)
-    if a.family == "click":
-        write_gold_tables(*gold.build_gold_tables(silver), a.out)  # one scan of Silver
-        for name in ("funnel", "categories", "price_buckets"):
-            spark.read.parquet(f"{a.out}/{name}").show(10 if name == "categories" else 20, truncate=False)
+    from cartwheel.operators.report import GOLD_TABLES, clean_versions, load_version, write_version
+    from cartwheel.streaming.one_pass import silver_of
+
+    silver = silver_of(spark, a.silver, _family(a))
+    names = GOLD_TABLES if a.family == "click" else ("funnel_metrics", "product_metrics", "country_metrics")
+    if a.levels:
+        gold.refresh_days(silver, a.levels, a.family, a.refresh.split(",") if a.refresh else None)
+        built = gold.daily_gold_tables(spark.read.parquet(a.levels), a.family, a.date_from, a.date_to)
     else:
-        funnel, products, countries = gold.build_retail_gold_tables(silver)  # one scan of Silver
-        tables = {"funnel_metrics": funnel, "product_metrics": products, "country_metrics": countries}
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{a.out}/{name}")
-            spark.read.parquet(f"{a.out}/{name}").show(truncate=False)
+        build = gold.build_gold_tables if a.family == "click" else gold.build_retail_gold_tables
+        built = build(gold.between_dates(silver, a.date_from, a.date_to))  # one scan of Silver
+    version = write_version(dict(zip(names, built)), a.out)
+    clean_versions(spark, a.out, a.keep_versions)
+    print(f"version {version}")
+    for name, table in load_version(spark, a.out).items():
+        table.show(10 if name == "categories" else 20, truncate=False)
 
 
 def cmd_inspect(spark, a) -> None:
-    from cartwheel.operators import inspection
+    from cartwheel.operators import inspection, sketches
+    from cartwheel.streaming.one_pass import OnePassSilver, click_family, retail_family, silver_of
 
-    df = spark.read.parquet(a.path)
+    if a.layer.startswith("silver-"):
+        family = click_family() if a.layer == "silver-click" else retail_family()
+        df = silver_of(spark, a.path, family)
+    else:
+        df = spark.read.parquet(a.path)
     df.printSchema()
     if a.layer == "prepared":
-        inspection.prepared_quality(df).show(truncate=False)
-        inspection.prepared_type_counts(df).show(truncate=False)
+        # one scan for the estimates and the counts; the sample is a top-k of its own
+        pass_path = scratch_path(spark, "sketches")
+        sketches.refresh_sketches(df, pass_path)
+        stored = spark.read.parquet(pass_path)
+        sketches.prepared_estimates(stored).show(truncate=False)
+        sketches.session_estimates(stored).show(truncate=False)
+        sketches.type_counts(stored).show(truncate=False)
         inspection.prepared_sample(df).show(5, truncate=20)
     elif a.layer == "bronze":
         inspection.bronze_metrics(df).show()
@@ -185,6 +217,9 @@ def cmd_inspect(spark, a) -> None:
         inspection.silver_click_metrics(df).show()
         inspection.silver_click_type_counts(df).show()
         inspection.partition_offsets(df).show()
+    if a.layer.startswith("silver-") and a.log and a.bronze:
+        batches = OnePassSilver(spark, a.path, family).batches()
+        inspection.batch_reconciliation(spark.read.parquet(a.log), spark.read.parquet(a.bronze), batches).show()
 
 
 def cmd_preview(spark, a) -> None:
@@ -233,19 +268,32 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--watermark", default=None, help="event-time delay (default 30 minutes C, 10 minutes R)")
     p.add_argument("--state-partitions", type=int, default=None, help="fixed at first start")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
-    p.add_argument("--quarantine", default=None, help="also write rejected rows with reasons here")
+    p.add_argument("--writer", choices=["one-pass", "stream"], default="one-pass",
+                   help="one-pass: Silver, quarantine and late rows; stream: Spark's stateful operator, Silver only")
+    p.add_argument("--horizon-days", type=int, default=None, help="exact: days before the watermark in which a repeat is sought")
     _stream_args(p)
 
+    p = sub.add_parser("compact")
+    p.add_argument("--family", choices=["retail", "click"], required=True)
+    p.add_argument("--silver", required=True, help="folder of the one-pass writer")
+    p.add_argument("--clean", action="store_true", help="remove the folders of compacted batches")
+    p.add_argument("--keep-batches", type=int, default=0, help="compacted batches whose folders stay")
+
     p = sub.add_parser("gold")
     p.add_argument("--date-from", default=None, help="first event_date (inclusive), prunes partitions")
     p.add_argument("--date-to", default=None, help="last event_date (inclusive)")
     p.add_argument("--family", choices=["retail", "click"], required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--levels", default=None, help="folder of the first level by day")
+    p.add_argument("--refresh", default=None, help="dates, comma separated, whose Silver is read anew (default: all)")
+    p.add_argument("--keep-versions", type=int, default=2, help="versions of the Gold tables that stay")
 
     p = sub.add_parser("inspect")
     p.add_argument("--layer", choices=["prepared", "bronze", "silver-retail", "silver-click"], required=True)
     p.add_argument("--path", required=True)
+    p.add_argument("--log", help="silver: log table, to reconcile all layers")
+    p.add_argument("--bronze", help="silver: Bronze, to reconcile all layers")
 
     p = sub.add_parser("preview")
     _log_args(p)

@@ -19,6 +19,8 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +38,23 @@ def between_dates(events: DataFrame, date_from=None, date_to=None, column: str =
     return events
 
 
+def _set_ids(dims: tuple[str, ...], sets: dict[str, tuple[str, ...]]) -> dict[str, int]:
+    # grouping_id: one bit per dimension, most significant first, 1 = not grouped
+    return {name: sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
+            for name, grouped in sets.items()}
+
+
 class _Levels:
     """First-level rows of the named grouping sets of ``events``."""
 
-    def __init__(self, events: DataFrame, dims: tuple[str, ...], sets: dict[str, tuple[str, ...]], aggregates: list[Column]):
-        # grouping_id: one bit per dimension, most significant first, 1 = not grouped
-        self.ids = {name: sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in grouped)
-                    for name, grouped in sets.items()}
-        self.rows = events.groupingSets([list(g) for g in sets.values()], *dims).agg(
+    def __init__(self, rows: DataFrame, ids: dict[str, int]):
+        self.rows, self.ids = rows, ids
+
+    @classmethod
+    def from_events(cls, events: DataFrame, dims: tuple[str, ...], sets: dict[str, tuple[str, ...]], aggregates: list[Column]) -> _Levels:
+        rows = events.groupingSets([list(g) for g in sets.values()], *dims).agg(
             *aggregates, F.grouping_id().cast("int").alias("set_id"))
+        return cls(rows, _set_ids(dims, sets))
 
     def write(self) -> _Levels:
         """Written once, a folder per set, and read back."""
@@ -92,7 +102,7 @@ def _click_levels(events: DataFrame, *names: str) -> _Levels:
         "category": F.coalesce(F.col("category_hash"), F.lit("unknown")).alias("category"),
         "price_bucket": F.col("price_bucket"), "session_id": F.col("session_id"), "product_id": F.col("product_id"),
     }
-    return _Levels(events.select(*[columns[d] for d in dims], "event_type"), dims, sets, _counts())
+    return _Levels.from_events(events.select(*[columns[d] for d in dims], "event_type"), dims, sets, _counts())
 
 
 def _funnel(levels: _Levels) -> DataFrame:
@@ -203,7 +213,8 @@ def _retail_levels(events: DataFrame, *names: str) -> _Levels:
     sets = {n: _RETAIL_SETS[n] for n in names}
     dims = tuple(d for d in ("session_id", "product_id", "product_name", "category", "country")
                  if any(d in g for g in sets.values()))
-    return _Levels(events.select(*dims, "event_type", "unit_price", "quantity"), dims, sets, [*_counts(), *revenue_parts()])
+    return _Levels.from_events(
+        events.select(*dims, "event_type", "unit_price", "quantity"), dims, sets, [*_counts(), *revenue_parts()])
 
 
 def _retail_funnel(levels: _Levels) -> DataFrame:
@@ -266,3 +277,53 @@ def build_retail_gold_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, D
     """G1, G2 and G3 from one scan of Silver R: (funnel, products, countries)."""
     levels = _retail_levels(events, *_RETAIL_SETS).write()
     return _retail_funnel(levels), _products(levels), _countries(levels)
+
+
+# ---- by day --------------------------------------------------------------------------
+# The first level is kept for each event_date, so that a day's Silver is read when that day
+# is refreshed and never again. A session or product of several days has a row in each of
+# them; the rows of a key are added up before the tables are finished.
+DAY = "event_date"
+
+
+def _family_levels(family: str) -> tuple[tuple[str, ...], dict[str, tuple[str, ...]], list[Column], list[Column]]:
+    """(dimensions, sets, first-level aggregates, the same over first-level rows)."""
+    sums = [F.sum(c).alias(c) for c in ("n_events", "n_views", "n_adds", "n_removes", "n_purchases")]
+    if family == "click":
+        return ("category", "price_bucket", "session_id", "product_id"), _CLICK_SETS, _counts(), sums
+    if family == "retail":
+        return (("session_id", "product_id", "product_name", "category", "country"), _RETAIL_SETS,
+                [*_counts(), *revenue_parts()], [*sums, *merged_revenue_parts()])
+    raise ValueError(f"unknown family {family!r}")
+
+
+def day_levels(events: DataFrame, family: str, dates: Sequence | None = None) -> DataFrame:
+    """First-level rows of each date (of ``dates``, all if None): one scan of those dates."""
+    dims, sets, aggregates, _ = _family_levels(family)
+    if dates is not None:
+        events = events.filter(F.col(DAY).isin([F.lit(d).cast("date") for d in dates]))
+    if family == "click":
+        events = events.withColumn("category", F.coalesce("category_hash", F.lit("unknown")))
+    # the date is in every set, so its bit of the grouping id is 0 and the ids are those without it
+    by_day = {name: (DAY, *grouped) for name, grouped in sets.items()}
+    return _Levels.from_events(events, (DAY, *dims), by_day, aggregates).rows
+
+
+def refresh_days(events: DataFrame, path: str, family: str, dates: Sequence | None = None) -> None:
+    """Write the first level of ``dates`` (all if None) anew; other dates stay as they are.
+
+    Only the folders of dates that have rows are replaced (dynamic partition overwrite).
+    """
+    rows = day_levels(events, family, dates)
+    rows.hint("rebalance", DAY).sortWithinPartitions(DAY, "set_id").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+
+
+def daily_gold_tables(levels: DataFrame, family: str, date_from=None, date_to=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three Gold tables of a family from stored first-level rows, of a range of dates."""
+    dims, sets, _, again = _family_levels(family)
+    rows = between_dates(levels, date_from, date_to).groupBy("set_id", *dims).agg(*again)
+    merged = _Levels(rows, _set_ids(dims, sets)).write()
+    if family == "click":
+        return _funnel(merged), _categories(merged), _price_segments(merged)
+    return _retail_funnel(merged), _products(merged), _countries(merged)

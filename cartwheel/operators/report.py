@@ -2,37 +2,91 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.operators.gold import price_segment_order
+from cartwheel.session import delete_path, folders_in
 
 GOLD_TABLES = ("funnel", "categories", "price_buckets")
+_MANIFEST = T.StructType([T.StructField("build", T.StringType()), T.StructField("tables", T.ArrayType(T.StringType())),
+                          T.StructField("version", T.LongType())])
 
 
 class GoldMissingError(FileNotFoundError):
     """Gold tables were not built yet."""
 
 
-def write_gold_tables(funnel: DataFrame, categories: DataFrame, price_buckets: DataFrame, gold_path: str) -> None:
-    """One overwritten Parquet directory per Gold table."""
-    for name, df in zip(GOLD_TABLES, (funnel, categories, price_buckets)):
-        df.write.mode("overwrite").parquet(f"{gold_path.rstrip('/')}/{name}")
+def write_version(tables: dict[str, DataFrame], gold_path: str) -> int:
+    """The tables of one build as the next version; its number.
+
+    Every table goes into a folder of this build; the manifest, one small file that is
+    renamed into place, comes last. A build that fails leaves the version before as it was,
+    and readers never see tables of two builds. Two builds at once cannot take the same
+    number: the second to write its manifest fails.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    root, build = gold_path.rstrip("/"), uuid.uuid4().hex
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/builds/{build}/{name}")
+    newest = _newest(spark, root)
+    version = 1 if newest is None else newest["version"] + 1
+    manifest = spark.createDataFrame([(build, list(tables))], T.StructType(_MANIFEST.fields[:2])).coalesce(1)
+    manifest.write.mode("error").parquet(f"{root}/manifests/version={version}")
+    return version
+
+
+def _newest(spark: SparkSession, root: str) -> Row | None:
+    try:
+        manifests = spark.read.schema(_MANIFEST).parquet(f"{root}/manifests")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return manifests.orderBy(F.desc("version")).first()
+
+
+def load_version(spark: SparkSession, gold_path: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The tables (all, or those of ``names``) of the newest complete version, or a
+    clear error when there is none."""
+    root = gold_path.rstrip("/")
+    newest = _newest(spark, root)
+    if newest is None:
+        raise GoldMissingError(f"no complete version of the Gold tables at {root}; build the Gold tables first")
+    missing = sorted(set(names or ()) - set(newest["tables"]))
+    if missing:
+        raise GoldMissingError(f"version {newest['version']} at {root} has no table {', '.join(missing)}")
+    return {name: spark.read.parquet(f"{root}/builds/{newest['build']}/{name}") for name in names or newest["tables"]}
+
+
+def clean_versions(spark: SparkSession, gold_path: str, keep: int = 2) -> int:
+    """Remove the builds that are not in the last ``keep`` versions, those that failed included;
+    their number. To be called when no build is being written."""
+    root = gold_path.rstrip("/")
+    if _newest(spark, root) is None:
+        return 0
+    rows = spark.read.schema(_MANIFEST).parquet(f"{root}/manifests").orderBy(F.desc("version")).limit(max(1, keep)).collect()
+    kept = {r["build"] for r in rows}
+    gone = [b for b in folders_in(spark, f"{root}/builds") if b not in kept]
+    for build in gone:
+        delete_path(spark, f"{root}/builds/{build}")
+    return len(gone)
+
+
+def write_gold_tables(funnel: DataFrame, categories: DataFrame, price_buckets: DataFrame, gold_path: str) -> int:
+    """The three clickstream Gold tables as the next version."""
+    return write_version(dict(zip(GOLD_TABLES, (funnel, categories, price_buckets))), gold_path)
 
 
 def load_gold_tables(spark: SparkSession, gold_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three clickstream Gold tables, or a clear error when absent."""
-    out = []
-    for name in GOLD_TABLES:
-        path = f"{gold_path.rstrip('/')}/{name}"
-        try:
-            out.append(spark.read.parquet(path))
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            raise GoldMissingError(f"Gold table {name!r} not found at {path}; build the Gold tables first") from exc
-    return tuple(out)
+    """The three clickstream Gold tables of the newest version, or a clear error when absent."""
+    tables = load_version(spark, gold_path, GOLD_TABLES)
+    return tuple(tables[name] for name in GOLD_TABLES)
 
 
 def category_label() -> F.Column:

@@ -9,6 +9,8 @@ import sys
 import pytest
 
 from cartwheel import jobs
+from cartwheel.operators.report import load_version
+from cartwheel.streaming.one_pass import OnePassSilver, click_family, retail_family, silver_of
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -58,15 +60,21 @@ def test_job_chain(spark, tmp_dir, job):
     out = job("inspect", "--layer", "bronze", "--path", f"{tmp_dir}/bronze")
     assert "missing_offsets" in out
     job("silver", "--family", "click", "--bronze", f"{tmp_dir}/bronze", "--out", f"{tmp_dir}/silver",
-        "--checkpoint", f"{tmp_dir}/ck/silver", "--available-now", "--state-partitions", "4",
-        "--quarantine", f"{tmp_dir}/quarantine")
+        "--checkpoint", f"{tmp_dir}/ck/silver", "--available-now", "--state-partitions", "4")
+    assert "version 1" in job("compact", "--family", "click", "--silver", f"{tmp_dir}/silver", "--clean")
     out = job("gold", "--family", "click", "--silver", f"{tmp_dir}/silver", "--out", f"{tmp_dir}/gold")
     assert "view_to_cart_rate" in out
     out = job("inspect", "--layer", "prepared", "--path", f"{tmp_dir}/prepared")
-    assert "approximate_unique_events" in out and "source_event_id" in out
-    out = job("inspect", "--layer", "silver-click", "--path", f"{tmp_dir}/silver")
-    assert "missing_price_buckets" in out and "first_offset" in out
-    funnel = spark.read.parquet(f"{tmp_dir}/gold/funnel").first()
+    assert "unique_events_low" in out and "abandoned_sessions" in out and "source_event_id" in out
+    out = job("inspect", "--layer", "silver-click", "--path", f"{tmp_dir}/silver", "--log", f"{tmp_dir}/log",
+              "--bronze", f"{tmp_dir}/bronze")
+    assert "missing_price_buckets" in out and "first_offset" in out and "unread_records" in out
+    funnel = load_version(spark, f"{tmp_dir}/gold")["funnel"].first()
+    out = job("gold", "--family", "click", "--silver", f"{tmp_dir}/silver", "--out", f"{tmp_dir}/gold", "--levels", f"{tmp_dir}/levels")
+    assert "version 2" in out and load_version(spark, f"{tmp_dir}/gold")["funnel"].first() == funnel
+    out = job("gold", "--family", "click", "--silver", f"{tmp_dir}/silver", "--out", f"{tmp_dir}/gold", "--levels", f"{tmp_dir}/levels",
+              "--refresh", "2024-01-02,2024-01-03")
+    assert "version 3" in out and load_version(spark, f"{tmp_dir}/gold")["funnel"].first() == funnel
     # no wrong keys or malformed values in this replay: every prepared event with a
     # product and a fitting bucket is valid, and the exact duplicates collapse
     prepared = spark.read.parquet(f"{tmp_dir}/prepared")
@@ -74,7 +82,7 @@ def test_job_chain(spark, tmp_dir, job):
     assert funnel.total_events == prepared.filter(good).select("source_event_id").distinct().count()
     assert funnel.total_sessions == prepared.filter(good).select("session_id").distinct().count()
 
-    rejected = spark.read.parquet(f"{tmp_dir}/quarantine")
+    rejected = OnePassSilver(spark, f"{tmp_dir}/silver", click_family()).quarantine()
     assert rejected.count() == prepared.filter(~good).count() > 0
     assert {r.reasons[0] for r in rejected.select("reasons").collect()} == {"missing_product_id", "bad_price_bucket"}
 
@@ -117,6 +125,6 @@ def test_retail_log_to_gold_jobs(spark, tmp_dir, job):
         "--checkpoint", f"{tmp_dir}/ck/silver", "--available-now", "--dedup", "exact")
     out = job("gold", "--family", "retail", "--silver", f"{tmp_dir}/silver", "--out", f"{tmp_dir}/gold")
     assert "total_revenue" in out
-    silver = spark.read.parquet(f"{tmp_dir}/silver")
+    silver = silver_of(spark, f"{tmp_dir}/silver", retail_family())
     assert silver.count() == silver.select("event_id").distinct().count() > 0
     assert silver.filter((F.col("unit_price") <= 0) | (F.length("country") != 2)).count() == 0
