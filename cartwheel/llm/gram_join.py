@@ -3,16 +3,18 @@
 Exact: no link is lost. Texts with equal sets of word n-grams form a class, a row of the
 incidence matrix.
 
-1. N-grams are counted over all texts. The commonest, at most HOT of them, are taken from the
-   matrix last (by the power of two of their count, then by hash); that order is the same
-   everywhere. Two sets that link share one of their first s - ceil(PERCENT * s / 100) + 1
-   n-grams in this order, s being the size: these first columns are the product's operands.
+1. The n-grams of the first 3/8 of the hash space are counted over all texts. Of these, the
+   commonest, at most HOT of them, are taken from the matrix last (by the power of two of
+   their count, then by hash), the others by hash; that order is the same everywhere. Two
+   sets that link share one of their first s - ceil(PERCENT * s / 100) + 1 n-grams in this
+   order, s being the size: these first columns are the product's operands.
 2. Blocks of columns are multiplied in tasks: classes that share a column of at most FEW
    classes get a partial count, and partial counts are added up over the blocks. A pair goes
    on if its sizes are close enough and its count can still be filled up to the overlap that
    its sizes demand by what lies beyond the first columns and in columns of more classes.
 3. In a column of more than FEW classes, every class is paired with the least one.
-4. Pairs are decided on their full sets; links are contracted to components.
+4. Pairs are decided on their full sets, first every class with its likeliest partner, then
+   the pairs whose classes are not in one component by then.
 5. Columns of more than FEW classes that still hold several components are multiplied as
    blocks of rows: all pairs of different components whose count over the first columns
    satisfies the bound go to step 4 again. A column of more than BLOCK classes first goes
@@ -31,14 +33,17 @@ the named columns are read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import LOWER_AZ, WORD_RE, documents, join_by_share, written
-from cartwheel.llm.near_dup import Shingler, components
+from cartwheel.llm.common import documents, join_by_share, written
+from cartwheel.llm.near_dup import components
+from cartwheel.llm.word_hash import mixed, word_hashes
 
 GRAM = 4
 #: 100 * intersection >= PERCENT * union.
@@ -51,8 +56,12 @@ FEW, BLOCK = 8, 2048
 LEVELS = 4
 #: Pairs with one class that are decided in one task.
 STAR = 2048
-#: N-grams whose counts are put together in a task, and rows of a block of columns.
-PACK = 1 << 21
+#: N-grams that are put together in a task before they are sent, and rows of a block of columns.
+PACK = 1 << 20
+#: N-grams below this hash are counted.
+COUNTED = np.uint64(3 << 61)
+#: Bytes of text to a bucket of counts, about.
+BUCKET_BYTES = 32 << 20
 
 _rng = np.random.Generator(np.random.PCG64(411))
 _PLACES = _rng.integers(1, 2**63, GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,25 +77,22 @@ def beyond(size):
     return -(-PERCENT * size // 100) - 1
 
 
-class Grams:
-    """Sets of word n-grams as sorted distinct 64-bit hashes."""
-
-    def __init__(self):
-        self.words = Shingler()
-
-    def of(self, text: str | None) -> np.ndarray:
-        words = WORD_RE.findall(text.lower() if text.isascii() else text.translate(LOWER_AZ)) if text else []
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        h = self.words.word_hashes(words)
-        if len(h) < GRAM:
-            return np.array([xxhash.xxh3_64_intdigest(h.tobytes(), len(h))], dtype=np.uint64)
+def gram_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The set of every text as sorted distinct 64-bit hashes."""
+    for h in word_hashes(texts):
         size = len(h) - GRAM + 1
-        out = np.zeros(size, dtype=np.uint64)
-        for k in range(GRAM):
-            out += h[k:k + size] * _PLACES[k]
-        out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-        return np.unique(out ^ (out >> np.uint64(32)))
+        if size > 0:
+            out = h[:size] * _PLACES[0]
+            for k in range(1, GRAM):
+                out += h[k:k + size] * _PLACES[k]
+            out = mixed(out)
+            out.sort()
+            keep = np.empty(size, dtype=bool)
+            keep[0] = True
+            np.not_equal(out[1:], out[:-1], out=keep[1:])
+            yield out[keep]
+        else:
+            yield np.array([xxhash.xxh3_64_intdigest(h.tobytes(), len(h))], dtype=np.uint64) if len(h) else h
 
 
 def class_of(grams: np.ndarray) -> bytes:
@@ -108,35 +114,96 @@ class Fresh:
         return True
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """gram and the number of sets that hold it, where that is at least LEAST_HOT (a set is
-    counted once for each task that reads it: the numbers decide an order only)."""
-    def run(batches):
-        grams, fresh, held, size = Grams(), Fresh(), [], 0
+def short_key(grams: np.ndarray) -> np.ndarray:
+    """The first 48 bits of n-gram hashes, by which they are counted and columns are told
+    apart. Two that meet by chance are one column: more candidates, never fewer links."""
+    return (grams >> np.uint64(16)).astype(np.int64)
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1).astype(np.int64)
+
+
+def key_counts(rows: DataFrame, keys, least: int, buckets: int) -> DataFrame:
+    """key and n of the 48-bit keys that occur at least ``least`` times.
+
+    ``keys`` makes an iterator of sorted arrays from a task's batches. A task counts PACK keys
+    at a time and sends them packed, 6 bytes each, by ranges of keys; the counts of a range
+    are added up in one task, whatever the number of times that one key occurs.
+    """
+    bits = max(1, (max(2, buckets) - 1).bit_length())
+
+    def send(batches):
+        held, size = [], 0
+
+        def out():
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            cuts = np.searchsorted(values, np.arange((1 << bits) + 1, dtype=np.int64) << (48 - bits))
+            some = np.flatnonzero(cuts[1:] > cuts[:-1])
+            parts = [(values[cuts[k]:cuts[k + 1]], n[cuts[k]:cuts[k + 1]]) for k in some]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)), pa.array([_pack(v[c == 1]) for v, c in parts], pa.binary()),
+                 pa.array([_pack(v[c > 1]) for v, c in parts], pa.binary()),
+                 pa.array([c[c > 1].astype("<u4").tobytes() for _, c in parts], pa.binary())], ["bucket", "once", "more", "n"])
+
+        for k in keys(batches):
+            held.append(k)
+            size += len(k)
+            if size >= PACK:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    def add(batches):
+        bucket, held = None, []
+
+        def out():
+            values = np.concatenate([_unpack(x) for once, more, _ in held for x in (once, more)])
+            n = np.concatenate([x for once, _, c in held for x in (np.ones(len(once) // 6, np.int64), np.frombuffer(c, "<u4").astype(np.int64))])
+            order = np.argsort(values, kind="stable")
+            values, n = values[order], n[order]
+            starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+            total = np.add.reduceat(n, starts)
+            keep = total >= least
+            return pa.RecordBatch.from_arrays([pa.array(values[starts][keep]), pa.array(total[keep])], ["key", "n"])
+
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in ("bucket", "once", "more", "n"))):
+                if held and row[0] != bucket:
+                    yield out()
+                    held = []
+                bucket = row[0]
+                held.append(row[1:])
+        if held:
+            yield out()
+
+    sent = rows.mapInArrow(send, "bucket int, once binary, more binary, n binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "key long, n long")
 
-        def packed():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int32))], ["gram", "n"])
 
+def gram_counts(docs: DataFrame, buckets: int) -> DataFrame:
+    """key and number of sets of the n-grams below COUNTED that are in at least LEAST_HOT
+    (a set is counted once for each task that reads it: the numbers decide an order only)."""
+    def keys(batches):
+        fresh = Fresh()
         for b in batches:
-            for text in b["text"].to_pylist():
-                s = grams.of(text)
+            for s in gram_sets(b["text"]):
                 if len(s) > GRAM and fresh(class_of(s)):
-                    held.append(s)
-                    size += len(s)
-                    if size >= PACK:
-                        yield packed()
-                        held, size = [], 0
-        if held:
-            yield packed()
+                    yield short_key(s[:np.searchsorted(s, COUNTED)])
 
-    counted = docs.select("text").mapInArrow(run, "gram long, n int")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_HOT)
+    return key_counts(docs.select("text"), keys, LEAST_HOT, buckets)
 
 
-def hot_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """At most HOT common n-grams, sorted, and their levels (powers of two of their counts)."""
-    counts = written(gram_counts(docs).select("gram", F.floor(F.log2("n")).cast("int").alias("level")), "gram_counts")
+def hot_grams(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most HOT common n-grams (keys, sorted) and their levels (powers of two of their counts)."""
+    counts = written(gram_counts(docs, buckets).select("key", F.floor(F.log2("n")).cast("int").alias("level")), "gram_counts")
     levels = {r["level"]: r["count"] for r in counts.groupBy("level").count().collect()}
     total, least = 0, 64
     for level in sorted(levels, reverse=True):
@@ -145,9 +212,9 @@ def hot_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             break
         least = level
     table = counts.where(F.col("level") >= least).toArrow()
-    grams, level = table["gram"].to_numpy().view(np.uint64), table["level"].to_numpy().astype(np.uint8)
-    order = np.argsort(grams)
-    return grams[order], level[order]
+    keys, level = table["key"].to_numpy(), table["level"].to_numpy().astype(np.uint8)
+    order = np.argsort(keys)
+    return keys[order], level[order]
 
 
 def prints(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -156,22 +223,24 @@ def prints(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
-        grams, fresh = Grams(), Fresh()
+        fresh = Fresh()
         common, levels = shared.value
         for b in batches:
             n, classes, firsts = [], [], []
-            for text in b["text"].to_pylist():
-                s = grams.of(text)
+            for s in gram_sets(b["text"]):
                 c = class_of(s) if len(s) else None
                 first = None
                 if len(s) > 5 and fresh(c):
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                        level = np.where(common[at] == s, levels[at], 0)
-                        s_order = s[np.argsort(level, kind="stable")]  # s is sorted by hash
-                    else:
-                        s_order = s
-                    first = s_order[:len(s) - beyond(len(s)) + LEVELS - 1].tobytes()
+                    first = s
+                    counted = short_key(s[:np.searchsorted(s, COUNTED)])
+                    if len(common) and len(counted):
+                        at = np.minimum(np.searchsorted(common, counted), len(common) - 1)
+                        hot = common[at] == counted
+                        if hot.any():
+                            level = np.zeros(len(s), dtype=np.uint8)
+                            level[:len(counted)][hot] = levels[at[hot]]
+                            first = s[np.argsort(level, kind="stable")]  # s is sorted by hash
+                    first = first[:len(s) - beyond(len(s)) + LEVELS - 1].tobytes()
                 n.append(len(s))
                 classes.append(c)
                 firsts.append(first)
@@ -182,22 +251,36 @@ def prints(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, class binary, first binary")
 
 
+def first_columns(b: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(keys of their first columns, sizes, numbers of first columns) of a batch of classes."""
+    sizes = b["size"].to_numpy()
+    take = sizes - beyond(sizes)
+    return [short_key(np.frombuffer(f, np.uint64)[:k]) for f, k in zip(b["first"].to_pylist(), take)], sizes, take
+
+
 def entries(classes: DataFrame) -> DataFrame:
-    """gram, id, size and place of every class's first columns."""
+    """gram (its key), id, size and place of every class's first columns."""
     def run(batches):
         for b in batches:
-            firsts = [np.frombuffer(f, np.int64) for f in b["first"].to_pylist()]
-            sizes = b["size"].to_numpy()
-            take = sizes - beyond(sizes)
-            if len(take):
+            if b.num_rows:
+                firsts, sizes, take = first_columns(b)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([f[:k] for f, k in zip(firsts, take)])), pa.array(np.repeat(b["id"].to_numpy(), take)),
+                    [pa.array(np.concatenate(firsts)), pa.array(np.repeat(b["id"].to_numpy(), take)),
                      pa.array(np.repeat(sizes, take)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in take]))],
                     ["gram", "id", "size", "place"])
 
     return classes.select("id", "size", "first").mapInArrow(run, "gram long, id long, size long, place int")
 
 
+def columns_of_several(classes: DataFrame, buckets: int) -> DataFrame:
+    """gram: the first columns that more than one class has."""
+    def keys(batches):
+        for b in batches:
+            yield from first_columns(b)[0] if b.num_rows else ()
+
+    return key_counts(classes.select("size", "first"), keys, 2, buckets).select(F.col("key").alias("gram"))
+
+
 def column_product(members: DataFrame) -> DataFrame:
     """(a, b, n): in how many columns of at most FEW classes two classes of near sizes meet."""
     def multiply(gram, ident, size):
@@ -251,25 +334,7 @@ def bounded(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     need = ceil_ratio(PERCENT * (F.col("size_a") + F.col("size_b")), 100 + PERCENT)
     rest = ceil_ratio(PERCENT * F.greatest("size_a", "size_b"), 100) - 1
     return (pairs.join(a, "a").join(b, "b")
-            .where(F.col("n") + F.least("big_a", "big_b") + rest >= need).select("a", "b"))
-
-
-def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id and full set of the classes ``wanted`` (id)."""
-    def run(batches):
-        grams = Grams()
-        for b in batches:
-            sets = [grams.of(t) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["class", "grams"])
-
-    named = written(classes.select("id", "class", "doc_id").join(wanted, "id"), "wanted")
-    ids = named.select(F.col("doc_id").alias("__id")).distinct()
-    texts = docs.select("doc_id", "text").where("text is not null").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    found = texts.select("text").mapInArrow(run, "class binary, grams binary")
-    # an id may stand for several texts, and a text for several rows
-    return found.join(named.select("class", "id"), "class").dropDuplicates(["id"]).select("id", "grams")
+            .where(F.col("n") + F.least("big_a", "big_b") + rest >= need).select("a", "b", "n"))
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -280,16 +345,29 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def decided(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by their full sets.
+def decided(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by the full sets of one text of each class.
 
-    The set of a meets those of its partners in one task, at most about STAR of them.
+    The set of a meets those of its partners in one task, at most about STAR of them. Sets
+    are sent once for each star that they are in, and are not kept.
     """
     dealt = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("parts"))
-    centres = sets.withColumnRenamed("id", "a").join(dealt, "a").select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(-1).cast("long").alias("b"), "grams")
-    others = pairs.join(dealt, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")).join(
-        sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "grams")
+    centres = dealt.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                           F.lit(-1).cast("long").alias("b"))
+    others = pairs.join(dealt, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
+    stars = written(centres.unionByName(others).join(classes.select("id", "class", "doc_id"), "id"), "stars_of_pairs")
+
+    def sets(batches):
+        for b in batches:
+            found = list(gram_sets(b["text"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([class_of(s) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())],
+                ["class", "grams"])
+
+    ids = stars.select(F.col("doc_id").alias("__id")).distinct()
+    texts = docs.select("doc_id", "text").where("text is not null").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    # an id may stand for several texts, and a text for several rows: a set may come twice
+    full = texts.select("text").mapInArrow(sets, "class binary, grams binary").join(stars.select("class", "a", "part", "b"), "class")
 
     def run(batches):
         centre, key = None, None
@@ -307,16 +385,16 @@ def decided(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     links.append(i)
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).take(pa.array(links, pa.int64()))
 
-    together = centres.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "b")
+    together = full.select("a", "part", "b", "grams").repartition("a", "part").sortWithinPartitions("a", "part", "b")
     return together.mapInArrow(run, "a long, b long")
 
 
-def named_by(found: DataFrame | None, rows: DataFrame, total: int) -> DataFrame:
+def named_by(found: DataFrame | None, rows: DataFrame, node: str = "id", into: str = "component") -> DataFrame:
     """``rows`` with the component of their class (the class itself if it has no link)."""
     if found is None:
-        return rows.withColumn("component", F.col("id"))
-    return rows.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
+        return rows.withColumn(into, F.col(node))
+    return rows.join(found.select(F.col("node").alias(node), F.col("component").alias(into)), node, "left").withColumn(
+        into, F.coalesce(into, node))
 
 
 def several(rows: DataFrame) -> DataFrame:
@@ -367,7 +445,7 @@ def row_product(rows: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             keys = batch["key"].to_numpy()
             columns = [batch[c].to_numpy() for c in ("id", "component", "size")]
-            firsts = [np.frombuffer(f, np.int64) for f in batch["first"].to_pylist()]
+            firsts = [short_key(np.frombuffer(f, np.uint64)) for f in batch["first"].to_pylist()]
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
             for start, end in zip(cuts, cuts[1:]):
                 if start == end:
@@ -389,7 +467,7 @@ def deeper(rows: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for key, ident, place, component, size, first in zip(*(b[c].to_pylist() for c in ("key", "id", "place", "component", "size", "first"))):
-                f = np.frombuffer(first, np.uint64)
+                f = np.frombuffer(first, np.uint64) >> np.uint64(16)
                 end = size - beyond(size) + level - 1
                 if place + 1 >= end:
                     continue
@@ -433,41 +511,55 @@ def remaining_pairs(large: DataFrame, classes: DataFrame, block: int = BLOCK) ->
 
 def gram_classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    rows = written(prints(docs, hot_grams(docs)), "gram_prints")
+    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // BUCKET_BYTES)
+    rows = written(prints(docs, hot_grams(docs, buckets)), "gram_prints")
     classes = written(rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size"), F.max("first").alias("first"),
         F.count(F.lit(1)).alias("rows")).withColumn("id", F.monotonically_increasing_id()), "gram_classes")
     usable = classes.where("first is not null")
 
-    of_columns = entries(usable)
-    columns = written(of_columns.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("least")).where(
+    shared = written(entries(usable).join(written(columns_of_several(usable, buckets), "columns"), "gram"), "shared_columns")
+    columns = written(shared.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("least")).where(
         "members > 1"), "columns")
-    members = written(of_columns.join(columns, "gram"), "column_members")
+    members = written(shared.join(columns, "gram"), "column_members")
     large = members.where(F.col("members") > FEW)
 
     sizes = usable.select("id", "size").join(large.groupBy("id").agg(F.count(F.lit(1)).alias("big")), "id", "left").select(
         "id", "size", F.coalesce("big", F.lit(0)).alias("big"))
     counted = bounded(column_product(members.where(F.col("members") <= FEW)), written(sizes, "sizes"))
-    stars = large.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    pairs = written(counted.unionByName(stars).distinct(), "pairs")
-
-    def decide(candidates: DataFrame) -> DataFrame:
-        ids = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id"))).distinct()
-        return written(decided(candidates, written(full_sets(docs, classes, ids), "full_sets")), "links")
-
-    total = classes.count()
-    links, found = decide(pairs), None
-    if not links.isEmpty():
-        found = written(components(links), "components")
+    stars = large.where("id != least").groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = written(counted.unionByName(stars).groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+
+    links = found = None
+
+    def decide(candidates: DataFrame) -> None:
+        nonlocal links, found
+        new = written(decided(candidates, classes, docs), "links")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            found = written(components(links), "components")
+
+    def apart(candidates: DataFrame) -> DataFrame:
+        """The candidates whose classes are not in one component."""
+        both = named_by(found, named_by(found, candidates, "a", "of_a"), "b", "of_b")
+        return written(both.where("of_a != of_b").select("a", "b"), "pairs")
+
+    first = written(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", F.negative("a"))).alias("a")).select("a", "b"), "pairs")
+    if not first.isEmpty():
+        decide(first)
+        others = apart(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"))
+        if not others.isEmpty():
+            decide(others)
     if not large.isEmpty():
-        named = named_by(found, large.select(F.col("gram").alias("key"), "id", "place"), total)
+        named = named_by(found, large.select(F.col("gram").alias("key"), "id", "place"))
         more = remaining_pairs(written(named, "named_columns"), usable, block).join(pairs, ["a", "b"], "left_anti")
         more = written(more, "pairs")
-        new = None if more.isEmpty() else decide(more)
-        if new is not None and not new.isEmpty():
-            found = written(components(links.unionByName(new)), "components")
+        if not more.isEmpty():
+            decide(more)
 
-    named = written(named_by(found, classes.select("id", "class", "doc_id", "rows"), total), "named_classes")
+    total = classes.count()
+    named = written(named_by(found, classes.select("id", "class", "doc_id", "rows")), "named_classes")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("__n"))
     answer = written(join_by_share(named.select("class", "component", "rows"), written(least, "least"), ["component"], total), "answer")
     known = join_by_share(rows.where("class is not null").select("doc_id", "n_shingles", "class"),

@@ -8,9 +8,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from cartwheel.llm import gram_join, product_codes, trie
+from cartwheel.llm import gram_join, product_codes, trie, word_hash
 from cartwheel.llm.common import join_by_share
 from cartwheel.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -259,3 +260,42 @@ def test_join_by_share(spark):
     got = {(r.k, r.i, r.u) for r in join_by_share(rows, table, ["k"], 58, most=4).collect()}
     assert got == {(r.k, r.i, r.k and r.k.upper()) for r in rows.collect()}
 
+
+
+# ---- word hashes -----------------------------------------------------------------------
+def test_word_hashes_follow_the_words(monkeypatch):
+    """Equal words have equal hashes wherever they stand, different ones different ones; with
+    windows of any size, slices and nulls."""
+    rng = random.Random(4)
+    alphabet = "aAbBzZ éÉ東 \t\n\x0b\x0c\r.,"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 60))) for _ in range(400)]
+    texts += [None, "", "x" * 700, "x" * 700 + " y", "a " * 900, " " * 600 + "b"]
+    for window in (64, 1 << 18):
+        monkeypatch.setattr(word_hash, "WINDOW", window)
+        hashes: dict[str, int] = {}
+        for column in (pa.array(texts), pa.array(["zz zz", *texts]).slice(1), pa.array(texts, pa.large_string())):
+            found = list(word_hash.word_hashes(column))
+            assert len(found) == len(texts)
+            for text, h in zip(texts, found):
+                words = WORD.findall((text or "").translate(AZ))
+                assert len(words) == len(h)
+                for w, x in zip(words, h.tolist()):
+                    assert hashes.setdefault(w, x) == x
+        assert len(set(hashes.values())) == len(hashes) > 300
+
+
+def test_key_counts_over_tasks(spark):
+    """Counts of 48-bit keys that come in several packs and tasks."""
+    rng = random.Random(8)
+    values = [rng.randrange(40) * (2**48 // 40) + rng.randrange(3) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v long").repartition(6)
+
+    def keys(batches):
+        for b in batches:
+            v = b["v"].to_numpy()
+            for k in range(0, len(v), 100):
+                yield np.sort(v[k:k + 100])
+
+    for least in (1, 30):
+        got = {r.key: r.n for r in gram_join.key_counts(df, keys, least, 20).collect()}
+        assert got == {v: n for v, n in Counter(values).items() if n >= least}
