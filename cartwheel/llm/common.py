@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Callable
 from functools import wraps
 
@@ -16,10 +17,25 @@ from cartwheel.session import scratch_path
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD_PATTERN)
+#: Numbers that are neither digits nor letters (as ², ½, ①, Ⅷ), from Unicode's own properties:
+#: what ``[^\W\d_]`` has beyond letters.
+NUMERALS = re.compile("[" + "".join(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha()) + "]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: A-Z to a-z and nothing else.
 LOWER_AZ = {c: c + 32 for c in range(65, 91)}
 
 
+def letters_only(text: str) -> str:
+    """The text with a blank in place of each numeral, so that the pattern finds letters alone."""
+    return text if text.isascii() else NUMERALS.sub(" ", text)
+
+
+def letter_words(text: str | None) -> list[str]:
+    """Runs of letters in lower case."""
+    return _LETTERS.findall(letters_only(text).lower()) if text else []
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -1,7 +1,7 @@
 """Jaccard join of texts as a blocked sparse product of the document by n-gram incidence.
 
-Exact: no link is lost. Texts with equal sets of word n-grams form a class, a row of the
-incidence matrix.
+No link is lost. Texts with equal sets of word n-grams form a class, a row of the incidence
+matrix.
 
 1. The n-grams of the first 3/8 of the hash space are counted over all texts. Of these, the
    commonest, at most HOT of them, are taken from the matrix last (by the power of two of
@@ -12,15 +12,16 @@ incidence matrix.
    classes get a partial count, and partial counts are added up over the blocks. A pair goes
    on if its sizes are close enough and its count can still be filled up to the overlap that
    its sizes demand by what lies beyond the first columns and in columns of more classes.
-3. In a column of more than FEW classes, every class is paired with the least one.
-4. Pairs are decided on their full sets, first every class with its likeliest partner, then
+3. In a column of more than FEW classes, every class is paired with the least one, its hub.
+4. Pairs are decided on their whole sets, first every class with its likeliest partner, then
    the pairs whose classes are not in one component by then.
-5. Columns of more than FEW classes that still hold several components are multiplied as
-   blocks of rows: all pairs of different components whose count over the first columns
-   satisfies the bound go to step 4 again. A column of more than BLOCK classes first goes
-   deeper (classes that share two, three, four columns in order; the size bounds give the
-   place up to which the next one must be found), and after LEVELS it is cut to pairs of row
-   blocks.
+5. All classes that share a column with a hub form a group. Groups that still hold several
+   components are multiplied as blocks of rows over all their columns: a block gives links
+   between components, one for each two components that it joins, and never its pairs. A
+   group beyond a block's size is cut to pairs of blocks.
+
+Whole sets travel as 48-bit hashes: that two of a pair's n-grams agree by chance has a
+probability of about 10 ** -9.
 
 Sets of fewer than six n-grams link with equal ones only, which follows from the sizes.
 
@@ -50,12 +51,16 @@ GRAM = 4
 PERCENT = 85
 #: Most n-grams that are put last in the order (9 bytes each in every task), and least count of one.
 HOT, LEAST_HOT = 1 << 20, 16
-#: Most classes of a column whose pairs are counted directly, and of a block of rows.
-FEW, BLOCK = 8, 2048
-#: Columns in order that a class of a very common column is dealt by, at most.
-LEVELS = 4
+#: Most classes of a column whose pairs are counted directly.
+FEW = 8
+#: Most classes, and n-grams in all their sets, of half a block of rows.
+ROWS, ENTRIES = 4096, 1 << 20
+#: Rows of a block that are multiplied at a time, and numbers of the dense part of its matrix.
+CHUNK, DENSE = 256, 1 << 22
 #: Pairs with one class that are decided in one task.
 STAR = 2048
+#: Bits of the filter of wanted documents (a bounded 8 MB).
+FILTER_BITS = 26
 #: N-grams that are put together in a task before they are sent, and rows of a block of columns.
 PACK = 1 << 20
 #: N-grams below this hash are counted.
@@ -219,7 +224,7 @@ def hot_grams(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prints(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, n_shingles, class (null: empty set) and, once per class and task, its first
-    columns in order and LEVELS - 1 more."""
+    columns in order."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
@@ -240,7 +245,7 @@ def prints(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                             level = np.zeros(len(s), dtype=np.uint8)
                             level[:len(counted)][hot] = levels[at[hot]]
                             first = s[np.argsort(level, kind="stable")]  # s is sorted by hash
-                    first = first[:len(s) - beyond(len(s)) + LEVELS - 1].tobytes()
+                    first = first[:len(s) - beyond(len(s))].tobytes()
                 n.append(len(s))
                 classes.append(c)
                 firsts.append(first)
@@ -345,8 +350,44 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the hashes of ``doc_id``: bits in a fixed number of bytes."""
+    h = F.xxhash64("doc_id")
+    bits = ids.select(F.explode(F.array(*[
+        F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << FILTER_BITS) - 1).cast("long")) for shift in (0, FILTER_BITS)])).alias("bit"))
+    parts = bits.groupBy(F.floor(F.col("bit") / 32_768).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("bit") % 32_768).alias("bitmap")).collect()  # at most 2048 of 4 KB
+    out = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    for r in parts:
+        out[4096 * r["part"]:4096 * (r["part"] + 1)] = np.frombuffer(r["bitmap"], dtype=np.uint8)
+    return out
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """class and packed set of the texts of the documents ``wanted`` (class, doc_id), joined with
+    the rows of ``wanted``. Documents are told apart where they are; only sets are sent."""
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("doc_id").distinct()))
+
+    def sets(batches):
+        bits, mask = shared.value, np.uint64((1 << FILTER_BITS) - 1)
+        for b in batches:
+            h = b["h"].to_numpy().view(np.uint64)
+            found = np.ones(len(h), dtype=bool)
+            for shift in (0, FILTER_BITS):
+                at = (h >> np.uint64(shift)) & mask
+                found &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            some = list(gram_sets(b["text"].filter(pa.array(found))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([class_of(s) for s in some], pa.binary()), pa.array([_pack(short_key(s)) for s in some], pa.binary())],
+                ["class", "grams"])
+
+    texts = docs.where("text is not null").select("text", F.xxhash64("doc_id").alias("h"))
+    # an id may stand for several texts, and a text for several rows: a set may come twice
+    return texts.mapInArrow(sets, "class binary, grams binary").join(wanted.drop("doc_id"), "class")
+
+
 def decided(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by the full sets of one text of each class.
+    """The pairs (a, b) that link, by the sets of one text of each class.
 
     The set of a meets those of its partners in one task, at most about STAR of them. Sets
     are sent once for each star that they are in, and are not kept.
@@ -355,29 +396,17 @@ def decided(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     centres = dealt.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                            F.lit(-1).cast("long").alias("b"))
     others = pairs.join(dealt, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
-    stars = written(centres.unionByName(others).join(classes.select("id", "class", "doc_id"), "id"), "stars_of_pairs")
-
-    def sets(batches):
-        for b in batches:
-            found = list(gram_sets(b["text"]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())],
-                ["class", "grams"])
-
-    ids = stars.select(F.col("doc_id").alias("__id")).distinct()
-    texts = docs.select("doc_id", "text").where("text is not null").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    # an id may stand for several texts, and a text for several rows: a set may come twice
-    full = texts.select("text").mapInArrow(sets, "class binary, grams binary").join(stars.select("class", "a", "part", "b"), "class")
+    stars = written(centres.unionByName(others).join(classes.select("id", "class", "doc_id"), "id").drop("id"), "stars_of_pairs")
 
     def run(batches):
         centre, key = None, None
         for batch in batches:
-            a, b, grams = batch["a"].to_numpy(), batch["b"].to_numpy(), batch["grams"]
+            a, b, grams = batch["a"].to_numpy(), batch["b"].to_numpy(), batch["grams"].to_pylist()
             part, links = batch["part"].to_numpy(), []
             for i in range(batch.num_rows):
-                s = np.frombuffer(grams[i].as_buffer(), np.uint64)
+                s = _unpack(grams[i])
                 if b[i] < 0:
-                    centre, key = s.copy(), (a[i], part[i])
+                    centre, key = s, (a[i], part[i])
                     continue
                 if key != (a[i], part[i]):
                     raise ValueError("a pair without the set of its first class")
@@ -385,7 +414,7 @@ def decided(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                     links.append(i)
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).take(pa.array(links, pa.int64()))
 
-    together = full.select("a", "part", "b", "grams").repartition("a", "part").sortWithinPartitions("a", "part", "b")
+    together = whole_sets(docs, stars).select("a", "part", "b", "grams").repartition("a", "part").sortWithinPartitions("a", "part", "b")
     return together.mapInArrow(run, "a long, b long")
 
 
@@ -398,118 +427,101 @@ def named_by(found: DataFrame | None, rows: DataFrame, node: str = "id", into: s
 
 
 def several(rows: DataFrame) -> DataFrame:
-    """key and number of members of the groups that hold more than one component."""
+    """key, members and entries (sizes added up) of the groups that hold more than one component."""
     return rows.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")).where(
-        "low != high").select("key", "members")
-
-
-def row_product(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in a group (key, id, component) that the counts
-    over their first columns allow."""
-    def multiply(ids, parts, sizes, firsts):
-        take = sizes - beyond(sizes)
-        m = len(ids)
-        names, counts = np.unique(parts, return_counts=True)
-        outside = np.flatnonzero(parts != names[counts.argmax()])  # of the largest component
-        grams = np.concatenate([f[:k] for f, k in zip(firsts, take)])
-        owner = np.repeat(np.arange(m), take)
-        order = np.argsort(grams, kind="stable")
-        grams, owner = grams[order], owner[order]
-        cuts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1], [True]]))
-        place = np.full(m, -1)
-        place[outside] = np.arange(len(outside))
-        n = np.zeros((len(outside), m), dtype=np.int32)
-        for start, end in zip(cuts[:-1], cuts[1:]):
-            if end - start > 1:
-                column = owner[start:end]
-                mine = place[column]
-                mine = mine[mine >= 0]
-                if len(mine):
-                    n[np.ix_(mine, column)] += 1
-        x, y = sizes[outside][:, None], sizes[None, :]
-        fits = (n + beyond(np.maximum(x, y)) >= least_overlap(x, y)) & (100 * np.minimum(x, y) >= PERCENT * np.maximum(x, y))
-        fits &= parts[outside][:, None] != parts[None, :]
-        i, j = np.nonzero(fits)
-        a, b = ids[outside[i]], ids[j]
-        return np.minimum(a, b), np.maximum(a, b)
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.sum("size").alias("entries")).where("low != high").select("key", "members", "entries")
+
+
+def blocks(rows: DataFrame, most_rows: int, most_entries: int) -> DataFrame:
+    """The rows (key, id, size, component) of groups with several components in blocks of that
+    size; larger groups as pairs of blocks, so that every two rows meet in one."""
+    mixed_rows = written(rows.join(several(rows), "key"), "mixed_groups")
+    parts = F.greatest(F.ceil(F.col("members") / most_rows), F.ceil(F.col("entries") / most_entries)).cast("long")
+    small = mixed_rows.where(parts <= 2).select("key", "id", "size", "component")
+    cut = mixed_rows.where(parts > 2).select(
+        "key", "id", "size", "component", F.pmod(F.xxhash64("id"), parts).alias("i"),
+        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("j"))
+    pairs = cut.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "id", "size", "component")
+    return small.unionByName(pairs.join(several(pairs).select("key"), "key").select("key", "id", "size", "component"))
+
+
+def block_links(ids: np.ndarray, parts: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between rows of different components (``parts``), one for each two that they join.
 
+    The matrix of the rows' n-grams is multiplied with itself, CHUNK rows at a time: its
+    fullest columns as a dense matrix, the others by the lists of their rows. Rows of the
+    largest component are not multiplied with each other.
+    """
+    m, parts = len(ids), parts.copy()
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(m), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    length = np.diff(np.append(starts, len(flat)))
+    column = np.repeat(np.arange(len(starts)), length)
+    dense = np.argsort(-length, kind="stable")[:max(1, DENSE // m)]
+    dense = dense[length[dense] >= 32]
+    place = np.full(len(starts), -1)
+    place[dense] = np.arange(len(dense))
+    full = np.zeros((m, len(dense)), dtype=np.float32)
+    at = place[column] >= 0
+    full[owner[at], place[column[at]]] = 1
+    # the other columns that two rows have: for each row its columns
+    light = (place[column] < 0) & (length[column] > 1)
+    by_row = np.argsort(owner[light], kind="stable")
+    row_columns = column[light][by_row]
+    row_start = np.searchsorted(owner[light][by_row], np.arange(m + 1))
+
+    names, counts = np.unique(parts, return_counts=True)
+    outside = np.flatnonzero(parts != names[counts.argmax()])
+    links = []
+    for k in range(0, len(outside), CHUNK):
+        some = outside[k:k + CHUNK]
+        n = full[some] @ full.T
+        mine = row_start[some + 1] - row_start[some]
+        of_row = np.repeat(np.arange(len(some)), mine)
+        which = row_columns[np.arange(mine.sum()) + np.repeat(row_start[some] - (np.cumsum(mine) - mine), mine)]
+        take = length[which]
+        members = owner[np.arange(take.sum()) + np.repeat(starts[which] - (np.cumsum(take) - take), take)]
+        n += np.bincount(np.repeat(of_row, take) * m + members, minlength=len(some) * m).reshape(len(some), m)
+        fits = n >= least_overlap(sizes[some][:, None], sizes[None, :])
+        for i, row in zip(some.tolist(), fits):
+            linked = np.flatnonzero(row)
+            for p, j in zip(*(x.tolist() for x in np.unique(parts[linked], return_index=True))):
+                if p != parts[i]:
+                    links.append((int(ids[i]), int(ids[linked[j]])))
+                    parts[parts == p] = parts[i]
+    return links
+
+
+def block_product(rows: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between components, from blocks of rows (key, id, component)."""
     def run(batches):
         key, held = None, []
 
         def out():
-            columns = [np.concatenate([h[k] for h in held]) for k in range(3)]
-            a, b = multiply(*columns, [f for h in held for f in h[3]])
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            links = block_links(*(np.array(c, dtype=np.int64) for c in list(zip(*held))[:2]), [_unpack(h[2]) for h in held])
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            keys = batch["key"].to_numpy()
-            columns = [batch[c].to_numpy() for c in ("id", "component", "size")]
-            firsts = [short_key(np.frombuffer(f, np.uint64)) for f in batch["first"].to_pylist()]
-            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            for start, end in zip(cuts, cuts[1:]):
-                if start == end:
-                    continue
-                if held and keys[start] != key:
+            for k, *row in zip(*(batch[c].to_pylist() for c in ("key", "id", "component", "grams"))):
+                if held and k != key:
                     yield out()
                     held = []
-                key = keys[start]
-                held.append([*(c[start:end] for c in columns), firsts[start:end]])
+                key = k
+                held.append(row)
         if held:
             yield out()
 
-    full = rows.select("key", "id", "component").join(classes.select("id", "size", "first"), "id")
-    return full.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+    wanted = written(rows.join(classes.select("id", "class", "doc_id"), "id").select("key", "id", "component", "class", "doc_id"), "block_rows")
+    sets = whole_sets(docs, wanted).select("key", "id", "component", "grams")
+    return sets.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def deeper(rows: DataFrame, classes: DataFrame, level: int) -> DataFrame:
-    """Rows (key, id, place, component) dealt by each column that can be the next common one."""
-    def run(batches):
-        for b in batches:
-            for key, ident, place, component, size, first in zip(*(b[c].to_pylist() for c in ("key", "id", "place", "component", "size", "first"))):
-                f = np.frombuffer(first, np.uint64) >> np.uint64(16)
-                end = size - beyond(size) + level - 1
-                if place + 1 >= end:
-                    continue
-                mixed = (f[place + 1:end] ^ np.uint64(key % 2**64)) * np.uint64(0x9E3779B97F4A7C15)
-                mixed ^= mixed >> np.uint64(29)
-                m = end - place - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mixed.view(np.int64)), pa.array(np.full(m, ident)), pa.array(np.arange(place + 1, end, dtype=np.int32)),
-                     pa.array(np.full(m, component))], ["key", "id", "place", "component"])
-
-    return rows.select("key", "id", "place", "component").join(classes.select("id", "size", "first"), "id").mapInArrow(
-        run, "key long, id long, place int, component long")
-
-
-def blocks(rows: DataFrame, block: int) -> DataFrame:
-    """Groups (key, members, id, component) of more than ``block`` rows as pairs of row blocks."""
-    parts = F.ceil(F.col("members") / (block / 2)).cast("long")
-    other = rows.select("key", "id", "component", F.pmod(F.xxhash64("id"), parts).alias("i"),
-                        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("j"))
-    return other.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "id", "component")
-
-
-def remaining_pairs(large: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Candidates (a, b) of the groups (key, id, place, component) that hold several components."""
-    pairs = None
-    for level in range(1, LEVELS + 1):
-        rows = written(large.join(several(large), "key"), "mixed_columns")
-        some = rows.where(F.col("members") <= block).select("key", "id", "component")
-        huge = rows.where(F.col("members") > block)
-        last = huge.isEmpty()
-        if level == LEVELS and not last:
-            cut = written(blocks(huge, block), "row_blocks")
-            some = some.unionByName(cut.join(several(cut).select("key"), "key").select("key", "id", "component"))
-        found = written(row_product(some, classes), "more_pairs")
-        pairs = found if pairs is None else pairs.unionByName(found)
-        if last or level == LEVELS:
-            break
-        large = deeper(huge, classes, level + 1)
-    return pairs.distinct()
-
-
-def gram_classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def gram_classes(docs: DataFrame, most_rows: int = ROWS, most_entries: int = ENTRIES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // BUCKET_BYTES)
@@ -552,11 +564,12 @@ def gram_classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         if not others.isEmpty():
             decide(others)
     if not large.isEmpty():
-        named = named_by(found, large.select(F.col("gram").alias("key"), "id", "place"))
-        more = remaining_pairs(written(named, "named_columns"), usable, block).join(pairs, ["a", "b"], "left_anti")
-        more = written(more, "pairs")
-        if not more.isEmpty():
-            decide(more)
+        groups = large.select(F.col("least").alias("key"), "id", "size").distinct()
+        named = written(named_by(found, groups), "named_groups")
+        new = written(block_product(blocks(named, most_rows, most_entries), classes, docs), "links")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            found = written(components(links), "components")
 
     total = classes.count()
     named = written(named_by(found, classes.select("id", "class", "doc_id", "rows")), "named_classes")

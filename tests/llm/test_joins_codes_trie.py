@@ -82,17 +82,55 @@ def near_copies(seed, families, members, words=60):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("block", [8, 2048])
-def test_columns_of_many_classes(spark, block):
-    """Columns deeper than one block, and cut to blocks after all levels, lose no link."""
-    rows = near_copies(block, 4, 60)
+@pytest.mark.parametrize("block", [(20, 1 << 20), (4096, 900), (4096, 1 << 20)])
+def test_columns_of_many_classes(spark, monkeypatch, block):
+    """Groups of one block, and groups cut to pairs of blocks, lose no link."""
+    rows = near_copies(block[0], 4, 60)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = found_components(gram_join.gram_classes(docs, block))
+    got = found_components(gram_join.gram_classes(docs, *block))
     want = brute_components(rows)
     assert got == want
     assert 4 < len({c for _, _, c in want}) < len(rows)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_block_links_join_what_links(monkeypatch, seed):
+    """Dense and light columns, any chunks: the components of the block, by few links."""
+    monkeypatch.setattr(gram_join, "CHUNK", 7)
+    monkeypatch.setattr(gram_join, "DENSE", (0, 50, 5000, 10**6, 10**6)[seed])
+    rng = random.Random(seed)
+    pool = [rng.sample(range(1000), 30) for _ in range(6)]
+    sets = []
+    for _ in range(150):
+        s = set(rng.choice(pool))
+        for _ in range(rng.randrange(0, 4)):
+            s.discard(rng.choice(sorted(s)))
+            s.add(rng.randrange(1000, 3000))
+        sets.append(np.array(sorted(s)))
+    start = [rng.randrange(100) for _ in sets]
+    links = gram_join.block_links(np.arange(150) + 500, np.array(start), sets)
+
+    def joined(pairs):
+        root = {p: p for p in start}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+
+        for i, j in pairs:
+            root[find(start[i])] = find(start[j])
+        groups = defaultdict(set)
+        for p in start:
+            groups[find(p)].add(p)
+        return sorted(map(sorted, groups.values()))
+
+    every = [(i, j) for i in range(150) for j in range(i)
+             if 100 * (n := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (len(sets[i]) + len(sets[j]) - n)]
+    assert joined([(a - 500, b - 500) for a, b in links]) == joined(every)
+    assert len(links) < len(set(start)) < len(every)
+
+
 def test_sizes_at_the_threshold(spark):
     """Sets of 17 and 20 n-grams that share 17: exactly 85 in 100."""
     words = [f"w{i}" for i in range(40)]
