@@ -186,7 +186,7 @@ def drawn_slots(spark: SparkSession, plans: list[SourcePlan], seed: int) -> Data
 
 
 def positions(sizes: DataFrame, plans: list[SourcePlan]) -> DataFrame:
-    """Add sidx and ``start``, a document's first word in its source's row, for each copy.
+    """Add sidx, ``start``, a document's first word in its source's row, for each copy, and copies.
 
     ``sizes``: source, doc_id, size, mark (tells rows of one id apart). Order inside a
     source: (bucket, doc_id, mark). Equal rows are counted before they are shuffled.
@@ -206,7 +206,7 @@ def positions(sizes: DataFrame, plans: list[SourcePlan]) -> DataFrame:
     placed = keyed.withColumn("at", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
     return (placed.join(starts, ["sidx", "bucket"])
             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-            .select("source", "sidx", "doc_id", "mark", "size", "copy",
+            .select("source", "sidx", "doc_id", "mark", "size", "copy", "copies",
                     (F.col("base") + F.col("at") + F.col("copy") * F.col("size")).alias("start")))
 
 
@@ -254,19 +254,19 @@ def mixed_documents(docs: DataFrame, seed: int = 20_240_601) -> DataFrame:
     sizes = written(sized(docs, mark), "mix_sizes")
     plans = source_plans(sizes, seed)
     pieces = taken_pieces(positions(sizes, plans), drawn_slots(spark, plans, seed)).where("high is not null")
-    passes = pieces.groupBy("doc_id", "mark", "copy", "turn", "size").agg(
+    passes = pieces.groupBy("doc_id", "mark", "copy", "copies", "turn", "size").agg(
         F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"), F.sum(F.col("high") - F.col("low")).alias("taken"))
     passes = passes.select(
-        F.col("doc_id").alias("__id"), F.col("mark").alias("__m"), "copy", "turn",
+        F.col("doc_id").alias("__id"), F.col("mark").alias("__m"), "copy", "copies", "turn",
         F.when(F.col("taken") < F.col("size"), F.col("runs")).alias("__runs"))
     # the rows of one document travel once: its passes are gathered first (3 at most a copy)
     gathered = passes.groupBy("__id", "__m").agg(
         F.collect_list(F.struct("copy", "turn", "__runs")).alias("__passes"),
-        F.max("copy").alias("__copies"))
+        F.max("copies").alias("__copies"))
     joined = docs.withColumn("__mark", mark).join(
         gathered, (F.col("__mark") == F.col("__m")) & F.col("doc_id").eqNullSafe(F.col("__id")))
     # of rows that are equal in all columns one is taken, with the passes over all of them
-    alone, equal = joined.where("__copies = 0"), joined.where("__copies > 0")
+    alone, equal = joined.where("__copies = 1"), joined.where("__copies > 1")
     joined = alone.unionByName(equal.dropDuplicates(["__mark", "doc_id"]))
     rows = joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("__passes").alias("__pass"))
     rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__pass.__runs").alias("__runs"))
