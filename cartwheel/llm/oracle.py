@@ -42,19 +42,19 @@ hosts AS (
     ON short, repeats, symbols, dup_lines INTO NAME rule VALUE broken) GROUP BY ALL
 ),
 totals AS (
-  SELECT rule, sum(n) AS n, count(*) AS hosts, sum(CAST(n AS DOUBLE) * n) AS n2, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS s
+  SELECT rule, sum(n) AS n, sum(f) AS f, count(*) AS hosts, sum(CAST(n AS DOUBLE) * n) AS n2, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS s
   FROM hosts GROUP BY rule
 ),
 spread AS (
-  SELECT rule, m, m * (1 - m) AS within, CASE WHEN 1 - n2 / (n * n) > 1e-12 THEN
+  SELECT rule, m, n AS all_n, f AS all_f, m * (1 - m) AS within, CASE WHEN 1 - n2 / (n * n) > 1e-12 THEN
     (greatest(s - m * m, 0) - m * (1 - m) * (hosts - 1) / n) / (1 - n2 / (n * n)) ELSE 0 END AS between_hosts FROM totals
 ),
 priors AS (
-  SELECT rule, m, least(greatest(CASE WHEN between_hosts > within / 1e6 THEN within / between_hosts - 1 ELSE 1e6 END, 20), 1e6) AS k FROM spread
+  SELECT rule, m, all_n, all_f, least(greatest(CASE WHEN between_hosts > within / 1e6 THEN within / between_hosts - 1 ELSE 1e6 END, 20), 1e6) AS k FROM spread
 ),
 bad AS (
   SELECT DISTINCT host FROM hosts JOIN priors USING (rule)
-  WHERE (f + m * k) / (n + k) > 0.6 AND (f + m * k) / (n + k) >= 2 * m
+  WHERE (f + m * k) / (n + k) > 0.6 AND all_n > n AND (f + m * k) / (n + k) * (all_n - n) >= 2 * (all_f - f)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
   NOT (short OR repeats) AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.host IS NOT DISTINCT FROM judged.source) AS kept
