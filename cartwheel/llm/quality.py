@@ -13,8 +13,10 @@ host is a host of its own; repeated rows count and are judged each; extra column
 kept or ignored, whatever their names; an empty table gives an empty result.
 
 DataFrame functions only. Sums by host are combined before the shuffle, so a host with
-a third of all rows costs one partial row per task; the join back sends the verdicts
-of the few hosts, never a host's documents, to where documents already are.
+a third of all rows costs one partial row per task. The verdicts are written first, and their
+size is read back: up to SENT_BYTES of bad hosts are broadcast, whatever the plan's estimate, so
+documents stay where they are. More of them are joined by host, the documents of hosts with a
+large share of the rows by broadcast still.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import BLANKS, documents, written
+from cartwheel.llm.common import BLANKS, documents, join_by_share, written
 
 SYMBOLS = "#*$%&|<>"
 #: A bad host fails so many times as often as the documents of all other hosts, at least.
@@ -32,6 +34,8 @@ WORSE = 2.0
 #: The prior weighs as much as so many documents of a host, at least and at most.
 STRENGTH = (20.0, 1e6)
 WINDOW = 8
+#: Most bytes of names of bad hosts, and 16 for each, that are broadcast.
+SENT_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -180,9 +184,17 @@ def judge(docs: DataFrame, host: str = "source", keep: list[str] | None = None,
         *[f"__q_{c}" for c in COUNTS], base.alias("__base_failed"),
         *[failed[k].alias(f"__q_rule_{k}") for k in failed]), "quality")
     sums = host_sums(judged, "__q_host", {k: F.col(f"__q_rule_{k}") for k in failed})
-    verdicts = bad_hosts(sums, beta_priors(sums, list(failed)), limits)
-    # the list of bad hosts is joined as it is: broadcast only if its measured size allows
-    return (judged.join(verdicts, F.col("__q_host").eqNullSafe(F.col("__host")), "left")
+    verdicts = written(bad_hosts(sums, beta_priors(sums, list(failed)), limits), "bad_hosts")
+    same = F.col("__q_host").eqNullSafe(F.col("__host"))
+    size = verdicts.agg(F.sum(16 + F.coalesce(F.octet_length("__host"), F.lit(0)))).first()[0] or 0
+    if size <= SENT_BYTES:
+        marked = judged.join(F.broadcast(verdicts), same, "left")
+    else:
+        # one row for each host, bad or not, with its share of the rows
+        all_hosts = written(sums.select(F.col("__host").alias("__q_host"), F.col("__docs").alias("__n")).join(
+            verdicts, same, "left").select("__q_host", "__n", "__host", "__host_bad"), "host_verdicts")
+        marked = join_by_share(judged, all_hosts, ["__q_host"], judged.count())
+    return (marked
             .withColumn("__kept", ~F.col("__base_failed") & F.col("__host_bad").isNull())
             .drop("__host", "__host_bad", "__q_host", *[f"__q_rule_{k}" for k in failed]))
 
