@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import documents, is_held_out
+from cartwheel.llm.common import documents, is_held_out, letter_words, letters_only
 
 PER_LANG = 2000
 BUCKETS = 1 << 17
@@ -169,7 +169,7 @@ class Labeller:
 
     def summary(self, texts: Iterable[str | None]) -> list[tuple[str, float, int]]:
         """(language, score, number of spans) of every text."""
-        texts = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        texts = [letter_words(t) for t in texts]
         out: list[tuple[str, float, int]] = [(UNKNOWN, 0.0, 0)] * len(texts)
         if not self.model.langs:
             return out
@@ -184,7 +184,7 @@ class Labeller:
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """(start, end, language) of the spans of one text, ends of words as borders."""
-        found = [(m.start(), m.end(), m.group().lower()) for m in LETTERS.finditer(text or "")]
+        found = [(m.start(), m.end(), m.group().lower()) for m in LETTERS.finditer(letters_only(text or ""))]
         if not found or not self.model.langs:
             return []
         (_, labels), = self.label([[w for _, _, w in found]])
@@ -198,11 +198,17 @@ class Labeller:
 
 
 def training_sample(rows: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
-    """About ``per_lang`` rows (text, lang) of each language, by a hash of the text."""
-    counts = rows.groupBy("lang").count().collect()  # one row per language
-    chance = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_lang / r["count"]))]) \
+    """About ``per_lang`` distinct texts (text, lang) of each language, by a hash of the text.
+
+    Copies count once, so that a text with many rows cannot fill the sample, or be all of it.
+    """
+    h = F.xxhash64("text")
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()  # one row per language
+    chance = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_lang / max(r["n"], 1)))]) \
         if counts else F.create_map(F.lit(""), F.lit(0.0))
-    return rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.try_element_at(chance, F.col("lang")) * 1_000_000)
+    chosen = rows.where(F.pmod(h, F.lit(1_000_000)) < F.try_element_at(chance, F.col("lang")) * 1_000_000)
+    # copies meet before the shuffle
+    return chosen.groupBy("lang", h.alias("h"), F.xxhash64(F.lit(1), "text").alias("h2")).agg(F.first("text").alias("text")).select("text", "lang")
 
 
 def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
@@ -217,7 +223,7 @@ def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             for text, lang in zip(b["text"].to_pylist(), b["lang"].to_pylist()):
-                words = LETTERS.findall(text.lower())
+                words = letter_words(text)
                 if not words:
                     continue
                 into = sums.setdefault(lang, np.zeros(width, dtype=np.int64))
