@@ -32,12 +32,14 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import documents, written
+from cartwheel.llm.ragged import GROUP_BYTES, Memory, codes_of, groups, put_together
 from cartwheel.session import local_path, scratch_path
 
 BLOCK = 4096
@@ -46,7 +48,6 @@ TRAILER = struct.Struct("<QQQII8s")
 END_ID = 1
 #: Bytes of text in a shard, about.
 SHARD_BYTES = 32 << 20
-GROUP = 512
 #: Blocks that a reader holds at a time.
 READ_BLOCKS = 256
 
@@ -196,7 +197,7 @@ class WordEncoder:
     are those of its words, one after the other.
     """
 
-    REMEMBER = 1_000_000
+    REMEMBER = 400_000
     LONG = 64
 
     def __init__(self, path: str):
@@ -208,7 +209,7 @@ class WordEncoder:
         if self.vocabulary > 1 << 16:
             raise ValueError("ids of more than 16 bits")
         self.check()
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = Memory(self.REMEMBER, self.LONG)
 
     def check(self) -> None:
         """The words of this tokenizer must be those that are cut here."""
@@ -224,30 +225,46 @@ class WordEncoder:
         core, end = (word[:found.start()], found.group()) if found else (word, "")
         return core.lower() if core.isascii() and "<|" not in core else core, end
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        cut = {w: self.cut(w) for w in words}
-        fresh = list({p for pair in cut.values() for p in pair}.difference(self.known))
-        found = {"": b""}
-        for start in range(0, len(fresh), 4096):
-            part = fresh[start:start + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        cut = [self.cut(w) for w in words]
+        parts = list({p for pair in cut for p in pair})
+        found = {}
+        for start in range(0, len(parts), 4096):
+            some = parts[start:start + 4096]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 found[p] = np.array(e.ids, dtype="<u2").tobytes()
-        known = self.known
-        for w, (core, end) in cut.items():
-            found[w] = (found[core] if core in found else known[core]) + (found[end] if end in found else known[end])
-        return found
-
-    def encode(self, texts: list[str | None], end: bytes) -> list[np.ndarray]:
-        """Ids of every text with the end id (given as bytes) behind them."""
-        words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        fresh = set().union(*words).difference(self.known)
-        if len(self.known) + len(fresh) > self.REMEMBER:
-            self.known = {"": b""}
-            fresh = set().union(*words)
-        found = self.learn(fresh)
-        known = self.known
-        known.update((w, v) for w, v in found.items() if len(w) <= self.LONG)
-        return [np.frombuffer(b"".join([known[x] if x in known else found[x] for x in w]) + end, dtype="<u2") for w in words]
+        return {w: found[core] + found[end] for w, (core, end) in zip(words, cut)}
+
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+        """Ids of every text with the end id behind them."""
+        end = np.array([end_id], dtype="<u2")
+        for group in groups(pc.fill_null(texts, "")):
+            if pc.binary_length(group[0]).as_py() > GROUP_BYTES:
+                yield np.concatenate([*(self.encode_group(p)[0] for p in at_blanks(group[0].as_py())), end])
+                continue
+            ids, ends = self.encode_group(group)
+            start = 0
+            for e in ends.tolist():
+                yield np.concatenate([ids[start:e], end])
+                start = e
+
+    def encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, end of each text among them)."""
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words, codes = codes_of(parts.flatten())
+        return put_together(self.known.values(words, self.learn), "<u2", codes, parts.value_lengths().to_numpy())
+
+
+def at_blanks(text: str, size: int = GROUP_BYTES) -> Iterator[pa.Array]:
+    """A long text in pieces of about ``size`` characters, parted at blanks."""
+    start = 0
+    while start < len(text):
+        end = start + size
+        if end < len(text):
+            found = re.compile("[ \n]").search(text, end)
+            end = found.start() if found else len(text)
+        yield pa.array([text[start:end]])
+        start = end
 
 
 @lru_cache(maxsize=1)
@@ -266,19 +283,16 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
     def write(batches):
         encoder = word_encoder(tokenizer)
-        end = np.array([end_id], dtype="<u2").tobytes()
         number, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         fs, inner = filesystem(folder)
         name, partial = f"{inner}/shard-{number:06d}.ids", f"{inner}/.partial-{number:06d}-{attempt}"
         writer = None
         for b in batches:
-            for start in range(0, b.num_rows, GROUP):
-                part = b.slice(start, GROUP)
-                if writer is None:
-                    fs.create_dir(inner, recursive=True)
-                    writer = TokenWriter(fs.open_output_stream(partial), bit_width(encoder.vocabulary))
-                for doc_id, ids in zip(part["doc_id"].to_pylist(), encoder.encode(part["text"].to_pylist(), end)):
-                    writer.add(doc_id, ids)
+            if writer is None and b.num_rows:
+                fs.create_dir(inner, recursive=True)
+                writer = TokenWriter(fs.open_output_stream(partial), bit_width(encoder.vocabulary))
+            for doc_id, ids in zip(b["doc_id"].to_pylist(), encoder.encode(b["text"], end_id)):
+                writer.add(doc_id, ids)
         if writer is not None:
             writer.close()
             fs.move(partial, name)
