@@ -4,8 +4,10 @@ Texts are cut into chunks of CHUNK characters, wherever that falls. A state at a
 is a piece that covers the character before it. For every chunk, on its own, a matrix
 says which state at its end can be reached from which state at its start, at what value
 (minus the tokens spent at its two ends; minus infinity: not at all). Matrices of neighbouring chunks
-combine by max-plus products, which are associative; a scan over them fixes the states
-at all borders, and then every chunk is traced back by itself between its two states.
+combine by max-plus products, which are associative: blocks of BLOCK neighbouring chunks are
+combined each by itself, a scan over a text's blocks fixes the states at their borders, those
+are handed down to the borders inside, all blocks at once, and then every chunk is traced
+back by itself between its two states.
 
 A step from piece to piece is open only if the model allows the two side by side (see
 ``pieces.py``), so the one path through a text is exactly the library's encoding.
@@ -29,15 +31,19 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import documents, written
 from cartwheel.llm.pieces import BYTES, SPACE, PieceModel, piece_model
+from cartwheel.llm.ragged import Memory, bytes_of, codes_of, cut_at, groups, put_together
 
 CHUNK = 32_768
-#: Texts, and chunks, that a task works on together.
-GROUP, CHUNK_GROUP = 256, 16
+#: Neighbouring chunks whose matrices one task combines.
+BLOCK = 32
+#: Chunks that a task works on together.
+CHUNK_GROUP = 16
 #: A piece occurrence: first character and the one after the last, counted in the text.
 State = tuple[int, int]
 NOTHING = -np.inf
@@ -48,6 +54,12 @@ def normal(text: str | None) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+def plain(texts: pa.Array) -> pa.Array:
+    """The same for a column, with plain blanks (``Encoder`` takes those)."""
+    texts = pc.replace_substring(pc.fill_null(texts, ""), SPACE, " ")
+    return pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(" ", texts, ""))
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus matrix product."""
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
@@ -166,32 +178,70 @@ class Chunk:
         return np.array(out, dtype=np.int32)
 
 
+# Classes of characters that part the usual segments (PieceModel.segments), by their UTF-8
+# bytes: blank, line end, Latin letter, anything else.
+_BLANK, _LINE, _LATIN, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[ord(" ")], _CLASS[ord("\n")] = _BLANK, _LINE
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LATIN
+
+
+def segment_starts(data: np.ndarray) -> np.ndarray:
+    """Whether a segment of the usual kind starts at each byte of UTF-8 text; blanks stand
+    before what follows them, except before a line end."""
+    n = len(data)
+    kind = _CLASS[data]
+    # U+00C0 to U+024F but U+00D7 and U+00F7 are Latin letters, of two bytes
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC9))
+    if len(lead):
+        following = data[np.minimum(lead + 1, n - 1)]
+        first = data[lead]
+        latin = ~((first == 0xC3) & ((following == 0x97) | (following == 0xB7))) & ~((first == 0xC9) & (following > 0x8F))
+        lead = lead[latin]
+        kind[lead] = kind[np.minimum(lead + 1, n - 1)] = _LATIN
+    before = kind[:-1]
+    out = np.ones(n, dtype=bool)
+    out[1:] = ((kind[1:] != before) & ((before != _BLANK) | (kind[1:] == _LINE))) | ((kind[1:] == _LINE) & (before == _LINE))
+    return out
+
+
 class Encoder:
     """Encodes texts, remembering the segments of earlier ones."""
 
-    REMEMBER = 150_000
+    REMEMBER = 200_000
     SHORT = 48
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.known: dict[str, bytes] = {}
-
-    def segments(self, texts: list[str]) -> list[bytes]:
-        """Ids (int32) of normal texts that begin and end at segment borders."""
-        parts = [self.model.segments.findall(t.replace(SPACE, " ")) for t in texts]
-        fresh = set().union(*parts).difference(self.known)
-        if len(self.known) + len(fresh) > self.REMEMBER:
-            self.known = {}
-            fresh = set().union(*parts)
+        self.known = Memory(self.REMEMBER, self.SHORT)
+
+    def learn(self, segments: list[str]) -> dict[str, bytes]:
+        """Ids (int32) of distinct segments, with plain blanks."""
         found = {}
-        for s, _, last, size in self.model.prefixes(sorted(x.replace(" ", SPACE) for x in fresh)):
+        for s, _, last, size in self.model.prefixes(sorted(x.replace(" ", SPACE) for x in segments)):
             found[s.replace(SPACE, " ")] = np.array(self.model.back(s, last, size), dtype=np.int32).tobytes()
-        self.known.update((k, v) for k, v in found.items() if len(k) <= self.SHORT)
-        known = self.known
-        return [b"".join([known.get(x) or found[x] for x in p]) for p in parts]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, end of each text among them) of texts with plain blanks, without nulls, that
+        begin and end at segment borders."""
+        data, offsets = bytes_of(texts)
+        n = len(data)
+        if not n:
+            return np.zeros(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
+        inside = offsets[offsets < n]
+        if self.model.crossing:  # whole texts
+            starts = np.unique(inside)
+        else:
+            first = segment_starts(data)
+            first[inside] = True
+            starts = np.flatnonzero(first)
+        segments, codes = codes_of(cut_at(data, starts))
+        parts = np.diff(np.searchsorted(starts, offsets))
+        return put_together(self.known.values(segments, self.learn), "<i4", codes, parts)
 
     def ids_between(self, chunk: Chunk, start: int, end: int) -> np.ndarray:
-        return np.frombuffer(self.segments([chunk.cut(start, end)])[0] if end > start else b"", dtype=np.int32)
+        return self.encode(pa.array([chunk.cut(start, end).replace(SPACE, " ")]))[0]
 
     def chunk(self, text: str, number: int, size: int = CHUNK) -> Chunk:
         """A chunk of a whole normal text (tests; tasks get windows instead)."""
@@ -229,21 +279,36 @@ def combined(matrices: list[np.ndarray]) -> np.ndarray:
     return reduce(product, matrices)
 
 
+def states_inside(matrices: list[np.ndarray], enter: int, leave: int) -> list[int]:
+    """The states at the borders of a block of chunks, from ``enter`` to ``leave``."""
+    inside = [matrices[0][enter:enter + 1], *matrices[1:]]
+    inside[-1] = inside[-1][:, leave:leave + 1]
+    return [enter, *states_of_best_path(inside)[1:-1], leave]
+
+
 class Decoder:
     """Ids to text: pieces with blanks for ``SPACE``, bytes joined and read as UTF-8."""
 
     def __init__(self, model: PieceModel):
-        self.text = [x.replace(SPACE, " ") for x in model.text_of]
-        for byte, i in model.byte_id.items():
-            self.text[i] = chr(byte) if byte < 128 else chr(0xDC00 + byte)
-
-    def decode(self, ids: list[int]) -> str:
-        text = "".join(map(self.text.__getitem__, ids))
+        single = {i: bytes([byte]) for byte, i in model.byte_id.items()}
+        pieces = [single.get(i) or x.replace(SPACE, " ").encode() for i, x in enumerate(model.text_of)]
+        self.sizes = np.array([len(x) for x in pieces], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The text of the ids as UTF-8. Bytes that are none are replaced as the library does."""
+        if not len(ids):
+            return b""
+        n = self.sizes[ids]
+        ends = np.cumsum(n)
+        # the blank that encoding put before the text is left out
+        out = self.flat[np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - n), n)].tobytes()
         try:
-            text.encode()
-        except UnicodeEncodeError:
-            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
-        return text[1:]  # the blank that encoding put before the text
+            out.decode()
+        except UnicodeDecodeError:
+            out = out.decode("utf-8", "replace").encode()
+        return out[1:]
 
 
 def id_lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -252,7 +317,8 @@ def id_lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
 
 
-def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids", chunk: int = CHUNK) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids", chunk: int = CHUNK,
+                     block: int = BLOCK) -> DataFrame:
     """The columns of ``docs`` with the ids of the column ``text``.
 
     A text of one chunk is its own scan and is encoded where it is. The chunks of longer
@@ -265,11 +331,13 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
     def whole(batches):
         encoder = shared_encoder(model_path)
         for b in batches:
-            for start in range(0, b.num_rows, GROUP):
-                part = b.slice(start, GROUP)
-                found = encoder.segments([normal(t) for t in part.column(at).to_pylist()])
-                ids = id_lists([np.frombuffer(x, dtype=np.int32) for x in found])
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, into])
+            start = 0
+            for texts in groups(b.column(at)):
+                part = b.slice(start, len(texts))
+                start += len(texts)
+                ids, ends = encoder.encode(plain(texts))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, into])
 
     # SPACE comes before a text: it makes one character more
     short = docs.where(length < chunk).mapInArrow(whole, schema)
@@ -313,14 +381,32 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
                  pa.array([m.astype(np.float64).tobytes() for m in found], pa.binary())],
                 ["__row", "number", "rows", "matrix"])
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("number")
-        states = states_of_best_path([np.frombuffer(m).reshape(n, -1) for m, n in zip(pdf["matrix"], pdf["rows"])])
-        return pd.DataFrame({"__row": pdf["__row"], "number": pdf["number"], "enter": states[:-1], "leave": states[1:]})
+    def matrices(pdf: pd.DataFrame) -> list[np.ndarray]:
+        return [np.frombuffer(m).reshape(n, -1) for m, n in zip(pdf["matrix"], pdf["rows"])]
 
-    # a text's matrices are far smaller than the text, which is one value of one row
-    states = (chunks.mapInArrow(transfer, "__row long, number int, rows int, matrix binary")
-              .groupBy("__row").applyInPandas(scan, "__row long, number int, enter int, leave int"))
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = combined(matrices(pdf.sort_values("number")))
+        return pd.DataFrame({"__row": pdf["__row"].iloc[:1], "block": pdf["block"].iloc[0], "rows": m.shape[0],
+                             "matrix": [np.ascontiguousarray(m).tobytes()]})
+
+    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        found = states_of_best_path(matrices(pdf))
+        return pd.DataFrame({"__row": pdf["__row"], "block": pdf["block"], "enter": found[:-1], "leave": found[1:]})
+
+    def down(chunks_pdf: pd.DataFrame, border: pd.DataFrame) -> pd.DataFrame:
+        pdf = chunks_pdf.sort_values("number")
+        found = states_inside(matrices(pdf), int(border["enter"].iloc[0]), int(border["leave"].iloc[0]))
+        return pd.DataFrame({"__row": pdf["__row"], "number": pdf["number"], "enter": found[:-1], "leave": found[1:]})
+
+    # up: blocks of neighbouring chunks to one matrix each; a scan over a text's few blocks; and
+    # down again to the borders inside each block, all blocks at once
+    transfers = written(chunks.mapInArrow(transfer, "__row long, number int, rows int, matrix binary").withColumn(
+        "block", F.floor(F.col("number") / block).cast("int")), "transfer_matrices")
+    borders = (transfers.groupBy("__row", "block").applyInPandas(combine, "__row long, block int, rows int, matrix binary")
+               .groupBy("__row").applyInPandas(scan, "__row long, block int, enter int, leave int"))
+    states = transfers.groupBy("__row", "block").cogroup(borders.groupBy("__row", "block")).applyInPandas(
+        down, "__row long, number int, enter int, leave int")
 
     def trace(batches):
         for group in opened(batches):
@@ -351,8 +437,8 @@ def decode_documents(encoded: DataFrame, model_path: str, ids: str = "token_ids"
     def run(batches):
         decoder = Decoder(piece_model(model_path))
         for b in batches:
-            texts = [decoder.decode(x.tolist()) for x in id_rows(b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, into])
+            texts = pa.array([decoder.decode(x) for x in id_rows(b.column(at))], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, texts], names=[*b.schema.names, into])
 
     return encoded.mapInArrow(run, schema)
 
@@ -364,10 +450,12 @@ def digest(encoded: DataFrame, model_path: str) -> DataFrame:
         decoder = Decoder(piece_model(model_path))
         for b in batches:
             out: list[list] = [[], [], [], []]
-            for text, ids in zip(b["text"], id_rows(b["token_ids"])):
-                decoded = decoder.decode(ids.tolist())
-                for c, v in zip(out, (len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(decoded),
-                                      (text.as_py() or "").replace(SPACE, " ") == decoded)):
+            spaced = pc.replace_substring(pc.fill_null(b["text"], ""), SPACE, " ").cast(pa.binary())
+            for text, ids in zip(spaced, id_rows(b["token_ids"])):
+                decoded = decoder.decode(ids)
+                # characters are the bytes that do not go on with one
+                chars = int((np.frombuffer(decoded, dtype=np.int8) >= -64).sum())
+                for c, v in zip(out, (len(ids), zlib.crc32(ids.astype("<u4").tobytes()), chars, text.as_py() == decoded)):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.bool_())],

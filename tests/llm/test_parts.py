@@ -42,7 +42,12 @@ def test_chunked_encoding_equals_the_library(pieces, size):
         states = encoding.states_of_best_path(matrices)
         ids = [x for c, i, j in zip(chunks, states, states[1:]) for x in c.trace(i, j).tolist()]
         assert ids == pieces.encode(text)
-        assert decoder.decode(ids) == text.replace("▁", " ")
+        assert decoder.decode(np.array(ids)).decode() == text.replace("▁", " ")
+        # blocks of three: combined, scanned, handed down
+        cut = [matrices[k:k + 3] for k in range(0, len(matrices), 3)]
+        borders = encoding.states_of_best_path([encoding.combined(m) for m in cut])
+        inside = [encoding.states_inside(m, i, j)[:-1] for m, i, j in zip(cut, borders, borders[1:])]
+        assert [x for part in inside for x in part] + borders[-1:] == states
         # products combine in any order
         if len(matrices) > 2:
             left = encoding.product(encoding.combined(matrices[:2]), encoding.combined(matrices[2:]))
