@@ -101,34 +101,60 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[str,
 
 
 class Fingerprinter:
-    """Fingerprints against one lexicon."""
+    """Fingerprints against one lexicon.
+
+    A term is in about 6 of the thinned lexicons; they are kept as lists, with the two halves
+    of the term's hash, so that sums of hashes are exact in doubles.
+    """
+
+    #: Terms whose hashes are remembered.
+    REMEMBER = 300_000
 
     def __init__(self, terms: tuple[str, ...]):
         self.number = {t: i for i, t in enumerate(terms)}
-        rates = np.repeat(np.array(RATES, dtype=np.uint64), EACH)
-        self.member = np.zeros((len(terms), SUBSETS), dtype=np.uint64)
-        self.hash = np.zeros(len(terms), dtype=np.uint64)
-        for i, t in enumerate(terms):
+        rates = np.repeat(np.array(RATES, dtype=np.uint32), EACH)
+        subsets, high, low, ends = [], [], [], [0]
+        for t in terms:
             draws = np.frombuffer(hashlib.shake_128(t.encode()).digest(8 + 4 * SUBSETS), dtype="<u4")
-            self.hash[i] = draws[:2].view("<u8")[0]
-            self.member[i] = draws[2:].astype(np.uint64) % rates == 0
+            member = np.flatnonzero(draws[2:] % rates == 0)
+            subsets.append(member.astype(np.uint8))
+            high.append(np.full(len(member), draws[1], dtype=np.uint32))
+            low.append(np.full(len(member), draws[0], dtype=np.uint32))
+            ends.append(ends[-1] + len(member))
+        empty = [np.zeros(0, dtype=np.uint32)]
+        self.subsets, self.high, self.low = (np.concatenate(x or empty) for x in (subsets, high, low))
+        self.start, self.size = np.array(ends[:-1], dtype=np.int64), np.diff(np.array(ends, dtype=np.int64))
+        self.known: dict[str, int] = {}
 
     def hashes(self, terms: set[str]) -> np.ndarray:
         """One 16-bit hash (1 to 65535) per subset, 0 where the text has no term of it; none of fewer than FEW terms."""
         found = [i for i in map(self.number.get, terms) if i is not None]
         if len(found) < FEW:
             return np.zeros(0, dtype=np.uint16)
-        ids = np.sort(np.array(found, dtype=np.int64))
-        # equal sets of distinct terms, equal sums of their hashes
-        sums = (self.member[ids] * self.hash[ids][:, None]).sum(axis=0, dtype=np.uint64)
+        ids = np.array(found, dtype=np.int64)
+        n = self.size[ids]
+        at = np.arange(n.sum()) + np.repeat(self.start[ids] - (np.cumsum(n) - n), n)
+        # equal sets of distinct terms, equal sums of their hashes (modulo 2 ** 64)
+        high, low = (np.bincount(self.subsets[at], weights=x[at], minlength=SUBSETS).astype(np.uint64) for x in (self.high, self.low))
+        sums = (high << np.uint64(32)) + low
         return np.where(sums == 0, 0, 1 + (sums >> np.uint64(40)) % np.uint64(65535)).astype(np.uint16)
 
+    def term_hashes(self, terms: set[str]) -> np.ndarray:
+        known = self.known
+        fresh = terms.difference(known)
+        if fresh:
+            if len(known) + len(fresh) > self.REMEMBER:
+                known.clear()
+                fresh = terms
+            known.update((t, xxhash.xxh3_64_intdigest(t)) for t in fresh)
+        return np.fromiter(map(known.__getitem__, terms), dtype=np.uint64, count=len(terms))
+
     def fingerprint(self, text: str) -> str:
         """SPARE least hashes, then those of the thinned lexicons if there are FEW terms for them."""
         terms = set(TERMS.findall(text.lower()))
         if not terms:
             return "t" + xxhash.xxh3_128_hexdigest(text.encode())
-        return np.concatenate([least_hashes(terms), self.hashes(terms)]).astype(">u2").tobytes().hex()
+        return np.concatenate([least_hashes(self.term_hashes(terms)), self.hashes(terms)]).astype(">u2").tobytes().hex()
 
 
 #: Orders of the terms: a hash is mixed with the one, then multiplied by the other, odd.
@@ -136,11 +162,10 @@ _MIX, _TIMES = np.frombuffer(hashlib.shake_128(b"orders").digest(16 * SPARE), dt
 _TIMES = _TIMES | np.uint64(1)
 
 
-def least_hashes(terms: set[str]) -> np.ndarray:
-    """16 bits of the least hash of all terms under each order: equal for two texts as often
-    as the share of their terms that they have in common."""
-    own = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), dtype=np.uint64, count=len(terms))
-    least = ((own[:, None] ^ _MIX) * _TIMES).min(axis=0)
+def least_hashes(terms: np.ndarray) -> np.ndarray:
+    """16 bits of the least hash of all terms (given by theirs) under each order: equal for two
+    texts as often as the share of their terms that they have in common."""
+    least = ((terms[:, None] ^ _MIX) * _TIMES).min(axis=0)
     return (least & np.uint64(0xFFFF)).astype(np.uint16)
 
 
@@ -207,7 +232,7 @@ def find_runs(keys: DataFrame, runs: int) -> Runs:
 def with_next(docs: DataFrame, each, columns: str, text_bytes: int) -> DataFrame:
     """Rows of ``each(state, doc_id, text, next text)`` over all documents in order.
 
-    Documents are dealt to runs by sampled borders and sorted inside each; the first
+    Documents are dealt to runs by sampled borders, one run to a task, and sorted inside each; the first
     document of a run is also sent, as its tail, to the run before. Texts travel packed.
     ``each`` makes a function of (doc_id, text, next text) in every task.
     """
@@ -250,7 +275,7 @@ def with_next(docs: DataFrame, each, columns: str, text_bytes: int) -> DataFrame
 
     rows = (docs.select("doc_id", h.alias("h"), "text")
             .mapInArrow(deal, "run int, tail boolean, none boolean, doc_id long, h long, packed binary")
-            .repartition(max(MIN_RUNS, text_bytes // RUN_BYTES), "run")
+            .repartitionById(max(MIN_RUNS, text_bytes // RUN_BYTES), "run")
             .sortWithinPartitions("run", "tail", "none", "doc_id", "h"))
 
     def walk(batches):
