@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from cartwheel.llm import binary, encoding, language, mixing, ragged
+from cartwheel.llm import binary, encoding, language, mixing, ragged, token_counts
 from cartwheel.llm.common import NUMERALS, letter_words
 from cartwheel.llm.pieces import piece_model
 
@@ -101,3 +101,28 @@ def test_segments_and_pieces_are_the_libraries(monkeypatch):
             assert encoding.cut_at(data, np.flatnonzero(encoding.segment_starts(data))).to_pylist() == model.segments.findall(text)
     odd = [model.byte_id[0xE6], model.byte_id[0x41], model.byte_id[0xFF]]
     assert decoder.decode(np.array([model.id_of["▁a"], *odd])).decode() == "a\ufffdA\ufffd"
+
+
+def test_stored_counts_answer_budgets_and_cuts(spark, monkeypatch):
+    """Any budget and any cut, from the stored counts alone, as the library counts prefixes."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(i, t, "s") for i, t in enumerate([*random_texts(5, 40), None, "", "the end of the words " * 30])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, budget string")
+    store = token_counts.written(token_counts.store_counts(docs, path), "store")
+    assert store.columns == ["doc_id", "budget", "n_chars", "n_tokens", "prefix_counts"]
+    texts = {i: t or "" for i, t, _ in rows}
+    counts = {i: [len(library.encode(t[:k])) for k in range(len(t) + 1)] for i, t in texts.items()}
+    ask = [(i, q) for i in texts for q in (-1, 0, 1, 7, 10_000, None)]
+    budgets = spark.createDataFrame(ask, "doc_id long, budget long")
+    got = {(r.doc_id, r.budget): r.fitting_chars for r in token_counts.answer_budgets(store, budgets).collect()}
+    assert got == {(i, q): None if q is None or q < 0 else max(k for k, n in enumerate(counts[i]) if n <= q) for i, q in ask}
+    cuts = budgets.withColumnRenamed("budget", "cut")
+    got = {(r.doc_id, r.cut): r.cut_tokens for r in token_counts.answer_cuts(store, cuts).collect()}
+    assert got == {(i, q): None if q is None or q < 0 else counts[i][min(q, len(texts[i]))] for i, q in ask}
+
+
+def test_packed_counts_of_any_step():
+    for steps in ([], [1, 0, -30], [4] * 5, [1000, -1000], [2**40]):
+        counts = np.concatenate([[0], np.cumsum(np.array(steps, dtype=np.int64))])
+        assert (token_counts.unpack(token_counts.pack(counts)) == counts).all()
