@@ -23,6 +23,7 @@ files and no rows. Only the named columns are read.
 from __future__ import annotations
 
 import os
+import random
 import re
 import struct
 import zlib
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import documents, written
-from cartwheel.llm.ragged import GROUP_BYTES, Memory, codes_of, groups, put_together
+from cartwheel.llm.ragged import GROUP_BYTES, Memory, bytes_of, codes_of, cut_at, groups, put_together
 from cartwheel.session import local_path, scratch_path
 
 BLOCK = 4096
@@ -186,18 +187,49 @@ class TokenFile:
         self.stream.close()
 
 
-#: A Latin letter followed by these ends a word of the tokenizer.
-_ENDING = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?#$%&*]+\Z")
+# Classes of bytes: blanks end words; signs after a Latin letter, up to the word's end, are a
+# part of their own; A-Z are read as a-z.
+_BLANK, _SIGN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_BLANK[[ord(" "), ord("\n")]] = True
+_SIGN[list(b".,;:!?#$%&*")] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the parts of texts (UTF-8 bytes, n + 1 offsets) begin: blanks, words, and the signs
+    at the end of a word behind a Latin letter."""
+    n = len(data)
+    text_start = np.zeros(n + 1, dtype=bool)
+    text_start[offsets] = True
+    blank, sign = _BLANK[data], _SIGN[data]
+    first = text_start[:n].copy()
+    first[1:] |= blank[1:] != blank[:-1]
+    # the last byte of a Latin letter: ASCII, or the second of U+00C0 to U+00FF but × and ÷
+    letter = _LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    after = np.flatnonzero(sign[1:] & letter[:-1]) + 1
+    after = after[~text_start[after]]
+    # the signs go on to the end of the word
+    other = np.flatnonzero(~sign | text_start[:n])
+    k = np.searchsorted(other, after, side="right")
+    end = np.append(other, n)[k]
+    whole = (end == n) | text_start[end] | np.append(blank, True)[end]
+    first[after[whole]] = True
+    return np.flatnonzero(first)
 
 
 class WordEncoder:
-    """Encodes texts word by word with the tokenizers library, remembering the words.
+    """Encodes texts part by part with the tokenizers library, remembering the parts.
 
-    The tokenizer drops white space and never joins what it parts, so the ids of a text
-    are those of its words, one after the other.
+    The tokenizer drops white space, reads capitals as small letters and never joins what is
+    parted here, so the ids of a text are those of its parts, one after the other. Where a
+    special string may stand, capitals are left to the tokenizer.
     """
 
-    REMEMBER = 400_000
+    REMEMBER = 800_000
     LONG = 64
 
     def __init__(self, path: str):
@@ -211,29 +243,29 @@ class WordEncoder:
         self.check()
         self.known = Memory(self.REMEMBER, self.LONG)
 
+    #: What the texts of the check are made of.
+    SIGNS = "abzABZ019 \n\t.,;:!?#$%&*'\"-_()[]<|>/\\@éßñØ×÷ığ東ё😀\u00a0\u200b"
+
     def check(self) -> None:
-        """The words of this tokenizer must be those that are cut here."""
-        for text in ("a b", "a\nb", " a", "ab, c", "it's. x", "a1.b", "é, ab### c"):
-            if self.tokenizer.encode(text, add_special_tokens=False).ids != [
-                    i for w in text.replace("\n", " ").split(" ") for p in self.cut(w)
-                    for i in self.tokenizer.encode(p, add_special_tokens=False).ids]:
-                raise ValueError("this tokenizer does not work word by word")
-
-    @staticmethod
-    def cut(word: str) -> tuple[str, str]:
-        found = _ENDING.search(word)
-        core, end = (word[:found.start()], found.group()) if found else (word, "")
-        return core.lower() if core.isascii() and "<|" not in core else core, end
-
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        cut = [self.cut(w) for w in words]
-        parts = list({p for pair in cut for p in pair})
+        """The parts of this tokenizer must be those that are cut here: on given and drawn texts."""
+        draw = random.Random(49)
+        texts = ["a b", "a\nb", " a", "ab, c", "it's. x", "a1.b", "é, ab### c", "<|endoftext|>", "A<|endoftext|>. b", "ÉA. Aé,"]
+        texts += ["".join(draw.choices(self.SIGNS, k=draw.randrange(1, 24))) for _ in range(400)]
+        self.known = Memory(0, 0)
+        ids, ends = self.encode_group(pa.array(texts))
+        for text, start, end in zip(texts, [0, *ends.tolist()], ends.tolist()):
+            if self.tokenizer.encode(text, add_special_tokens=False).ids != ids[start:end].tolist():
+                raise ValueError("this tokenizer does not work part by part")
+
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
         found = {}
         for start in range(0, len(parts), 4096):
             some = parts[start:start + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                found[p] = np.array(e.ids, dtype="<u2").tobytes()
-        return {w: found[core] + found[end] for w, (core, end) in zip(words, cut)}
+            # one encoding of many parts, each by itself, and the part of every id
+            e = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids, cuts = np.array(e.ids, dtype="<u2").tobytes(), 2 * np.searchsorted(e.word_ids, np.arange(len(some) + 1))
+            found.update((p, ids[a:b]) for p, a, b in zip(some, cuts.tolist(), cuts[1:].tolist()))
+        return found
 
     def encode(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
         """Ids of every text with the end id behind them."""
@@ -250,9 +282,14 @@ class WordEncoder:
 
     def encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text among them)."""
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        words, codes = codes_of(parts.flatten())
-        return put_together(self.known.values(words, self.learn), "<u2", codes, parts.value_lengths().to_numpy())
+        data, offsets = bytes_of(texts)
+        if not len(data):
+            return np.zeros(0, dtype="<u2"), np.zeros(len(texts), dtype=np.int64)
+        starts = part_starts(data, offsets)
+        if not ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
+            data = _LOWER[data]
+        parts, codes = codes_of(cut_at(data, starts))
+        return put_together(self.known.values(parts, self.learn), "<u2", codes, np.diff(np.searchsorted(starts, offsets)))
 
 
 def at_blanks(text: str, size: int = GROUP_BYTES) -> Iterator[pa.Array]:

@@ -126,3 +126,36 @@ def test_packed_counts_of_any_step():
     for steps in ([], [1, 0, -30], [4] * 5, [1000, -1000], [2**40]):
         counts = np.concatenate([[0], np.cumsum(np.array(steps, dtype=np.int64))])
         assert (token_counts.unpack(token_counts.pack(counts)) == counts).all()
+
+
+def test_rendezvous_with_unequal_weights(spark):
+    """Every key's shard by brute force; shares follow the weights; a heavier or new shard only takes."""
+    import hashlib
+    import math
+    from collections import Counter
+
+    from cartwheel.llm import sharding
+
+    keys = [f"={i}" for i in range(4000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+
+    def chosen(weights):
+        return {r.k: r.s for r in df.select("k", sharding.choose_shard(sharding.F.col("k"), weights).alias("s")).collect()}
+
+    def brute(key, weights):
+        def bid(i):
+            u = (int(hashlib.md5(f"{key}@{i}".encode()).hexdigest()[:13], 16) + 0.5) / 16.0**13
+            return weights[i] / -math.log(u)
+
+        return max(range(len(weights)), key=lambda i: (bid(i), -i))
+
+    weights = [1.0, 2.0, 5.0]
+    base = chosen(weights)
+    assert base == {k: brute(k, weights) for k in keys}
+    shares = Counter(base.values())
+    assert all(abs(shares[i] / 4000 - w / 8) < 0.03 for i, w in enumerate(weights))
+    for more, into in (([1.0, 2.0, 5.0, 2.0], 3), ([1.0, 4.0, 5.0], 1)):
+        moved = {k: s for k, s in chosen(more).items() if s != base[k]}
+        assert moved and set(moved.values()) == {into}
+    with pytest.raises(ValueError, match="positive"):
+        sharding.choose_shard(sharding.F.col("k"), [1.0, 0.0])
