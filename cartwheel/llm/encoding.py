@@ -208,7 +208,7 @@ def segment_starts(data: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts, remembering the segments of earlier ones."""
 
-    REMEMBER = 200_000
+    REMEMBER = 130_000
     SHORT = 48
 
     def __init__(self, model: PieceModel):
@@ -332,7 +332,7 @@ def encode_documents(docs: DataFrame, model_path: str, into: str = "token_ids",
         encoder = shared_encoder(model_path)
         for b in batches:
             start = 0
-            for texts in groups(b.column(at)):
+            for texts in groups(b.column(at), 1 << 20):
                 part = b.slice(start, len(texts))
                 start += len(texts)
                 ids, ends = encoder.encode(plain(texts))
