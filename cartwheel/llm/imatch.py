@@ -31,6 +31,7 @@ import bisect
 import hashlib
 import re
 from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -41,6 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import documents
+from cartwheel.llm.word_hash import WINDOW, run_hashes
 
 #: Band of document frequencies, as shares of the distinct texts.
 LOW, HIGH = 0.001, 0.1
@@ -54,7 +56,9 @@ ENOUGH = 20
 FEW, SPARE = 5, 64
 #: Text bytes of a run of neighbouring documents, about, and the least number of runs.
 RUN_BYTES, MIN_RUNS = 16 << 20, 64
-TERMS = re.compile(r"[^\W\d_]+")
+#: Letters by code point: terms are runs of them.
+LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+_NO_LETTER = re.compile(r"[\W\d_]")
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[str, ...]:
@@ -75,12 +79,12 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[str,
     shared = docs.sparkSession.sparkContext.broadcast(maybe)  # bounded, see above
 
     def number(batches):
-        get = {t: i for i, t in enumerate(shared.value)}.get
+        find = Numbers(shared.value).ascending
         packer = zstandard.ZstdCompressor(level=1)
         for b in batches:
             packed = []
             for t in b["text"].to_pylist():  # gaps between ascending numbers pack well
-                ids = np.sort(np.array([i for i in map(get, set(TERMS.findall(t.lower()))) if i is not None], dtype="<u4"))
+                ids = find(term_hashes(t)).astype("<u4")
                 packed.append(packer.compress(np.diff(ids, prepend=ids.dtype.type(0)).tobytes()))
             yield pa.RecordBatch.from_arrays([b["h1"], b["h2"], pa.array(packed, pa.binary())], ["h1", "h2", "packed"])
 
@@ -100,6 +104,49 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[str,
     return tuple(sorted(maybe[r["term"]] for r in band.select("term").collect()))
 
 
+def term_hashes(text: str) -> np.ndarray:
+    """Sorted distinct hashes of the terms (runs of letters, in lower case) of a text."""
+    text, out, start = text.lower(), [], 0
+    while start < len(text):
+        end = start + WINDOW
+        if end < len(text):  # pieces end where no term does go on
+            found = _NO_LETTER.search(text, end)
+            end = found.start() if found else len(text)
+        points = np.frombuffer(text[start:end].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        out.append(run_hashes(points, LETTER[points])[0])
+        start = end
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
+
+
+class Numbers:
+    """Terms of a lexicon by their hashes."""
+
+    def __init__(self, terms: Sequence[str]):
+        joined = np.frombuffer(" ".join(terms).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        hashes = np.concatenate([run_hashes(points, points != 32)[0] for points in pieces_at_blanks(joined)] or [np.zeros(0, np.uint64)])
+        self.order = np.argsort(hashes)
+        self.sorted = hashes[self.order]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the terms with these hashes, in their order."""
+        if not len(self.sorted):
+            return np.zeros(0, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
+        return self.order[at[self.sorted[at] == hashes]]
+
+    def ascending(self, hashes: np.ndarray) -> np.ndarray:
+        return np.sort(self.of(hashes))
+
+
+def pieces_at_blanks(points: np.ndarray) -> Iterator[np.ndarray]:
+    blanks, start = np.flatnonzero(points == 32), 0
+    while start < len(points):
+        k = int(np.searchsorted(blanks, start + WINDOW))
+        end = int(blanks[k]) if k < len(blanks) else len(points)
+        yield points[start:end]
+        start = end + 1
+
+
 class Fingerprinter:
     """Fingerprints against one lexicon.
 
@@ -107,11 +154,8 @@ class Fingerprinter:
     of the term's hash, so that sums of hashes are exact in doubles.
     """
 
-    #: Terms whose hashes are remembered.
-    REMEMBER = 300_000
-
     def __init__(self, terms: tuple[str, ...]):
-        self.number = {t: i for i, t in enumerate(terms)}
+        self.numbers = Numbers(terms)
         rates = np.repeat(np.array(RATES, dtype=np.uint32), EACH)
         subsets, high, low, ends = [], [], [], [0]
         for t in terms:
@@ -124,14 +168,12 @@ class Fingerprinter:
         empty = [np.zeros(0, dtype=np.uint32)]
         self.subsets, self.high, self.low = (np.concatenate(x or empty) for x in (subsets, high, low))
         self.start, self.size = np.array(ends[:-1], dtype=np.int64), np.diff(np.array(ends, dtype=np.int64))
-        self.known: dict[str, int] = {}
 
-    def hashes(self, terms: set[str]) -> np.ndarray:
+    def hashes(self, terms: np.ndarray) -> np.ndarray:
         """One 16-bit hash (1 to 65535) per subset, 0 where the text has no term of it; none of fewer than FEW terms."""
-        found = [i for i in map(self.number.get, terms) if i is not None]
-        if len(found) < FEW:
+        ids = self.numbers.of(terms)
+        if len(ids) < FEW:
             return np.zeros(0, dtype=np.uint16)
-        ids = np.array(found, dtype=np.int64)
         n = self.size[ids]
         at = np.arange(n.sum()) + np.repeat(self.start[ids] - (np.cumsum(n) - n), n)
         # equal sets of distinct terms, equal sums of their hashes (modulo 2 ** 64)
@@ -139,22 +181,12 @@ class Fingerprinter:
         sums = (high << np.uint64(32)) + low
         return np.where(sums == 0, 0, 1 + (sums >> np.uint64(40)) % np.uint64(65535)).astype(np.uint16)
 
-    def term_hashes(self, terms: set[str]) -> np.ndarray:
-        known = self.known
-        fresh = terms.difference(known)
-        if fresh:
-            if len(known) + len(fresh) > self.REMEMBER:
-                known.clear()
-                fresh = terms
-            known.update((t, xxhash.xxh3_64_intdigest(t)) for t in fresh)
-        return np.fromiter(map(known.__getitem__, terms), dtype=np.uint64, count=len(terms))
-
     def fingerprint(self, text: str) -> str:
         """SPARE least hashes, then those of the thinned lexicons if there are FEW terms for them."""
-        terms = set(TERMS.findall(text.lower()))
-        if not terms:
+        terms = term_hashes(text)
+        if not len(terms):
             return "t" + xxhash.xxh3_128_hexdigest(text.encode())
-        return np.concatenate([least_hashes(self.term_hashes(terms)), self.hashes(terms)]).astype(">u2").tobytes().hex()
+        return np.concatenate([least_hashes(terms), self.hashes(terms)]).astype(">u2").tobytes().hex()
 
 
 #: Orders of the terms: a hash is mixed with the one, then multiplied by the other, odd.

@@ -27,13 +27,17 @@ _SOLID[[ord(c) for c in BLANKS]] = False
 _BASE = int(_rng.integers(1, 2**62)) * 4 + 1
 
 
-def _powers(base: int) -> np.ndarray:
-    factors = np.full(WINDOW + 1, base, dtype=np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors)  # modulo 2 ** 64
+def _powers_to(n: int) -> list[np.ndarray]:
+    """The first n + 1 powers of the base and of its inverse, modulo 2 ** 64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(n + 1, base, dtype=np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors))
+    return out
 
 
-_POWERS, _INVERSES = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
+_POWERS, _INVERSES = _powers_to(WINDOW)
 _LENGTH, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -59,6 +63,21 @@ def _hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return mixed(h ^ ((ends - starts).astype(np.uint64) * _LENGTH)), starts
 
 
+def run_hashes(values: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the runs of values that are ``inside``, their starts) of any integers."""
+    n = len(values)
+    powers, inverses = (_POWERS, _INVERSES) if n <= WINDOW else _powers_to(n)
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    # odd numbers, all of whose bits differ for different values
+    np.cumsum(((values.astype(np.uint64) + _VALUES[0]) * _MIX2 | np.uint64(1)) * powers[:n], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * inverses[starts]
+    return mixed(h ^ ((ends - starts).astype(np.uint64) * _LENGTH)), starts
+
+
 def _long_text(data: np.ndarray) -> np.ndarray:
     """Hashes of the words of one text of more than WINDOW bytes."""
     blanks = np.flatnonzero(~_SOLID[data])
