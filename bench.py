@@ -139,8 +139,10 @@ def main() -> None:
             table.write.parquet(f"{out}/{i}")
 
     def replay_sample():
-        p = spark.read.parquet(state["prepared"])
-        sample = replay.sample_sessions(p, 200, 0)
+        # as the job: the sample is written once
+        path = fresh("replay_sample")
+        replay.sample_sessions(spark.read.parquet(state["prepared"]), 200, 0).write.parquet(path)
+        sample = spark.read.parquet(path)
         replay.replay_totals(sample).collect()
         replay.replay_type_counts(sample).collect()
         replay.replay_records(sample).write.parquet(fresh("replay"))

@@ -83,10 +83,6 @@ class Ledger:
             row = old[-1] if old else None
         return row
 
-    def marker(self, batch_id: int) -> Row | None:
-        found = read_if_any(self.spark, MARKER_SCHEMA, f"{self.root}/commits")
-        return None if found is None else found.where(F.col("batch_id") == batch_id).first()
-
     def batches(self) -> DataFrame:
         """batch_id and the numbers of rows of every committed batch, watermark and last event."""
         names = ["batch_id", *[f.name for f in MARKER_FIELDS]]
@@ -96,11 +92,12 @@ class Ledger:
             "batch_id", "rows_in", "silver", "quarantine", "late", "duplicates",
             F.timestamp_micros("watermark_us").alias("watermark"), F.timestamp_micros("max_event_us").alias("last_event"))
 
-    def commit(self, batch_id: int, **values) -> None:
-        """Write the marker of a batch: from now on its layers are visible."""
+    def commit(self, batch_id: int, **values) -> Row:
+        """Write the marker of a batch, and return it: from now on its layers are visible."""
         row = tuple(values.get(f.name) for f in MARKER_FIELDS)
         marker = self.spark.createDataFrame([row], T.StructType(MARKER_FIELDS)).coalesce(1)
         marker.write.mode("overwrite").parquet(self.batch_path("commits", batch_id))
+        return Row(*MARKER_SCHEMA.fieldNames())(*row, batch_id)
 
     # ---- layers ----------------------------------------------------------------------
     def batch_path(self, folder: str, batch_id: int) -> str:

@@ -170,11 +170,10 @@ class OnePassSilver:
             return counts[layer][name] if layer in counts else 0
 
         events = [r["last"] for r in counts.values() if r["last"] is not None] + ([before] if before is not None else [])
-        ledger.commit(
+        self._last = ledger.commit(
             batch_id, stream=stream, silver_folder=folder, silver=silver, quarantine=number("quarantine", "n"), late=number("late", "n"),
             rows_in=sum(r["copies"] for r in counts.values()), duplicates=number("silver", "copies") - silver,
             watermark_us=watermark_us, max_event_us=max(events, default=None))
-        self._last = ledger.marker(batch_id)
 
     def start(self, bronze: DataFrame, checkpoint: str, processing_time: str | None = "5 seconds", available_now: bool = False):
         """Run the writer on a stream of Bronze rows; returns the query at once."""

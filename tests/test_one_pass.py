@@ -129,10 +129,11 @@ def test_a_batch_that_comes_again_is_passed_over(spark, tmp_dir, monkeypatch):
     real, calls = Ledger.commit, {"n": 0}
 
     def dies_after(self, batch_id, **values):
-        real(self, batch_id, **values)
+        marker = real(self, batch_id, **values)
         if batch_id == 1 and not calls["n"]:
             calls["n"] += 1
             raise RuntimeError("killed")
+        return marker
 
     monkeypatch.setattr(Ledger, "commit", dies_after)
     with pytest.raises(Exception, match="killed"):
