@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import documents, written
+from cartwheel.llm.common import documents, remembers, written
 from cartwheel.llm.ragged import GROUP_BYTES, Memory, bytes_of, codes_of, cut_at, groups, put_together
 from cartwheel.session import local_path, scratch_path
 
@@ -304,6 +304,7 @@ def at_blanks(text: str, size: int = GROUP_BYTES) -> Iterator[pa.Array]:
         start = end
 
 
+@remembers
 @lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder, with its memory, per Python worker."""

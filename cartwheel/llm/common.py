@@ -21,6 +21,8 @@ WORD_RE = re.compile(WORD_PATTERN)
 #: what ``[^\W\d_]`` has beyond letters.
 NUMERALS = re.compile("[" + "".join(
     c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha()) + "]")
+#: A quick look for them: the few below U+0900, and everything above.
+_MAYBE_NUMERALS = re.compile("[" + "".join(c for c in map(chr, range(0x900)) if NUMERALS.match(c)) + "\u0900-\U0010ffff]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: A-Z to a-z and nothing else.
 LOWER_AZ = {c: c + 32 for c in range(65, 91)}
@@ -28,7 +30,7 @@ LOWER_AZ = {c: c + 32 for c in range(65, 91)}
 
 def letters_only(text: str) -> str:
     """The text with a blank in place of each numeral, so that the pattern finds letters alone."""
-    return text if text.isascii() else NUMERALS.sub(" ", text)
+    return text if text.isascii() or not _MAYBE_NUMERALS.search(text) else NUMERALS.sub(" ", text)
 
 
 def letter_words(text: str | None) -> list[str]:
@@ -36,6 +38,21 @@ def letter_words(text: str | None) -> list[str]:
     return _LETTERS.findall(letters_only(text).lower()) if text else []
 
 
+_REMEMBERING: list = []
+
+
+def remembers(cached):
+    """Registers a cached maker of something large that a Python worker keeps between tasks."""
+    _REMEMBERING.append(cached)
+    return cached
+
+
+def forget_others() -> None:
+    """Drops what earlier operators' tasks have left in this Python worker."""
+    for cached in _REMEMBERING:
+        cached.cache_clear()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import documents, written
+from cartwheel.llm.common import documents, remembers, written
 from cartwheel.llm.pieces import BYTES, SPACE, PieceModel, piece_model
 from cartwheel.llm.ragged import Memory, bytes_of, codes_of, cut_at, groups, put_together
 
@@ -250,6 +250,7 @@ class Encoder:
         return Chunk(self, window, origin, low, high, len(text))
 
 
+@remembers
 @lru_cache(maxsize=1)
 def shared_encoder(path: str) -> Encoder:
     """One encoder, with its memory, per Python worker, whatever the number of tasks."""

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import documents
+from cartwheel.llm.common import documents, remembers
 from cartwheel.llm.word_hash import WINDOW, run_hashes
 
 #: Band of document frequencies, as shares of the distinct texts.
@@ -201,6 +201,7 @@ def least_hashes(terms: np.ndarray) -> np.ndarray:
     return (least & np.uint64(0xFFFF)).astype(np.uint16)
 
 
+@remembers
 @lru_cache(maxsize=2)
 def fingerprinter(terms: tuple[str, ...]) -> Fingerprinter:
     """One per Python worker and lexicon, whatever the number of tasks."""

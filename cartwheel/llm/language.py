@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import documents, is_held_out, letter_words, letters_only
+from cartwheel.llm.common import documents, forget_others, is_held_out, letter_words, letters_only
 
 PER_LANG = 2000
 BUCKETS = 1 << 17
@@ -250,6 +250,7 @@ def identify(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str
     schema = docs.select("*", F.lit("").alias(pred), F.lit(0.0).alias(score), F.lit(0).alias(spans)).schema
 
     def run(batches):
+        forget_others()
         labeller = Labeller(shared.value)
         for b in batches:
             for start in range(0, b.num_rows, GROUP):

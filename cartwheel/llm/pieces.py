@@ -17,6 +17,8 @@ from functools import lru_cache
 
 import sentencepiece
 
+from cartwheel.llm.common import remembers
+
 SPACE = "▁"
 #: Stands for a character without a piece: written as its UTF-8 bytes, merged with nothing.
 BYTES = -1
@@ -131,6 +133,7 @@ class PieceModel:
         return out[::-1]
 
 
+@remembers
 @lru_cache(maxsize=2)
 def piece_model(path: str) -> PieceModel:
     """One model per Python worker, whatever the number of tasks."""
