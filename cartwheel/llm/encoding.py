@@ -208,7 +208,7 @@ def segment_starts(data: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts, remembering the segments of earlier ones."""
 
-    REMEMBER = 130_000
+    REMEMBER = 100_000
     SHORT = 48
 
     def __init__(self, model: PieceModel):

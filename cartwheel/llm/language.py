@@ -197,18 +197,32 @@ class Labeller:
         return [tuple(x) for x in out]
 
 
-def training_sample(rows: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
-    """About ``per_lang`` distinct texts (text, lang) of each language, by a hash of the text.
+def training_sample(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> DataFrame:
+    """About ``per_lang`` distinct texts (text, lang) of each language, by a hash of the text, in
+    ``tasks`` partitions.
 
-    Copies count once, so that a text with many rows cannot fill the sample, or be all of it.
+    Copies count once, so that a text with many rows cannot fill the sample, or be all of it:
+    a task sends a text once, and what several tasks have sent meets by its hash.
     """
     h = F.xxhash64("text")
     counts = rows.groupBy("lang").agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()  # one row per language
     chance = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_lang / max(r["n"], 1)))]) \
         if counts else F.create_map(F.lit(""), F.lit(0.0))
-    chosen = rows.where(F.pmod(h, F.lit(1_000_000)) < F.try_element_at(chance, F.col("lang")) * 1_000_000)
-    # copies meet before the shuffle
-    return chosen.groupBy("lang", h.alias("h"), F.xxhash64(F.lit(1), "text").alias("h2")).agg(F.first("text").alias("text")).select("text", "lang")
+    chosen = rows.where(F.pmod(h, F.lit(1_000_000)) < F.try_element_at(chance, F.col("lang")) * 1_000_000).select(
+        "text", "lang", h.alias("h"), F.xxhash64(F.lit(1), "text").alias("h2"))
+
+    def once(batches):
+        forget_others()
+        seen = set()  # of a bounded sample
+        for b in batches:
+            fresh = []
+            for key in zip(*(b[c].to_pylist() for c in ("h", "h2", "lang"))):
+                fresh.append(key not in seen)
+                seen.add(key)
+            yield b.filter(pa.array(fresh, pa.bool_()))
+
+    columns = "text string, lang string, h long, h2 long"
+    return chosen.mapInArrow(once, columns).repartition(tasks, "h").mapInArrow(once, columns).select("text", "lang")
 
 
 def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
@@ -234,7 +248,7 @@ def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
             [pa.array(list(sums), pa.string()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["lang", "counts"])
 
     # the sample is bounded, so are its few tasks' sums
-    parts = training_sample(rows, per_lang).repartition(tasks).mapInArrow(count, "lang string, counts binary").collect()
+    parts = training_sample(rows, per_lang, tasks).mapInArrow(count, "lang string, counts binary").collect()
     table = np.zeros((len(langs), width))
     for r in parts:
         table[langs.index(r["lang"])] += np.frombuffer(r["counts"], dtype=np.int64)
