@@ -44,6 +44,8 @@ CHUNK = 32_768
 BLOCK = 32
 #: Chunks that a task works on together.
 CHUNK_GROUP = 16
+#: Rows that are decoded together.
+DECODED = 256
 #: A piece occurrence: first character and the one after the last, counted in the text.
 State = tuple[int, int]
 NOTHING = -np.inf
@@ -430,6 +432,13 @@ def id_rows(column: pa.Array) -> Iterator[np.ndarray]:
         yield flat[start:end]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = DECODED) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, whose texts are held more than once."""
+    for b in batches:
+        for start in range(0, b.num_rows, rows):
+            yield b.slice(start, rows)
+
+
 def decode_documents(encoded: DataFrame, model_path: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
     """Add the text that the ids stand for."""
     at = encoded.columns.index(ids)
@@ -437,7 +446,7 @@ def decode_documents(encoded: DataFrame, model_path: str, ids: str = "token_ids"
 
     def run(batches):
         decoder = Decoder(piece_model(model_path))
-        for b in batches:
+        for b in slices(batches):
             texts = pa.array([decoder.decode(x) for x in id_rows(b.column(at))], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], names=[*b.schema.names, into])
 
@@ -449,7 +458,7 @@ def digest(encoded: DataFrame, model_path: str) -> DataFrame:
     rows of doc_id, text and token_ids. Decoded texts stay in the task."""
     def run(batches):
         decoder = Decoder(piece_model(model_path))
-        for b in batches:
+        for b in slices(batches):
             out: list[list] = [[], [], [], []]
             spaced = pc.replace_substring(pc.fill_null(b["text"], ""), SPACE, " ").cast(pa.binary())
             for text, ids in zip(spaced, id_rows(b["token_ids"])):
