@@ -197,12 +197,25 @@ class Labeller:
         return [tuple(x) for x in out]
 
 
-def training_sample(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> DataFrame:
-    """About ``per_lang`` distinct texts (text, lang) of each language, by a hash of the text, in
+SAMPLE_COLUMNS = "text string, lang string, h long, h2 long"
+
+
+def first_of_each(batches, seen: set):
+    """The rows whose (h, h2, lang) has not been ``seen``; of a bounded sample."""
+    for b in batches:
+        fresh = []
+        for key in zip(*(b[c].to_pylist() for c in ("h", "h2", "lang"))):
+            fresh.append(key not in seen)
+            seen.add(key)
+        yield b.filter(pa.array(fresh, pa.bool_()))
+
+
+def sampled(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> DataFrame:
+    """Rows of about ``per_lang`` distinct texts of each language, by a hash of the text, in
     ``tasks`` partitions.
 
     Copies count once, so that a text with many rows cannot fill the sample, or be all of it:
-    a task sends a text once, and what several tasks have sent meets by its hash.
+    a task sends a text once, and what several tasks have sent meets in one partition.
     """
     h = F.xxhash64("text")
     counts = rows.groupBy("lang").agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()  # one row per language
@@ -213,16 +226,14 @@ def training_sample(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -
 
     def once(batches):
         forget_others()
-        seen = set()  # of a bounded sample
-        for b in batches:
-            fresh = []
-            for key in zip(*(b[c].to_pylist() for c in ("h", "h2", "lang"))):
-                fresh.append(key not in seen)
-                seen.add(key)
-            yield b.filter(pa.array(fresh, pa.bool_()))
+        return first_of_each(batches, set())
+
+    return chosen.mapInArrow(once, SAMPLE_COLUMNS).repartition(tasks, "h")
 
-    columns = "text string, lang string, h long, h2 long"
-    return chosen.mapInArrow(once, columns).repartition(tasks, "h").mapInArrow(once, columns).select("text", "lang")
+
+def training_sample(rows: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+    """The distinct texts (text, lang) that a model learns from."""
+    return sampled(rows, per_lang).mapInArrow(lambda batches: first_of_each(batches, set()), SAMPLE_COLUMNS).select("text", "lang")
 
 
 def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
@@ -235,7 +246,7 @@ def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in first_of_each(batches, set()):
             for text, lang in zip(b["text"].to_pylist(), b["lang"].to_pylist()):
                 words = letter_words(text)
                 if not words:
@@ -248,7 +259,7 @@ def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
             [pa.array(list(sums), pa.string()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["lang", "counts"])
 
     # the sample is bounded, so are its few tasks' sums
-    parts = training_sample(rows, per_lang, tasks).mapInArrow(count, "lang string, counts binary").collect()
+    parts = sampled(rows, per_lang, tasks).mapInArrow(count, "lang string, counts binary").collect()
     table = np.zeros((len(langs), width))
     for r in parts:
         table[langs.index(r["lang"])] += np.frombuffer(r["counts"], dtype=np.int64)
