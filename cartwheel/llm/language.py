@@ -236,13 +236,10 @@ def training_sample(rows: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     return sampled(rows, per_lang).mapInArrow(lambda batches: first_of_each(batches, set()), SAMPLE_COLUMNS).select("text", "lang")
 
 
-def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
-    """Count n-grams by language over a bounded sample of (text, lang) rows."""
-    rows = rows.select("text", "lang").where("lang is not null and text is not null")
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    if not langs:
-        return Model([], np.zeros((0, BUCKETS)), np.zeros((len(SCRIPTS), 0), dtype=bool))
-    width = BUCKETS + len(SCRIPTS)
+def gram_sums(rows: DataFrame, langs: list[str], per_lang: int = PER_LANG, tasks: int = 6) -> DataFrame:
+    """(lang, place, n): n-grams by number of the language and bucket, then letters by script, over
+    the sample of (text, lang) rows. A row for each place that is used, whatever the number of tasks."""
+    width, numbers = BUCKETS + len(SCRIPTS), {lang: i for i, lang in enumerate(langs)}
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -255,14 +252,24 @@ def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
                 into[:BUCKETS] += np.bincount(gram_buckets(words)[1], minlength=BUCKETS)
                 into[BUCKETS:] += np.bincount(script_of(np.array([ord(w[0]) for w in words])),
                                               weights=[len(w) for w in words], minlength=len(SCRIPTS)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.string()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["lang", "counts"])
-
-    # the sample is bounded, so are its few tasks' sums
-    parts = sampled(rows, per_lang, tasks).mapInArrow(count, "lang string, counts binary").collect()
-    table = np.zeros((len(langs), width))
-    for r in parts:
-        table[langs.index(r["lang"])] += np.frombuffer(r["counts"], dtype=np.int64)
+        for lang, into in sums.items():
+            used = np.flatnonzero(into)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), numbers[lang], dtype=np.int32)),
+                                              pa.array(used.astype(np.int32)), pa.array(into[used])], ["lang", "place", "n"])
+
+    # the sums of the tasks meet in Spark: whole tables of every task would fill the driver
+    return sampled(rows, per_lang, tasks).mapInArrow(count, "lang int, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n"))
+
+
+def train(rows: DataFrame, per_lang: int = PER_LANG, tasks: int = 6) -> Model:
+    """Count n-grams by language over a bounded sample of (text, lang) rows."""
+    rows = rows.select("text", "lang").where("lang is not null and text is not null")
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    if not langs:
+        return Model([], np.zeros((0, BUCKETS)), np.zeros((len(SCRIPTS), 0), dtype=bool))
+    table = np.zeros((len(langs), BUCKETS + len(SCRIPTS)))
+    for b in gram_sums(rows, langs, per_lang, tasks).toArrow().to_batches():  # at most a row for each of the model's numbers
+        table[b["lang"].to_numpy(), b["place"].to_numpy()] = b["n"].to_numpy()
     grams, scripts = table[:, :BUCKETS] + 0.05, table[:, BUCKETS:]
     return Model(langs, np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32),
                  (scripts > SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)).T)
