@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from cartwheel.operators.validation import Field, click_rules, parse_with_reasons, retail_rules
 from cartwheel.schemas import BRONZE_LINEAGE_C, BRONZE_LINEAGE_R, BRONZE_SCHEMA, CLICK_EVENT_SCHEMA, CLICK_SOURCE, EVENT_SCHEMA
-from cartwheel.session import folders_in
+from cartwheel.session import folders_in, unsorted_writes
 from cartwheel.streaming.ledger import Ledger
 
 STAGED_EXTRA = [
@@ -182,7 +182,8 @@ class OnePassSilver:
             writer = writer.trigger(availableNow=True)
         elif processing_time:
             writer = writer.trigger(processingTime=processing_time)
-        return writer.start()
+        with unsorted_writes(bronze.sparkSession):  # the stream keeps the settings it was started with
+            return writer.start()
 
     def run(self, bronze: DataFrame, checkpoint: str) -> None:
         """Drain the stream, then stop; raises what the writer raised."""

@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from cartwheel.session import unsorted_writes
 
 #: Seconds between two looks at a bounded run's progress.
 LOOK_S = 0.5
@@ -64,6 +65,8 @@ def start_stream(
 ) -> StreamingQuery:
     """Append-mode stream with a checkpoint; returns at once."""
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")  # JSON texts and ids halve
     if path is not None:
         writer = writer.option("path", path)
     for k, v in (options or {}).items():
@@ -88,14 +91,15 @@ def run_to_completion(
     timeout_s: float | None = None,
 ) -> StreamingQuery:
     """Run ``df`` with ``availableNow`` until the input is drained; raise on failure."""
-    query = start_stream(df, path, checkpoint, fmt=fmt, partition_by=partition_by, available_now=True)
-    query.dropped = dropped = Dropped(_remembered(df))
-    end = time.monotonic() + timeout_s if timeout_s else float("inf")
-    while not query.awaitTermination(max(0.01, min(LOOK_S, end - time.monotonic()))):
-        dropped.take(query.recentProgress)
-        if time.monotonic() >= end:
-            query.stop()
-            raise TimeoutError(f"stream into {path} did not finish in {timeout_s} s")
+    with unsorted_writes(df.sparkSession):  # the file sink asks the session that the stream was made in
+        query = start_stream(df, path, checkpoint, fmt=fmt, partition_by=partition_by, available_now=True)
+        query.dropped = dropped = Dropped(_remembered(df))
+        end = time.monotonic() + timeout_s if timeout_s else float("inf")
+        while not query.awaitTermination(max(0.01, min(LOOK_S, end - time.monotonic()))):
+            dropped.take(query.recentProgress)
+            if time.monotonic() >= end:
+                query.stop()
+                raise TimeoutError(f"stream into {path} did not finish in {timeout_s} s")
     error = query.exception()
     if error is not None:
         raise RuntimeError(f"stream into {path} failed: {error}")
