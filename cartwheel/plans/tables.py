@@ -70,7 +70,7 @@ def log_path(spark: SparkSession, sf_dir: str, family: str) -> str:
         use_utc(spark)
         path = scratch_path(spark, "log", family)
         records = fixtures.retail_log(spark, sf_dir) if family == "retail" else fixtures.click_log(spark, sf_dir)
-        records.write.mode("overwrite").parquet(path)
+        records.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return path
 
     return _memo(spark, sf_dir, f"log/{family}", build)

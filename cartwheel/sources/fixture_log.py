@@ -7,11 +7,14 @@ writes through it.
 Dense positions per log partition come without a one-task window: rows are range
 partitioned on (partition, order) into slices, numbered inside each slice, written once
 (so the numbers cannot change), and shifted by the rows of the same partition in
-earlier slices, a table of at most slices + partitions rows.
+earlier slices, a table of at most slices + partitions rows that every task gets whole.
+Payloads are made of the numbered rows, so that they are neither sorted nor shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +32,8 @@ def assign_sequence(
     start: int | DataFrame = 0,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row among rows with the same ``key``
-    ordered by ``order`` (ties broken arbitrarily), plus ``start``. Null is a key.
+    ordered by ``order`` (ties broken arbitrarily), plus ``start``. Null is a key, and there
+    are few keys: log partitions.
 
     ``start`` may be a DataFrame (key, next_offset) to continue an existing log.
     """
@@ -39,7 +43,7 @@ def assign_sequence(
     numbered = df.repartitionByRange(slices, key, *order).sortWithinPartitions(key, *order).select(
         "*", F.spark_partition_id().alias("_slice"), F.monotonically_increasing_id().alias("_pos"))
     path = scratch_path(spark, "sequence")
-    numbered.write.parquet(path)
+    numbered.write.option("compression", "zstd").parquet(path)
     numbered = spark.read.schema(numbered.schema).parquet(path)
 
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,7 +56,7 @@ def assign_sequence(
             "_s", "_k", (F.col("_shift") + F.coalesce("_start", F.lit(0))).alias("_shift"))
     else:
         shifts = shifts.withColumn("_shift", F.col("_shift") + F.lit(int(start)))
-    joined = numbered.join(shifts, (F.col("_slice") == F.col("_s")) & F.col(key).eqNullSafe(F.col("_k")))
+    joined = numbered.join(F.broadcast(shifts), (F.col("_slice") == F.col("_s")) & F.col(key).eqNullSafe(F.col("_k")))
     return joined.select(*df.columns, (F.col("_pos") + F.col("_shift")).cast("long").alias(out))
 
 
@@ -84,30 +88,33 @@ def to_log_records(
     order: list[str],
     timestamp: Column | None = None,
     start: DataFrame | None = None,
+    keyed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Give ``records`` (columns ``key``, ``value`` as string or binary) the log shape.
 
     Offsets are dense per partition, in ``order`` (columns of ``records``), as a
     broker would assign them when the rows are sent in that order; ``start``
-    (partition, next_offset) continues an existing log.
+    (partition, next_offset) continues an existing log. ``keyed`` adds ``key`` and
+    ``value`` to rows of ``records`` without them, after these have been numbered.
     """
-    staged = records.select(
+    ordered = assign_sequence(
+        records.withColumn("_log_partition", partition.cast("int")),
+        "_log_partition",
+        order,
+        out="_log_offset",
+        start=start if start is not None else 0,
+    )
+    if keyed is not None:
+        ordered = keyed(ordered)
+    return ordered.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        partition.cast("int").alias("partition"),
+        F.col("_log_partition").alias("partition"),
+        F.col("_log_offset").alias("offset"),
         (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp"),
         F.lit(0).alias("timestampType"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-    )
-    ordered = assign_sequence(
-        staged,
-        "partition",
-        [f"_o{i}" for i in range(len(order))],
-        out="offset",
-        start=start if start is not None else 0,
-    )
-    return ordered.select(*LOG_COLUMNS)
+    ).select(*LOG_COLUMNS)
 
 
 def append_to_log_table(records: DataFrame, path: str, topic: str, partitions: int, order: list[str],

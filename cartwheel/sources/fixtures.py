@@ -171,22 +171,20 @@ def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records for the retail topic: duplicates, wrong keys, malformed values."""
-    rows = keyed_json(_retail_with_ids(spark, sf_dir), EVENT_SCHEMA.fieldNames())
-    rows = rows.select("*", _copies_of("_event_seq", 50).alias("_copy"))
-    records = rows.select(
-        F.when(F.col("_event_seq") % 97 == 0, F.lit("wrong")).otherwise(F.col("key")).alias("key"),
-        F.when(F.col("_event_seq") % 101 == 0, F.lit("{bad")).otherwise(F.col("value")).alias("value"),
-        (F.col("_user") % LOG_PARTITIONS).alias("_partition"),
-        "_time",
-        "_event_seq",
-        "_copy",
-    )
+    events = _retail_with_ids(spark, sf_dir).select("*", _copies_of("_event_seq", 50).alias("_copy"))
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return keyed_json(rows, EVENT_SCHEMA.fieldNames()).withColumns({
+            "key": F.when(F.col("_event_seq") % 97 == 0, F.lit("wrong")).otherwise(F.col("key")),
+            "value": F.when(F.col("_event_seq") % 101 == 0, F.lit("{bad")).otherwise(F.col("value"))})
+
     return to_log_records(
-        records,
+        events,
         RETAIL_TOPIC,
-        F.col("_partition"),
+        F.col("_user") % LOG_PARTITIONS,
         ["_event_seq", "_copy"],
         timestamp=F.col("_time"),
+        keyed=keyed,
     )
 
 
