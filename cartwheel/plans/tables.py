@@ -101,24 +101,31 @@ def silver_path(spark: SparkSession, sf_dir: str, family: str, dedup: str = "wat
 
 
 def batches_path(spark: SparkSession, sf_dir: str) -> str:
-    """Bronze in four micro-batches of FILES files each (fixtures.click_batches)."""
+    """Bronze in four micro-batches of as many files each (fixtures.click_batches)."""
     def build() -> str:
         use_utc(spark)
         path = scratch_path(spark, "bronze", "batches")
         rows = fixtures.click_batches(spark, sf_dir)
+        files = fixtures.batch_files(rows)
         for n in range(1, fixtures.BATCHES + 1):
             # the stream takes files by age, so a batch's files are written before the next one's
-            rows.where(f"batch = {n}").drop("batch").repartition(fixtures.BATCH_FILES).write.mode("append").parquet(path)
+            rows.where(f"batch = {n}").drop("batch").repartition(files).write.mode("append").parquet(path)
         return path
 
     return _memo(spark, sf_dir, "bronze/batches", build)
 
 
+def _files_per_batch(spark: SparkSession, path: str) -> int:
+    """Files of a micro-batch in a folder that ``batches_path`` has written."""
+    return max(fixtures.BATCH_FILES, len(spark.read.parquet(path).inputFiles()) // fixtures.BATCHES)
+
+
 def silver_batches_path(spark: SparkSession, sf_dir: str, dedup: str) -> str:
     def build() -> str:
         use_utc(spark)
+        src = batches_path(spark, sf_dir)
         stream = (spark.readStream.schema(BRONZE_SCHEMA).format("parquet")
-                  .option("maxFilesPerTrigger", str(fixtures.BATCH_FILES)).load(batches_path(spark, sf_dir)))
+                  .option("maxFilesPerTrigger", str(_files_per_batch(spark, src))).load(src))
         out = scratch_path(spark, "silver", "batches", dedup)
         run_silver(silver_click(stream, dedup=dedup), out, scratch_path(spark, "ckpt", "batches", dedup))
         return out
@@ -149,7 +156,8 @@ def one_pass_batches(spark: SparkSession, sf_dir: str, dedup: str, compacted: bo
     """The one-pass writer's layers of the four micro-batches; ``compacted`` to few
     files, with the batches' own files removed."""
     def build() -> str:
-        path = _ran_one_pass(spark, batches_path(spark, sf_dir), click_family(), f"batches/{dedup}", dedup, fixtures.BATCH_FILES)
+        src = batches_path(spark, sf_dir)
+        path = _ran_one_pass(spark, src, click_family(), f"batches/{dedup}", dedup, _files_per_batch(spark, src))
         if compacted:
             ledger = OnePassSilver(spark, path, click_family(), dedup).ledger
             ledger.compact()

@@ -50,7 +50,8 @@ from cartwheel.sources.fixture_log import to_log_records
 COUNTRIES = ("PT", "NL", "SE", "PL", "GR", "FI", "IE")
 DEVICE_BY_USER = ("mobile", "desktop", "tablet")
 LOG_PARTITIONS = 6
-BATCHES, BATCH_FILES = 4, 2
+#: Files of a micro-batch at least, and rows of a file beyond that.
+BATCHES, BATCH_FILES, BATCH_FILE_ROWS = 4, 2, 100_000
 RAW_ACTION = (("view", "detail"), ("click", "add"), ("signup", "remove"), ("purchase", "purchase"))
 RETAIL_TYPE = (
     ("view", "product_view"),
@@ -197,27 +198,34 @@ def _copies_of(column: str, every: int) -> Column:
 def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records for the clickstream topic, from the prepared events."""
     ms = F.unix_millis("event_timestamp")
-    events = prepared(spark, sf_dir).withColumn(
+    events = prepared(spark, sf_dir).select(*CLICK_PAYLOAD_COLUMNS).withColumn(
         "source", F.when(ms % 103 == 0, F.lit("elsewhere")).otherwise(F.col("source")))
-    events = keyed_json(events, list(CLICK_PAYLOAD_COLUMNS))
-    records = events.select(
-        F.when(ms % 97 == 0, F.lit("wrong")).otherwise(F.col("key")).alias("key"),
-        F.when(ms % 101 == 0, F.lit("{bad")).otherwise(F.col("value")).alias("value"),
-        (F.substring_index("session_id", "-", 1).cast("bigint") % LOG_PARTITIONS).alias("_partition"),
-        "event_timestamp",
-        "source_event_id",
-    )
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return keyed_json(rows, list(CLICK_PAYLOAD_COLUMNS)).withColumns({
+            "key": F.when(ms % 97 == 0, F.lit("wrong")).otherwise(F.col("key")),
+            "value": F.when(ms % 101 == 0, F.lit("{bad")).otherwise(F.col("value"))})
+
     log = to_log_records(
-        records,
+        events,
         CLICK_TOPIC,
-        F.col("_partition"),
+        F.substring_index("session_id", "-", 1).cast("bigint") % LOG_PARTITIONS,
         ["source_event_id"],
         timestamp=F.col("event_timestamp"),
+        keyed=keyed,
     )
     times = F.when(F.col("offset") % 199 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return log.where(F.col("offset") % 211 != 7).withColumn("_again", F.explode(times)).drop("_again")
 
 
+def batch_files(rows: DataFrame) -> int:
+    """Files that every micro-batch of ``rows`` (click_batches) is written to: more for more
+    rows, so that a batch is not the work of two tasks, and so few that the smallest fills them."""
+    batches = rows.where(F.col("batch").between(1, BATCHES)).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    found = batches.agg(F.count(F.lit(1)).alias("batches"), F.min("n").alias("smallest")).first()
+    return max(BATCH_FILES, found["smallest"] // BATCH_FILE_ROWS) if found["batches"] == BATCHES else BATCH_FILES
+
+
 def click_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows of every event with the micro-batch (``batch``) that brings them."""
     events = table(spark, sf_dir, "events")
